@@ -1,0 +1,23 @@
+"""Seeded integer draws that do not depend on partitioning.
+
+``rand()`` depends on the partition a row lands in; a keyed hash does not, so
+re-running a generator on a different cluster layout reproduces every value.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def uniform_int(lo: int, hi: int, *keys, salt: str, seed: int = 42) -> Column:
+    """Integer uniformly drawn from ``[lo, hi]`` (inclusive) for the row
+    identified by ``keys``; ``salt`` separates independent draws of one row."""
+    if hi < lo:
+        raise ValueError("hi < lo")
+    h = F.xxhash64(F.lit(seed), F.lit(salt), *[_c(k) for k in keys])
+    return (F.pmod(h, F.lit(hi - lo + 1)) + F.lit(lo)).cast("bigint")
