@@ -1,34 +1,81 @@
 """Dense global row numbers without a single-partition sort.
 
 ``ROW_NUMBER() OVER (ORDER BY …)`` with no PARTITION BY moves every row into
-one task.  Here the rows are range-partitioned on the ordering (sampling
-picks the bounds), sorted within each partition, and numbered as
+one task.  Here instead:
 
-    row number = rows in all earlier partitions + position in own partition.
+1. a seeded sample of the ordering key (about ``oversample`` rows per target
+   bucket, so bounded by the bucket count, not the data) gives split points;
+2. each row gets a bucket = number of split points below its key — a pure
+   expression of the row and the split literals, so every recomputation
+   (a second consumer, a retried task, a lost executor) assigns the same
+   bucket;
+3. row number = rows in all earlier buckets (per-bucket counts, prefix-summed
+   and broadcast — one row per bucket) + ``row_number()`` within the bucket
+   (a window partitioned by bucket: a shuffle on the bucket, sorted per task).
 
-The per-partition counts are one row per partition; their prefix sums are
-broadcast, bounded by the partition count, not by the data.  The ordering
-must be total (add tie-breaking columns) for the numbers to be repeatable.
+The ordering must be total (add tie-breaking keys).  NULL keys sort first.
+Descending keys must be numeric, date or timestamp (they are negated).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (DateType, DecimalType, NumericType, TimestampNTZType,
+                               TimestampType)
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
-                      partitions: int | None = None) -> DataFrame:
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _asc_key(df: DataFrame, name: str, desc: bool) -> Column:
+    c = F.col(name)
+    if not desc:
+        return c
+    t = df.schema[name].dataType
+    if isinstance(t, (DecimalType, NumericType)):
+        return -c
+    if isinstance(t, DateType):
+        return -F.unix_date(c)
+    if isinstance(t, (TimestampType, TimestampNTZType)):
+        return -F.unix_micros(c.cast("timestamp"))
+    raise TypeError(f"descending key {name!r} of type {t} is not supported")
+
+
+def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
+                      name: str = "rn", buckets: int | None = None,
+                      oversample: int = 20, seed: int = 17) -> DataFrame:
+    spark = df.sparkSession
+    descending = descending or [False] * len(keys)
+    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    tagged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              # monotonically_increasing_id = partition index << 33 | position
-              .withColumn("__pos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0))
-                            .alias("__off"))
-    return (tagged.join(F.broadcast(offsets), "__pid")
-            .select(*cols, (F.col("__off") + F.col("__pos") + 1).cast("bigint").alias(name)))
+    key = F.struct(*[_asc_key(df, k, d).alias(f"k{i}")
+                     for i, (k, d) in enumerate(zip(keys, descending))])
+    keyed = df.withColumn("__key", key)
+
+    n = df.count()
+    splits: list = []
+    if n > 0 and nb > 1:
+        frac = min(1.0, oversample * nb / n)
+        sample = [r["__key"] for r in
+                  keyed.select("__key").sample(False, frac, seed).orderBy("__key").collect()]
+        if sample:
+            step = len(sample) / nb
+            for i in range(1, nb):          # sample is already in key order
+                s = tuple(sample[int(i * step)])
+                if not splits or splits[-1] != s:
+                    splits.append(s)
+    key_type = keyed.schema["__key"].dataType
+    if splits:
+        arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                   for v, f in zip(s, key_type.fields)]) for s in splits])
+        bucket = F.size(F.filter(arr, lambda b: b <= F.col("__key")))
+    else:
+        bucket = F.lit(0)
+    b = keyed.withColumn("__b", bucket.cast("int"))
+
+    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket: broadcasting the offsets is bounded by the bucket count
+    offsets = counts.select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    within = Window.partitionBy("__b").orderBy(F.col("__key").asc_nulls_first())
+    return (b.withColumn("__i", F.row_number().over(within))
+            .join(F.broadcast(offsets), "__b")
+            .select(*cols, (F.col("__off") + F.col("__i")).cast("bigint").alias(name)))

@@ -165,8 +165,7 @@ def _rank(spark, sf_dir):
     from martlight.operators.ranking import global_row_number
     r = demo_report(spark, sf_dir)
     g = r.dcube.groupBy("user_name").agg(F.sum("credits").cast(U.CREDITS).alias("credits"))
-    return global_row_number(g, [F.col("credits").desc_nulls_first(), F.col("user_name").asc()],
-                             "rn")
+    return global_row_number(g, ["credits", "user_name"], [True, False], "rn")
 
 
 @register("usage_profile", Q.USAGE_PROFILE)
