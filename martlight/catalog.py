@@ -72,7 +72,8 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # Further query groups register themselves on import.
     import importlib
-    for mod in ("martlight.plans.usage_queries", "martlight.plans.sales_queries"):
+    for mod in ("martlight.plans.usage_queries", "martlight.plans.report_queries",
+                "martlight.plans.sales_queries"):
         try:
             importlib.import_module(mod)
         except ModuleNotFoundError as e:
