@@ -80,11 +80,16 @@ def report_subject(r: UsageReport) -> DataFrame:
     """``<prefix> - Fri 2024-01-19 - 1,234.56 credits ($3,703.68)``"""
     day = F.lit(r.window.report_day).cast("date")
     return r.billed().select(F.concat(
-        F.lit(r.s.subject_prefix), F.lit(" - "), fmt.fmt_day_named(day), F.lit(" - "),
+        F.lit(r.s.subject_prefix), F.lit(" - "), _or_dash(fmt.fmt_day_named(day)), F.lit(" - "),
         fmt.fmt_credits2("day_credits"), F.lit(" credits ("), fmt.fmt_usd("day_usd"),
         F.lit(")")).alias("subject"))
 
 
+def _or_dash(x: Column) -> Column:
+    """A missing date (no settled day yet) prints as a dash."""
+    return F.coalesce(x, F.lit("—"))
+
+
 def _table(head: list[str], rows: Column, footer: Column | None) -> Column:
     th = "".join(f"<th>{h}</th>" for h in head)
     parts = [F.lit(f"<table><tr>{th}</tr>"), rows]
@@ -112,10 +117,11 @@ def report_html(r: UsageReport) -> DataFrame:
     for name, df in secs.items():
         one = one.crossJoin(df.select(F.col("rows_html").alias(f"h_{name}")))
     one = one.crossJoin(report_subject(r))
-    settled = F.concat(F.lit('<span class="badge">settled &middot; '),
-                       fmt.fmt_day(F.lit(w.report_day)), F.lit("</span>"))
+    day_text = _or_dash(fmt.fmt_day(F.lit(w.report_day)))
+    settled = F.concat(F.lit('<span class="badge">settled &middot; '), day_text, F.lit("</span>"))
     detail_badge = F.concat(F.lit('<span class="badge">detail &middot; '),
-                            fmt.fmt_day("detail_max_day"), F.col("lag_text"), F.lit("</span>"))
+                            _or_dash(fmt.fmt_day("detail_max_day")),
+                            F.coalesce(F.col("lag_text"), F.lit("")), F.lit("</span>"))
     guard = F.when(F.coalesce(F.col("new_types"), F.lit("")) == "", F.lit("")).otherwise(
         F.concat(F.lit('<div class="guard"><b>New service type detected:</b> '),
                  fmt.html_escape("new_types"),
@@ -142,7 +148,7 @@ def report_html(r: UsageReport) -> DataFrame:
         F.lit(" drill-downs by function, model and user: detail logs (settle later).</div></div>"),
         F.lit("<h3>Latest settled day and month to date "), settled, F.lit("</h3>"),
         F.lit("<table><tr><th>Window</th><th>Credits</th><th>USD</th></tr><tr><td>Latest settled day ("),
-        fmt.fmt_day(F.lit(w.report_day)), F.lit(")</td>"),
+        day_text, F.lit(")</td>"),
         _td(fmt.fmt_credits2("day_credits"), True), _td(fmt.fmt_usd("day_usd"), True),
         F.lit("</tr><tr><td>Month to date</td>"),
         _td(fmt.fmt_credits2("mtd_credits"), True), _td(fmt.fmt_usd("mtd_usd"), True),

@@ -1,0 +1,97 @@
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from martlight.operators.semantic import SemanticError
+from martlight.plans.sales import sales_model
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    customers = spark.createDataFrame([
+        (1, "Acme", "Tech", "SMB", "NA", "US", "Strategic", dt.date(2024, 1, 1), "am1", 61),
+        (2, "Beta", "Retail", "SMB", "EU", "DE", "Growth", dt.date(2024, 2, 1), "am2", 80),
+        (3, "Gamma", "Tech", "SMB", "EU", "FR", "Growth", dt.date(2024, 3, 1), "am2", 65),
+    ], "customer_id long, company_name string, industry string, company_size string, region string, "
+       "country string, arr_tier string, onboarding_date date, account_manager string, health_score int")
+    deals = spark.createDataFrame([
+        (10, "d10", 1, "Closed Won", "New", D("100.00"), "rep1", "P", "NA", "Tech"),
+        (11, "d11", 1, "Closed Lost", "New", D("50.00"), "rep1", "P", "NA", "Tech"),
+        (12, "d12", 2, "Negotiation", "Exp", D("25.50"), "rep2", "P", "EU", "Retail"),
+        (13, "d13", 9, "Closed Won", "Exp", D("10.00"), "rep2", "P", None, None),  # no customer
+    ], "deal_id long, deal_name string, customer_id long, stage string, deal_type string, "
+       "amount_usd decimal(15,2), sales_rep string, product_line string, region string, industry string")
+    deals = deals.selectExpr("*", "cast(null as date) as close_date", "cast(null as date) as created_date",
+                             "cast(0.5 as decimal(3,2)) as win_probability", "cast(null as string) as lost_reason")
+    revenue = spark.createDataFrame(
+        [(100 + m * 10 + c, c, dt.date(2025, 1 + m, 1), D("10.0000"), "P", 1, D("1.00"), False)
+         for c in (1, 2, 3) for m in range(6)],
+        "revenue_id long, customer_id long, month date, mrr_usd decimal(38,4), product_line string, "
+        "license_count long, expansion_usd decimal(38,2), churn_flag boolean")
+    tickets = spark.createDataFrame([
+        (1, 1, "High", "x", "Resolved", D("2.00"), 5),
+        (2, 1, "Low", "x", "In Progress", None, None),
+        (3, 3, "High", "y", "Resolved", D("3.00"), 4),
+    ], "ticket_id long, customer_id long, priority string, category string, status string, "
+       "resolution_hours decimal(10,2), csat_score int")
+    tickets = tickets.selectExpr("*", "cast(null as date) as created_date", "'s' as subject")
+    return sales_model(spark, None, {"customers": customers, "deals": deals,
+                                     "monthly_revenue": revenue, "support_tickets": tickets})
+
+
+def test_single_entity(model):
+    got = {r["deal_stage"]: (r["total_deals"], r["total_pipeline_value"]) for r in
+           model.query(["total_deals", "total_pipeline_value"], ["deal_stage"]).collect()}
+    assert got == {"Closed Won": (2, D("110.00")), "Closed Lost": (1, D("50.00")),
+                   "Negotiation": (1, D("25.50"))}
+
+
+def test_parent_dimension_and_avg_decomposition(model):
+    got = {r["customer_region"]: r["average_deal_size"] for r in
+           model.query(["average_deal_size"], ["customer_region"]).collect()}
+    assert got == {"NA": D("75.000000"), "EU": D("25.500000"), None: D("10.000000")}
+
+
+def test_cross_entity_no_fan_out(model):
+    rows = {r["customer_region"]: r for r in
+            model.query(["total_pipeline_value", "total_tickets", "total_mrr"], ["customer_region"]).collect()}
+    # NA: one customer with 2 deals, 6 revenue months, 2 tickets — nothing multiplied
+    assert rows["NA"]["total_pipeline_value"] == D("150.00")
+    assert rows["NA"]["total_tickets"] == 2
+    assert rows["NA"]["total_mrr"] == D("60.0000")
+    assert rows["EU"]["total_tickets"] == 1 and rows["EU"]["total_mrr"] == D("120.0000")
+    assert rows[None]["total_pipeline_value"] == D("10.00") and rows[None]["total_tickets"] is None
+
+
+def test_unreachable_dimension_raises(model):
+    with pytest.raises(SemanticError):
+        model.query(["total_mrr"], ["deal_stage"])
+    with pytest.raises(SemanticError):
+        model.query(["total_tickets"], where="deal_stage = 'Closed Won'")
+
+
+def test_filters_local_parent_and_mixed(model):
+    r = model.query(["won_deals", "lost_deals"], ["sales_rep"], where="customer_region = 'NA'").collect()
+    assert [(x["sales_rep"], x["won_deals"], x["lost_deals"]) for x in r] == [("rep1", 1, 1)]
+    r = model.query(["total_deals"], where=["deal_stage = 'Closed Won' OR customer_region = 'EU'"]).first()
+    assert r["total_deals"] == 3
+
+
+def test_ticket_averages_ignore_nulls(model):
+    got = {r["ticket_priority"]: (r["total_tickets"], r["avg_resolution_hours"], r["avg_csat"]) for r in
+           model.query(["total_tickets", "avg_resolution_hours", "avg_csat"], ["ticket_priority"]).collect()}
+    assert got == {"High": (2, D("2.500000"), D("4.500000")), "Low": (1, None, None)}
+
+
+def test_rows_and_top_k(model):
+    low = model.rows("customers", ["company_name", "health"], order_by=["health ASC"], limit=2).collect()
+    assert [(r["company_name"], r["health"]) for r in low] == [("Acme", 61), ("Gamma", 65)]
+    top = model.query(["total_tickets"], ["company_name"], order_by=["total_tickets DESC"], limit=1).first()
+    assert (top["company_name"], top["total_tickets"]) == ("Acme", 2)
+
+
+def test_describe(spark, model):
+    d = model.describe(spark)
+    kinds = {r["kind"]: r["n"] for r in d.groupBy("kind").count().withColumnRenamed("count", "n").collect()}
+    assert kinds == {"entity": 4, "relationship": 3, "fact": 8, "dimension": 26, "metric": 11}

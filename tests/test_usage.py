@@ -1,0 +1,150 @@
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from martlight.operators.settings import ReportSettings
+from martlight.plans import report
+from martlight.plans import usage as U
+
+T = dt.datetime
+AS_OF = T(2026, 6, 7, 0, 0)
+
+
+@pytest.fixture(scope="module")
+def report_inputs(spark):
+    ledger = spark.createDataFrame([
+        ("AI_FUNCTIONS", "app", T(2026, 6, 6, 10), D("1.5")),
+        ("ASSIST_AGENTS", "", T(2026, 6, 2), D("2.0")),
+        ("ASSIST_AGENTS", None, T(2026, 6, 3), D("1.0")),
+        ("assist_lower", "x", T(2026, 6, 3, 5), D("0.5")),
+        ("ai_lower", "y", T(2026, 6, 3), D("100")),
+        ("AI_SERVICES", "z", T(2026, 6, 4), D("-0.25")),
+        ("AI_FUNCTIONS", "app", T(2026, 5, 31, 23, 59), D("4.0")),
+        ("AI_FUNCTIONS", "app", T(2026, 6, 7, 1), D("9.0")),
+    ], "service_type string, name string, start_time timestamp_ntz, credits_used decimal(28,9)")
+    days = spark.createDataFrame([(dt.date(2026, 5, 30) + dt.timedelta(days=i),) for i in range(9)],
+                                 "usage_date date")
+    fn = spark.createDataFrame([
+        (T(2026, 6, 5, 10), "F1", "", D(1), "q1", 1),
+        (T(2026, 6, 5, 11), "F1", "m1", D(2), "q1", 2),
+        (T(2026, 6, 2), "F2", "m1", D("0.5"), "q2", 3),
+    ], "start_time timestamp_ntz, function_name string, model_name string, credits decimal(28,9), "
+       "query_id string, user_id long")
+    ag = spark.createDataFrame([
+        (T(2026, 6, 4), None, D(1), "r1", 1, ""),
+        (T(2026, 6, 4), "A", D(3), "r2", 1, None),
+    ], "start_time timestamp_ntz, agent_name string, token_credits decimal(28,9), request_id string, "
+       "user_id long, user_name string")
+    users = spark.createDataFrame([(1, "alice"), (1, "alice_old"), (2, "bob")], "user_id long, name string")
+    logs = [
+        U.UsageLog(fn, "AI_FUNCTIONS", "start_time", "credits", "query_id",
+                   function_name=F.col("function_name"),
+                   model_name=F.nullif(F.col("model_name"), F.lit(""))),
+        U.UsageLog(ag, "ASSIST_AGENTS", "start_time", "token_credits", "request_id",
+                   function_name=F.lit("ASSIST_AGENT"),
+                   agent_name=F.coalesce(F.col("agent_name"), F.lit("(unknown)")),
+                   user_name=F.col("user_name")),
+    ]
+    return U.UsageInputs(ledger, days, logs, users, AS_OF)
+
+
+def _report(spark, inputs, **kw):
+    base = dict(budget=5.0, top_n=2, subtype_top_n=12)
+    base.update(kw)
+    return U.UsageReport(spark, inputs, ReportSettings(**base))
+
+
+def test_window_and_totals(spark, report_inputs):
+    r = _report(spark, report_inputs)
+    assert (r.window.report_day, r.window.m_start, r.window.wk_start) == (
+        dt.date(2026, 6, 6), dt.date(2026, 6, 1), dt.date(2026, 5, 31))
+    b = r.billed().first()
+    assert (b["day_credits"], b["mtd_credits"]) == (D("1.5"), D("4.75"))
+    assert (b["day_usd"], b["mtd_usd"]) == (D("4.50"), D("14.25"))
+    d = r.detail().first()
+    assert (d["credits"], d["requests"]) == (D("7.5"), 4)
+    c = r.currency().first()
+    assert (c["detail_max_day"], c["detail_lag"], c["lag_text"]) == (dt.date(2026, 6, 5), 1, " (1 day behind)")
+
+
+def test_by_type_drops_nonpositive_and_reconcile_reports_it(spark, report_inputs):
+    r = _report(spark, report_inputs)
+    got = {x["service_type"]: x["credits"] for x in r.by_type().collect()}
+    assert got == {"AI_FUNCTIONS": D("1.5"), "ASSIST_AGENTS": D("3"), "assist_lower": D("0.5")}
+    rec = {x["section"]: x["diff"] for x in r.reconcile().collect()}
+    assert rec["usage_by_type"] == D("0.25")
+    assert rec["usage_by_type_subtype"] == 0
+    assert rec["usage_by_user"] == 0 and rec["usage_by_model"] == 0 and rec["usage_by_function"] == 0
+
+
+def test_subtypes_guard_and_trend(spark, report_inputs):
+    r = _report(spark, report_inputs)
+    sub = {(x["type_label"], x["subtype"]): x["credits"] for x in r.by_type_subtype().collect()}
+    assert sub[("Assist Agents", "—")] == D("3")
+    assert r.new_types().first()["new_types"] == "assist_lower"
+    trend = {x["day"]: x["credits"] for x in r.trend().collect()}
+    assert trend == {dt.date(2026, 5, 31): D(4), dt.date(2026, 6, 2): D(2), dt.date(2026, 6, 3): D("1.5"),
+                     dt.date(2026, 6, 4): D("-0.25"), dt.date(2026, 6, 6): D("1.5")}
+
+
+def test_drilldowns(spark, report_inputs):
+    r = _report(spark, report_inputs)
+    users = {(x["sort_rn"], x["user_name"]): x["credits"] for x in r.by_user().collect()}
+    assert users == {(1, "alice_old"): D(4), (2, "bob"): D(2), (999999, "Others"): D("1.5")}
+    models = {(x["name"], x["kind"]): x["credits"] for x in
+              _report(spark, report_inputs, top_n=10).by_model().collect()}
+    assert models == {("AI_FUNCTIONS", "Service"): D(1), ("m1", "Model"): D("2.5"),
+                      ("(unknown)", "Agent"): D(1), ("A", "Agent"): D(3)}
+    fns = {x["function_name"]: x["credits"] for x in _report(spark, report_inputs, top_n=10).by_function().collect()}
+    assert fns == {"F1": D(3), "F2": D("0.5"), "ASSIST_AGENT": D(4)}
+    unified = {(x["usage_id"], x["user_name"]) for x in
+               U.unified_usage(report_inputs.logs, report_inputs.users).collect()}
+    assert ("r1", "") in unified and ("q2", "(unknown)") in unified and ("r2", "alice_old") in unified
+
+
+@pytest.mark.parametrize("budget,warn,status", [(5.0, 90.0, "WARN"), (4.75, 90.0, "OVER BUDGET"),
+                                                (100.0, 90.0, "OK"), (5.0, 95.0, "WARN"),
+                                                (5.0, 95.01, "OK"), (4.7, 90.0, "OVER BUDGET")])
+def test_budget_thresholds(spark, report_inputs, budget, warn, status):
+    r = _report(spark, report_inputs, budget=budget, warn_pct=warn)
+    assert r.budget().first()["status"] == status
+
+
+def test_budget_hidden_when_zero(spark, report_inputs):
+    assert _report(spark, report_inputs, budget=0.0).budget().count() == 0
+
+
+@pytest.mark.parametrize("last_detail_day,lag,text", [(6, 0, ""), (5, 1, " (1 day behind)"),
+                                                      (4, 2, " (2 days behind)")])
+def test_detail_lag(spark, last_detail_day, lag, text):
+    raw = spark.createDataFrame([(T(2026, 6, last_detail_day, 12),), (T(2026, 6, 7, 1),)],
+                                "usage_time timestamp_ntz")
+    w = U.ReportWindow(dt.date(2026, 6, 6), dt.date(2026, 6, 1), dt.date(2026, 5, 31))
+    c = U.detail_currency(raw, w).first()
+    assert (c["detail_lag"], c["lag_text"]) == (lag, text)
+
+
+def test_empty_ledger(spark, report_inputs):
+    empty = report_inputs.ledger.limit(0)
+    inp = U.UsageInputs(empty, report_inputs.ledger_days.limit(0), report_inputs.logs,
+                        report_inputs.users, AS_OF)
+    r = _report(spark, inp)
+    assert r.window.report_day is None
+    b = r.billed().first()
+    assert (b["day_credits"], b["mtd_credits"]) == (0, 0)
+    assert r.by_type().count() == 0
+    html = report.report_html(r).first()["body"]
+    assert "No activity." in html
+
+
+def test_report_html_escapes_and_lists(spark, report_inputs):
+    r = _report(spark, report_inputs)
+    row = report.report_html(r).first()
+    assert row["subject"] == "AI Usage - Sat 2026-06-06 - 1.50 credits ($4.50)"
+    body = row["body"]
+    assert "New service type detected:</b> assist_lower" in body
+    assert "[WARN]" in body and "95.0%" in body
+    assert body.count('class="others"') == 3        # function, model and user drill-downs
+    assert "(1 day behind)" in body
