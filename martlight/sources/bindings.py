@@ -110,9 +110,17 @@ def _raw_user(k: Column) -> Column:
 _RAW_USER_SQL = "case when k < 40 then null when k = 42 then '' else 'user_' || cast(user_id as varchar) end"
 
 
+# service type → the event type it comes from (lets the scan filter on a raw
+# column before the props key is parsed)
+_EVENT_OF = {"AI_FUNCTIONS": "click", "ASSIST_AGENTS": "view", "ASSIST_CODE_CLI": "purchase",
+             "ASSIST_CODE_WEB": "error", "WORKSPACE_INTELLIGENCE": "signup"}
+
+
 def _detail(src: Sources, service_type: str) -> DataFrame:
-    ev = _typed_events(src)
-    return ev.filter((F.col("ts") < F.lit(DETAIL_CUTOFF)) & (F.col("service_type") == service_type))
+    ev = src.events.filter((F.col("ts") < F.lit(DETAIL_CUTOFF))
+                           & (F.col("event_type") == _EVENT_OF[service_type]))
+    ev = ev.withColumn("k", _k()).withColumn("service_type", _service_type(F.col("k")))
+    return ev.filter(F.col("service_type") == service_type)
 
 
 def _detail_sql(service_type: str) -> str:
