@@ -11,9 +11,11 @@ one task.  Instead
 
 * ``top``  = ``orderBy(...).limit(N)`` → TakeOrderedAndProject: each task keeps
   its own N best, the driver-side merge sees at most N × tasks rows;
-* ``rest`` = groups left-anti-joined with the N top labels — the build side
-  has at most N rows, so broadcasting it is bounded by N, never by the data;
-* the rest is summed by a partial + final aggregate.
+* Others = (sum over all groups) − (sum over the top N) for exact types
+  (decimal, integral): two one-row aggregates.  For floating values, where
+  subtraction is not exact, the groups are left-anti-joined with the N top
+  labels (a build side of at most N rows, so broadcasting it is bounded by N,
+  never by the data) and summed.
 
 The input is an aggregate (one row per label), so its size is the number of
 distinct labels; the output has at most N + 1 rows.
@@ -25,6 +27,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 SENTINEL_RANK = 999999
 
@@ -55,16 +58,31 @@ def top_n_with_others(
         *labels, value,
     )
 
-    keys = top.select(*[F.col(c).alias(f"__k_{c}") for c in labels])
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in labels])
-    rest = g.join(F.broadcast(keys), cond, "left_anti")
     vtype = groups.schema[value].dataType
-    folded = (rest.agg(F.sum(value).cast(vtype).alias(value),
-                       F.count(F.lit(1)).alias("__n"))
-              .filter(F.col("__n") > 0)
-              .select(F.lit(sentinel).cast("bigint").alias(rank_col),
-                      *[F.lit(others[c]).cast(groups.schema[c].dataType).alias(c)
-                        for c in labels],
-                      value))
+    label_cols = [F.lit(others[c]).cast(groups.schema[c].dataType).alias(c) for c in labels]
+    if isinstance(vtype, (DecimalType, IntegralType)):
+        # exact arithmetic: Others = all groups − the top N (two one-row
+        # aggregates; no second pass over the groups)
+        wide = (DecimalType(min(vtype.precision, 37), vtype.scale)
+                if isinstance(vtype, DecimalType) else vtype)
+        v = F.col(value).cast(wide)
+        tot = g.agg(F.sum(v).alias("__s"), F.count(v).alias("__c"), F.count(F.lit(1)).alias("__n"))
+        tt = top.agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"),
+                     F.count(F.lit(1)).alias("__tn"))
+        rest_sum = F.when(F.col("__c") > F.col("__tc"),
+                          F.coalesce(F.col("__s").cast(wide), F.lit(0).cast(wide))
+                          - F.coalesce(F.col("__ts").cast(wide), F.lit(0).cast(wide)))
+        folded = (tot.crossJoin(tt).filter(F.col("__n") > F.col("__tn"))
+                  .select(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols,
+                          rest_sum.cast(vtype).alias(value)))
+    else:
+        # floating values: sum the remaining groups themselves
+        keys = top.select(*[F.col(c).alias(f"__k_{c}") for c in labels])
+        cond = reduce(lambda a, b: a & b,
+                      [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in labels])
+        rest = g.join(F.broadcast(keys), cond, "left_anti")
+        folded = (rest.agg(F.sum(value).cast(vtype).alias(value),
+                           F.count(F.lit(1)).alias("__n"))
+                  .filter(F.col("__n") > 0)
+                  .select(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols, value))
     return ranked.unionByName(folded)

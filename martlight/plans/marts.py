@@ -132,7 +132,7 @@ class Marts:
     """The model DAG, lazily: each attribute is a DataFrame plan."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.src = Sources(spark, sf_dir)
+        self.src = Sources.for_dir(spark, sf_dir)
 
     @property
     def stg_customers(self):

@@ -405,16 +405,29 @@ from {_EVENTS_K_SQL})"""
 
 
 class Bound:
-    """All logical tables of one testdata directory (lazy DataFrames)."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.src = Sources(spark, sf_dir)
+    """All logical tables of one testdata directory (lazy DataFrames, each
+    built once per session and directory)."""
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        src = Sources.for_dir(spark, sf_dir)
+        key = id(src)
+        if key not in _BOUND:
+            obj = super().__new__(cls)
+            obj.src = src
+            obj._built = {}
+            _BOUND[key] = obj
+        return _BOUND[key]
 
     def __getattr__(self, name):
         fn = _TABLES.get(name)
-        if fn is None:
+        if fn is None or name.startswith("_"):
             raise AttributeError(name)
-        return fn(self.src)
+        if name not in self._built:
+            self._built[name] = fn(self.src)
+        return self._built[name]
+
+
+_BOUND: dict = {}
 
 
 _TABLES = {

@@ -57,3 +57,18 @@ def test_global_row_number_matches_window(spark, buckets):
 def test_global_row_number_empty(spark):
     df = spark.createDataFrame([], "a int")
     assert global_row_number(df, ["a"]).count() == 0
+
+
+def test_others_exact_at_full_scale(spark):
+    vals = ["0.000000001", "123456789.123456789", "0.000000003", "5.555555555", "-0.000000002"]
+    g = _groups(spark, [(f"g{i}", v) for i, v in enumerate(vals)])
+    out = top_n_with_others(g, ["lbl"], "cr", 2, {"lbl": "Others"}).collect()
+    other = [r for r in out if r["sort_rn"] == SENTINEL_RANK][0]
+    assert other["cr"] == Decimal("0.000000002")
+    assert sum(r["cr"] for r in out) == sum(Decimal(v) for v in vals)
+
+
+def test_others_floating_values(spark):
+    g = spark.createDataFrame([("a", 1.5), ("b", 0.25), ("c", 0.125)], "lbl string, cr double")
+    out = top_n_with_others(g, ["lbl"], "cr", 1, {"lbl": "Others"}).collect()
+    assert sorted((r["sort_rn"], r["lbl"], r["cr"]) for r in out) == [(1, "a", 1.5), (SENTINEL_RANK, "Others", 0.375)]
