@@ -59,6 +59,19 @@ def _dq_summary(spark, sf_dir):
     return summarize(mart_checks.run_mart_checks(spark, sf_dir))
 
 
+def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Expose the logical tables and marts of ``sf_dir`` as temporary views
+    (lazy named queries) for SQL users."""
+    from martlight.sources.bindings import Bound, _TABLES
+    b, m = Bound(spark, sf_dir), Marts(spark, sf_dir)
+    views = {name: getattr(b, name) for name in _TABLES}
+    views.update({n: getattr(m, n) for n in ("stg_customers", "stg_orders", "stg_lineitem",
+                                             "fct_orders", "dim_customers")})
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def queries() -> dict[str, QueryFn]:
     _load_all()
     return dict(_QUERIES)
