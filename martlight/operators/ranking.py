@@ -41,8 +41,16 @@ def _asc_key(df: DataFrame, name: str, desc: bool) -> Column:
 
 def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
                       name: str = "rn", buckets: int | None = None,
-                      oversample: int = 20, seed: int = 17) -> DataFrame:
+                      oversample: int = 20, seed: int = 17,
+                      checkpoint: bool = False) -> DataFrame:
+    """``checkpoint=True`` computes ``df`` once into ``spark.checkpoint.dir``
+    (reliable storage) before the count, the key sample and the numbering
+    read it; use it when ``df`` is expensive to recompute."""
     spark = df.sparkSession
+    if checkpoint:
+        from martlight.session import shared_dir
+        shared_dir(spark)                      # make sure a checkpoint folder is set
+        df = df.checkpoint(eager=True)
     descending = descending or [False] * len(keys)
     nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns

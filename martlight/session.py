@@ -50,13 +50,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     name storage every executor can reach.  Only when it is unset (local tests)
     a fresh temporary folder is created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="martlight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)             # DataFrame.checkpoint() writes here
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
