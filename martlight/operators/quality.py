@@ -10,9 +10,10 @@ Each test has two forms:
 ``run_checks`` shares work: all ``not_null`` checks of one model are one
 aggregate pass over that model (``count_if(c IS NULL)`` per column), not one
 scan per column.  ``unique`` is a group-by with map-side combine, so a hot key
-costs one row per task before the shuffle.  ``relationships`` is a left-anti
-join; Spark plans it as a broadcast anti join only when AQE measures the
-parent side below the broadcast threshold, otherwise as a sort-merge anti join.
+costs one row per task before the shuffle.  ``relationships`` counts child
+rows per distinct foreign key first, then left-anti-joins those keys with the
+parent keys; Spark plans a broadcast anti join only when AQE measures the
+parent side below the broadcast threshold, otherwise a sort-merge anti join.
 """
 
 from __future__ import annotations
@@ -48,6 +49,17 @@ def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str)
             .join(p, F.col(fk) == F.col("__pk"), "left_anti"))
 
 
+def _relationship_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """Number of child rows without a parent, counted per distinct foreign
+    key first: the anti join shuffles one row per key value (a key holding a
+    third of the child rows is one partial count per task), not every row."""
+    per_key = (child.filter(F.col(fk).isNotNull())
+               .groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("__n")))
+    p = parent.select(F.col(pk).alias("__pk")).filter(F.col("__pk").isNotNull())
+    orphans = per_key.join(p, F.col("__fk") == F.col("__pk"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 # --- checks ------------------------------------------------------------------
 @dataclass(frozen=True)
 class Check:
@@ -97,8 +109,10 @@ def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         if ch.kind == "unique":
             fails = unique_failures(models[ch.model], ch.column)
         elif ch.kind == "relationships":
-            fails = relationship_failures(models[ch.model], ch.column,
-                                          models[ch.to_model], ch.to_column)
+            parts.append(_relationship_count(models[ch.model], ch.column,
+                                             models[ch.to_model], ch.to_column)
+                         .select(*_result(ch, None), "failures"))
+            continue
         elif ch.kind == "not_null":
             continue
         else:

@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
+from martlight.operators.frames import one_row
+
 SENTINEL_RANK = 999999
 
 
@@ -72,7 +74,7 @@ def top_n_with_others(
         rest_sum = F.when(F.col("__c") > F.col("__tc"),
                           F.coalesce(F.col("__s").cast(wide), F.lit(0).cast(wide))
                           - F.coalesce(F.col("__ts").cast(wide), F.lit(0).cast(wide)))
-        folded = (tot.crossJoin(tt).filter(F.col("__n") > F.col("__tn"))
+        folded = (one_row(tot, tt).filter(F.col("__n") > F.col("__tn"))
                   .select(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols,
                           rest_sum.cast(vtype).alias(value)))
     else:

@@ -4,7 +4,7 @@ assembled body.
 Every section is bounded before it is rendered (top-N + Others, a handful
 of service types, seven trend days), so each ordered ``listagg`` gathers at
 most a few dozen short strings into one value.  The body is a concat over
-one-row frames joined together; nothing passes through the driver except the
+one-row frames combined side by side (``operators.frames.one_row``); nothing passes through the driver except the
 three window dates and the settings, which are already scalars.
 
 Labels are HTML-escaped (``& < >``).
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlight.functions import formatting as fmt
+from martlight.operators.frames import one_row
 from martlight.operators.topn import SENTINEL_RANK
 from martlight.plans.usage import UsageReport
 
@@ -110,13 +111,12 @@ def report_html(r: UsageReport) -> DataFrame:
     """One row: (subject, body)."""
     w = r.window
     secs = section_rows(r)
-    one = r.billed().crossJoin(
+    one = one_row(
+        r.billed(),
         r.detail().select(F.col("credits").alias("d_credits"), F.col("usd").alias("d_usd"),
-                          "requests"))
-    one = one.crossJoin(r.currency()).crossJoin(r.new_types())
-    for name, df in secs.items():
-        one = one.crossJoin(df.select(F.col("rows_html").alias(f"h_{name}")))
-    one = one.crossJoin(report_subject(r))
+                          "requests"),
+        r.currency(), r.new_types(), report_subject(r),
+        *[df.select(F.col("rows_html").alias(f"h_{name}")) for name, df in secs.items()])
     day_text = _or_dash(fmt.fmt_day(F.lit(w.report_day)))
     settled = F.concat(F.lit('<span class="badge">settled &middot; '), day_text, F.lit("</span>"))
     detail_badge = F.concat(F.lit('<span class="badge">detail &middot; '),

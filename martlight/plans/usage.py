@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.functions.service import ServiceFamily, ServiceLabels
+from martlight.operators.frames import one_row
 from martlight.operators.settings import ReportSettings
 from martlight.operators.topn import top_n_with_others
 
@@ -322,13 +323,13 @@ def mtd_by_service(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
 def reconcile(sections: dict[str, DataFrame], billed: DataFrame, detail: DataFrame) -> DataFrame:
     """(section, listed_sum, total, diff): billed sections foot to the billed
     month-to-date, drill-downs to the detail month-to-date."""
-    totals = billed.select(F.col("mtd_credits").alias("billed")).crossJoin(
-        detail.select(F.col("credits").alias("detail")))
+    totals = [billed.select(F.col("mtd_credits").alias("billed")),
+              detail.select(F.col("credits").alias("detail"))]
     parts = []
     for name, df in sections.items():
         basis = "billed" if name in ("usage_by_type", "usage_by_type_subtype") else "detail"
         s = df.agg(F.coalesce(F.sum("credits"), F.lit(0).cast(CREDITS)).cast(CREDITS).alias("listed_sum"))
-        parts.append(s.crossJoin(totals).select(
+        parts.append(one_row(s, *totals).select(
             F.lit(name).alias("section"), "listed_sum",
             F.col(basis).cast(CREDITS).alias("total"),
             (F.col("listed_sum") - F.col(basis)).cast(CREDITS).alias("diff")))

@@ -53,6 +53,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="martlight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():
