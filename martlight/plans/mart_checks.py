@@ -56,3 +56,14 @@ def run_mart_checks(spark: SparkSession, sf_dir: str, kinds=None,
                     models: dict[str, DataFrame] | None = None) -> DataFrame:
     checks = [c for c in DECLARED + EXTRA if kinds is None or c.kind in kinds]
     return run_checks(models or mart_models(spark, sf_dir), checks)
+
+
+def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
+    """``build``: write the table models in dependency order, then run the
+    declared tests (and the extra ones) against the written tables and the
+    lazy staging views.  Returns the check results (failing-row counts)."""
+    from martlight.plans.marts import build_marts
+    built = build_marts(spark, sf_dir, out_dir)
+    models = mart_models(spark, sf_dir)
+    models.update(built)
+    return run_mart_checks(spark, sf_dir, models=models)

@@ -177,3 +177,19 @@ def report_html(r: UsageReport) -> DataFrame:
         F.lit(f"<p class=\"footer\">$ at ${fmt.py_fixed(r.price, 2)}/credit &middot; dates UTC.</p>"),
         F.lit("</body></html>"))
     return one.select("subject", body.alias("body"))
+
+
+def build_report(r: UsageReport) -> dict[str, DataFrame]:
+    """Every part of one report as a DataFrame, plus the rendered row."""
+    return {
+        "window": r.spark.createDataFrame(
+            [(r.window.report_day, r.window.m_start, r.window.wk_start)],
+            "report_day date, m_start date, wk_start date"),
+        "billed_totals": r.billed(), "detail_totals": r.detail(),
+        "detail_currency": r.currency(), "new_service_types": r.new_types(),
+        "budget_status": r.budget(), "usage_by_type": r.by_type(),
+        "usage_by_type_subtype": r.by_type_subtype(), "daily_trend": r.trend(),
+        "usage_by_function": r.by_function(), "usage_by_model": r.by_model(),
+        "usage_by_user": r.by_user(), "reconcile_totals": r.reconcile(),
+        "report": report_html(r),
+    }

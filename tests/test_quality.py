@@ -24,3 +24,17 @@ def test_run_checks_counts(spark):
                    ("unique", "k,fk", "c"): 0}
     s = summarize(res).first()
     assert (s["checks"], s["passed"], s["failed"], s["failing_rows"]) == (6, 2, 4, 4)
+
+
+def test_build_then_test_on_written_marts(spark):
+    import tempfile
+    from martlight.plans.mart_checks import build_and_test
+    from tests.conftest import SF_SMALL
+    res = {r["check_name"]: r["failures"] for r in
+           build_and_test(spark, SF_SMALL, tempfile.mkdtemp(prefix="martlight-build-")).collect()}
+    assert len(res) == 19
+    declared_fail = [k for k, v in res.items() if v and not (
+        k.startswith("unique_stg_lineitem") or k.startswith("not_null_stg_customers_phone")
+        or k.startswith("relationships_stg_orders_order_key"))]
+    assert declared_fail == []
+    assert res["not_null_stg_customers_phone"] == 150

@@ -148,3 +148,10 @@ def test_report_html_escapes_and_lists(spark, report_inputs):
     assert "[WARN]" in body and "95.0%" in body
     assert body.count('class="others"') == 3        # function, model and user drill-downs
     assert "(1 day behind)" in body
+
+
+def test_build_report_parts(spark, report_inputs):
+    parts = report.build_report(_report(spark, report_inputs))
+    assert parts["window"].first()["report_day"] == dt.date(2026, 6, 6)
+    assert parts["report"].count() == 1
+    assert {"usage_by_user", "reconcile_totals", "budget_status"} <= set(parts)
