@@ -354,13 +354,24 @@ class UsageReport:
     """
 
     def __init__(self, spark: SparkSession, inputs: UsageInputs,
-                 settings: ReportSettings, persist: bool = False):
+                 settings: ReportSettings, persist: bool = False,
+                 rollup: DataFrame | None = None):
+        """``rollup``: an already maintained (day, service_type, name,
+        credits) table — e.g. the streaming rollup's sink — used instead of
+        aggregating raw ledger rows; only the window's days are read."""
         self.spark = spark
         self.inp = inputs
         self.s = settings
         self.window = reporting_window(inputs.ledger_days, inputs.as_of)
         self.raw = unify_raw(inputs.logs)
-        self.cube = ledger_cube(inputs.ledger, settings.family, self.window)
+        if rollup is not None:
+            w = self.window
+            self.cube = (rollup.filter(_in("day", w.lo, w.report_day)
+                                       & settings.family.contains("service_type"))
+                         .groupBy("day", "service_type", "name")
+                         .agg(F.sum("credits").cast(CREDITS).alias("credits")))
+        else:
+            self.cube = ledger_cube(inputs.ledger, settings.family, self.window)
         self.dcube = detail_cube(self.raw, inputs.users, self.window)
         if persist:
             self.cube = self.cube.persist()

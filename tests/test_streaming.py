@@ -34,3 +34,17 @@ def test_streamed_cube_equals_batch_for_settled_days(spark):
     assert max(days) < mx
     part = read_cube(spark, out, min(days), min(days))
     assert part.select("day").distinct().count() == 1
+
+
+def test_report_from_rollup_equals_report_from_ledger(spark):
+    from martlight.operators.settings import ReportSettings
+    from martlight.plans.usage_queries import demo_inputs
+    from martlight.plans.usage import UsageReport
+    inp = demo_inputs(spark, SF_SMALL)
+    s = ReportSettings.defaults()
+    cube = ledger_rollup(inp.ledger, DEMO_FAMILY)          # batch form of the rollup
+    a = UsageReport(spark, inp, s)
+    b = UsageReport(spark, inp, s, rollup=cube)
+    for part in ("billed", "by_type", "by_type_subtype", "trend", "new_types"):
+        x, y = getattr(a, part)(), getattr(b, part)()
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
