@@ -135,9 +135,14 @@ def _day_range(ts: str, lo: dt.date | None, hi: dt.date | None) -> Column:
     return (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))
 
 
-def detail_currency(raw: DataFrame, w: ReportWindow) -> DataFrame:
+def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None = None) -> DataFrame:
     """How far the detail logs have settled: latest detail day ≤ report day
-    (report day if none), the lag in days and its badge text."""
+    (report day if none), the lag in days and its badge text.
+
+    ``lookback_days`` restricts the search to the last days before the report
+    day (a pushed time range).  It gives the same answer whenever any detail
+    row falls in that range, because the range ends at the report day; see
+    :func:`settled_detail_currency` for the exact two-step use."""
     if w.report_day is None:
         rd = F.lit(None).cast("date")
         cond = F.lit(False)
@@ -145,6 +150,9 @@ def detail_currency(raw: DataFrame, w: ReportWindow) -> DataFrame:
         rd = F.lit(w.report_day)
         cond = F.col("usage_time") < F.lit(dt.datetime.combine(
             w.report_day + dt.timedelta(days=1), dt.time()))
+        if lookback_days is not None:
+            cond = cond & (F.col("usage_time") >= F.lit(dt.datetime.combine(
+                w.report_day - dt.timedelta(days=lookback_days), dt.time())))
     d = raw.filter(cond).agg(F.max(F.to_date("usage_time")).alias("mx"))
     lag = F.datediff(rd, F.col("detail_max_day")).cast("bigint")
     return (d.select(F.coalesce("mx", rd).alias("detail_max_day"))
@@ -157,6 +165,18 @@ def detail_currency(raw: DataFrame, w: ReportWindow) -> DataFrame:
                     .otherwise(F.lit("")).alias("lag_text")))
 
 
+def settled_detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int = 62) -> DataFrame:
+    """Exact detail currency that normally reads only recent rows: search the
+    last ``lookback_days`` first (one small job); only if no detail row falls
+    there, search the whole history."""
+    recent = detail_currency(raw, w, lookback_days)
+    if w.report_day is None:
+        return recent
+    found = (raw.filter(_day_range("usage_time", w.report_day - dt.timedelta(days=lookback_days),
+                                   w.report_day)).limit(1).count() > 0)
+    return recent if found else detail_currency(raw, w)
+
+
 # --- ledger cube and billed sections -------------------------------------------
 def ledger_cube(ledger: DataFrame, family: ServiceFamily, w: ReportWindow) -> DataFrame:
     """(day, service_type, name) → credits over [min(month start, week start),
@@ -392,7 +412,9 @@ class UsageReport:
         return detail_totals(self.raw, self.window, self.price)
 
     def currency(self):
-        return detail_currency(self.raw, self.window)
+        if not hasattr(self, "_currency"):
+            self._currency = settled_detail_currency(self.raw, self.window)
+        return self._currency
 
     def new_types(self):
         return new_service_types(self.cube, self.window,

@@ -70,9 +70,7 @@ def _window(spark, sf_dir):
 
 @register("detail_lag", Q.DETAIL_LAG)
 def _lag(spark, sf_dir):
-    b = B.Bound(spark, sf_dir)
-    w = U.reporting_window(b.ledger_days, B.AS_OF)
-    return U.detail_currency(U.unify_raw(demo_logs(b)), w)
+    return demo_report(spark, sf_dir).currency()
 
 
 @register("ledger_cube", Q.LEDGER_CUBE)

@@ -155,3 +155,13 @@ def test_build_report_parts(spark, report_inputs):
     assert parts["window"].first()["report_day"] == dt.date(2026, 6, 6)
     assert parts["report"].count() == 1
     assert {"usage_by_user", "reconcile_totals", "budget_status"} <= set(parts)
+
+
+def test_detail_currency_falls_back_to_full_history(spark):
+    raw = spark.createDataFrame([(T(2026, 1, 3, 12),), (T(2026, 6, 7, 1),)], "usage_time timestamp_ntz")
+    w = U.ReportWindow(dt.date(2026, 6, 6), dt.date(2026, 6, 1), dt.date(2026, 5, 31))
+    c = U.settled_detail_currency(raw, w, lookback_days=30).first()
+    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 1, 3), 154)
+    recent = spark.createDataFrame([(T(2026, 6, 2),), (T(2026, 1, 3),)], "usage_time timestamp_ntz")
+    c = U.settled_detail_currency(recent, w, lookback_days=30).first()
+    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 6, 2), 4)
