@@ -31,3 +31,20 @@ def months_between_starts(a, b) -> Column:
 def add_months_date(d, n) -> Column:
     """``d`` plus ``n`` months, as a DATE."""
     return F.add_months(_c(d).cast("date"), n)
+
+
+def ts_lit(value) -> Column:
+    """A wall-clock timestamp literal (``TIMESTAMP_NTZ``) built from ISO text.
+
+    ``F.lit(datetime)`` would interpret a naive datetime in the *driver
+    process's* local zone; this form does not depend on where the driver runs.
+    Compared with a zoned timestamp column it is read in the session zone (UTC).
+    """
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")

@@ -28,6 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlight.functions.dates import ts_lit
 from martlight.functions.service import ServiceFamily, ServiceLabels
 from martlight.operators.frames import one_row
 from martlight.operators.settings import ReportSettings
@@ -132,7 +133,7 @@ def _day_range(ts: str, lo: dt.date | None, hi: dt.date | None) -> Column:
         return F.lit(False)
     start = dt.datetime.combine(lo, dt.time())
     end = dt.datetime.combine(hi + dt.timedelta(days=1), dt.time())
-    return (F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end))
+    return (F.col(ts) >= ts_lit(start)) & (F.col(ts) < ts_lit(end))
 
 
 def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None = None) -> DataFrame:
@@ -148,10 +149,10 @@ def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None =
         cond = F.lit(False)
     else:
         rd = F.lit(w.report_day)
-        cond = F.col("usage_time") < F.lit(dt.datetime.combine(
+        cond = F.col("usage_time") < ts_lit(dt.datetime.combine(
             w.report_day + dt.timedelta(days=1), dt.time()))
         if lookback_days is not None:
-            cond = cond & (F.col("usage_time") >= F.lit(dt.datetime.combine(
+            cond = cond & (F.col("usage_time") >= ts_lit(dt.datetime.combine(
                 w.report_day - dt.timedelta(days=lookback_days), dt.time())))
     d = raw.filter(cond).agg(F.max(F.to_date("usage_time")).alias("mx"))
     lag = F.datediff(rd, F.col("detail_max_day")).cast("bigint")
@@ -333,7 +334,7 @@ def usage_profile(raw: DataFrame) -> DataFrame:
 def mtd_by_service(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
     """From the first of ``as_of``'s month on (no upper bound)."""
     start = dt.datetime(as_of.year, as_of.month, 1)
-    return (raw.filter(F.col("usage_time") >= F.lit(start))
+    return (raw.filter(F.col("usage_time") >= ts_lit(start))
             .groupBy("service")
             .agg(F.round(F.sum("credits"), 4).cast("decimal(38,4)").alias("credits"),
                  F.countDistinct("usage_id").alias("queries")))

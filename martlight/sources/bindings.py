@@ -21,6 +21,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlight.functions.dates import ts_lit
 from martlight.sources.tables import Sources
 
 # --- Fixed values --------------------------------------------------------------
@@ -117,7 +118,7 @@ _EVENT_OF = {"AI_FUNCTIONS": "click", "ASSIST_AGENTS": "view", "ASSIST_CODE_CLI"
 
 
 def _detail(src: Sources, service_type: str) -> DataFrame:
-    ev = src.events.filter((F.col("ts") < F.lit(DETAIL_CUTOFF))
+    ev = src.events.filter((F.col("ts") < ts_lit(DETAIL_CUTOFF))
                            & (F.col("event_type") == _EVENT_OF[service_type]))
     ev = ev.withColumn("k", _k()).withColumn("service_type", _service_type(F.col("k")))
     return ev.filter(F.col("service_type") == service_type)
