@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlight.catalog import register
@@ -180,3 +180,20 @@ def _mtd(spark, sf_dir):
 @register("reconcile_totals", Q.RECONCILE_TOTALS)
 def _reconcile(spark, sf_dir):
     return demo_report(spark, sf_dir).reconcile()
+
+
+@register("format_numbers", Q.FORMAT_NUMBERS)
+def _formats(spark, sf_dir):
+    """Month-to-date credits per service type in every report number format."""
+    from martlight.functions import formatting as fmt
+    r = demo_report(spark, sf_dir)
+    g = (r.cube.filter(U._in("day", r.window.m_start, r.window.report_day))
+         .groupBy("service_type").agg(F.sum("credits").cast(U.CREDITS).alias("credits")))
+    share = (F.col("credits").cast("double") * F.lit(100.0)
+             / F.sum(F.col("credits").cast("double")).over(Window.partitionBy()))
+    # the window runs over one row per service type (bounded by the family)
+    return g.select("service_type", "credits",
+                    fmt.fmt_credits("credits").alias("credits_4dp"),
+                    fmt.fmt_credits2("credits").alias("credits_2dp"),
+                    fmt.fmt_usd(U._usd("credits", r.price)).alias("usd_text"),
+                    fmt.fmt_plain(share, 1).alias("share_pct_text"))
