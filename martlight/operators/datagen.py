@@ -117,3 +117,10 @@ def monthly_revenue(customers: DataFrame, start: dt.date, months: int) -> DataFr
     ided = global_row_number(g, ["month", "customer_id"], name="revenue_id")
     return ided.select("revenue_id", "customer_id", "month", "mrr_usd", "product_line",
                        "license_count", "expansion_usd", "churn_flag")
+
+
+def append_monthly_revenue(customers: DataFrame, start: dt.date, months: int, path: str) -> None:
+    """INSERT INTO monthly_revenue SELECT …: generate and append rows to the
+    table at ``path``, conformed to its declared schema."""
+    from martlight.sources import schemas, sinks
+    sinks.append(monthly_revenue(customers, start, months), path, schemas.MONTHLY_REVENUE)

@@ -49,3 +49,14 @@ def test_generator_invariants(spark):
     # same output under a different layout
     again = datagen.monthly_revenue(c.repartition(7), dt.date(2025, 1, 1), 18)
     assert again.exceptAll(g).count() == 0
+
+
+def test_append_generated_rows(spark):
+    import os
+    import tempfile
+    from martlight.sources import schemas, sinks
+    path = os.path.join(tempfile.mkdtemp(prefix="martlight-gen-"), "mr")
+    sinks.create_table(spark, schemas.MONTHLY_REVENUE, path)
+    datagen.append_monthly_revenue(_customers(spark), dt.date(2025, 1, 1), 3, path)
+    t = spark.read.parquet(path)
+    assert t.schema == schemas.MONTHLY_REVENUE and t.count() > 0
