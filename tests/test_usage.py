@@ -165,3 +165,20 @@ def test_detail_currency_falls_back_to_full_history(spark):
     recent = spark.createDataFrame([(T(2026, 6, 2),), (T(2026, 1, 3),)], "usage_time timestamp_ntz")
     c = U.settled_detail_currency(recent, w, lookback_days=30).first()
     assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 6, 2), 4)
+
+
+def test_empty_detail_logs(spark, report_inputs):
+    logs = [U.UsageLog(lg.df.limit(0), lg.service, lg.time, lg.credits, lg.usage_id,
+                       lg.function_name, lg.model_name, lg.agent_name, lg.user_name)
+            for lg in report_inputs.logs]
+    inp = U.UsageInputs(report_inputs.ledger, report_inputs.ledger_days, logs,
+                        report_inputs.users, AS_OF)
+    r = _report(spark, inp)
+    d = r.detail().first()
+    assert (d["credits"], d["requests"]) == (0, 0)
+    c = r.currency().first()
+    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 6, 6), 0)
+    assert r.by_user().count() == 0
+    body = report.report_html(r).first()["body"]
+    assert body.count("No activity.") == 3          # function, model and user sections
+    assert "<td>AI Functions</td>" in body           # billed sections still render
