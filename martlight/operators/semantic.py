@@ -165,7 +165,9 @@ class SemanticModel:
 
     # -- predicates ---------------------------------------------------------
     def _refs(self, predicate: str) -> list[Field]:
-        words = set(w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", predicate))
+        """Declared fields a predicate mentions (quoted literals ignored)."""
+        bare = re.sub(r"'(?:[^']|'')*'", "''", predicate)
+        words = set(w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", bare))
         return [f for k, f in self.fields.items() if k in words]
 
     # -- query --------------------------------------------------------------
@@ -234,7 +236,6 @@ class SemanticModel:
         joined = pre
         joined_ents = {entity}
         for anc, p in sorted(paths.items(), key=lambda kv: len(kv[1])):
-            cur_key = None
             for r in p:
                 if r.parent in joined_ents:
                     continue

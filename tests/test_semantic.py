@@ -95,3 +95,8 @@ def test_describe(spark, model):
     d = model.describe(spark)
     kinds = {r["kind"]: r["n"] for r in d.groupBy("kind").count().withColumnRenamed("count", "n").collect()}
     assert kinds == {"entity": 4, "relationship": 3, "fact": 8, "dimension": 26, "metric": 11}
+
+
+def test_literal_spelling_a_field_is_not_a_reference(model):
+    r = model.query(["total_deals"], ["deal_stage"], where="deal_stage <> 'customer_region'").collect()
+    assert sum(x["total_deals"] for x in r) == 4
