@@ -367,6 +367,18 @@ class UsageInputs:
     as_of: dt.datetime
 
 
+def _memo(fn):
+    """Build a report part once per report (the plan, not its result)."""
+    def wrapper(self):
+        parts = self.__dict__.setdefault("_parts", {})
+        if fn.__name__ not in parts:
+            parts[fn.__name__] = fn(self)
+        return parts[fn.__name__]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class UsageReport:
     """All sections of one report, sharing the window and the two cubes.
 
@@ -406,9 +418,11 @@ class UsageReport:
     def price(self):
         return self.s.credit_price
 
+    @_memo
     def billed(self):
         return billed_totals(self.cube, self.window, self.price)
 
+    @_memo
     def detail(self):
         return detail_totals(self.raw, self.window, self.price)
 
@@ -417,32 +431,41 @@ class UsageReport:
             self._currency = settled_detail_currency(self.raw, self.window)
         return self._currency
 
+    @_memo
     def new_types(self):
         return new_service_types(self.cube, self.window,
                                  known_types_frame(self.spark, self.s.known_types))
 
+    @_memo
     def budget(self):
         return budget_status(self.billed(), self.s.budget, self.s.warn_pct)
 
+    @_memo
     def by_type(self):
         return usage_by_type(self.cube, self.window, self.s.labels, self.price)
 
+    @_memo
     def by_type_subtype(self):
         return usage_by_type_subtype(self.cube, self.window, self.s.labels,
                                      self.s.subtype_top_n, self.price)
 
+    @_memo
     def trend(self):
         return daily_trend(self.cube, self.window, self.price)
 
+    @_memo
     def by_function(self):
         return usage_by_function(self.dcube, self.s.top_n, self.price)
 
+    @_memo
     def by_model(self):
         return usage_by_model(self.dcube, self.s.top_n, self.price)
 
+    @_memo
     def by_user(self):
         return usage_by_user(self.dcube, self.s.top_n, self.price)
 
+    @_memo
     def reconcile(self):
         return reconcile({"usage_by_type": self.by_type(),
                           "usage_by_type_subtype": self.by_type_subtype(),
