@@ -18,7 +18,7 @@ def _sections(spark, sf_dir):
     return report.report_sections(demo_report(spark, sf_dir))
 
 
-@register("report_html")
+@register("report_html", Q.REPORT_HTML)
 def _html(spark, sf_dir):
-    """The assembled report, one row (subject, body); checked by fixtures."""
+    """The assembled report, one row (subject, body)."""
     return report.report_html(demo_report(spark, sf_dir))
