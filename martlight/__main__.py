@@ -34,7 +34,8 @@ def main(argv=None) -> int:
     from pyspark.sql import SparkSession
 
     from martlight.session import configure
-    spark = configure(SparkSession.builder.appName("martlight").getOrCreate())
+    spark = configure(SparkSession.builder.appName("martlight")
+                      .config("spark.ui.enabled", "false").getOrCreate())
     if a.cmd == "build":
         from martlight.plans.mart_checks import build_and_test
         res = build_and_test(spark, a.sf_dir, a.out)
