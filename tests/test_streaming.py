@@ -47,3 +47,37 @@ def test_report_from_rollup_equals_report_from_ledger(spark):
     for part in ("billed", "by_type", "by_type_subtype", "trend", "new_types"):
         x, y = getattr(a, part)(), getattr(b, part)()
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
+
+
+def test_late_rows_within_delay_count_and_after_settlement_are_dropped(spark):
+    import datetime as dt
+    from decimal import Decimal
+    base = tempfile.mkdtemp(prefix="martlight-late-")
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "cube", "ckpt"))
+    schema = "service_type string, name string, start_time timestamp_ntz, credits_used decimal(28,9)"
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        ledger_schema = spark.read.parquet(src).schema
+        q = start_rollup(spark, src, ledger_schema, out, DEMO_FAMILY, delay="1 day", checkpoint=ckpt)
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    T = dt.datetime
+    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 10), Decimal(1)),
+          ("AI_FUNCTIONS", "a", T(2026, 6, 2, 10), Decimal(2))])
+    run()
+    # late for 06-01 but within the 1-day delay (watermark is 06-01 10:00)
+    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 23), Decimal(10)),
+          ("AI_FUNCTIONS", "a", T(2026, 6, 5, 10), Decimal(5))])
+    run()
+    # 06-01 is now settled (watermark 06-04 10:00); a further 06-01 row is too late
+    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 12), Decimal(100)),
+          ("AI_FUNCTIONS", "a", T(2026, 6, 9, 10), Decimal(9))])
+    run()
+    got = {r["day"]: r["credits"] for r in spark.read.parquet(out).collect()}
+    assert got[dt.date(2026, 6, 1)] == Decimal(11)       # 1 + late 10, not the 100
+    assert got[dt.date(2026, 6, 2)] == Decimal(2)
+    assert dt.date(2026, 6, 9) not in got                # still open
