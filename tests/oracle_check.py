@@ -25,9 +25,9 @@ def norm(v):
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, decimal.Decimal):
-        return format(v.normalize(), "f") if v == v else "nan"
+        return str(v)                      # scale included: decimal(38,9) ≠ decimal(38,2)
     if isinstance(v, float):
-        return repr(round(v, 6))
+        return repr(v)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
@@ -35,6 +35,20 @@ def norm(v):
     return str(v)
 
 
+_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR",
+         "DateType": "DATE", "BooleanType": "BOOLEAN", "DoubleType": "DOUBLE",
+         "TimestampNTZType": "TIMESTAMP"}
+
+
+def _types(schema) -> dict:
+    out = {}
+    for f in schema.fields:
+        t = type(f.dataType).__name__
+        out[f.name.lower()] = (f"DECIMAL({f.dataType.precision},{f.dataType.scale})"
+                               if t == "DecimalType" else _DUCK.get(t, t))
+    return out
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i].lower())
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -77,7 +91,11 @@ def main(argv):
             hs, ls = digest(scols, srows)
             ho, lo = digest(ocols, orows)
             same_cols = sorted(c.lower() for c in scols) == sorted(c.lower() for c in ocols)
-            ok = same_cols and hs == ho
+            same_types = _types(df.schema) == {d[0].lower(): str(d[1]) for d in cur.description}
+            if not same_types:
+                print(f"TYPE-MISMATCH {k}: {_types(df.schema)} vs "
+                      f"{ {d[0].lower(): str(d[1]) for d in cur.description} }")
+            ok = same_cols and same_types and hs == ho
             if not ok:
                 bad += 1
                 print(f"MISMATCH {k}: spark={len(srows)} oracle={len(orows)} cols_ok={same_cols}")

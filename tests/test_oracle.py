@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_check import digest, duck
+from tests.oracle_check import _types, digest, duck
 from tests.conftest import SF_SMALL
 
 KEYS = sorted(E.queries())
@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(c.lower() for c in df.columns) == sorted(c.lower() for c in ocols)
+    assert _types(df.schema) == {d[0].lower(): str(d[1]) for d in cur.description}
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
 
