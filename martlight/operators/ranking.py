@@ -39,6 +39,16 @@ def _asc_key(df: DataFrame, name: str, desc: bool) -> Column:
     raise TypeError(f"descending key {name!r} of type {t} is not supported")
 
 
+def _literal(v, dtype) -> Column:
+    """A sampled key value back as a literal of its own type (wall-clock
+    timestamps via text, so the driver's zone plays no part)."""
+    if v is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, TimestampNTZType):
+        return F.lit(v.isoformat(sep=" ")).cast(dtype)
+    return F.lit(v).cast(dtype)
+
+
 def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
                       name: str = "rn", buckets: int | None = None,
                       oversample: int = 20, seed: int = 17,
@@ -72,7 +82,7 @@ def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | N
                     splits.append(s)
     key_type = keyed.schema["__key"].dataType
     if splits:
-        arr = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+        arr = F.array(*[F.struct(*[_literal(v, f.dataType).alias(f.name)
                                    for v, f in zip(s, key_type.fields)]) for s in splits])
         bucket = F.size(F.filter(arr, lambda b: b <= F.col("__key")))
     else:

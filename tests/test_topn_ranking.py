@@ -72,3 +72,11 @@ def test_others_floating_values(spark):
     g = spark.createDataFrame([("a", 1.5), ("b", 0.25), ("c", 0.125)], "lbl string, cr double")
     out = top_n_with_others(g, ["lbl"], "cr", 1, {"lbl": "Others"}).collect()
     assert sorted((r["sort_rn"], r["lbl"], r["cr"]) for r in out) == [(1, "a", 1.5), (SENTINEL_RANK, "Others", 0.375)]
+
+
+def test_global_row_number_wall_clock_keys(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, i int").repartition(4)
+    got = {r["i"]: r["rn"] for r in global_row_number(df, ["ts"], name="rn", buckets=6).collect()}
+    assert got == {i: i + 1 for i in range(500)}
