@@ -1 +1,2 @@
-"""oracle."""
+"""DuckDB SQL equivalents of the registered queries, used only by the
+differential tests (``oracle_sql()``); never imported by the Spark plans."""

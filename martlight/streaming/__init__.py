@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: the incremental, watermarked ledger rollup."""
