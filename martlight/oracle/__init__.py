@@ -1,2 +1,3 @@
-"""DuckDB SQL equivalents of the registered queries, used only by the
-differential tests (``oracle_sql()``); never imported by the Spark plans."""
+"""DuckDB SQL equivalents of the registered queries, paired with them in the
+registry (``oracle_sql()``) for differential tests; the plan-building code
+never uses them."""
