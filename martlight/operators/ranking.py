@@ -5,8 +5,9 @@ one task.  Here instead:
 
 1. a seeded sample of the ordering key (about ``oversample`` rows per target
    bucket, so bounded by the bucket count, not the data) gives split points;
-2. each row gets a bucket = number of split points below its key — a pure
-   expression of the row and the split literals, so every recomputation
+2. each row gets a bucket = number of split points at or below its key (a
+   balanced CASE tree over the split literals, log2 comparisons per row) — a
+   pure expression of the row and the literals, so every recomputation
    (a second consumer, a retried task, a lost executor) assigns the same
    bucket;
 3. row number = rows in all earlier buckets (per-bucket counts, prefix-summed
@@ -49,6 +50,16 @@ def _literal(v, dtype) -> Column:
     return F.lit(v).cast(dtype)
 
 
+def _bucket_of(key: Column, splits: list[Column], lo: int, hi: int) -> Column:
+    """Number of split points <= key among splits[lo:hi], as a balanced
+    CASE tree: log2(#splits) comparisons per row instead of one per split."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key < splits[mid], _bucket_of(key, splits, lo, mid)) \
+            .otherwise(_bucket_of(key, splits, mid + 1, hi))
+
+
 def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
                       name: str = "rn", buckets: int | None = None,
                       oversample: int = 20, seed: int = 17,
@@ -81,12 +92,9 @@ def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | N
                 if not splits or splits[-1] != s:
                     splits.append(s)
     key_type = keyed.schema["__key"].dataType
-    if splits:
-        arr = F.array(*[F.struct(*[_literal(v, f.dataType).alias(f.name)
-                                   for v, f in zip(s, key_type.fields)]) for s in splits])
-        bucket = F.size(F.filter(arr, lambda b: b <= F.col("__key")))
-    else:
-        bucket = F.lit(0)
+    lits = [F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(s, key_type.fields)])
+            for s in splits]
+    bucket = _bucket_of(F.col("__key"), lits, 0, len(lits))
     b = keyed.withColumn("__b", bucket.cast("int"))
 
     counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
