@@ -63,8 +63,12 @@ def _bucket_of(key: Column, splits: list[Column], lo: int, hi: int) -> Column:
 def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
                       name: str = "rn", buckets: int | None = None,
                       oversample: int = 20, seed: int = 17,
-                      checkpoint: bool = False) -> DataFrame:
-    """``checkpoint=True`` computes ``df`` once into ``spark.checkpoint.dir``
+                      checkpoint: bool = False, rows_per_bucket: int = 250_000) -> DataFrame:
+    """``buckets`` fixes the bucket count; by default it is the shuffle
+    partition count, lowered so that a bucket holds at least
+    ``rows_per_bucket`` rows (small inputs need few buckets).
+
+    ``checkpoint=True`` computes ``df`` once into ``spark.checkpoint.dir``
     (reliable storage) before the count, the key sample and the numbering
     read it; use it when ``df`` is expensive to recompute."""
     spark = df.sparkSession
@@ -73,13 +77,14 @@ def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | N
         shared_dir(spark)                      # make sure a checkpoint folder is set
         df = df.checkpoint(eager=True)
     descending = descending or [False] * len(keys)
-    nb = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
     key = F.struct(*[_asc_key(df, k, d).alias(f"k{i}")
                      for i, (k, d) in enumerate(zip(keys, descending))])
     keyed = df.withColumn("__key", key)
 
     n = df.count()
+    nb = buckets or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                               -(-n // rows_per_bucket)))
     splits: list = []
     if n > 0 and nb > 1:
         frac = min(1.0, oversample * nb / n)
