@@ -18,6 +18,7 @@ _ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Decorator: register a query function (and its DuckDB SQL) under ``name``."""
     def deco(fn: QueryFn) -> QueryFn:
         _QUERIES[name] = fn
         if sql is not None:
@@ -73,11 +74,13 @@ def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def queries() -> dict[str, QueryFn]:
+    """All registered query functions by name."""
     _load_all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL by query name."""
     _load_all()
     return dict(_ORACLE)
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class ServiceFamily:
+    """The service types a report covers, by prefix and exact-name rules."""
     ci_prefixes: tuple[str, ...] = ()
     prefixes: tuple[str, ...] = ()
     exact: tuple[str, ...] = ()

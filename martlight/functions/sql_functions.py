@@ -29,6 +29,7 @@ def _fmt(x: str, places: int) -> str:
 
 def register_sql_functions(spark: SparkSession, family: ServiceFamily = DEMO_FAMILY,
                            labels: ServiceLabels = DEMO_LABELS) -> list[str]:
+    """Create the temporary SQL functions; returns their names."""
     defs = {
         "is_service_family": ("p STRING", "BOOLEAN", family_sql(family, "p")),
         "service_label": ("p STRING", "STRING", labels.sql("p")),

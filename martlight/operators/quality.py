@@ -63,6 +63,7 @@ def _relationship_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -
 # --- checks ------------------------------------------------------------------
 @dataclass(frozen=True)
 class Check:
+    """One declared data test on a model column (or column tuple)."""
     kind: str                 # unique | not_null | relationships
     model: str
     column: str | tuple[str, ...]

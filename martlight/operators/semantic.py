@@ -36,6 +36,7 @@ class SemanticError(ValueError):
 
 @dataclass(frozen=True)
 class Entity:
+    """A table with a primary key."""
     name: str
     table: DataFrame
     primary_key: str
@@ -43,6 +44,7 @@ class Entity:
 
 @dataclass(frozen=True)
 class Relationship:
+    """Many-to-one: ``child.foreign_key`` references ``parent``'s primary key."""
     child: str
     foreign_key: str
     parent: str
@@ -50,6 +52,7 @@ class Relationship:
 
 @dataclass(frozen=True)
 class Field:
+    """A named row-level expression of one entity (a fact or a dimension)."""
     entity: str
     name: str
     expr: str
@@ -70,6 +73,7 @@ _METRIC_RE = re.compile(r"^\s*([A-Za-z_]+)\s*\((.*)\)\s*$", re.S)
 
 @dataclass(frozen=True)
 class Metric:
+    """A named aggregate of one entity: ``AGG(expression)``."""
     entity: str
     name: str
     agg: str
@@ -104,6 +108,7 @@ def sort_spec(spec: Column | str) -> Column:
 
 
 class SemanticModel:
+    """Entities, relationships, fields and metrics, queried by logical name."""
     def __init__(self, entities: list[Entity], relationships: list[Relationship],
                  fields: list[Field], metrics: list[Metric]):
         self.entities = {e.name: e for e in entities}

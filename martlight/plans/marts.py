@@ -29,6 +29,7 @@ REVENUE = "decimal(38,6)"
 
 # --- staging ---------------------------------------------------------------
 def stg_customers(customer: DataFrame) -> DataFrame:
+    """Rename projection of ``customer``; absent source columns become typed NULLs."""
     c = customer
     return c.select(
         F.col("c_custkey").alias("customer_key"),
@@ -43,6 +44,7 @@ def stg_customers(customer: DataFrame) -> DataFrame:
 
 
 def stg_orders(orders: DataFrame) -> DataFrame:
+    """Rename projection of ``orders``; absent source columns become typed NULLs."""
     o = orders
     return o.select(
         F.col("o_orderkey").alias("order_key"),
@@ -58,6 +60,7 @@ def stg_orders(orders: DataFrame) -> DataFrame:
 
 
 def stg_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Rename projection of ``lineitem``; absent source columns become typed NULLs."""
     li = lineitem
     return li.select(
         F.col("l_orderkey").alias("order_key"),
@@ -108,6 +111,7 @@ def fct_orders(stg_ord: DataFrame, stg_line: DataFrame) -> DataFrame:
 
 
 def customer_orders(fct: DataFrame) -> DataFrame:
+    """Order count, revenue and first/last order date per customer."""
     return fct.groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("order_revenue").cast(REVENUE).alias("total_revenue"),
@@ -117,6 +121,7 @@ def customer_orders(fct: DataFrame) -> DataFrame:
 
 
 def dim_customers(stg_cust: DataFrame, fct: DataFrame) -> DataFrame:
+    """Customer dimension: totals zero-filled, order dates left NULL."""
     agg = customer_orders(fct)
     return stg_cust.join(agg, "customer_key", "left").select(
         "customer_key", "name", "address", "phone", "account_balance",

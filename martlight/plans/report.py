@@ -74,6 +74,7 @@ def section_rows(r: UsageReport) -> dict[str, DataFrame]:
 
 
 def report_sections(r: UsageReport) -> DataFrame:
+    """All sections as rows (section, n_rows, rows_html)."""
     return reduce(DataFrame.unionByName, section_rows(r).values())
 
 

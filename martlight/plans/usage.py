@@ -98,6 +98,7 @@ def unified_usage(logs: list[UsageLog], users: DataFrame) -> DataFrame:
 # --- reporting window ---------------------------------------------------------
 @dataclass(frozen=True)
 class ReportWindow:
+    """Latest settled day, its month start and the first day of its week."""
     report_day: dt.date | None
     m_start: dt.date | None
     wk_start: dt.date | None
@@ -360,6 +361,7 @@ def reconcile(sections: dict[str, DataFrame], billed: DataFrame, detail: DataFra
 # --- one report's inputs ---------------------------------------------------------------
 @dataclass
 class UsageInputs:
+    """Ledger, daily ledger, detail logs, user dimension and the run time."""
     ledger: DataFrame
     ledger_days: DataFrame
     logs: list[UsageLog]
