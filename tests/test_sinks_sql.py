@@ -54,3 +54,11 @@ def test_register_views(spark):
     assert {"ledger", "deals", "dim_customers"} <= set(names)
     n = spark.sql("select count(*) from dim_customers").first()[0]
     assert n == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+
+
+def test_cli_list_and_query(spark, capsys):
+    from martlight.__main__ import main
+    assert main(["list"]) == 0
+    assert "dim_customers" in capsys.readouterr().out.split()
+    assert main(["query", "--sf-dir", SF_SMALL, "sem_pipeline_by_stage", "--show", "3"]) == 0
+    assert "total_pipeline_value" in capsys.readouterr().out
