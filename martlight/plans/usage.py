@@ -361,12 +361,18 @@ def reconcile(sections: dict[str, DataFrame], billed: DataFrame, detail: DataFra
 # --- one report's inputs ---------------------------------------------------------------
 @dataclass
 class UsageInputs:
-    """Ledger, daily ledger, detail logs, user dimension and the run time."""
+    """Ledger, daily ledger, detail logs, user dimension and the run time
+    (UTC wall clock; defaults to now, so the report covers the latest
+    settled day before today)."""
     ledger: DataFrame
     ledger_days: DataFrame
     logs: list[UsageLog]
     users: DataFrame
-    as_of: dt.datetime
+    as_of: dt.datetime | None = None
+
+    def __post_init__(self):
+        if self.as_of is None:
+            self.as_of = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
 def _memo(fn):

@@ -182,3 +182,10 @@ def test_empty_detail_logs(spark, report_inputs):
     body = report.report_html(r).first()["body"]
     assert body.count("No activity.") == 3          # function, model and user sections
     assert "<td>AI Functions</td>" in body           # billed sections still render
+
+
+def test_as_of_defaults_to_now(report_inputs):
+    inp = U.UsageInputs(report_inputs.ledger, report_inputs.ledger_days, report_inputs.logs,
+                        report_inputs.users)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((now - inp.as_of).total_seconds()) < 60
