@@ -75,3 +75,49 @@ def test_metric_layer_matches_pandas(spark, facts):
         assert np_ == sum(1 for _, r in parents if r == reg)
         assert (nf or 0) == sum(1 for p, _, _ in facts if dict(parents).get(p) == reg
                                 and (p in dict(parents) or reg is None))
+
+
+@SETTINGS
+@given(groups=st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["x", "y", "z", "w"]),
+                                 st.sampled_from([None, Decimal("1.5"), Decimal("2"), Decimal("-1")])),
+                       min_size=0, max_size=12, unique_by=lambda g: (g[0], g[1])),
+       n=st.integers(min_value=0, max_value=5))
+def test_top_n_two_labels_with_ties(spark, groups, n):
+    df = spark.createDataFrame(groups, "t string, s string, cr decimal(38,9)")
+    got = {(r["sort_rn"], r["t"], r["s"]): r["cr"] for r in
+           top_n_with_others(df, ["t", "s"], "cr", n, {"t": "Others", "s": "(rest)"}).collect()}
+    order = sorted(groups, key=lambda g: (g[2] is not None, -(g[2] or 0), g[0], g[1]))
+    exp = {(i + 1, t, s): v for i, (t, s, v) in enumerate(order[:n])}
+    if order[n:]:
+        vals = [v for _, _, v in order[n:] if v is not None]
+        exp[(SENTINEL_RANK, "Others", "(rest)")] = sum(vals, Decimal(0)) if vals else None
+    assert got == exp
+
+
+@SETTINGS
+@given(facts=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["x", "y"]), st.integers(0, 50)),
+                      min_size=0, max_size=30),
+       region=st.sampled_from(["EU", "NA"]), stage=st.sampled_from(["x", "y"]))
+def test_metric_layer_filters_match_pandas(spark, facts, region, stage):
+    parents = [(p, ["EU", "NA"][p % 2]) for p in range(5)]          # parent 5 missing
+    pdf = spark.createDataFrame(parents, "pid long, region string")
+    fdf = spark.createDataFrame([(i, p, s, Decimal(a)) for i, (p, s, a) in enumerate(facts)],
+                                "fid long, pid long, stage string, amount decimal(15,2)")
+    m = SemanticModel(
+        [Entity("p", pdf, "pid"), Entity("f", fdf, "fid")], [Relationship("f", "pid", "p")],
+        [dim("p", "region", "region"), dim("f", "stage", "stage"), fact("f", "amt", "amount")],
+        [Metric.of("f", "n", "COUNT(fid)"), Metric.of("f", "avg_amt", "AVG(amt)")])
+    reg = dict(parents)
+    # local filter + parent filter, grouped by the fact's own dimension
+    got = {r["stage"]: (r["n"], r["avg_amt"]) for r in
+           m.query(["n", "avg_amt"], ["stage"], where=[f"region = '{region}'",
+                                                       f"stage = '{stage}'"]).collect()}
+    sel = [a for p, s, a in facts if reg.get(p) == region and s == stage]
+    from decimal import ROUND_HALF_UP
+    exp = ({stage: (len(sel), (Decimal(sum(sel)) / len(sel)).quantize(Decimal("0.000001"),
+                                                                       rounding=ROUND_HALF_UP))}
+           if sel else {})
+    assert got == exp
+    # one mixed predicate spanning both entities
+    got2 = m.query(["n"], where=f"region = '{region}' OR stage = '{stage}'").first()["n"]
+    assert got2 == sum(1 for p, s, _ in facts if reg.get(p) == region or s == stage)
