@@ -1,7 +1,9 @@
 """Command line: ``python -m martlight <command> ...``
 
   build   --sf-dir DIR --out DIR          write the marts, run the data tests
-  report  --sf-dir DIR --out DIR          render the usage report (JSON lines)
+  report  --sf-dir DIR --out DIR          render the usage report (JSON lines) from the
+                                          tables bound onto DIR (sources/bindings.py);
+                                          other inputs: build a UsageReport in Python
   query   --sf-dir DIR NAME [--show N]    run a registered query
   list                                    list registered queries
 """
