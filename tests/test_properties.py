@@ -1,4 +1,7 @@
-"""Property tests: custom operators against brute-force Python."""
+"""Property tests: custom operators against brute-force Python.
+
+PROPERTY_EXAMPLES=<n> raises the number of generated cases per test."""
+import os
 from decimal import Decimal
 
 import pandas as pd
@@ -9,7 +12,7 @@ from martlight.operators.ranking import global_row_number
 from martlight.operators.semantic import Entity, Metric, Relationship, SemanticModel, dim, fact
 from martlight.operators.topn import SENTINEL_RANK, top_n_with_others
 
-SETTINGS = settings(max_examples=12, deadline=None,
+SETTINGS = settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 money = st.one_of(st.none(), st.decimals(min_value=-1000, max_value=1000, places=3,
