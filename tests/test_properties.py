@@ -7,6 +7,7 @@ from decimal import Decimal
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from martlight.operators.ranking import global_row_number
 from martlight.operators.semantic import Entity, Metric, Relationship, SemanticModel, dim, fact
@@ -124,3 +125,89 @@ def test_metric_layer_filters_match_pandas(spark, facts, region, stage):
     # one mixed predicate spanning both entities
     got2 = m.query(["n"], where=f"region = '{region}' OR stage = '{stage}'").first()["n"]
     assert got2 == sum(1 for p, s, _ in facts if reg.get(p) == region or s == stage)
+
+
+TYPES = ["AI_FUNCTIONS", "ASSIST_AGENTS", "assist_x", "ai_lower", "WAREHOUSE", "AI_NEW",
+         "WORKSPACE_INTELLIGENCE"]
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(TYPES), st.sampled_from([None, "", "a", "b", "c"]),
+                               st.integers(0, 20 * 24 - 1),
+                               st.one_of(st.none(), st.decimals(min_value=-5, max_value=50, places=2,
+                                                                allow_nan=False, allow_infinity=False))),
+                     min_size=1, max_size=40),
+       sub_n=st.integers(1, 4))
+def test_billed_report_matches_python(spark, rows, sub_n):
+    import datetime as dt
+
+    from martlight.functions.service import DEMO_FAMILY, DEMO_LABELS
+    from martlight.operators.settings import ReportSettings
+    from martlight.plans import usage as U
+    base = dt.datetime(2026, 5, 22)
+    recs = [(t, nm, base + dt.timedelta(hours=h), c) for t, nm, h, c in rows]
+    ledger = spark.createDataFrame(recs, "service_type string, name string, start_time timestamp_ntz, "
+                                         "credits_used decimal(28,9)")
+    days = ledger.select(F.to_date("start_time").alias("usage_date")).distinct()
+    as_of = dt.datetime(2026, 6, 8, 5)
+    empty_log = (ledger.limit(0).withColumn("id", F.lit("x"))
+                 .withColumn("user_id", F.lit(None).cast("bigint")))
+    logs = [U.UsageLog(empty_log, "S", "start_time", "credits_used", "id", F.lit("S"))]
+    users = spark.createDataFrame([], "user_id long, name string")
+    r = U.UsageReport(spark, U.UsageInputs(ledger, days, logs, users, as_of),
+                      ReportSettings(budget=10.0, subtype_top_n=sub_n))
+
+    # plain-Python report semantics
+    all_days = sorted({t.date() for _, _, t, _ in recs})
+    before = [d for d in all_days if d < as_of.date()]
+    rd = before[-1] if before else None
+    assert r.window.report_day == rd
+    if rd is None:
+        return
+    m0, w0 = rd.replace(day=1), rd - dt.timedelta(days=6)
+
+    def fam(t):  # the demo family, written out
+        assert DEMO_FAMILY.ci_prefixes == ("ASSIST",) and DEMO_FAMILY.prefixes == ("AI_",)
+        return t.lower().startswith("assist") or t.startswith("AI_") or t == "WORKSPACE_INTELLIGENCE"
+
+    fr = [(t, nm, ts.date(), c) for t, nm, ts, c in recs if fam(t)]
+
+    def total(pred):
+        vals = [c for t, nm, d, c in fr if pred(d) and c is not None]
+        return sum(vals, Decimal(0))
+
+    b = r.billed().first()
+    assert b["day_credits"] == total(lambda d: d == rd)
+    assert b["mtd_credits"] == total(lambda d: m0 <= d <= rd)
+
+    by_type = {}
+    for t, nm, d, c in fr:
+        if m0 <= d <= rd:
+            by_type.setdefault(t, []).append(c)
+    exp_type = {t: sum((c for c in cs if c is not None), Decimal(0)) for t, cs in by_type.items()
+                if any(c is not None for c in cs)}
+    exp_type = {t: v for t, v in exp_type.items() if v > 0}
+    assert {x["service_type"]: x["credits"] for x in r.by_type().collect()} == exp_type
+
+    trend = {}
+    for t, nm, d, c in fr:
+        if w0 <= d <= rd:
+            trend.setdefault(d, []).append(c)
+    exp_trend = {d: (sum((c for c in cs if c is not None), Decimal(0))
+                     if any(c is not None for c in cs) else None) for d, cs in trend.items()}
+    assert {x["day"]: x["credits"] for x in r.trend().collect()} == exp_trend
+
+    groups = {}
+    for t, nm, d, c in fr:
+        if m0 <= d <= rd:
+            key = (dict(DEMO_LABELS.mapping).get(t, t), nm if nm else "—")
+            groups.setdefault(key, []).append(c)
+    gsum = {k: (sum((c for c in cs if c is not None), Decimal(0)) if any(c is not None for c in cs)
+                else None) for k, cs in groups.items()}
+    order = sorted(gsum.items(), key=lambda kv: (kv[1] is not None, -(kv[1] or 0), kv[0]))
+    exp_sub = {(i + 1, k[0], k[1]): v for i, (k, v) in enumerate(order[:sub_n])}
+    if order[sub_n:]:
+        vals = [v for _, v in order[sub_n:] if v is not None]
+        exp_sub[(999999, "Others", "(remaining subtypes)")] = sum(vals, Decimal(0)) if vals else None
+    got_sub = {(x["sort_rn"], x["type_label"], x["subtype"]): x["credits"] for x in r.by_type_subtype().collect()}
+    assert got_sub == exp_sub
