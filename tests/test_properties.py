@@ -211,3 +211,78 @@ def test_billed_report_matches_python(spark, rows, sub_n):
         exp_sub[(999999, "Others", "(remaining subtypes)")] = sum(vals, Decimal(0)) if vals else None
     got_sub = {(x["sort_rn"], x["type_label"], x["subtype"]): x["credits"] for x in r.by_type_subtype().collect()}
     assert got_sub == exp_sub
+
+
+@SETTINGS
+@given(fn_rows=st.lists(st.tuples(st.integers(0, 40 * 24), st.sampled_from(["F1", "F2", None]),
+                                  st.sampled_from(["", "m1", "m2", None]),
+                                  st.decimals(min_value=0, max_value=9, places=1, allow_nan=False,
+                                              allow_infinity=False),
+                                  st.integers(0, 6), st.integers(0, 5)), max_size=25),
+       ag_rows=st.lists(st.tuples(st.integers(0, 40 * 24), st.sampled_from(["A", None]),
+                                  st.decimals(min_value=0, max_value=9, places=1, allow_nan=False,
+                                              allow_infinity=False),
+                                  st.integers(0, 6), st.integers(0, 5),
+                                  st.sampled_from([None, "", "raw"])), max_size=25),
+       n=st.integers(1, 3))
+def test_detail_report_matches_python(spark, fn_rows, ag_rows, n):
+    import datetime as dt
+
+    from martlight.operators.settings import ReportSettings
+    from martlight.plans import usage as U
+    base = dt.datetime(2026, 5, 10)
+    fn = spark.createDataFrame(
+        [(base + dt.timedelta(hours=h), f, m, c, f"q{q}", u) for h, f, m, c, q, u in fn_rows],
+        "start_time timestamp_ntz, function_name string, model_name string, credits decimal(28,9), "
+        "query_id string, user_id long")
+    ag = spark.createDataFrame(
+        [(base + dt.timedelta(hours=h), a, c, f"q{q}", u, raw) for h, a, c, q, u, raw in ag_rows],
+        "start_time timestamp_ntz, agent_name string, token_credits decimal(28,9), request_id string, "
+        "user_id long, user_name string")
+    users = spark.createDataFrame([(1, "u1"), (1, "u1b"), (2, "u2"), (3, "u3"), (4, "u4")],
+                                  "user_id long, name string")
+    logs = [U.UsageLog(fn, "AI_FUNCTIONS", "start_time", "credits", "query_id",
+                       function_name=F.col("function_name"),
+                       model_name=F.nullif(F.col("model_name"), F.lit(""))),
+            U.UsageLog(ag, "ASSIST_AGENTS", "start_time", "token_credits", "request_id",
+                       function_name=F.lit("ASSIST_AGENT"),
+                       agent_name=F.coalesce(F.col("agent_name"), F.lit("(unknown)")),
+                       user_name=F.col("user_name"))]
+    ledger = spark.createDataFrame([], "service_type string, name string, start_time timestamp_ntz, "
+                                       "credits_used decimal(28,9)")
+    days = spark.createDataFrame([(dt.date(2026, 6, 10),)], "usage_date date")
+    r = U.UsageReport(spark, U.UsageInputs(ledger, days, logs, users, dt.datetime(2026, 6, 12)),
+                      ReportSettings(top_n=n))
+    rd, m0 = dt.date(2026, 6, 10), dt.date(2026, 6, 1)
+    dim = {1: "u1b", 2: "u2", 3: "u3", 4: "u4"}
+    unified = [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "AI_FUNCTIONS", f, m or None, None,
+                c, dim.get(u, "(unknown)")) for h, f, m, c, q, u in fn_rows]
+    unified += [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "ASSIST_AGENTS", "ASSIST_AGENT", None,
+                 a or "(unknown)", c, raw if raw is not None else dim.get(u, "(unknown)"))
+                for h, a, c, q, u, raw in ag_rows]
+    mtd = [x for x in unified if m0 <= x[1] <= rd]
+    d = r.detail().first()
+    assert d["credits"] == sum((x[6] for x in mtd), Decimal(0))
+    assert d["requests"] == len({x[0] for x in mtd})
+    cur = r.currency().first()
+    settled = [x[1] for x in unified if x[1] <= rd]
+    assert cur["detail_max_day"] == (max(settled) if settled else rd)
+
+    def topn(groups):
+        order = sorted(groups.items(), key=lambda kv: (-kv[1], kv[0]))
+        out = {(i + 1,) + k: v for i, (k, v) in enumerate(order[:n])}
+        if order[n:]:
+            out[(999999,) + tuple("Others" if i == 0 else "" for i in range(len(order[0][0])))] = \
+                sum((v for _, v in order[n:]), Decimal(0))
+        return out
+
+    by_user = {}
+    for x in mtd:
+        by_user[(x[7],)] = by_user.get((x[7],), Decimal(0)) + x[6]
+    assert {(y["sort_rn"], y["user_name"]): y["credits"] for y in r.by_user().collect()} == topn(by_user)
+    by_model = {}
+    for x in mtd:
+        key = (x[4] or x[5] or x[2], "Model" if x[4] else ("Agent" if x[5] else "Service"))
+        by_model[key] = by_model.get(key, Decimal(0)) + x[6]
+    assert {(y["sort_rn"], y["name"], y["kind"]): y["credits"] for y in r.by_model().collect()} == \
+        topn(by_model)
