@@ -286,3 +286,45 @@ def test_detail_report_matches_python(spark, fn_rows, ag_rows, n):
         by_model[key] = by_model.get(key, Decimal(0)) + x[6]
     assert {(y["sort_rn"], y["name"], y["kind"]): y["credits"] for y in r.by_model().collect()} == \
         topn(by_model)
+
+
+@SETTINGS
+@given(orders=st.lists(st.tuples(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 4))),
+                       max_size=10, unique_by=lambda o: o[0]),
+       lines=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), st.integers(1, 99),
+                                st.sampled_from([0, 5, 10]), st.sampled_from([0, 8])), max_size=25))
+def test_marts_match_python(spark, orders, lines):
+    import datetime as dt
+    from decimal import ROUND_HALF_UP
+
+    from martlight.plans.marts import dim_customers, fct_orders, stg_customers, stg_lineitem, stg_orders
+    cust = spark.createDataFrame([(c, f"C{c}", 1, 10.0, "S") for c in range(4)],
+                                 "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    o = spark.createDataFrame([(k, c, "F", 1.0, dt.datetime(2000, 1, 1) + dt.timedelta(days=k), "P")
+                               for k, c in orders],
+                              "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                              "o_orderdate timestamp_ntz, o_orderpriority string")
+    li = spark.createDataFrame([(k, 1, 1, i, 1.0, float(p), d / 100, t / 100, "N", "O", dt.datetime(2000, 2, 1))
+                                for i, (k, p, d, t) in enumerate(lines)],
+                               "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                               "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                               "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    fct = fct_orders(stg_orders(o), stg_lineitem(li))
+    got = {r["order_key"]: (r["order_revenue"], r["line_item_count"]) for r in fct.collect()}
+    rev = {}
+    for k, p, d, t in lines:
+        if k is None:
+            continue
+        v = Decimal(p) * (1 - Decimal(d) / 100) * (1 + Decimal(t) / 100)
+        a, n = rev.get(k, (Decimal(0), 0))
+        rev[k] = (a + v, n + 1)
+    q = Decimal("0.000001")
+    exp = {k: (rev[k][0].quantize(q, ROUND_HALF_UP), rev[k][1]) for k, _ in orders if k in rev}
+    assert got == exp
+    dim = {r["customer_key"]: (r["total_orders"], r["total_revenue"], r["first_order_date"])
+           for r in dim_customers(stg_customers(cust), fct).collect()}
+    for c in range(4):
+        mine = [k for k, cc in orders if cc == c and k in rev]
+        tot = sum((rev[k][0] for k in mine), Decimal(0)).quantize(q, ROUND_HALF_UP)
+        first = (dt.date(2000, 1, 1) + dt.timedelta(days=min(mine))) if mine else None
+        assert dim[c] == (len(mine), tot, first)
