@@ -189,8 +189,9 @@ def _formats(spark, sf_dir):
     r = demo_report(spark, sf_dir)
     g = (r.cube.filter(U._in("day", r.window.m_start, r.window.report_day))
          .groupBy("service_type").agg(F.sum("credits").cast(U.CREDITS).alias("credits")))
-    share = (F.col("credits").cast("double") * F.lit(100.0)
-             / F.sum(F.col("credits").cast("double")).over(Window.partitionBy()))
+    # NULL share when the month's total is zero (ANSI division would fail)
+    share = F.try_divide(F.col("credits").cast("double") * F.lit(100.0),
+                         F.sum(F.col("credits").cast("double")).over(Window.partitionBy()))
     # the window runs over one row per service type (bounded by the family)
     return g.select("service_type", "credits",
                     fmt.fmt_credits("credits").alias("credits_4dp"),
