@@ -55,10 +55,13 @@ def month_spine(spark: SparkSession, start: dt.date, months: int) -> DataFrame:
 
 def entity_months(df: DataFrame, since: str, start: dt.date, months: int) -> DataFrame:
     """One row per entity row and spine month with ``since <= month``."""
-    first = F.greatest(F.lit(0), months_between_starts(F.lit(start), F.col(since))
-                       + F.when(F.dayofmonth(since) > 1, 1).otherwise(0))
+    # NULL ``since`` compares as unknown, so such rows get no months (greatest()
+    # alone would skip the NULL and return 0)
+    first = F.when(F.col(since).isNotNull(),
+                   F.greatest(F.lit(0), months_between_starts(F.lit(start), F.col(since))
+                              + F.when(F.dayofmonth(since) > 1, 1).otherwise(0)))
     idx = F.explode(F.sequence(first, F.lit(months - 1)))
-    # months with since > last month produce an empty (descending) sequence
+    # rows whose first month is after the spine (or NULL) are filtered out
     out = df.filter(first <= months - 1).withColumn("month_idx", idx)
     return out.withColumn("month", F.add_months(F.lit(start), F.col("month_idx")))
 

@@ -328,3 +328,20 @@ def test_marts_match_python(spark, orders, lines):
         tot = sum((rev[k][0] for k in mine), Decimal(0)).quantize(q, ROUND_HALF_UP)
         first = (dt.date(2000, 1, 1) + dt.timedelta(days=min(mine))) if mine else None
         assert dim[c] == (len(mine), tot, first)
+
+
+@SETTINGS
+@given(days=st.lists(st.one_of(st.none(), st.integers(-400, 800)), min_size=1, max_size=25),
+       months=st.integers(1, 24))
+def test_entity_months_matches_cross_join(spark, days, months):
+    import datetime as dt
+
+    from martlight.operators import datagen
+    start = dt.date(2025, 1, 1)
+    rows = [(i, None if d is None else start + dt.timedelta(days=d)) for i, d in enumerate(days)]
+    c = spark.createDataFrame(rows, "customer_id long, onboarding_date date")
+    got = {(r["customer_id"], r["month"]) for r in
+           datagen.entity_months(c, "onboarding_date", start, months).collect()}
+    spine = [dt.date(2025 + (m // 12), m % 12 + 1, 1) for m in range(months)]
+    exp = {(i, m) for i, d in rows if d is not None for m in spine if d <= m}
+    assert got == exp
