@@ -82,7 +82,7 @@ def test_metric_layer_matches_pandas(spark, facts):
 
 
 @SETTINGS
-@given(groups=st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(["x", "y", "z", "w"]),
+@given(groups=st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.sampled_from(["x", "y", None, "w"]),
                                  st.sampled_from([None, Decimal("1.5"), Decimal("2"), Decimal("-1")])),
                        min_size=0, max_size=12, unique_by=lambda g: (g[0], g[1])),
        n=st.integers(min_value=0, max_value=5))
@@ -90,7 +90,9 @@ def test_top_n_two_labels_with_ties(spark, groups, n):
     df = spark.createDataFrame(groups, "t string, s string, cr decimal(38,9)")
     got = {(r["sort_rn"], r["t"], r["s"]): r["cr"] for r in
            top_n_with_others(df, ["t", "s"], "cr", n, {"t": "Others", "s": "(rest)"}).collect()}
-    order = sorted(groups, key=lambda g: (g[2] is not None, -(g[2] or 0), g[0], g[1]))
+    # value descending with NULLs first, then labels ascending with NULLs first
+    order = sorted(groups, key=lambda g: (g[2] is not None, -(g[2] or 0),
+                                          g[0] is not None, g[0] or "", g[1] is not None, g[1] or ""))
     exp = {(i + 1, t, s): v for i, (t, s, v) in enumerate(order[:n])}
     if order[n:]:
         vals = [v for _, _, v in order[n:] if v is not None]
