@@ -51,7 +51,7 @@ def test_global_row_number_is_sorted_enumeration(spark, keys, desc, buckets):
 
 
 @SETTINGS
-@given(facts=st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["x", "y"]),
+@given(facts=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(["x", "y"]),
                                  st.integers(0, 500)), min_size=0, max_size=30))
 def test_metric_layer_matches_pandas(spark, facts):
     parents = [(p, ["EU", "NA", None][p % 3]) for p in range(4)]   # parent 4 is missing
