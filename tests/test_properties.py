@@ -347,3 +347,28 @@ def test_entity_months_matches_cross_join(spark, days, months):
     spine = [dt.date(2025 + (m // 12), m % 12 + 1, 1) for m in range(months)]
     exp = {(i, m) for i, d in rows if d is not None for m in spine if d <= m}
     assert got == exp
+
+
+@SETTINGS
+@given(child=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)),
+                                st.one_of(st.none(), st.integers(0, 6))), max_size=30),
+       parent=st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=8))
+def test_data_tests_match_python(spark, child, parent):
+    from collections import Counter
+
+    from martlight.operators.quality import Check, run_checks
+    c = spark.createDataFrame(child, "k long, fk long")
+    p = spark.createDataFrame([(x,) for x in parent], "pk long")
+    res = {r["kind"] + ":" + r["column_name"]: r["failures"] for r in run_checks(
+        {"c": c, "p": p},
+        [Check("unique", "c", "k"), Check("not_null", "c", "fk"),
+         Check("relationships", "c", "fk", "p", "pk"), Check("unique", "c", ("k", "fk"))]).collect()}
+    counts = Counter(k for k, _ in child if k is not None)
+    pairs = Counter((k, f) for k, f in child if k is not None and f is not None)
+    pks = {x for x in parent if x is not None}
+    assert res == {
+        "unique:k": sum(1 for v in counts.values() if v > 1),
+        "not_null:fk": sum(1 for _, f in child if f is None),
+        "relationships:fk": sum(1 for _, f in child if f is not None and f not in pks),
+        "unique:k,fk": sum(1 for v in pairs.values() if v > 1),
+    }
