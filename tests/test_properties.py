@@ -372,3 +372,20 @@ def test_data_tests_match_python(spark, child, parent):
         "relationships:fk": sum(1 for _, f in child if f is not None and f not in pks),
         "unique:k,fk": sum(1 for v in pairs.values() if v > 1),
     }
+
+
+@SETTINGS
+@given(vals=st.lists(st.one_of(st.none(), st.sampled_from(
+    ["12", " 7 ", "12.5", "1e3", "1_000", "+3", "-2", "abc", "", "3.00005", "0", "2.5e1", ".5", "9999999"])),
+    min_size=4, max_size=4))
+def test_settings_python_and_spark_reads_agree(spark, vals):
+    from martlight.operators import settings as S
+    keys = ["AI_CREDIT_PRICE_USD", "AI_BUDGET_CREDITS", "TOP_N", "AI_SUBTYPE_TOP_N"]
+    kv = dict(zip(keys, vals))
+    cfg = spark.createDataFrame([(k, v, "") for k, v in kv.items()], "key string, value string, description string")
+    spark_row = S.typed_settings(S.settings_object(cfg)).first()
+    py = S.ReportSettings.from_pairs(kv)
+    assert str(spark_row["ai_credit_price_usd"]) == py.credit_price
+    assert spark_row["ai_budget_credits"] == py.budget
+    assert spark_row["top_n"] == py.top_n
+    assert spark_row["ai_subtype_top_n"] == py.subtype_top_n

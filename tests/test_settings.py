@@ -24,7 +24,7 @@ def test_update_and_typed_reads(spark):
     assert typed["ai_budget_credits"] == 0.0       # NULL value skipped → default
     assert typed["budget_warn_pct"] == 90.0
     rs = S.ReportSettings.from_table(cfg2)
-    assert (rs.credit_price, rs.top_n, rs.budget, rs.subtype_top_n) == ("2.00", 10, 0.0, 12)
+    assert (rs.credit_price, rs.top_n, rs.budget, rs.subtype_top_n) == ("2.0000", 10, 0.0, 12)
 
 
 def test_listing_sorted(spark):
