@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martlight.llm.common import read_table, ship
 
@@ -17,6 +18,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; held-out rows are never learned from."""
+    from martlight.llm import toxicity
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"),
+                         "score", "predicted")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     from martlight.llm import rans
@@ -26,6 +38,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
 }
 
