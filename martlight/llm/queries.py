@@ -37,9 +37,17 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(docs, tokenizer_path("word_bpe_49k.json"), end_id=2, kind="words")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and near-duplicate components of all documents."""
+    from martlight.llm import simhash
+    ship(spark)
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQLS: dict[str, str] = {}
