@@ -37,6 +37,14 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(docs, tokenizer_path("word_bpe_49k.json"), end_id=2, kind="words")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages that an earlier document holds."""
+    from martlight.llm import cdc
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", "text")
+    return cdc.without_repeats(docs)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and near-duplicate components of all documents."""
     from martlight.llm import simhash
@@ -47,6 +55,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
 }
 
