@@ -37,6 +37,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(docs, tokenizer_path("word_bpe_49k.json"), end_id=2, kind="words")
 
 
+def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle fingerprints of all documents against edited and neighbouring texts."""
+    from martlight.llm import merkle
+    return merkle.compare(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without passages that an earlier document holds."""
     from martlight.llm import cdc
@@ -55,6 +61,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
+    "op4_merkle": op4_merkle,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
 }
