@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlight.llm import licenses
 from martlight.llm.common import read_table, ship
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +59,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    return licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
     "op4_merkle": op4_merkle,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
+    "op10_licenses": op10_licenses,
 }
 
-ORACLE_SQLS: dict[str, str] = {}
+ORACLE_SQLS: dict[str, str] = {
+    "op10_licenses": licenses.oracle_sql(),
+}
