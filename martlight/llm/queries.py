@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import licenses
+from martlight.llm import licenses, mixing
 from martlight.llm.common import read_table, ship
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op4_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Systematic sample of all documents to the sources' target weights."""
+    return mixing.report(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without passages that an earlier document holds."""
     from martlight.llm import cdc
@@ -68,11 +73,13 @@ QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op3_token_files": op3_token_files,
     "op4_merkle": op4_merkle,
+    "op5_mixing": op5_mixing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQLS: dict[str, str] = {
+    "op5_mixing": mixing.oracle_sql(),
     "op10_licenses": licenses.oracle_sql(),
 }
