@@ -49,6 +49,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    from martlight.llm import packing
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without passages that an earlier document holds."""
     from martlight.llm import cdc
@@ -74,6 +82,7 @@ QUERIES: dict[str, QueryFn] = {
     "op3_token_files": op3_token_files,
     "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
