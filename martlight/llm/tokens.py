@@ -24,18 +24,42 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 600_000          # distinct pieces kept per Python worker (about 100 MB)
+CACHE_WORDS = 1_000_000        # distinct pieces kept per Python worker (about 200 MB)
 
 # The split patterns of the two tokenizer files, written for texts
 # of printable ASCII, line feed and precomposed Latin-1 letters only.
 _LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _PLAIN = re.compile(f"[\\n\\x20-\\x7e{_LETTER}]*")
-_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 _PLAIN_PIECES = {
-    "words": re.compile(f"{_SHORT}|[{_LETTER}]+|[0-9]|[^ \\n0-9{_LETTER}]+"),
-    "gpt": re.compile(f"{_SHORT}| ?[{_LETTER}]+| ?[0-9]+| ?[^ \\n0-9{_LETTER}]+"
+    "words": re.compile(f"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \\n0-9{_LETTER}]+"),
+    "gpt": re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^ \\n0-9{_LETTER}]+"
                       r"|[ \n]+(?![^ \n])|[ \n]+"),
 }
+# A plain text without these is cut by replacing single marks, without a pattern:
+# marks side by side or quotes; for "gpt" also digits and white space in other places.
+_HARD = {
+    "words": re.compile(f"'|[^ \\n0-9{_LETTER}]{{2}}"),
+    "gpt": re.compile(f"['0-9]|[^ \\n{_LETTER}]{{2}}|[ \\n][ \\n]| [^{_LETTER}]"),
+}
+_MARKS = [chr(c) for c in range(33, 127) if not chr(c).isalpha() and chr(c) != "'"]
+
+
+def _cut(text: str, kind: str) -> list[str]:
+    """Pieces of a plain text; for "gpt" some are empty."""
+    if _HARD[kind].search(text):
+        return _PLAIN_PIECES[kind].findall(text)
+    if kind == "words":
+        for c in _MARKS:
+            if c in text:
+                text = text.replace(c, f" {c} ")
+        return text.split()
+    text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+    for c in _MARKS:
+        if c in text:
+            text = text.replace(c, f"\0{c}\0")
+    return text.split("\0")
+
+
 # any other text
 _PIECES = {"words": re.compile(r"[^ \n]+"), "gpt": re.compile(r"[ \n]*[^ \n]+|[ \n]+")}
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -50,6 +74,23 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Merged(dict):
+    """Ids by piece of a plain text; a new piece goes to the merge model at once."""
+
+    def __init__(self, tok, pack):
+        super().__init__()
+        self.run, self.pack = tok.model.tokenize, pack
+        self.letters = "".join(v for _, v in sorted(_byte_letters().items()))
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece.isalpha() and piece.isascii():
+            word = piece                       # stands for itself byte by byte
+        else:
+            word = piece.encode().decode("latin-1").translate(self.letters)
+        ids = self[piece] = self.pack([t.id for t in self.run(word)])
+        return ids
+
+
 class CachedTokenizer:
     """Ids of a text as little-endian unsigned integers of ``width`` bytes."""
 
@@ -60,9 +101,8 @@ class CachedTokenizer:
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.dtype = np.dtype(f"<u{self.width}")
-        self.letters = "".join(v for _, v in sorted(_byte_letters().items()))
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.plain: dict[str, bytes] = {}        # by piece of a plain text
+        self.plain = _Merged(self.tok, self._pack)
         self.other: dict[str, bytes] = {}        # by piece of any other text
 
     def _pack(self, ids) -> bytes:
@@ -72,44 +112,34 @@ class CachedTokenizer:
         return [self._pack(e.ids)
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces) -> None:
-        """Merges of pieces that the split pattern has already cut out."""
-        run, letters, pack = self.tok.model.tokenize, self.letters, self._pack
-        plain = self.plain
-        for p in pieces:
-            word = p.encode().decode("latin-1").translate(letters)
-            plain[p] = pack([t.id for t in run(word)])
-
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (no end id)."""
         for c in (self.plain, self.other):
             if len(c) > CACHE_WORDS:
                 c.clear()
+        self.plain[""] = b""
         out: list[bytes | None] = [None] * len(texts)
-        cut: list[tuple[int, list[str], dict]] = []
+        cut: list[tuple[int, list[str]]] = []
         whole: list[int] = []
-        fresh: dict[str, None] = {}
-        new: dict[str, None] = {}
+        new: set[str] = set()
         words = self.kind == "words"
-        find_plain, find = _PLAIN_PIECES[self.kind].findall, _PIECES[self.kind].findall
+        find = _PIECES[self.kind].findall
+        ids_of = self.plain.__getitem__
         for i, t in enumerate(texts):
             if _PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                p = find_plain(t.lower() if words else t)
-                cut.append((i, p, self.plain))
-                fresh.update(dict.fromkeys(set(p).difference(self.plain)))
+                out[i] = b"".join(map(ids_of, _cut(t.lower() if words else t, self.kind)))
             elif not words and _OTHER_SPACE.search(t):
                 whole.append(i)
             else:
                 p = find(t)
-                cut.append((i, p, self.other))
-                new.update(dict.fromkeys(set(p).difference(self.other)))
-        self._encode_pieces(fresh)
+                cut.append((i, p))
+                new.update(set(p).difference(self.other))
         if new:
             self.other.update(zip(new, self._encode(list(new))))
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]) if whole else ()):
             out[i] = ids
-        for i, p, cache in cut:
-            out[i] = b"".join(map(cache.__getitem__, p))
+        for i, p in cut:
+            out[i] = b"".join(map(self.other.__getitem__, p))
         return out
 
     def batches(self, texts: list[str], chars: int = 1_000_000):
