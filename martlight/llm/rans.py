@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from martlight.llm.common import fresh_dir, pick, text_or_empty, written
 from martlight.llm.tokens import crc_u32, open_tokenizer
 
-LANES = 64                # interleaved states per block
+LANES = 512               # interleaved states per block
 PROB_BITS = 20            # frequencies sum to 2**20
 LOW = np.uint64(1 << 31)  # states stay in [2**31, 2**63)
-BLOCK_TOKENS = 1 << 16    # a block closes at the first document end beyond this
-CHECK_STEPS = 512         # steps between checkpoints
+BLOCK_TOKENS = 1 << 17    # a block closes at the first document end beyond this
+CHECK_STEPS = 128         # steps between checkpoints
 
 _U32 = np.uint64(32)
 _BITS = np.uint64(PROB_BITS)
@@ -162,7 +162,8 @@ def decode(words: bytes, states: bytes, marks: bytes, n: int, t: Table,
 
 # --- writing --------------------------------------------------------------------
 
-_IDS = "part int, seq long, doc_id long, tok_before long, n_tokens long, ids binary"
+_IDS = ("part int, seq long, doc_id long, tok_before long, n_tokens long, ids binary, "
+        "counts binary")       # counts: of a part's last row only, its ids by frequency
 _BLOCK = ("part int, first_seq long, n_docs int, doc_ids binary, no_id binary, lens binary, "
           "tok_before long, n_tokens long, words binary, states binary, marks binary, "
           "words_crc32 long, ids_crc32 long")
@@ -180,40 +181,53 @@ def _tokenize(path: str, kind: str, end_id: int, schema: pa.Schema):
         part = TaskContext.get().partitionId()
         tok = open_tokenizer(path, kind)
         end = np.array([end_id], dtype=tok.dtype).tobytes()
+        total = np.zeros(1 << 16, dtype=np.int64)
         seq = before = 0
+
+        def sent(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
         for b in batches:
             docs = b.column("doc_id").to_pylist()
             rows: list = []
             size = 0
-            ids_of = tok.batches(b.column("text").to_pylist())
-            for doc, ids in zip(docs, ids_of):
-                n = len(ids) // tok.width + 1
-                rows.append((part, seq, doc, before, n, ids + end))
+            for doc, ids in zip(docs, tok.batches(b.column("text").to_pylist())):
+                ids += end
+                n = len(ids) // tok.width
+                rows.append((part, seq, doc, before, n, ids, None))
                 seq, before, size = seq + 1, before + n, size + len(ids)
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                if size > 4 << 20 or seq % 20_000 == 0:
+                    total = _counted(total, rows, tok.dtype)
+                    yield sent(rows)
                     rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                total = _counted(total, rows, tok.dtype)
+                yield sent(rows)
+        if seq:
+            seen = np.flatnonzero(total)
+            yield sent([(part, seq, None, before, 0, b"",
+                         np.stack([seen, total[seen]]).astype("<i8").tobytes())])
     return run
 
 
-def _histogram(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
-        for b in batches:
-            for v in b.column(0):
-                c = np.bincount(np.frombuffer(v.as_py(), dtype=f"<u{width}"))
-                if len(c) > len(total):
-                    total = np.concatenate((total, np.zeros(len(c) - len(total), np.int64)))
-                total[:len(c)] += c
-        seen = np.flatnonzero(total)
-        if len(seen):
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()),
-                                              pa.array(total[seen], pa.int64())], ["token", "n"])
-    return run
+def _counted(total: np.ndarray, rows: list, dtype: np.dtype) -> np.ndarray:
+    c = np.bincount(np.frombuffer(b"".join(r[5] for r in rows), dtype=dtype), minlength=len(total))
+    c[:len(total)] += total
+    return c
+
+
+def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums the counts of a task's parts before they are shuffled."""
+    total = np.zeros(1 << 16, dtype=np.int64)
+    for b in batches:
+        for v in b.column(0):
+            seen, n = np.frombuffer(v.as_py(), dtype="<i8").reshape(2, -1)
+            if len(seen) and seen[-1] >= len(total):
+                total = np.concatenate((total, np.zeros(int(seen[-1]) + 1 - len(total), np.int64)))
+            total[seen] += n
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["token", "n"])
 
 
 def _blocks(table, width: int, schema: pa.Schema):
@@ -233,7 +247,7 @@ def _blocks(table, width: int, schema: pa.Schema):
         held: list = []
         size = 0
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
+            for row in zip(*(c.to_pylist() for c in b.columns[:6])):
                 if held and (size >= BLOCK_TOKENS or row[0] != held[-1][0]
                              or row[1] != held[-1][1] + 1):
                     yield flush(held)
@@ -259,7 +273,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
     width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
     ids = written(ordered.mapInArrow(_tokenize(tokenizer, kind, end_id, ids_schema), _IDS),
                   "rans-ids")
-    counts = (ids.select("ids").mapInArrow(_histogram(width), "token long, n long")
+    counts = (ids.where("counts is not null").select("counts").mapInArrow(_histogram, "token long, n long")
               .groupBy("token").agg(F.sum("n").alias("n")))
     # one row per token of the vocabulary: at most 2**PROB_BITS, checked when scaled
     freq = counts.orderBy("token").limit((1 << PROB_BITS) + 1).toPandas()
@@ -268,7 +282,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
     (spark.createDataFrame([(int(a), int(b)) for a, b in zip(tokens, scaled)], "token long, freq long")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/table"))
     shared = spark.sparkContext.broadcast(Table(tokens, scaled))
-    (ids.mapInArrow(_blocks(shared, width, block_schema), _BLOCK)
+    (ids.where("counts is null").mapInArrow(_blocks(shared, width, block_schema), _BLOCK)
      .write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks"))
     totals = ids.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
