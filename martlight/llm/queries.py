@@ -30,6 +30,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", "predicted")
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: given rules, then mined association rules."""
+    from martlight.llm import url_rules
+    return url_rules.judge(read_table(spark, sf_dir, "pages", ["page_id", "url"]))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     from martlight.llm import rans
@@ -79,6 +85,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
+    "op2_url_rules": op2_url_rules,
     "op3_token_files": op3_token_files,
     "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
