@@ -63,6 +63,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every 50th vector, among all."""
+    from martlight.llm import ann
+    ship(spark)
+    return ann.nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]), "vec_id", "embedding",
+                       lambda i: i % 50 == 0)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without passages that an earlier document holds."""
     from martlight.llm import cdc
@@ -90,6 +98,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_merkle": op4_merkle,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_ann": op7_ann,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
