@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import require_columns, text_or_empty, written
+from martlight.llm.common import numbered, renamed, require_columns, text_or_empty, written
 
 WINDOW = 16               # bytes a cut depends on
-MIN_CHUNK = 16            # bytes
-MEAN_GAP = 32             # mean bytes between cut candidates
-MAX_CHUNK = 256           # bytes
+MIN_CHUNK = 12            # bytes
+MEAN_GAP = 24             # mean bytes between cut candidates
+MAX_CHUNK = 96            # bytes
 MIN_WORDS = 20            # whole words of a run of repeated chunks that is cut out
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -55,12 +55,15 @@ def rolling(data: np.ndarray) -> np.ndarray:
 def chunk_ends(text: bytes) -> list[int]:
     """Ends of the chunks of ``text``; the last is its length."""
     n = len(text)
-    cuts = np.flatnonzero(rolling(np.frombuffer(text, np.uint8)) < (1 << 32) // MEAN_GAP) + 1
+    h = rolling(np.frombuffer(text, np.uint8))
+    cuts = np.flatnonzero(h < (1 << 32) // MEAN_GAP) + 1
     ends: list[int] = []
     last = 0
     for c in [*cuts.tolist(), n]:
         while c - last > MAX_CHUNK:
-            last += MAX_CHUNK
+            # the last least hash in reach: a monotonous run is cut at one phase too
+            reach = h[last + MIN_CHUNK - 1:last + MAX_CHUNK]
+            last += MIN_CHUNK + len(reach) - 1 - int(reach[::-1].argmin())
             ends.append(last)
         if c - last >= MIN_CHUNK or (c == n and c > last):
             ends.append(c)
@@ -134,18 +137,18 @@ def cut_runs(raw: bytes, spans: list[tuple[int, int]], min_words: int) -> list[t
     return out
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every row of ``docs`` with its ``text`` cut, and ``removed`` (array of start and
-    end in characters of the former text) and ``n_removed`` (characters) added."""
+def _cut(docs: DataFrame, min_words: int) -> DataFrame:
+    """Every row's columns as ``in_0, in_1, ...`` with the text cut, ``removed``, ``n_removed``."""
     require_columns(docs, ["doc_id", "text"], "docs")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, LongType, StructType
-    cols = [c for c in docs.columns if c.lower() not in ("removed", "n_removed")]
+    cols = docs.columns
     found = written(chunks(docs), "cdc-chunks")
     spans = written(repeated_chunks(found).groupBy("doc")
-                    .agg(F.collect_set(F.struct("at", "size")).alias("__spans")), "cdc-spans")
+                    .agg(F.collect_set(F.struct("at", "size")).alias("spans")), "cdc-spans")
+    keyed = docs.select(*numbered(docs, cols), _doc().alias("doc"))
     span = StructType().add("start", LongType()).add("end", LongType())
-    out = (StructType(list(docs.select(*cols).schema.fields))
+    out = (StructType(list(keyed.schema.fields[:-1]))
            .add("removed", ArrayType(span, False)).add("n_removed", LongType()))
     arrow = to_arrow_schema(out)
     where = [c.lower() for c in cols].index("text")
@@ -173,17 +176,27 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*data, pa.array(removed, arrow.types[-2]), pa.array(n_removed, pa.int64())], schema=arrow)
 
-    keyed = docs.select(*cols, _doc().alias("__doc"))
-    return (keyed.join(spans.withColumnRenamed("doc", "__doc"), "__doc", "left")
-            .select(*cols, "__spans").mapInArrow(run, out))
+    return (keyed.join(spans, "doc", "left")
+            .select(*[f"in_{i}" for i in range(len(cols))], "spans").mapInArrow(run, out))
+
+
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Every row of ``docs`` with its ``text`` cut, and ``removed`` (array of start and
+    end in characters of the former text) and ``n_removed`` (characters) added; columns
+    that ``docs`` has under these names are replaced."""
+    cols = docs.columns
+    kept = [x for x, c in zip(renamed(cols), cols) if c.lower() not in ("removed", "n_removed")]
+    return _cut(docs, min_words).select(*kept, "removed", "n_removed")
 
 
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` after the cut, with their own columns; ``n_chars``, if any, is
     counted anew where the text changed.  A document that is nothing but repeats goes."""
-    cut = without_repeats(docs, min_words)
-    left = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    changed = F.col("n_removed") > 0
-    return left.select(*[
-        F.when(changed, F.char_length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c.lower() == "n_chars" else F.col(c) for c in docs.columns])
+    cols = docs.columns
+    text = F.col(f"in_{[c.lower() for c in cols].index('text')}")
+    cut = _cut(docs, min_words)
+    left = cut.where((F.col("n_removed") == 0) | text.rlike(r"[^\x20\x09-\x0D]"))
+    counted = [F.when(F.col("n_removed") > 0, F.char_length(text).cast(docs.schema[c].dataType))
+               .otherwise(F.col(f"in_{i}")).alias(f"in_{i}") if c.lower() == "n_chars" else F.col(f"in_{i}")
+               for i, c in enumerate(cols)]
+    return left.select(*counted).select(*renamed(cols))

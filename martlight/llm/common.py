@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martlight.session import fresh_dir, shared_dir
 from martlight.sources.tables import read_table, require_columns
 
-__all__ = ["pick", "ship", "written", "shared_dir", "fresh_dir", "read_table", "text_or_empty",
+__all__ = ["pick", "numbered", "renamed", "ship", "written", "shared_dir", "fresh_dir", "read_table", "text_or_empty",
            "ASCII_UPPER", "ASCII_LOWER", "lower_ascii", "WORD_RE"]
 
 # The contracts lower-case A-Z only and split words at ASCII white space.
@@ -39,6 +39,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, cols: Sequence[str] | None = None) -> list[Column]:
+    """The columns ``cols`` (all by default) as ``in_0, in_1, ...``: whatever they are
+    called, they never clash with an operator's own."""
+    return [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(df.columns if cols is None else cols)]
+
+
+def renamed(cols: Sequence[str]) -> list[Column]:
+    """``in_0, in_1, ...`` under the names ``cols`` again."""
+    return [F.col(f"in_{i}").alias(c) for i, c in enumerate(cols)]
+
+
 def text_or_empty(col: str | Column = "text") -> Column:
     """The text, with null as the empty text."""
     c = F.col(col) if isinstance(col, str) else col

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import pick, text_or_empty, written
+from martlight.llm.common import numbered, renamed, require_columns, text_or_empty, written
 from martlight.llm.components import components
 
 SHINGLE = 4
@@ -58,16 +58,17 @@ def fingerprint(text: str, k: int = SHINGLE) -> int:
 
 
 def with_fingerprints(docs: DataFrame, keep: list[str], k: int = SHINGLE) -> DataFrame:
-    """The columns ``keep`` of every row and ``fp``, the fingerprint as a signed long."""
+    """The columns ``keep`` of every row as ``in_0, in_1, ...``, and ``fp``, the fingerprint
+    as a signed long."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import LongType, StructType
-    inner = docs.select(*keep, text_or_empty(docs["text"]).alias("__text"))
-    out = StructType(list(docs.select(*keep).schema.fields)).add("fp", LongType())
+    inner = docs.select(*numbered(docs, keep), text_or_empty(docs["text"]).alias("text"))
+    out = StructType(list(inner.schema.fields[:-1])).add("fp", LongType())
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t, k) for t in b.column("__text").to_pylist()], dtype=np.uint64)
+            fp = np.array([fingerprint(t, k) for t in b.column("text").to_pylist()], dtype=np.uint64)
             cols = [c.cast(t) if not c.type.equals(t) else c
                     for c, t in zip(b.columns[:-1], arrow.types)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(fp.view(np.int64))], schema=arrow)
@@ -226,7 +227,9 @@ def component_of(rows: DataFrame, tau: int = TAU, segments: int = SEGMENTS) -> D
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, tau: int = TAU) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row."""
-    rows = written(with_fingerprints(pick(docs, ["doc_id", "text"], "docs"), ["doc_id"], k), "simhash-fp")
+    require_columns(docs, ["doc_id", "text"], "docs")
+    rows = written(with_fingerprints(docs, ["doc_id"], k).select(F.col("in_0").alias("doc_id"), "fp"),
+                   "simhash-fp")
     found = written(component_of(rows, tau), "simhash-components")
     return rows.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -235,14 +238,17 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, tau: int = TAU) -> DataFr
 def deduplicate(docs: DataFrame, k: int = SHINGLE, tau: int = TAU) -> DataFrame:
     """One row of every component: that of the smallest doc_id (null ids last), then
     of the smallest fingerprint; of repeated rows of that document, one."""
+    require_columns(docs, ["doc_id", "text"], "docs")
     cols = docs.columns
+    key = f"in_{[c.lower() for c in cols].index('doc_id')}"
     rows = written(with_fingerprints(docs, cols, k), "simhash-docs")
-    found = written(component_of(rows.select("doc_id", "fp"), tau), "simhash-components")
-    best = (found.join(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp")
-            .where("least <=> component_id")
+    ids = rows.select(F.col(key).alias("doc_id"), "fp")
+    found = written(component_of(ids, tau), "simhash-components")
+    least = ids.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    best = (found.join(least, "fp").where("least <=> component_id")
             .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone"))
             .agg(F.min("fp").alias("fp")).select(F.col("component_id").alias("keep_id"), "fp"))
     best = written(best, "simhash-kept")
     at = rows.alias("r").join(best.alias("b"), (F.col("r.fp") == F.col("b.fp"))
-                              & F.col("r.doc_id").eqNullSafe(F.col("b.keep_id")), "left_semi")
-    return at.dropDuplicates(["doc_id", "fp"]).select(*cols)
+                              & F.col(f"r.{key}").eqNullSafe(F.col("b.keep_id")), "left_semi")
+    return at.dropDuplicates([key, "fp"]).select(*renamed(cols))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import pick, text_or_empty, written
+from martlight.llm.common import numbered, pick, renamed, require_columns, text_or_empty, written
 
 # --- the grammar ----------------------------------------------------------------
 
@@ -382,23 +382,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
     return model
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """Every row of ``docs`` with ``score`` (0 to 1) and ``predicted`` added; a
-    column of either name that ``docs`` already has is replaced."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    own = [c for c in docs.columns if c.lower() not in ("score", "predicted", "__text")]
+def _scored(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """Every row's columns as ``in_0, in_1, ...``, ``score`` and ``predicted``."""
+    require_columns(docs, ["text"], "docs")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, IntegerType, StructType
-    inner = docs.select(*own, text_or_empty(docs["text"]).alias("__text"))
-    out = StructType([*docs.select(*own).schema.fields])
-    out = out.add("score", DoubleType()).add("predicted", IntegerType())
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    inner = docs.select(*numbered(docs), text_or_empty(docs["text"]).alias("text"))
+    out = StructType(list(inner.schema.fields[:-1])).add("score", DoubleType()).add("predicted", IntegerType())
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            s = [m.score(t) for t in b.column("__text").to_pylist()]
+            s = [m.score(t) for t in b.column("text").to_pylist()]
             cols = [c.cast(t) if not c.type.equals(t) else c
                     for c, t in zip(b.columns[:-1], arrow.types)]
             yield pa.RecordBatch.from_arrays(
@@ -408,7 +405,14 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     return inner.mapInArrow(run, out)
 
 
-def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
+    """Every row of ``docs`` with ``score`` (0 to 1) and ``predicted`` added; columns that
+    ``docs`` has under these names are replaced."""
+    kept = [x for x, c in zip(renamed(docs.columns), docs.columns) if c.lower() not in ("score", "predicted")]
+    return _scored(docs, model, threshold).select(*kept, "score", "predicted")
+
+
+def reject(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with their own columns."""
-    scored = score(docs, fit(docs, labels))
-    return scored.where("predicted = 0").select(*docs.columns)
+    scored = _scored(docs, fit(docs, labels), threshold)
+    return scored.where("predicted = 0").select(*renamed(docs.columns))
