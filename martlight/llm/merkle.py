@@ -119,9 +119,10 @@ def with_next(docs: DataFrame, carry: dict[str, Column] | None = None) -> DataFr
                             lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
     rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNotNull(), below)
                            .otherwise(-1 - F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
-    # one row per range: its largest id, then that row's text, then the range before it
+    # one row per range (at most 2 * MAX_RANGES): its largest id, then that row's text, then
+    # the range before it
     tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
-    firsts = (rows.alias("r").join(tops.alias("t"), (F.col("r.bucket") == F.col("t.bucket"))
+    firsts = (rows.alias("r").join(F.broadcast(tops).alias("t"), (F.col("r.bucket") == F.col("t.bucket"))
                                    & F.col("r.doc_id").eqNullSafe(F.col("t.top")))
               .groupBy("r.bucket").agg(F.max("r.text").alias("text")))
     ring = Window.orderBy(F.col("bucket").desc())

@@ -11,11 +11,11 @@ into one machine over them:
 * report   marks those after a reporting verb in the same clause.
 
 Only clauses that hold an insult or a threat are run, and what is scored is the
-marked event, not the word.  The score is a logistic function of the events'
-weights; an event's factor starts from the grammar's arc weights and is fitted
-to labels, as is the insult lexicon: word stems whose distinct contexts lie
-almost only in toxic documents.  Contexts, not documents, are counted, so a
-stem repeated by copies of one text is no evidence.
+marked event, not the word: its weight is the word's plus the weights of the arcs
+taken.  The score is a logistic function of the summed weights, fitted to labels, as
+is the insult lexicon: word stems that stand almost only in toxic
+documents.  Sketches of documents, not documents, are counted, so a stem repeated
+by near copies of one text is no evidence.
 
 The fit reads at most ``max_train_docs`` labelled rows on average (a hash
 sample of documented size); scoring reads every row and whole texts.  A null or
@@ -145,16 +145,6 @@ def grammar() -> Transducer:
             .compose(_marker(REPORT, "r", ARC_WEIGHT["report"], negated, None)))
 
 
-#: What a document is described by: the weight of its events of each kind.
-KINDS = ("plain", "targeted", "negated", "reported", "threat")
-
-
-def kind_of(event: str) -> int:
-    if event[0] == "T":
-        return 4
-    return 3 if event.endswith("r") else 2 if "n" in event else 1 if event.endswith("y") else 0
-
-
 # --- the model ------------------------------------------------------------------
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -163,11 +153,11 @@ _CLAUSE_END = re.compile(r"[.!?;:\n|]")
 
 @dataclass
 class Model:
-    """Insult stems with weights, and the factors of the event kinds."""
+    """Insult stems with weights, and how a text's summed weight becomes a score."""
 
     stems: dict[str, float] = field(default_factory=dict)
-    bias: float = -2.5
-    factors: tuple[float, ...] = (1.0, 1.0, 1.0, 1.0, 1.0)
+    bias: float = -4.0
+    scale: float = 1.0
     words: dict[str, str] = field(default_factory=lambda: {
         w: s for s, ws in CLASS_WORDS.items() for w in ws.split()})
 
@@ -224,14 +214,12 @@ class Model:
                     found.append((m.start(), m.end(), out, max(0.1, weight + extra)))
         return found
 
-    def describe(self, text: str) -> np.ndarray:
-        x = np.zeros(len(KINDS))
-        for _, _, event, w in self.events(text):
-            x[kind_of(event)] += w
-        return x
+    def weigh(self, text: str) -> float:
+        """The summed weight of the text's events."""
+        return sum(w for _, _, _, w in self.events(text))
 
     def score(self, text: str) -> float:
-        z = self.bias + float(self.describe(text) @ np.asarray(self.factors))
+        z = self.bias + self.scale * self.weigh(text)
         return 1.0 / (1.0 + math.exp(-max(-700.0, min(700.0, z))))
 
 
@@ -259,83 +247,103 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
          pa.array(list(counts.values()), pa.int64())], ["stem", "toxic", "n"])
 
 
-def _contexts(shared):
-    """Every word that starts with a candidate stem, with one hash of its neighbours
-    per text (the least, so near copies give the same one)."""
+def _sketch(words: list[str]) -> int:
+    """The least hash of two neighbouring words: near copies of a text share it."""
+    import xxhash
+    digest = xxhash.xxh64_intdigest
+    pairs = zip(words, words[1:]) if len(words) > 1 else [(w, "") for w in words]
+    return min(digest(f"{a} {b}") for a, b in pairs) >> 1
+
+
+def _evidence(shared):
+    """(item, toxic, sketch) of every text for its candidate stems, and, marked by a
+    leading ``=``, for the words that start with one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
         stems = shared.value
         for b in batches:
-            rows = set()
+            found = []
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 words = _WORD.findall(text.lower())
-                least: dict[str, int] = {}
-                for i, w in enumerate(words):
-                    if any(w[:n] in stems for n in range(STEM_MIN, min(len(w), STEM_MAX) + 1)):
-                        near = " ".join(words[max(0, i - 1):i] + ["*"] + words[i + 1:i + 2])
-                        h = xxhash.xxh64_intdigest(near) >> 1
-                        least[w] = min(h, least.get(w, h))
-                rows.update((w, toxic, h) for w, h in least.items())
-            if rows:
+                items = set()
+                for w in set(words):
+                    starts = {w[:n] for n in range(STEM_MIN, min(len(w), STEM_MAX) + 1)} & stems
+                    if starts:
+                        items |= starts | {"=" + w}
+                if items:
+                    sketch = _sketch(words)
+                    found += [(i, toxic, sketch) for i in items]
+            if found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int64()))],
-                    ["word", "toxic", "context"])
+                    [pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.int32(), pa.int64()))],
+                    ["item", "toxic", "sketch"])
     return run
 
 
-def choose_stems(counts: dict[str, tuple[int, int]], prior: float,
-                 candidates: set[str] | None = None) -> dict[str, float]:
-    """Stems from distinct contexts per word (clean, toxic); ``counts`` must hold every
-    word that starts with a candidate (None: with any stem).
-
-    The shortest start whose contexts are almost only toxic (more than chance
-    allows over all starts tried), lengthened to what its words have in common."""
-    trie: dict[str, list[int]] = {}
-    for w, (clean, toxic) in counts.items():
-        for n in range(STEM_MIN, min(len(w), STEM_MAX) + 1):
-            node = trie.setdefault(w[:n], [0, 0])
-            node[0] += clean
-            node[1] += toxic
-    if not trie:
-        return {}
-    least = max(4, math.ceil(math.log(0.05 / len(trie)) / math.log(min(0.5, max(prior, 1e-6)))))
+def choose_stems(stems: dict[str, tuple[int, int]], words: dict[str, tuple[int, int]],
+                 prior: float) -> dict[str, float]:
+    """Lexicon from (clean, toxic) numbers of sketches by stem and by word.
+
+    Stems are taken by their log-likelihood ratio against the prior share, largest first,
+    while it exceeds what chance gives over all stems tried; of nested stems only one is
+    taken.  A stem is lengthened to what its words have in common; its weight is its log
+    odds, so a stem that clean texts hold now and then needs company."""
+    def ratio(clean: int, toxic: int) -> float:
+        p = toxic / (clean + toxic)
+        if p < 0.5 or toxic < 4:
+            return 0.0
+        return toxic * math.log(p / prior) + (clean * math.log((1 - p) / (1 - prior)) if clean else 0.0)
+
+    ranked = sorted(((ratio(*n), s) for s, n in stems.items()), key=lambda r: (-r[0], len(r[1]), r[1]))
+    least = math.log(max(1, len(stems)) / 0.01)
     out: dict[str, float] = {}
-    for s in sorted(trie, key=lambda s: (len(s), s)):
-        clean, toxic = trie[s]
-        if candidates is not None and s not in candidates:
-            continue
-        if toxic < least or clean > 0.03 * toxic or any(s[:n] in out for n in range(1, len(s))):
+    taken: set[str] = set()             # chosen stems and their starts
+    for score, s in ranked:
+        if score < least:
+            break
+        if s in taken or any(s[:n] in out for n in range(1, len(s))):
             continue
+        clean, toxic = stems[s]
+        family = {w: sum(n) for w, n in words.items() if w.startswith(s)}
         whole = s
         while len(whole) < STEM_MAX:
-            longer = [k for k in {w[:len(whole) + 1] for w in counts if w.startswith(whole)}
-                      if len(k) > len(whole) and trie[k][1] >= 0.95 * toxic]
-            if not longer:
+            share: Counter = Counter()
+            for w, n in family.items():
+                share[w[:len(whole) + 1]] += n
+            longer, n = share.most_common(1)[0] if share else ("", 0)
+            if len(longer) <= len(whole) or n < 0.99 * sum(family.values()):
                 break
-            whole = longer[0]
+            whole = longer
         out[whole] = min(6.0, math.log((toxic + 0.5) / (clean + 0.5)) - math.log(prior / (1 - prior)))
+        taken.update(whole[:n] for n in range(1, len(whole) + 1))
     return out
 
 
-def fit_factors(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, tuple[float, ...]]:
-    """Logistic regression by Newton steps, drawn towards the grammar's own weights."""
-    n, k = x.shape
-    a = np.hstack([np.ones((n, 1)), np.minimum(x, 20.0)])
-    prior = np.array([-2.5] + [1.0] * k)
+def fit_score(x: np.ndarray, y: np.ndarray, n: np.ndarray, cap: float = 12.0) -> tuple[float, float]:
+    """(bias, scale) of a logistic curve through (weight, toxic, number of texts), by damped
+    Newton steps, drawn slightly towards the default curve."""
+    a = np.stack([np.ones(len(x)), np.minimum(x, cap)], axis=1)
+    prior, pull = np.array([-4.0, 1.0]), np.diag([0.05, 0.5])
+
+    def loss(beta):
+        z = a @ beta
+        return float((n * (np.logaddexp(0, z) - y * z)).sum() + (beta - prior) @ pull @ (beta - prior) / 2)
+
     beta = prior.copy()
-    pull = np.diag([0.01] + [ridge] * k)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a @ beta, -30, 30)))
-        grad = a.T @ (y - p) - pull @ (beta - prior)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + pull, grad)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-a @ beta))
+        grad = a.T @ (n * (p - y)) + pull @ (beta - prior)
+        step = np.linalg.solve((a * (n * p * (1 - p))[:, None]).T @ a + pull, grad)
+        t = 1.0
+        while t > 1e-6 and loss(beta - t * step) > loss(beta):
+            t /= 2
+        beta = beta - t * step
+        if np.abs(t * step).max() < 1e-9:
             break
-    return float(beta[0]), tuple(float(max(0.05, b)) for b in beta[1:])
+    return float(beta[0]), float(max(0.05, beta[1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS) -> Model:
-    """Lexicon and factors from labelled rows outside the held-out fold."""
+    """Lexicon and score curve from labelled rows outside the held-out fold."""
     spark = docs.sparkSession
     known = (pick(labels, ["doc_id", "toxic"], "labels").where("toxic is not null and doc_id is not null")
              .where(~held_out(F.col("doc_id")))
@@ -358,27 +366,26 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
     stems = (rows.mapInArrow(_count_stems, "stem string, toxic int, n long")
              .groupBy("stem").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                   F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
-             .where("a >= 4 and b <= 0.1 * a"))
+             .where("a >= 4 and b <= a"))
     # bounded by the sample: candidate stems and their words come from max_train_docs texts
     shared = spark.sparkContext.broadcast({r["stem"] for r in stems.select("stem").toLocalIterator()})
-    seen = (rows.mapInArrow(_contexts(shared), "word string, toxic int, context long")
-            .distinct().groupBy("word")
+    seen = (rows.mapInArrow(_evidence(shared), "item string, toxic int, sketch long")
+            .distinct().groupBy("item")
             .agg(F.sum(1 - F.col("toxic")).alias("b"), F.sum("toxic").alias("a")))
-    counts = {r["word"]: (r["b"], r["a"]) for r in seen.toLocalIterator()}
-    model = Model(stems=choose_stems(counts, prior, shared.value))
+    counts = {r["item"]: (r["b"], r["a"]) for r in seen.toLocalIterator()}
+    by_word = {k[1:]: v for k, v in counts.items() if k[0] == "="}
+    by_stem = {k: v for k, v in counts.items() if k[0] != "="}
+    model = Model(stems=choose_stems(by_stem, by_word, prior))
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [model.describe(t).tolist() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.list_(pa.float64())), b.column("toxic")], ["x", "toxic"])
-
-    described = rows.mapInArrow(describe, "x array<double>, toxic int").groupBy("x", "toxic").count()
-    got = described.orderBy("x", "toxic").collect()       # at most max_train_docs rows
-    reps = np.array([min(r["count"], 1000) for r in got])
-    x = np.repeat(np.array([r["x"] for r in got]), reps, axis=0)
-    y = np.repeat(np.array([r["toxic"] for r in got], dtype=float), reps)
-    model.bias, model.factors = fit_factors(x, y)
+            x = [round(model.weigh(t), 3) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column("toxic")], ["x", "toxic"])
+
+    got = (rows.mapInArrow(weigh, "x double, toxic int").groupBy("x", "toxic").count()
+           .orderBy("x", "toxic").collect())              # at most max_train_docs rows
+    model.bias, model.scale = fit_score(*(np.array([r[c] for r in got], dtype=float)
+                                          for c in ("x", "toxic", "count")))
     return model
 
 
