@@ -8,8 +8,8 @@ are merged; a merged span is verified by the words themselves: the share of the
 template's words that stand in the span.  Built from SQL functions only.
 
 Base phrases must stand word for word: their diagonals need every 2-gram of the
-phrase, and each such place is counted.  Notices need ``COVER`` of their words in a
-span at most ``SLACK`` words longer or shorter.
+phrase, and each such place is counted.  Notices need all their words but one in
+``MISS`` in a span at most ``SLACK`` words longer or shorter.
 
 The templates are a fixed table in this module, so the join's small side has a fixed
 size.  What is shuffled is hits and one row per text, never words.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from martlight.llm.common import lower_ascii, pick, text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-COVER = 0.8               # share of a notice's words that a span must hold
+MISS = 8                  # one in so many of a notice's words may be missing from its span
 SLACK = 2                 # words inserted or dropped between merged diagonals
 
 # The contract's phrases and their labels.
@@ -48,7 +48,6 @@ NOTICES = [
     ("mozilla public license version", "mpl"),
     ("licensed under cc by nc", "cc-by-nc"),
     ("licensed under cc by sa", "cc-by-sa"),
-    ("licensed under cc by 4 0", "cc-by"),
     ("creative commons attribution", "cc"),
     ("creative commons attribution noncommercial", "cc-by-nc"),
     ("all rights reserved", "proprietary"),
@@ -120,17 +119,17 @@ def spans(found: DataFrame) -> DataFrame:
                                        | (F.col("diagonal") - before > SLACK)).cast("int"))
               .withColumn("span", F.sum("new").over(by)))
     target = F.array_distinct(F.split("template", " "))
-    covered = F.size(F.array_intersect(target, F.col("near"))) / F.size(target)
+    shared = F.size(F.array_intersect(target, F.col("near")))
     enough = F.greatest(F.floor((F.col("t_words") - 1) / 2), F.lit(2))
     return (merged.groupBy(*text, *kind, "span")
             .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"),
                  F.flatten(F.collect_list("near")).alias("near"))
-            .withColumn("covered", covered)
-            .select(*text, "template", "label", "diagonal", "covered",
+            .withColumn("shared", shared).withColumn("all", F.size(target))
+            .select(*text, "template", "label", "diagonal", (F.col("shared") / F.col("all")).alias("covered"),
                     F.coalesce(F.col("base") & (F.col("votes") == F.col("t_words") - 1),
                                F.lit(False)).alias("exact"),
-                    F.coalesce(~F.col("base") & (F.col("covered") >= COVER) & (F.col("votes") >= enough),
-                               F.lit(False)).alias("notice")))
+                    F.coalesce(~F.col("base") & (F.col("votes") >= enough) & (
+                        F.col("shared") >= F.col("all") - F.floor(F.col("t_words") / MISS)), F.lit(False)).alias("notice")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -170,10 +169,10 @@ m AS (SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER d <= {SLACK} IS
 s AS (SELECT *, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM m),
 u AS (SELECT r, template, label, base, t_words, span, sum(votes) AS votes, min(diagonal) AS diagonal,
         flatten(list(near)) AS near FROM s GROUP BY ALL),
-c AS (SELECT *, len(list_intersect(list_distinct(string_split(template, ' ')), near))
-        / len(list_distinct(string_split(template, ' '))) AS covered FROM u),
-k AS (SELECT *, base AND votes = t_words - 1 AS exact,
-        NOT base AND covered >= {COVER} AND votes >= greatest((t_words - 1) // 2, 2) AS notice FROM c),
+c AS (SELECT *, len(list_intersect(list_distinct(string_split(template, ' ')), near)) AS shared,
+        len(list_distinct(string_split(template, ' '))) AS words FROM u),
+k AS (SELECT *, shared / words AS covered, base AND votes = t_words - 1 AS exact, NOT base
+        AND shared >= words - t_words // {MISS} AND votes >= greatest((t_words - 1) // 2, 2) AS notice FROM c),
 p AS (SELECT r, count(*) FILTER (exact) AS n_base, min(diagonal) FILTER (exact) AS first_word,
         max(diagonal) FILTER (exact) AS last_word,
         list_sort(list(DISTINCT label) FILTER (exact)) AS base_labels,
