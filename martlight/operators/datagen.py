@@ -86,11 +86,12 @@ def _tiered(lo_hi: dict, other: tuple, salt: int) -> Column:
 
 
 def product_line(customer_id) -> Column:
-    m = F.pmod(_c(customer_id), F.lit(4))
+    """By the remainder modulo 4; a negative remainder or a NULL id takes the last."""
+    m = _c(customer_id) % 4
     out = F.when(m == 0, PRODUCT_BY_MOD4[0])
-    for i in range(1, 4):
+    for i in range(1, 3):
         out = out.when(m == i, PRODUCT_BY_MOD4[i])
-    return out
+    return out.otherwise(PRODUCT_BY_MOD4[3])
 
 
 def mrr_uplift(base, month_idx) -> Column:
@@ -109,7 +110,9 @@ def monthly_revenue(customers: DataFrame, start: dt.date, months: int) -> DataFr
     expansion = F.when(portable_draw(1, 10, "customer_id", "month_idx", 3) > 7,
                        portable_draw(EXPANSION[0], EXPANSION[1], "customer_id", "month_idx", 4)
                        ).otherwise(F.lit(0).cast("bigint"))
-    churn = (F.col("health_score") < 65) & (portable_draw(1, 10, "customer_id", "month_idx", 5) > 8)
+    # a NULL health score is no churn
+    churn = F.when((F.col("health_score") < 65)
+                   & (portable_draw(1, 10, "customer_id", "month_idx", 5) > 8), True).otherwise(False)
     g = base.select(
         "customer_id", "month", "month_idx",
         mrr_uplift(_tiered(TIER_MRR, OTHER_MRR, 1), "month_idx").alias("mrr_usd"),

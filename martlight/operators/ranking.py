@@ -1,112 +1,49 @@
 """Dense global row numbers without a single-partition sort.
 
-``ROW_NUMBER() OVER (ORDER BY …)`` with no PARTITION BY moves every row into
-one task.  Here instead:
-
-1. a seeded sample of the ordering key (about ``oversample`` rows per target
-   bucket, so bounded by the bucket count, not the data) gives split points;
-2. each row gets a bucket = number of split points at or below its key (a
-   balanced CASE tree over the split literals, log2 comparisons per row) — a
-   pure expression of the row and the literals, so every recomputation
-   (a second consumer, a retried task, a lost executor) assigns the same
-   bucket;
-3. row number = rows in all earlier buckets (per-bucket counts, prefix-summed
-   and broadcast — one row per bucket) + ``row_number()`` within the bucket
-   (a window partitioned by bucket: a shuffle on the bucket, sorted per task).
-
-The ordering must be total (add tie-breaking keys).  NULL keys sort first.
-Descending keys must be numeric, date or timestamp (they are negated).
+``ROW_NUMBER() OVER (ORDER BY …)`` with no PARTITION BY moves every row into one
+task.  Here instead the rows are range partitioned on the ordering and sorted within
+their partitions, and written once with their place: Spark's row id holds the partition
+and the row's position in it.  The written table fixes both for every later read (a
+second consumer, a retried task, a lost executor).  A row's number is its position plus
+the rows of all earlier partitions, which one count per partition gives.
+
+The path is the same at any size.  A partition's size is the input over the partition
+count (``partitions``, by default the session's shuffle partitions); the only window
+without a partition key runs over one count per partition, and the offsets are joined
+by partition number.
+
+Ordering is Spark's own: ascending keys put NULL first, descending keys put NULL first
+too and NaN before every number.  It must be total (add tie-breaking keys).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, NumericType, TimestampNTZType,
-                               TimestampType)
-
-
-def _asc_key(df: DataFrame, name: str, desc: bool) -> Column:
-    c = F.col(name)
-    if not desc:
-        return c
-    t = df.schema[name].dataType
-    if isinstance(t, (DecimalType, NumericType)):
-        return -c
-    if isinstance(t, DateType):
-        return -F.unix_date(c)
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
-    raise TypeError(f"descending key {name!r} of type {t} is not supported")
-
+from pyspark.sql.types import LongType, StructField, StructType
 
-def _literal(v, dtype) -> Column:
-    """A sampled key value back as a literal of its own type (wall-clock
-    timestamps via text, so the driver's zone plays no part)."""
-    if v is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, TimestampNTZType):
-        return F.lit(v.isoformat(sep=" ")).cast(dtype)
-    return F.lit(v).cast(dtype)
+from martlight.session import fresh_dir
 
-
-def _bucket_of(key: Column, splits: list[Column], lo: int, hi: int) -> Column:
-    """Number of split points <= key among splits[lo:hi], as a balanced
-    CASE tree: log2(#splits) comparisons per row instead of one per split."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < splits[mid], _bucket_of(key, splits, lo, mid)) \
-            .otherwise(_bucket_of(key, splits, mid + 1, hi))
+_PLACE_BITS = 33          # of Spark's row ids: the position within the partition
 
 
 def global_row_number(df: DataFrame, keys: list[str], descending: list[bool] | None = None,
-                      name: str = "rn", buckets: int | None = None,
-                      oversample: int = 20, seed: int = 17,
-                      checkpoint: bool = False, rows_per_bucket: int = 250_000) -> DataFrame:
-    """``buckets`` fixes the bucket count; by default it is the shuffle
-    partition count, lowered so that a bucket holds at least
-    ``rows_per_bucket`` rows (small inputs need few buckets).
-
-    ``checkpoint=True`` computes ``df`` once into ``spark.checkpoint.dir``
-    (reliable storage) before the count, the key sample and the numbering
-    read it; use it when ``df`` is expensive to recompute."""
+                      name: str = "rn", partitions: int | None = None) -> DataFrame:
+    """``df`` with its 1-based rank by ``keys`` added as ``name``."""
     spark = df.sparkSession
-    if checkpoint:
-        from martlight.session import shared_dir
-        shared_dir(spark)                      # make sure a checkpoint folder is set
-        df = df.checkpoint(eager=True)
-    descending = descending or [False] * len(keys)
     cols = df.columns
-    key = F.struct(*[_asc_key(df, k, d).alias(f"k{i}")
-                     for i, (k, d) in enumerate(zip(keys, descending))])
-    keyed = df.withColumn("__key", key)
-
-    n = df.count()
-    nb = buckets or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                               -(-n // rows_per_bucket)))
-    splits: list = []
-    if n > 0 and nb > 1:
-        frac = min(1.0, oversample * nb / n)
-        sample = [r["__key"] for r in
-                  keyed.select("__key").sample(False, frac, seed).orderBy("__key").collect()]
-        if sample:
-            step = len(sample) / nb
-            for i in range(1, nb):          # sample is already in key order
-                s = tuple(sample[int(i * step)])
-                if not splits or splits[-1] != s:
-                    splits.append(s)
-    key_type = keyed.schema["__key"].dataType
-    lits = [F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(s, key_type.fields)])
-            for s in splits]
-    bucket = _bucket_of(F.col("__key"), lits, 0, len(lits))
-    b = keyed.withColumn("__b", bucket.cast("int"))
-
-    counts = b.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket: broadcasting the offsets is bounded by the bucket count
-    offsets = counts.select("__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    within = Window.partitionBy("__b").orderBy(F.col("__key").asc_nulls_first())
-    return (b.withColumn("__i", F.row_number().over(within))
-            .join(F.broadcast(offsets), "__b")
-            .select(*cols, (F.col("__off") + F.col("__i")).cast("bigint").alias(name)))
+    order = [F.col(k).desc_nulls_first() if d else F.col(k).asc_nulls_first()
+             for k, d in zip(keys, descending or [False] * len(keys))]
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_dir(spark, "row-number")
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("__id", F.monotonically_increasing_id()).write.parquet(path))
+    schema = StructType([*df.schema.fields, StructField("__id", LongType())])
+    placed = spark.read.schema(schema).parquet(path)
+    placed = placed.withColumn("__part", F.shiftright("__id", _PLACE_BITS))
+    counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    place = F.col("__id").bitwiseAND((1 << _PLACE_BITS) - 1)
+    return placed.join(starts, "__part").select(
+        *cols, (F.col("__start") + place + 1).cast("bigint").alias(name))

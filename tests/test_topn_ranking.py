@@ -40,12 +40,12 @@ def test_two_labels_and_single_folded_group(spark):
     assert (other["t"], other["s"], other["cr"]) == ("Others", "(rest)", Decimal("0.0001"))
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 8, 64])
-def test_global_row_number_matches_window(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 3, 8, 64])
+def test_global_row_number_matches_window(spark, partitions):
     rnd = random.Random(7)
     rows = [(rnd.randint(0, 50), f"u{i:04d}", rnd.choice([None, 1.5, 2.5])) for i in range(3000)]
     df = spark.createDataFrame(rows, "a int, u string, x double").repartition(5)
-    got = global_row_number(df, ["a", "u"], [True, False], "rn", buckets=buckets)
+    got = global_row_number(df, ["a", "u"], [True, False], "rn", partitions=partitions)
     exp = df.withColumn("rn2", F.row_number().over(
         Window.orderBy(F.col("a").desc_nulls_first(), F.col("u").asc())))
     j = got.join(exp, ["a", "u"])
@@ -78,5 +78,26 @@ def test_global_row_number_wall_clock_keys(spark):
     import datetime as dt
     rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), i) for i in range(500)]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, i int").repartition(4)
-    got = {r["i"]: r["rn"] for r in global_row_number(df, ["ts"], name="rn", buckets=6).collect()}
+    got = {r["i"]: r["rn"] for r in global_row_number(df, ["ts"], name="rn", partitions=6).collect()}
     assert got == {i: i + 1 for i in range(500)}
+
+
+def test_global_row_number_orders_as_spark_does(spark):
+    import sys
+    nan, big = float("nan"), -(2 ** 63)
+    rows = [(1, nan, big), (2, None, None), (3, 1.5, 0), (4, -2.0, 2 ** 63 - 1), (5, float("inf"), big + 1)]
+    df = spark.createDataFrame(rows, "i int, x double, b bigint")
+    for keys, desc in ((["x", "i"], [True, False]), (["x", "i"], [False, True]), (["b", "i"], [True, False]),
+                       (["b", "i"], [False, False])):
+        order = [F.col(k).desc_nulls_first() if d else F.col(k).asc_nulls_first() for k, d in zip(keys, desc)]
+        want = {r["i"]: r["n"] for r in df.withColumn("n", F.row_number().over(Window.orderBy(*order))).collect()}
+        got = {r["i"]: r["rn"] for r in global_row_number(df, keys, desc, partitions=4).collect()}
+        assert got == want, (keys, desc, sys.version)
+
+
+def test_global_row_number_with_two_thousand_partitions(spark):
+    df = spark.range(40_000).select((F.col("id") * 7919 % 40_009).alias("a"), "id")
+    got = global_row_number(df, ["a", "id"], partitions=2000)
+    assert got.agg(F.max("rn"), F.countDistinct("rn")).first()[:] == (40_000, 40_000)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "CartesianProduct" not in text

@@ -41,7 +41,7 @@ def main(argv):
 
     out = {"rows": n}
     out["rank_distributed_s"] = _time(lambda: noop(
-        global_row_number(rows, ["score", "label"], [True, False], "rn", buckets=16)))
+        global_row_number(rows, ["score", "label"], [True, False], "rn", partitions=16)))
     out["rank_single_window_s"] = _time(lambda: noop(rows.withColumn(
         "rn", F.row_number().over(Window.orderBy(F.col("score").desc(), "label")))))
     out["topn_distributed_s"] = _time(lambda: noop(
