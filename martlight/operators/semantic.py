@@ -22,7 +22,7 @@ Query compilation (all DataFrame operations, no SQL text generation):
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,7 +88,17 @@ class Metric:
         return cls(entity, name, m.group(1).lower(), m.group(2).strip())
 
 
-AVG_TYPE = "decimal(38,6)"
+_TOKEN = re.compile(r"'(?:[^']|'')*'|[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)?(?!\w*\s*\()")
+
+
+def _words(text: str) -> list[str]:
+    """Names (``field`` or ``entity.field``) of a predicate, outside quoted literals."""
+    return [w for w in _TOKEN.findall(text) if not w.startswith("'")]
+
+
+def _replace_words(text: str, by: dict[str, str]) -> str:
+    return _TOKEN.sub(lambda m: by.get(m.group(), m.group()), text)
+
 
 _SORT_RE = re.compile(r"^\s*(.+?)(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?\s*$", re.I)
 
@@ -113,29 +123,37 @@ class SemanticModel:
                  fields: list[Field], metrics: list[Metric]):
         self.entities = {e.name: e for e in entities}
         self.relationships = list(relationships)
-        self.fields = {f.name.lower(): f for f in fields}
-        self.metrics = {m.name.lower(): m for m in metrics}
-        for f in fields:
-            self._entity(f.entity)
-        for m in metrics:
-            self._entity(m.entity)
+        self.fields = self._by_name(fields, "field")
+        self.metrics = self._by_name(metrics, "metric")
         for r in relationships:
             self._entity(r.child), self._entity(r.parent)
 
     # -- lookup -------------------------------------------------------------
+    def _by_name(self, items: list, what: str) -> dict:
+        """(entity, name in lower case) -> item; two entities may share a name."""
+        out = {}
+        for x in items:
+            key = (self._entity(x.entity).name, x.name.lower())
+            if key in out:
+                raise SemanticError(f"{what} {x.entity}.{x.name} is declared twice")
+            out[key] = x
+        return out
+
     def _entity(self, name: str) -> Entity:
         if name not in self.entities:
             raise SemanticError(f"unknown entity {name!r}")
         return self.entities[name]
 
-    def _name(self, qualified: str, table: dict, what: str):
-        key = qualified.split(".")[-1].lower()
-        if key not in table:
-            raise SemanticError(f"unknown {what} {qualified!r}")
-        obj = table[key]
-        if "." in qualified and qualified.split(".")[0] != obj.entity:
-            raise SemanticError(f"{what} {qualified!r} is not on entity {qualified.split('.')[0]!r}")
-        return obj
+    def _name(self, name: str, table: dict, what: str):
+        """The item called ``name`` or ``entity.name``; a bare name must be unique."""
+        entity, _, bare = name.rpartition(".")
+        found = [x for (e, n), x in table.items() if n == bare.lower() and entity in ("", e)]
+        if not found:
+            raise SemanticError(f"unknown {what} {name!r}")
+        if len(found) > 1:
+            raise SemanticError(f"{what} {name!r} is ambiguous: qualify it with one of "
+                                f"{sorted(x.entity for x in found)}")
+        return found[0]
 
     def field(self, name: str) -> Field:
         return self._name(name, self.fields, "field")
@@ -169,11 +187,57 @@ class SemanticModel:
         return e.table.withColumns(exprs)
 
     # -- predicates ---------------------------------------------------------
-    def _refs(self, predicate: str) -> list[Field]:
-        """Declared fields a predicate mentions (quoted literals ignored)."""
-        bare = re.sub(r"'(?:[^']|'')*'", "''", predicate)
-        words = set(w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", bare))
-        return [f for k, f in self.fields.items() if k in words]
+    def _predicate(self, text: str) -> tuple[list[Field], dict[str, str]]:
+        """The declared fields a predicate names, and what it calls each of them.
+
+        Quoted literals and function names are skipped; a predicate must name a field,
+        so it is never applied to a table by a chance physical column."""
+        fields: list[Field] = []
+        names: dict[str, str] = {}
+        for word in _words(text):
+            entity, _, bare = word.rpartition(".")
+            if any(n == bare.lower() and entity in ("", e) for e, n in self.fields):
+                f = self.field(word)
+                fields.append(f)
+                names[word] = f
+        if not fields:
+            raise SemanticError(f"predicate {text!r} names no declared field")
+        return fields, names
+
+    @staticmethod
+    def _column(f: Field, entity: str) -> str:
+        """The column that holds ``f`` in a frame of ``entity`` with parents joined."""
+        return f.name if f.entity == entity else f"__{f.entity}__{f.name}"
+
+    def _rewritten(self, text: str, names: dict, entity: str) -> Column:
+        return F.expr(_replace_words(text, {w: f"`{self._column(f, entity)}`" for w, f in names.items()}))
+
+    def _join_parents(self, df: DataFrame, entity: str, fields: list[Field]) -> DataFrame:
+        """``df`` (a frame of ``entity``, or an aggregate of it by the first foreign keys)
+        with the parents of ``fields`` joined; a parent's columns are prefixed with its
+        name, so no key or field of two entities can meet."""
+        joined = {entity}
+        for f in sorted(fields, key=lambda f: len(self.path(entity, f.entity) or [])):
+            child = entity
+            for r in self.path(entity, f.entity) or []:
+                if r.parent not in joined:
+                    pe = self._entity(r.parent)
+                    own = sorted({x.name for x in fields if x.entity == r.parent})
+                    up = sorted({x.foreign_key for x in self.relationships if x.child == r.parent})
+                    frame = self.frame(r.parent)
+                    pf = frame.select(F.col(pe.primary_key).alias(f"__{r.parent}__pk"),
+                                      *[F.col(x).alias(f"__{r.parent}__{x}") for x in own],
+                                      *[F.col(x).alias(f"__{r.parent}__fk_{x}") for x in up])
+                    key = r.foreign_key if child == entity else f"__{child}__fk_{r.foreign_key}"
+                    df = df.join(pf, F.col(key) == F.col(f"__{r.parent}__pk"), "left")
+                    joined.add(r.parent)
+                child = r.parent
+        return df
+
+    def _output_names(self, fields: list[Field]) -> list[str]:
+        """The fields' own names; those that two entities share, with the entity's in front."""
+        bare = [f.name for f in fields]
+        return [f.name if bare.count(f.name) == 1 else f"{f.entity}_{f.name}" for f in fields]
 
     # -- query --------------------------------------------------------------
     def query(self, metrics: list[str], dimensions: list[str] = (),
@@ -185,78 +249,52 @@ class SemanticModel:
         ms = [self.metric(m) for m in metrics]
         ds = [self.field(d) for d in dimensions]
         preds = [where] if isinstance(where, str) else list(where or [])
-        dim_names = [d.name for d in ds]
-        by_entity: dict[str, list[Metric]] = {}
-        for m in ms:
-            by_entity.setdefault(m.entity, []).append(m)
-        parts = [self._entity_query(ent, mets, ds, preds) for ent, mets in by_entity.items()]
-        if len(parts) == 1:
-            out = parts[0]
-        else:
-            out = self._combine(parts, dim_names, [m.name for m in ms])
-        out = out.select(*dim_names, *[m.name for m in ms])
+        dim_names = self._output_names(ds)
+        m_names = self._output_names(ms)
+        by_entity: dict[str, list[tuple[Metric, str]]] = {}
+        for m, name in zip(ms, m_names):
+            by_entity.setdefault(m.entity, []).append((replace(m, name=name), m))
+        parts = [self._entity_query(ent, [m for m, _ in mets], ds, dim_names, preds)
+                 for ent, mets in by_entity.items()]
+        out = parts[0] if len(parts) == 1 else self._combine(parts, dim_names, m_names)
+        out = out.select(*dim_names, *m_names)
         if order_by:
             out = out.orderBy(*[sort_spec(o) for o in order_by])
         if limit is not None:
             out = out.limit(limit)
         return out
 
-    def _entity_query(self, entity: str, mets: list[Metric], ds: list[Field],
+    def _entity_query(self, entity: str, mets: list[Metric], ds: list[Field], dim_names: list[str],
                       preds: list[str]) -> DataFrame:
-        needed = {f.entity for f in ds}
-        pred_refs = [(p, self._refs(p)) for p in preds]
-        for _, refs in pred_refs:
-            needed |= {f.entity for f in refs}
-        paths = {}
-        for anc in needed:
-            p = self.path(entity, anc)
-            if p is None:
-                names = [f.name for f in ds if f.entity == anc] or [anc]
+        parsed = [(p, *self._predicate(p)) for p in preds]
+        used = [*ds, *[f for _, fields, _ in parsed for f in fields]]
+        for f in used:
+            if self.path(entity, f.entity) is None:
                 raise SemanticError(
-                    f"{names} cannot cut metrics of {entity!r}: {anc!r} is not reachable "
+                    f"{f.name!r} cannot cut metrics of {entity!r}: {f.entity!r} is not reachable "
                     f"from {entity!r} through many-to-one relationships")
-            paths[anc] = p
         base = self.frame(entity)
-        own_dims = [f.name for f in ds if f.entity == entity]
-        local = [p for p, refs in pred_refs if all(f.entity == entity for f in refs)]
-        remote = [p for p, refs in pred_refs if p not in local]
-        for p in local:
-            base = base.filter(F.expr(p))
-        if needed <= {entity}:
+        remote = []
+        for p, fields, names in parsed:
+            if all(f.entity == entity for f in fields):
+                base = base.filter(self._rewritten(p, names, entity))
+            else:
+                remote.append((p, fields, names))
+        dims = [F.col(f"`{self._column(f, entity)}`").alias(n) for f, n in zip(ds, dim_names)]
+        if all(f.entity == entity for f in used):
             aggs = [self._full(m, base) for m in mets]
-            g = base.groupBy(*own_dims).agg(*aggs) if own_dims else base.agg(*aggs)
-            return g
-        # pre-aggregate at (foreign keys to the first hop, own dims) grain
-        hops = {p[0] for p in paths.values() if p}
-        fks = sorted({r.foreign_key for r in hops})
-        partial_cols, finals = [], []
-        for m in mets:
-            pc, fin = self._split(m, base)
-            partial_cols += pc
-            finals.append(fin)
-        # own fields that a cross-entity predicate needs stay as group keys
-        keep = sorted({f.name for p, refs in pred_refs if p in remote for f in refs
-                       if f.entity == entity} - set(own_dims))
-        pre = base.groupBy(*fks, *own_dims, *keep).agg(*partial_cols)
-        joined = pre
-        joined_ents = {entity}
-        for anc, p in sorted(paths.items(), key=lambda kv: len(kv[1])):
-            for r in p:
-                if r.parent in joined_ents:
-                    continue
-                pe = self._entity(r.parent)
-                pcols = [f.name for f in ds if f.entity == r.parent]
-                pcols += [f.name for _, refs in pred_refs for f in refs if f.entity == r.parent]
-                up_fks = [x.foreign_key for x in self.relationships if x.child == r.parent]
-                pf = self.frame(r.parent).select(
-                    F.col(pe.primary_key).alias(f"__pk_{r.parent}"),
-                    *sorted(set(pcols)), *sorted(set(up_fks) - set(pcols)))
-                joined = joined.join(pf, F.col(r.foreign_key) == F.col(f"__pk_{r.parent}"), "left")
-                joined_ents.add(r.parent)
-        for p in remote:
-            joined = joined.filter(F.expr(p))
-        dim_names = [f.name for f in ds]
-        return joined.groupBy(*dim_names).agg(*finals) if dim_names else joined.agg(*finals)
+            return base.groupBy(*dims).agg(*aggs) if dims else base.agg(*aggs)
+        # pre-aggregate at (foreign keys to the first hop, own fields) grain
+        fks = {self.path(entity, f.entity)[0].foreign_key for f in used if f.entity != entity}
+        own = {f.name for f in ds if f.entity == entity}
+        own |= {f.name for _, fields, _ in remote for f in fields if f.entity == entity}
+        split = [self._split(m, base) for m in mets]
+        pre = base.groupBy(*sorted(fks | own)).agg(*[c for partial, _ in split for c in partial])
+        joined = self._join_parents(pre, entity, [*ds, *[f for _, fields, _ in remote for f in fields]])
+        for p, _, names in remote:
+            joined = joined.filter(self._rewritten(p, names, entity))
+        finals = [fin for _, fin in split]
+        return joined.groupBy(*dims).agg(*finals) if dims else joined.agg(*finals)
 
     # -- aggregate forms ------------------------------------------------------
     def _arg(self, m: Metric) -> Column:
@@ -279,9 +317,7 @@ class SemanticModel:
         if m.agg == "sum":
             return F.sum(x).cast(self._sum_type(m, frame)).alias(m.name)
         if m.agg == "avg":
-            s = F.sum(x.cast(AVG_TYPE))
-            c = F.count(x)
-            return F.when(c > 0, s / c).cast(AVG_TYPE).alias(m.name)
+            return F.avg(x).alias(m.name)
         if m.agg == "min":
             return F.min(x).alias(m.name)
         return F.max(x).alias(m.name)
@@ -298,9 +334,17 @@ class SemanticModel:
             t = self._sum_type(m, frame)
             return [F.sum(x).cast(t).alias(p)], F.sum(p).cast(t).alias(m.name)
         if m.agg == "avg":
-            s, c = p + "_s", p + "_c"
-            return ([F.sum(x.cast(AVG_TYPE)).alias(s), F.count(x).alias(c)],
-                    F.when(F.sum(c) > 0, F.sum(s) / F.sum(c)).cast(AVG_TYPE).alias(m.name))
+            # the sum keeps the argument's own scale; one division, as Spark's own avg
+            total, count = p + "_s", p + "_c"
+            dtype = frame.select(x).schema[0].dataType
+            s_, c_ = F.sum(total), F.sum(count)
+            if isinstance(dtype, DecimalType):
+                kind = frame.select(F.avg(x)).schema[0].dataType
+                mean = (s_.cast(DecimalType(34, dtype.scale)) / c_.cast("decimal(20,0)")).cast(kind)
+                part = F.sum(x).cast(DecimalType(38, dtype.scale))
+            else:
+                mean, part = s_ / c_, F.sum(x.cast("double"))
+            return [part.alias(total), F.count(x).alias(count)], F.when(c_ > 0, mean).alias(m.name)
         agg = F.min if m.agg == "min" else F.max
         return [agg(x).alias(p)], agg(p).alias(m.name)
 
@@ -323,28 +367,16 @@ class SemanticModel:
         needed), e.g. the customers with the lowest health score."""
         fs = [self.field(f) for f in fields]
         preds = [where] if isinstance(where, str) else list(where or [])
-        refs = fs + [f for p in preds for f in self._refs(p)]
-        df = self.frame(entity)
-        joined = {entity}
-        for f in refs:
-            if f.entity in joined:
-                continue
-            p = self.path(entity, f.entity)
-            if p is None:
+        parsed = [(p, *self._predicate(p)) for p in preds]
+        used = fs + [f for _, more, _ in parsed for f in more]
+        for f in used:
+            if self.path(entity, f.entity) is None:
                 raise SemanticError(f"{f.name!r} is not reachable from {entity!r}")
-            for r in p:
-                if r.parent in joined:
-                    continue
-                pe = self._entity(r.parent)
-                names = [x.name for x in refs if x.entity == r.parent]
-                up = [x.foreign_key for x in self.relationships if x.child == r.parent]
-                pf = self.frame(r.parent).select(F.col(pe.primary_key).alias(f"__pk_{r.parent}"),
-                                                 *sorted(set(names) | set(up)))
-                df = df.join(pf, F.col(r.foreign_key) == F.col(f"__pk_{r.parent}"), "left")
-                joined.add(r.parent)
-        for p in preds:
-            df = df.filter(F.expr(p))
-        out = df.select(*[f.name for f in fs])
+        df = self._join_parents(self.frame(entity), entity, used)
+        for p, _, names in parsed:
+            df = df.filter(self._rewritten(p, names, entity))
+        out = df.select(*[F.col(f"`{self._column(f, entity)}`").alias(n)
+                          for f, n in zip(fs, self._output_names(fs))])
         if order_by:
             out = out.orderBy(*[sort_spec(o) for o in order_by])
         if limit is not None:

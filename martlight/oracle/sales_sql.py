@@ -16,20 +16,15 @@ def _with(body: str, tables=("customers", "deals", "monthly_revenue", "support_t
     return "with " + ",\n".join(parts) + "\n" + body
 
 
-def avg6(x: str) -> str:
-    """Exact average rounded HALF_UP to 6 decimals (DuckDB would divide
-    decimals in floating point)."""
-    u = f"cast(sum(cast({x} as decimal(38,6))) * 1000000 as hugeint)"
+def avg_dec(x: str, precision: int, scale: int = 2) -> str:
+    """Exact average of a decimal(precision, scale), rounded HALF_UP once to 4 more digits
+    (DuckDB would divide decimals in floating point)."""
+    up = 10 ** (scale + 4)
+    u = f"cast(sum({x}) * {up} as hugeint)"
     n = f"count({x})"
-    return (f"case when {n} > 0 then cast(cast(sign({u}) * ((2 * abs({u}) + {n}) // (2 * {n})) "
-            f"as decimal(38,0)) * cast(0.000001 as decimal(7,6)) as decimal(38,6)) end")
-
-
-def avg6_merge(s: str, c: str) -> str:
-    u = f"cast(sum({s}) * 1000000 as hugeint)"
-    n = f"sum({c})"
-    return (f"case when {n} > 0 then cast(cast(sign({u}) * ((2 * abs({u}) + {n}) // (2 * {n})) "
-            f"as decimal(38,0)) * cast(0.000001 as decimal(7,6)) as decimal(38,6)) end")
+    one = f"cast('{10 ** -(scale + 4):.{scale + 4}f}' as decimal({scale + 5},{scale + 4}))"
+    return (f"case when {n} > 0 then cast(cast(sign({u}) * ((2 * abs({u}) + {n}) // (2 * {n})) as decimal(28,0))"
+            f" * {one} as decimal({precision + 4},{scale + 4})) end")
 
 
 SEM_TOTALS = _with("""select (select count(customer_id) from customers) as total_customers,
@@ -41,7 +36,7 @@ SEM_PIPELINE_BY_STAGE = _with("""select stage as deal_stage, count(deal_id) as t
 from deals group by stage""", ("deals", "customers"))
 
 SEM_AVG_DEAL_SIZE = _with(f"""select c.region as customer_region, d.deal_type,
-       {avg6('d.amount_usd')} as average_deal_size
+       {avg_dec('d.amount_usd', 15)} as average_deal_size
 from deals d left join customers c on d.customer_id = c.customer_id
 group by c.region, d.deal_type""", ("deals", "customers"))
 
@@ -52,6 +47,28 @@ from deals group by sales_rep""", ("deals", "customers"))
 SEM_CUSTOMERS_BY_REGION = _with("""select region as customer_region, arr_tier, count(customer_id) as total_customers
 from customers group by region, arr_tier""", ("customers",))
 
+SEM_WON_BY_REGION_INDUSTRY = _with("""select c.region as customer_region, c.industry as customer_industry,
+       c.company_size, d.region as deal_region, d.industry as deal_industry,
+       cast(count_if(d.stage = 'Closed Won') as bigint) as won_deals,
+       cast(count_if(d.stage = 'Closed Lost') as bigint) as lost_deals
+from deals d left join customers c on d.customer_id = c.customer_id group by 1, 2, 3, 4, 5""",
+                                   ("deals", "customers"))
+
+SEM_DEAL_ROWS = _with("""select d.deal_name, d.stage as deal_stage, d.deal_type, d.close_date,
+       d.created_date as deal_created, d.sales_rep, d.product_line as deal_product, d.lost_reason,
+       d.win_probability as win_prob, d.amount_usd as deal_amount, c.company_name, c.country,
+       c.account_manager, c.onboarding_date
+from deals d left join customers c on d.customer_id = c.customer_id
+where d.stage <> 'Closed Lost' or c.country is null""", ("deals", "customers"))
+
+SEM_LICENSES_BY_PRODUCT = _with("""select product_line as rev_product, churn_flag as is_churned,
+       cast(sum(license_count) as bigint) as total_licenses, cast(sum(mrr_usd) as decimal(38,4)) as total_mrr
+from monthly_revenue group by 1, 2""", ("monthly_revenue",))
+
+SEM_TICKETS_BY_STATUS = _with("""select status as ticket_status, category as ticket_category,
+       created_date as ticket_date, count(ticket_id) as total_tickets from support_tickets
+where priority <> 'Low' group by 1, 2, 3""", ("support_tickets",))
+
 SEM_MRR_TREND = _with("""select month as revenue_month, product_line as rev_product,
        cast(sum(mrr_usd) as decimal(38,4)) as total_mrr
 from monthly_revenue
@@ -64,7 +81,7 @@ from monthly_revenue m left join customers c on m.customer_id = c.customer_id
 group by c.arr_tier""", ("monthly_revenue", "customers"))
 
 SEM_TICKETS_BY_PRIORITY = _with(f"""select priority as ticket_priority, count(ticket_id) as total_tickets,
-       {avg6('resolution_hours')} as avg_resolution_hours, {avg6('csat_score')} as avg_csat
+       {avg_dec('resolution_hours', 10)} as avg_resolution_hours, cast(avg(csat_score) as double) as avg_csat
 from support_tickets group by priority""", ("support_tickets",))
 
 SEM_LOWEST_HEALTH = _with("""select company_name, health_score as health from customers
@@ -94,7 +111,7 @@ union all select 'monthly_revenue', count(*) from monthly_revenue
 union all select 'support_tickets', count(*) from support_tickets""")
 
 _PRODUCT = ("case customer_id % 4 " + " ".join(
-    f"when {i} then '{p}'" for i, p in enumerate(PRODUCT_BY_MOD4)) + " end")
+    f"when {i} then '{p}'" for i, p in enumerate(PRODUCT_BY_MOD4[:3])) + f" else '{PRODUCT_BY_MOD4[3]}' end")
 
 PRODUCT_LINE_MAP = _with(f"""select {_PRODUCT} as product_line, count(*) as n_customers
 from customers group by 1""", ("customers",))
@@ -122,7 +139,7 @@ def _gen() -> str:
            f"(1 + cast(month_idx as decimal(10,0)) * cast('0.015' as decimal(4,3))) as decimal(18,3))")
     exp = (f"cast(case when {D(1, 10, 'customer_id', 'month_idx', 3)} > 7 then "
            f"{D(EXPANSION[0], EXPANSION[1], 'customer_id', 'month_idx', 4)} else 0 end as decimal(12,2))")
-    churn = f"(health_score < 65 and {D(1, 10, 'customer_id', 'month_idx', 5)} > 8)"
+    churn = f"coalesce(health_score < 65 and {D(1, 10, 'customer_id', 'month_idx', 5)} > 8, false)"
     return f"""select cast(row_number() over (order by month, customer_id) as bigint) as revenue_id,
        customer_id, month, {mrr} as mrr_usd, {_PRODUCT} as product_line,
        {_tier(TIER_LICENSES, OTHER_LICENSES, 2)} as license_count, {exp} as expansion_usd,

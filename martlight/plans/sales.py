@@ -74,6 +74,7 @@ def sales_model(spark: SparkSession, sf_dir: str, tables: dict | None = None) ->
         Metric.of("deals", "lost_deals", "COUNT_IF(deal_stage = 'Closed Lost')"),
         Metric.of("monthly_revenue", "total_mrr", "SUM(mrr)"),
         Metric.of("monthly_revenue", "total_expansion", "SUM(expansion)"),
+        Metric.of("monthly_revenue", "total_licenses", "SUM(licenses)"),
         Metric.of("support_tickets", "total_tickets", "COUNT(ticket_id)"),
         Metric.of("support_tickets", "avg_resolution_hours", "AVG(hours_to_resolve)"),
         Metric.of("support_tickets", "avg_csat", "AVG(csat)"),

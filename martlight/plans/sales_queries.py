@@ -59,6 +59,34 @@ def _mrr_trend(spark, sf_dir):
             .drop("__last"))
 
 
+@register("sem_won_by_region_industry", Q.SEM_WON_BY_REGION_INDUSTRY)
+def _won_region(spark, sf_dir):
+    return sales_model(spark, sf_dir).query(
+        ["won_deals", "lost_deals"],
+        ["customer_region", "customer_industry", "company_size", "deal_region", "deal_industry"])
+
+
+@register("sem_deal_rows", Q.SEM_DEAL_ROWS)
+def _deal_rows(spark, sf_dir):
+    return sales_model(spark, sf_dir).rows(
+        "deals", ["deal_name", "deal_stage", "deal_type", "close_date", "deal_created", "sales_rep",
+                  "deal_product", "lost_reason", "win_prob", "deal_amount", "company_name", "country",
+                  "account_manager", "onboarding_date"],
+        where="deal_stage <> 'Closed Lost' OR customers.country IS NULL")
+
+
+@register("sem_licenses_by_product", Q.SEM_LICENSES_BY_PRODUCT)
+def _licenses(spark, sf_dir):
+    return sales_model(spark, sf_dir).query(["total_licenses", "total_mrr"], ["rev_product", "is_churned"])
+
+
+@register("sem_tickets_by_status", Q.SEM_TICKETS_BY_STATUS)
+def _tickets_status(spark, sf_dir):
+    return sales_model(spark, sf_dir).query(
+        ["total_tickets"], ["ticket_status", "ticket_category", "ticket_date"],
+        where="ticket_priority <> 'Low'")
+
+
 @register("sem_expansion_by_tier", Q.SEM_EXPANSION_BY_TIER)
 def _exp_tier(spark, sf_dir):
     return sales_model(spark, sf_dir).query(["total_expansion", "total_mrr"], ["arr_tier"])

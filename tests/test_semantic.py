@@ -94,9 +94,55 @@ def test_rows_and_top_k(model):
 def test_describe(spark, model):
     d = model.describe(spark)
     kinds = {r["kind"]: r["n"] for r in d.groupBy("kind").count().withColumnRenamed("count", "n").collect()}
-    assert kinds == {"entity": 4, "relationship": 3, "fact": 8, "dimension": 26, "metric": 11}
+    assert kinds == {"entity": 4, "relationship": 3, "fact": 8, "dimension": 26, "metric": 12}
 
 
 def test_literal_spelling_a_field_is_not_a_reference(model):
     r = model.query(["total_deals"], ["deal_stage"], where="deal_stage <> 'customer_region'").collect()
     assert sum(x["total_deals"] for x in r) == 4
+
+
+def test_same_name_on_two_entities_and_shared_key_names(spark):
+    from martlight.operators.semantic import Entity, Metric, Relationship, SemanticModel, dim, fact
+    region = spark.createDataFrame([(1, "N"), (2, "S")], "id long, area string")
+    store = spark.createDataFrame([(10, 1, "x"), (11, 2, "y")], "id long, region_id long, area string")
+    sale = spark.createDataFrame([(1, 10, 1, 4e-7), (2, 10, 1, 2e-7), (3, 11, 2, 1.0)],
+                                 "id long, store_id long, region_id long, v double")
+    m = SemanticModel(
+        [Entity("region", region, "id"), Entity("store", store, "id"), Entity("sale", sale, "id")],
+        [Relationship("sale", "store_id", "store"), Relationship("store", "region_id", "region")],
+        [dim("region", "area", "area"), dim("store", "area", "area"), fact("sale", "v", "v")],
+        [Metric.of("store", "n", "COUNT(id)"), Metric.of("sale", "n", "COUNT(id)"),
+         Metric.of("sale", "mean", "AVG(v)")])
+    with pytest.raises(SemanticError, match="ambiguous"):
+        m.query(["sale.n"], ["area"])
+    with pytest.raises(SemanticError, match="ambiguous"):
+        m.query(["n"], ["region.area"])
+    with pytest.raises(SemanticError, match="no declared field"):
+        m.query(["sale.n"], where="region_id = 1")
+    got = {tuple(r) for r in m.query(["sale.n", "mean"], ["region.area", "store.area"]).collect()}
+    assert got == {("N", "x", 2, (4e-7 + 2e-7) / 2), ("S", "y", 1, 1.0)}
+    both = {tuple(r) for r in m.query(["store.n", "sale.n"], ["region.area"]).collect()}
+    assert both == {("N", 1, 2), ("S", 1, 1)}
+    kept = m.rows("sale", ["v", "store.area", "region.area"], where="store.area = 'x' AND region.area <> 'x'")
+    assert kept.columns == ["v", "store_area", "region_area"] and kept.count() == 2
+    with pytest.raises(SemanticError, match="twice"):
+        SemanticModel([Entity("e", sale, "id")], [], [dim("e", "a", "v"), dim("e", "A", "v")], [])
+
+
+@pytest.mark.parametrize("ddl,values", [("double", [4e-7, 2e-7, 1e300]), ("decimal(20,8)", ["0.00000001", "0.00000002", "5"]),
+                                        ("int", [1, 2, 2]), ("decimal(12,2)", ["0.01", "0.02", "0.02"])])
+def test_averages_equal_sparks_with_and_without_a_parent(spark, ddl, values):
+    from pyspark.sql import functions as F
+
+    from martlight.operators.semantic import Entity, Metric, Relationship, SemanticModel, dim, fact
+    facts = spark.createDataFrame([(i, i % 2, str(v)) for i, v in enumerate(values)], "id long, pid long, t string")
+    facts = facts.withColumn("x", F.col("t").cast(ddl))
+    parents = spark.createDataFrame([(0, "a"), (1, "a")], "pid long, name string")
+    m = SemanticModel([Entity("p", parents, "pid"), Entity("f", facts, "id")], [Relationship("f", "pid", "p")],
+                      [dim("p", "name", "name"), fact("f", "y", "x")], [Metric.of("f", "mean", "AVG(y)")])
+    want = facts.agg(F.avg("x").alias("mean"))
+    assert m.query(["mean"]).schema["mean"].dataType == want.schema["mean"].dataType
+    assert m.query(["mean"], ["name"]).schema["mean"].dataType == want.schema["mean"].dataType
+    assert m.query(["mean"]).first()["mean"] == want.first()["mean"]
+    assert m.query(["mean"], ["name"]).first()["mean"] == want.first()["mean"]
