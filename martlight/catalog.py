@@ -86,12 +86,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load_all() -> None:
-    # Further query groups register themselves on import.
-    import importlib
-    for mod in ("martlight.plans.usage_queries", "martlight.plans.report_queries",
-                "martlight.plans.sales_queries"):
-        try:
-            importlib.import_module(mod)
-        except ModuleNotFoundError as e:
-            if e.name != mod:
-                raise
+    # these modules register their queries on import
+    from martlight.plans import report_queries, sales_queries, usage_queries  # noqa: F401

@@ -79,25 +79,17 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
-# --- Fixed values: the vocabulary of the bundled synthetic ledger ----------
-# (sources/bindings.py).  A deployment passes its own family, labels and known
-# list through the settings table; nothing below is specific to a vendor.
-DEMO_FAMILY = ServiceFamily(
-    ci_prefixes=("ASSIST",),
-    prefixes=("AI_",),
-    exact=("WORKSPACE_INTELLIGENCE",),
-)
+# --- the vocabulary of the bound events (sources/bindings.py) ---------------
+# A service type is the part of the site an event meters, a dot and the event.
+# A deployment passes its own family, labels and known list in its settings.
+DEMO_FAMILY = ServiceFamily(ci_prefixes=("web.",), prefixes=("shop.",), exact=("account",))
 
 DEMO_LABELS = ServiceLabels((
-    ("AI_FUNCTIONS", "AI Functions"),
-    ("AI_INFERENCE", "AI Inference"),
-    ("AI_SERVICES", "AI Services (analyst, etc.)"),
-    ("ASSIST_AGENTS", "Assist Agents"),
-    ("ASSIST_CODE_CLI", "Assist Code (CLI)"),
-    ("ASSIST_CODE_WEB", "Assist Code (web)"),
-    ("ASSIST_SEARCH", "Assist Search"),
-    ("WORKSPACE_INTELLIGENCE", "Workspace Intelligence"),
+    ("account", "Accounts"),
+    ("shop.purchase", "Purchases"),
+    ("web.click", "Page clicks"),
+    ("web.error", "Failed requests"),
+    ("web.view", "Page views"),
 ))
 
-DEMO_KNOWN_TYPES = ("AI_FUNCTIONS,AI_INFERENCE,AI_SERVICES,ASSIST_AGENTS,"
-                    "ASSIST_CODE_CLI,ASSIST_CODE_WEB,ASSIST_SEARCH,WORKSPACE_INTELLIGENCE")
+DEMO_KNOWN_TYPES = ", ".join(key for key, _ in DEMO_LABELS.mapping)

@@ -141,7 +141,7 @@ def report_html(r: UsageReport) -> DataFrame:
         budget = F.lit("")
     n_sub = r.s.subtype_top_n
     body = F.concat(
-        F.lit("<html><body><h2>AI usage</h2><p>Daily summary &middot; all dates UTC</p>"),
+        F.lit("<html><body><h2>Usage</h2><p>Daily summary &middot; all dates UTC</p>"),
         guard,
         F.lit("<div class=\"legend\"><div>"), settled,
         F.lit(" billed totals, by type and subtype: metering ledger (complete).</div><div>"),

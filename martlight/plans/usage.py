@@ -137,14 +137,9 @@ def _day_range(ts: str, lo: dt.date | None, hi: dt.date | None) -> Column:
     return (F.col(ts) >= ts_lit(start)) & (F.col(ts) < ts_lit(end))
 
 
-def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None = None) -> DataFrame:
+def detail_currency(raw: DataFrame, w: ReportWindow) -> DataFrame:
     """How far the detail logs have settled: latest detail day ≤ report day
-    (report day if none), the lag in days and its badge text.
-
-    ``lookback_days`` restricts the search to the last days before the report
-    day (a pushed time range).  It gives the same answer whenever any detail
-    row falls in that range, because the range ends at the report day; see
-    :func:`settled_detail_currency` for the exact two-step use."""
+    (report day if none), the lag in days and its badge text."""
     if w.report_day is None:
         rd = F.lit(None).cast("date")
         cond = F.lit(False)
@@ -152,9 +147,6 @@ def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None =
         rd = F.lit(w.report_day)
         cond = F.col("usage_time") < ts_lit(dt.datetime.combine(
             w.report_day + dt.timedelta(days=1), dt.time()))
-        if lookback_days is not None:
-            cond = cond & (F.col("usage_time") >= ts_lit(dt.datetime.combine(
-                w.report_day - dt.timedelta(days=lookback_days), dt.time())))
     d = raw.filter(cond).agg(F.max(F.to_date("usage_time")).alias("mx"))
     lag = F.datediff(rd, F.col("detail_max_day")).cast("bigint")
     return (d.select(F.coalesce("mx", rd).alias("detail_max_day"))
@@ -167,18 +159,6 @@ def detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int | None =
                     .otherwise(F.lit("")).alias("lag_text")))
 
 
-def settled_detail_currency(raw: DataFrame, w: ReportWindow, lookback_days: int = 62) -> DataFrame:
-    """Exact detail currency that normally reads only recent rows: search the
-    last ``lookback_days`` first (one small job); only if no detail row falls
-    there, search the whole history."""
-    recent = detail_currency(raw, w, lookback_days)
-    if w.report_day is None:
-        return recent
-    found = (raw.filter(_day_range("usage_time", w.report_day - dt.timedelta(days=lookback_days),
-                                   w.report_day)).limit(1).count() > 0)
-    return recent if found else detail_currency(raw, w)
-
-
 # --- ledger cube and billed sections -------------------------------------------
 def ledger_cube(ledger: DataFrame, family: ServiceFamily, w: ReportWindow) -> DataFrame:
     """(day, service_type, name) → credits over [min(month start, week start),
@@ -196,7 +176,20 @@ def _in(day: str, lo, hi) -> Column:
 
 
 def _usd(credits: str, price: str | Decimal) -> Column:
-    return (F.col(credits) * F.lit(Decimal(str(price)))).cast(USD)
+    """Credits times price, rounded once, to cents.
+
+    The product keeps every digit: credits get the 38 digits the price leaves.  More
+    credits than that fail under ANSI mode instead of losing digits."""
+    d = Decimal(str(price))
+    if not d.is_finite():
+        raise ValueError(f"price {price!r} is not a finite number")
+    scale = max(0, -d.as_tuple().exponent)
+    digits = max(len(d.as_tuple().digits) + max(0, d.as_tuple().exponent), scale + 1)
+    left = 37 - digits
+    if left < 12:
+        raise ValueError(f"price {price!r} has too many digits for exact money")
+    exact = F.col(credits).cast(f"decimal({left},9)") * F.lit(format(d, "f")).cast(f"decimal({digits},{scale})")
+    return exact.cast(USD)
 
 
 def billed_totals(cube: DataFrame, w: ReportWindow, price) -> DataFrame:
@@ -434,10 +427,9 @@ class UsageReport:
     def detail(self):
         return detail_totals(self.raw, self.window, self.price)
 
+    @_memo
     def currency(self):
-        if not hasattr(self, "_currency"):
-            self._currency = settled_detail_currency(self.raw, self.window)
-        return self._currency
+        return detail_currency(self.raw, self.window)
 
     @_memo
     def new_types(self):

@@ -11,35 +11,18 @@ from martlight.operators.settings import ReportSettings
 from martlight.plans import usage as U
 from martlight.sources import bindings as B
 
-UNKNOWN = U.UNKNOWN
-
-
 def demo_logs(b: B.Bound) -> list[U.UsageLog]:
-    """The five detail logs of the bound testdata, each with its own columns."""
-    return [
-        U.UsageLog(b.log_functions, "AI_FUNCTIONS", "start_time", "credits", "query_id",
-                   function_name=F.col("function_name"),
-                   model_name=F.nullif(F.col("model_name"), F.lit(""))),
-        U.UsageLog(b.log_agents, "ASSIST_AGENTS", "start_time", "token_credits", "request_id",
-                   function_name=F.lit("ASSIST_AGENT"),
-                   agent_name=F.coalesce(F.col("agent_name"), F.lit(UNKNOWN)),
-                   user_name=F.col("user_name")),
-        U.UsageLog(b.log_code_cli, "ASSIST_CODE_CLI", "usage_time", "token_credits", "request_id",
-                   function_name=F.lit("ASSIST_CODE_CLI"), user_name=F.col("user_name")),
-        U.UsageLog(b.log_code_web, "ASSIST_CODE_WEB", "usage_time", "token_credits", "request_id",
-                   function_name=F.lit("ASSIST_CODE_WEB"), user_name=F.col("user_name")),
-        U.UsageLog(b.log_intelligence, "WORKSPACE_INTELLIGENCE", "start_time", "token_credits",
-                   "request_id", function_name=F.lit("WORKSPACE_INTELLIGENCE"),
-                   agent_name=F.coalesce(F.col("intelligence_name"), F.col("agent_name"),
-                                         F.lit(UNKNOWN)),
-                   user_name=F.col("user_name")),
-    ]
+    """The detail logs of the bound testdata, each with its own columns."""
+    return [U.UsageLog(getattr(b, m.table), m.service, m.time, m.credits, m.usage_id,
+                       function_name=F.expr(m.function), model_name=F.expr(m.model),
+                       agent_name=F.expr(m.agent), user_name=F.expr(m.user))
+            for m in B.DETAIL_LOGS]
 
 
 def demo_inputs(spark: SparkSession, sf_dir: str) -> U.UsageInputs:
     b = B.Bound(spark, sf_dir)
     return U.UsageInputs(ledger=b.ledger, ledger_days=b.ledger_days, logs=demo_logs(b),
-                         users=b.users, as_of=B.AS_OF)
+                         users=b.users, as_of=b.as_of)
 
 
 def demo_report(spark: SparkSession, sf_dir: str, settings: ReportSettings | None = None,
@@ -65,7 +48,8 @@ def _unified(spark, sf_dir):
 
 @register("reporting_window", Q.REPORTING_WINDOW)
 def _window(spark, sf_dir):
-    return U.reporting_window_frame(B.Bound(spark, sf_dir).ledger_days, B.AS_OF)
+    inp = demo_inputs(spark, sf_dir)
+    return U.reporting_window_frame(inp.ledger_days, inp.as_of)
 
 
 @register("detail_lag", Q.DETAIL_LAG)
@@ -163,8 +147,7 @@ def _rank(spark, sf_dir):
     from martlight.operators.ranking import global_row_number
     r = demo_report(spark, sf_dir)
     g = r.dcube.groupBy("user_name").agg(F.sum("credits").cast(U.CREDITS).alias("credits"))
-    # the ranked input is an aggregate over all detail logs: compute it once
-    return global_row_number(g, ["credits", "user_name"], [True, False], "rn", checkpoint=True)
+    return global_row_number(g, ["credits", "user_name"], [True, False], "rn")
 
 
 @register("usage_profile", Q.USAGE_PROFILE)
@@ -174,7 +157,8 @@ def _profile(spark, sf_dir):
 
 @register("mtd_by_service", Q.MTD_BY_SERVICE)
 def _mtd(spark, sf_dir):
-    return U.mtd_by_service(_raw(spark, sf_dir), B.AS_OF)
+    inp = demo_inputs(spark, sf_dir)
+    return U.mtd_by_service(U.unify_raw(inp.logs), inp.as_of)
 
 
 @register("reconcile_totals", Q.RECONCILE_TOTALS)

@@ -7,36 +7,37 @@ TPC-H tables and an ``events`` stream, so each logical table is defined here
 as a projection of those, both as a DataFrame and as the equivalent SQL text
 (the latter is used only by the DuckDB differential oracle).
 
-Every binding reads whole tables; nothing is sampled or capped.  The
-mappings below are fixed values chosen so that each edge the operators
-handle occurs in the data: an unknown family member, a type outside the
-family, NULL and empty names, users missing from or duplicated in the user
-dimension, detail logs that lag the ledger.
+Every binding reads its whole tables.  The mappings below are fixed values chosen so
+that the edges the operators handle occur in the data: an unknown family member, a type
+outside the family, NULL and empty names, users that the user dimension lacks or repeats.
+The report runs on the day after the newest event.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.functions.dates import ts_lit
 from martlight.sources.tables import Sources
 
-# --- Fixed values --------------------------------------------------------------
-AS_OF = dt.datetime(2024, 1, 20, 0, 0, 0)        # report run time (UTC)
-DETAIL_LAG_HOURS = 39                             # detail logs settle ~39 h late
-DETAIL_CUTOFF = AS_OF - dt.timedelta(hours=DETAIL_LAG_HOURS)
-AS_OF_SQL = "TIMESTAMP '2024-01-20 00:00:00'"
-DETAIL_CUTOFF_SQL = "TIMESTAMP '2024-01-18 09:00:00'"
 
-# event_type → service type (signup and error split on the props key k)
-#   click → AI_FUNCTIONS; view → ASSIST_AGENTS;
-#   purchase → ASSIST_CODE_CLI, k >= 97 → ai_sandbox (lower case: outside the family)
-#   signup → WORKSPACE_INTELLIGENCE, k < 14 → AI_PREVIEW (family member, unknown)
-#   error  → ASSIST_CODE_WEB, k < 33 → WAREHOUSE_METERING (outside the family),
-#            k >= 95 → Assist_Beta (mixed case: family member, unknown)
+def as_of(src: Sources) -> dt.datetime | None:
+    """The run time: the start of the day after the newest event (None without events)."""
+    newest = src.events.agg(F.max(F.to_date("ts")).alias("d")).first()["d"]
+    return None if newest is None else dt.datetime.combine(newest + dt.timedelta(days=1), dt.time())
+
+
+TODAY_SQL = "(select cast(max(ts) as date) + 1 from events)"
+
+
+# --- service types by event (sign-ups, purchases and errors split on the props key k) ---
+#   click -> web.click; view -> web.view;
+#   purchase -> shop.purchase, k >= 97 -> Shop.trial (the family's prefix in another case: outside)
+#   signup -> account, k < 14 -> shop.preview (family member, unknown)
+#   error -> web.error, k < 33 -> batch.job (outside), k >= 95 -> Web.beta (member, unknown)
 
 
 def _k() -> Column:
@@ -49,22 +50,22 @@ def _s(x) -> Column:
 
 def _service_type(k: Column) -> Column:
     et = F.col("event_type")
-    return (F.when(et == "click", "AI_FUNCTIONS")
-            .when(et == "view", "ASSIST_AGENTS")
-            .when(et == "purchase", F.when(k >= 97, "ai_sandbox").otherwise("ASSIST_CODE_CLI"))
-            .when(et == "signup", F.when(k < 14, "AI_PREVIEW").otherwise("WORKSPACE_INTELLIGENCE"))
-            .when(et == "error", F.when(k < 33, "WAREHOUSE_METERING")
-                  .when(k >= 95, "Assist_Beta").otherwise("ASSIST_CODE_WEB")))
+    return (F.when(et == "click", "web.click")
+            .when(et == "view", "web.view")
+            .when(et == "purchase", F.when(k >= 97, "Shop.trial").otherwise("shop.purchase"))
+            .when(et == "signup", F.when(k < 14, "shop.preview").otherwise("account"))
+            .when(et == "error", F.when(k < 33, "batch.job").when(k >= 95, "Web.beta")
+                  .otherwise("web.error")))
 
 
 _K_SQL = "cast(json_extract_string(props, '$.k') as integer)"
 _SERVICE_TYPE_SQL = """case event_type
-    when 'click' then 'AI_FUNCTIONS'
-    when 'view' then 'ASSIST_AGENTS'
-    when 'purchase' then case when k >= 97 then 'ai_sandbox' else 'ASSIST_CODE_CLI' end
-    when 'signup' then case when k < 14 then 'AI_PREVIEW' else 'WORKSPACE_INTELLIGENCE' end
-    when 'error' then case when k < 33 then 'WAREHOUSE_METERING'
-                           when k >= 95 then 'Assist_Beta' else 'ASSIST_CODE_WEB' end end"""
+    when 'click' then 'web.click'
+    when 'view' then 'web.view'
+    when 'purchase' then case when k >= 97 then 'Shop.trial' else 'shop.purchase' end
+    when 'signup' then case when k < 14 then 'shop.preview' else 'account' end
+    when 'error' then case when k < 33 then 'batch.job' when k >= 95 then 'Web.beta'
+                           else 'web.error' end end"""
 
 _EVENTS_K_SQL = f"(select *, {_K_SQL} as k from events)"
 _TYPED_EVENTS_SQL = f"(select *, {_SERVICE_TYPE_SQL} as service_type from {_EVENTS_K_SQL})"
@@ -111,31 +112,29 @@ def _raw_user(k: Column) -> Column:
 _RAW_USER_SQL = "case when k < 40 then null when k = 42 then '' else 'user_' || cast(user_id as varchar) end"
 
 
-# service type → the event type it comes from (lets the scan filter on a raw
+# service type -> the event type it comes from (lets the scan filter on a raw
 # column before the props key is parsed)
-_EVENT_OF = {"AI_FUNCTIONS": "click", "ASSIST_AGENTS": "view", "ASSIST_CODE_CLI": "purchase",
-             "ASSIST_CODE_WEB": "error", "WORKSPACE_INTELLIGENCE": "signup"}
+_EVENT_OF = {"web.click": "click", "web.view": "view", "shop.purchase": "purchase",
+             "web.error": "error", "account": "signup"}
 
 
 def _detail(src: Sources, service_type: str) -> DataFrame:
-    ev = src.events.filter((F.col("ts") < ts_lit(DETAIL_CUTOFF))
-                           & (F.col("event_type") == _EVENT_OF[service_type]))
+    ev = src.events.filter(F.col("event_type") == _EVENT_OF[service_type])
     ev = ev.withColumn("k", _k()).withColumn("service_type", _service_type(F.col("k")))
     return ev.filter(F.col("service_type") == service_type)
 
 
 def _detail_sql(service_type: str) -> str:
-    return (f"(select * from {_TYPED_EVENTS_SQL} where ts < {DETAIL_CUTOFF_SQL} "
-            f"and service_type = '{service_type}')")
+    return f"(select * from {_TYPED_EVENTS_SQL} where service_type = '{service_type}')"
 
 
 def _id() -> Column:
     return F.expr("event_id div 2").cast("string")
 
 
-def log_functions(src: Sources) -> DataFrame:
+def log_clicks(src: Sources) -> DataFrame:
     k = F.col("k")
-    return _detail(src, "AI_FUNCTIONS").select(
+    return _detail(src, "web.click").select(
         F.col("ts").alias("start_time"),
         F.concat(F.lit("FN_"), _s(k % 5)).alias("function_name"),
         F.when(k % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("model_"), _s(k % 10))).alias("model_name"),
@@ -143,9 +142,9 @@ def log_functions(src: Sources) -> DataFrame:
         _id().alias("query_id"), "user_id")
 
 
-def log_agents(src: Sources) -> DataFrame:
+def log_views(src: Sources) -> DataFrame:
     k = F.col("k")
-    return _detail(src, "ASSIST_AGENTS").select(
+    return _detail(src, "web.view").select(
         F.col("ts").alias("start_time"),
         F.when(k % 13 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("agent_"), _s(k % 8))).alias("agent_name"),
@@ -153,7 +152,7 @@ def log_agents(src: Sources) -> DataFrame:
         _id().alias("request_id"), "user_id", _raw_user(k).alias("user_name"))
 
 
-def _log_code(src: Sources, service_type: str) -> DataFrame:
+def _log_simple(src: Sources, service_type: str) -> DataFrame:
     k = F.col("k")
     return _detail(src, service_type).select(
         F.col("ts").alias("usage_time"),
@@ -161,70 +160,99 @@ def _log_code(src: Sources, service_type: str) -> DataFrame:
         _id().alias("request_id"), "user_id", _raw_user(k).alias("user_name"))
 
 
-def log_code_cli(src: Sources) -> DataFrame:
-    return _log_code(src, "ASSIST_CODE_CLI")
+def log_purchases(src: Sources) -> DataFrame:
+    return _log_simple(src, "shop.purchase")
 
 
-def log_code_web(src: Sources) -> DataFrame:
-    return _log_code(src, "ASSIST_CODE_WEB")
+def log_errors(src: Sources) -> DataFrame:
+    return _log_simple(src, "web.error")
 
 
-def log_intelligence(src: Sources) -> DataFrame:
+def log_signups(src: Sources) -> DataFrame:
     k = F.col("k")
-    return _detail(src, "WORKSPACE_INTELLIGENCE").select(
+    return _detail(src, "account").select(
         F.col("ts").alias("start_time"),
         F.when(k % 3 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("intel_"), _s(k % 6))).alias("intelligence_name"),
+        .otherwise(F.concat(F.lit("campaign_"), _s(k % 6))).alias("campaign_name"),
         F.when(k % 2 == 1, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("ag_"), _s(k % 4))).alias("agent_name"),
         F.col("value").cast("decimal(28,9)").alias("token_credits"),
         _id().alias("request_id"), "user_id", _raw_user(k).alias("user_name"))
 
 
-LOG_FUNCTIONS_SQL = f"""(select ts as start_time, 'FN_' || cast(k % 5 as varchar) as function_name,
+LOG_CLICKS_SQL = f"""(select ts as start_time, 'FN_' || cast(k % 5 as varchar) as function_name,
        case when k % 10 = 0 then '' else 'model_' || cast(k % 10 as varchar) end as model_name,
        cast(value as decimal(28,9)) as credits, cast(event_id // 2 as varchar) as query_id, user_id
-from {_detail_sql('AI_FUNCTIONS')})"""
+from {_detail_sql('web.click')})"""
 
-LOG_AGENTS_SQL = f"""(select ts as start_time,
+LOG_VIEWS_SQL = f"""(select ts as start_time,
        case when k % 13 = 0 then null else 'agent_' || cast(k % 8 as varchar) end as agent_name,
        cast(value as decimal(28,9)) as token_credits, cast(event_id // 2 as varchar) as request_id,
        user_id, {_RAW_USER_SQL} as user_name
-from {_detail_sql('ASSIST_AGENTS')})"""
+from {_detail_sql('web.view')})"""
 
 
-def _log_code_sql(t: str) -> str:
+def _log_simple_sql(t: str) -> str:
     return f"""(select ts as usage_time, cast(value as decimal(28,9)) as token_credits,
        cast(event_id // 2 as varchar) as request_id, user_id, {_RAW_USER_SQL} as user_name
 from {_detail_sql(t)})"""
 
 
-LOG_CODE_CLI_SQL = _log_code_sql("ASSIST_CODE_CLI")
-LOG_CODE_WEB_SQL = _log_code_sql("ASSIST_CODE_WEB")
+LOG_PURCHASES_SQL = _log_simple_sql("shop.purchase")
+LOG_ERRORS_SQL = _log_simple_sql("web.error")
 
-LOG_INTELLIGENCE_SQL = f"""(select ts as start_time,
-       case when k % 3 = 0 then null else 'intel_' || cast(k % 6 as varchar) end as intelligence_name,
+LOG_SIGNUPS_SQL = f"""(select ts as start_time,
+       case when k % 3 = 0 then null else 'campaign_' || cast(k % 6 as varchar) end as campaign_name,
        case when k % 2 = 1 then null else 'ag_' || cast(k % 4 as varchar) end as agent_name,
        cast(value as decimal(28,9)) as token_credits, cast(event_id // 2 as varchar) as request_id,
        user_id, {_RAW_USER_SQL} as user_name
-from {_detail_sql('WORKSPACE_INTELLIGENCE')})"""
+from {_detail_sql('account')})"""
+
+
+# --- how the logs map onto the unified detail schema ----------------------------------
+@dataclass(frozen=True)
+class LogMap:
+    """One detail log: its table, service, and SQL expressions (read alike by Spark and
+    DuckDB) for the unified columns."""
+    table: str
+    service: str
+    time: str
+    credits: str
+    usage_id: str
+    function: str
+    model: str = "cast(null as string)"
+    agent: str = "cast(null as string)"
+    user: str = "user_name"
+
+
+DETAIL_LOGS = (
+    LogMap("log_clicks", "web.click", "start_time", "credits", "query_id", "function_name",
+           model="nullif(model_name, '')", user="cast(null as string)"),
+    LogMap("log_errors", "web.error", "usage_time", "token_credits", "request_id", "'error'"),
+    LogMap("log_purchases", "shop.purchase", "usage_time", "token_credits", "request_id", "'purchase'"),
+    LogMap("log_signups", "account", "start_time", "token_credits", "request_id", "'signup'",
+           agent="coalesce(campaign_name, agent_name, '(unknown)')"),
+    LogMap("log_views", "web.view", "start_time", "token_credits", "request_id", "'view'",
+           agent="coalesce(agent_name, '(unknown)')"),
+)
 
 
 # --- user dimension ------------------------------------------------------------------
 def users(src: Sources) -> DataFrame:
-    """Customers with a non-negative balance are users; BUILDING customers
-    also have an older second name row (so the dimension needs a dedupe)."""
-    c = src.customer.filter(F.col("c_acctbal") >= 0)
-    cur = c.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    """Every customer is a user with an even id (so events of odd users find none);
+    BUILDING customers also have an older second name row (so the dimension needs a
+    dedupe)."""
+    c = src.customer
+    cur = c.select((F.col("c_custkey") * 2).alias("user_id"), F.col("c_name").alias("name"))
     old = (c.filter(F.col("c_mktsegment") == "BUILDING")
-           .select(F.col("c_custkey").alias("user_id"),
+           .select((F.col("c_custkey") * 2).alias("user_id"),
                    F.concat("c_name", F.lit("_old")).alias("name")))
     return cur.unionByName(old)
 
 
-USERS_SQL = """(select c_custkey as user_id, c_name as name from customer where c_acctbal >= 0
+USERS_SQL = """(select c_custkey * 2 as user_id, c_name as name from customer
 union all
-select c_custkey, c_name || '_old' from customer where c_acctbal >= 0 and c_mktsegment = 'BUILDING')"""
+select c_custkey * 2, c_name || '_old' from customer where c_mktsegment = 'BUILDING')"""
 
 
 # --- sales tables ------------------------------------------------------------------
@@ -394,34 +422,33 @@ def support_tickets(src: Sources) -> DataFrame:
         F.when(k < 25, "Critical").when(k < 50, "High").when(k < 75, "Medium").otherwise("Low").alias("priority"),
         F.col("event_type").alias("category"),
         F.concat(F.lit("ticket "), _s(F.col("event_id"))).alias("subject"),
+        F.concat(F.lit("reported on "), F.col("event_type")).alias("description"),
         F.when(open_, "In Progress").otherwise("Resolved").alias("status"),
         F.when(open_, F.lit(None)).otherwise(F.col("value")).cast("decimal(10,2)").alias("resolution_hours"),
         F.when(open_, F.lit(None)).otherwise(k % 5 + 1).cast("int").alias("csat_score"),
+        F.when(open_, F.lit(None)).otherwise(F.concat(F.lit("fix "), _s(k % 7))).cast("string")
+        .alias("resolution"),
     )
 
 
 SUPPORT_TICKETS_SQL = f"""(select event_id as ticket_id, user_id as customer_id, cast(ts as date) as created_date,
        case when k < 25 then 'Critical' when k < 50 then 'High' when k < 75 then 'Medium' else 'Low' end as priority,
        event_type as category, 'ticket ' || cast(event_id as varchar) as subject,
+       'reported on ' || event_type as description,
        case when k % 5 = 0 then 'In Progress' else 'Resolved' end as status,
        cast(case when k % 5 = 0 then null else value end as decimal(10,2)) as resolution_hours,
-       cast(case when k % 5 = 0 then null else k % 5 + 1 end as integer) as csat_score
+       cast(case when k % 5 = 0 then null else k % 5 + 1 end as integer) as csat_score,
+       case when k % 5 = 0 then null else 'fix ' || cast(k % 7 as varchar) end as resolution
 from {_EVENTS_K_SQL})"""
 
 
 class Bound:
-    """All logical tables of one testdata directory (lazy DataFrames, each
-    built once per session and directory)."""
-
-    def __new__(cls, spark: SparkSession, sf_dir: str):
-        src = Sources.for_dir(spark, sf_dir)
-        key = id(src)
-        if key not in _BOUND:
-            obj = super().__new__(cls)
-            obj.src = src
-            obj._built = {}
-            _BOUND[key] = obj
-        return _BOUND[key]
+    """All logical tables of one testdata directory: lazy DataFrames, each built once
+    for this object, from files listed when it is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.src = Sources(spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
 
     def __getattr__(self, name):
         fn = _TABLES.get(name)
@@ -431,24 +458,25 @@ class Bound:
             self._built[name] = fn(self.src)
         return self._built[name]
 
-
-_BOUND: dict = {}
+    @property
+    def as_of(self) -> dt.datetime | None:
+        return as_of(self.src)
 
 
 _TABLES = {
     "ledger": ledger, "ledger_days": ledger_days,
-    "log_functions": log_functions, "log_agents": log_agents,
-    "log_code_cli": log_code_cli, "log_code_web": log_code_web,
-    "log_intelligence": log_intelligence, "users": users,
+    "log_clicks": log_clicks, "log_views": log_views,
+    "log_purchases": log_purchases, "log_errors": log_errors,
+    "log_signups": log_signups, "users": users,
     "saas_customers": saas_customers, "deals": deals,
     "monthly_revenue": monthly_revenue, "support_tickets": support_tickets,
 }
 
 SQL = {
     "ledger": LEDGER_SQL, "ledger_days": LEDGER_DAYS_SQL,
-    "log_functions": LOG_FUNCTIONS_SQL, "log_agents": LOG_AGENTS_SQL,
-    "log_code_cli": LOG_CODE_CLI_SQL, "log_code_web": LOG_CODE_WEB_SQL,
-    "log_intelligence": LOG_INTELLIGENCE_SQL, "users": USERS_SQL,
+    "log_clicks": LOG_CLICKS_SQL, "log_views": LOG_VIEWS_SQL,
+    "log_purchases": LOG_PURCHASES_SQL, "log_errors": LOG_ERRORS_SQL,
+    "log_signups": LOG_SIGNUPS_SQL, "users": USERS_SQL,
     "saas_customers": SAAS_CUSTOMERS_SQL, "deals": DEALS_SQL,
     "monthly_revenue": MONTHLY_REVENUE_SQL, "support_tickets": SUPPORT_TICKETS_SQL,
 }

@@ -46,15 +46,13 @@ def col_or_null(df: DataFrame, name: str, dtype: DataType | str) -> Column:
     return F.lit(None).cast(dtype)
 
 
-_OPEN: dict = {}
-
-
 class Sources:
     """Lazy accessor for the tables of one source directory.
 
-    Each table is opened once per accessor (file listing and footer schema are
-    read once); every use shares that relation, which also lets Spark reuse
-    identical exchanges over it within one plan.
+    Each table is opened once per accessor (file listing and footer schema are read
+    once); every use shares that relation, which also lets Spark reuse identical
+    exchanges over it within one plan.  A new accessor lists the files anew: keep one
+    per report or model graph, not per session.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -62,18 +60,6 @@ class Sources:
         self.sf_dir = sf_dir
         self._opened: dict[str, DataFrame] = {}
 
-    @classmethod
-    def for_dir(cls, spark: SparkSession, sf_dir: str) -> "Sources":
-        """The session's accessor for ``sf_dir`` (opened tables are kept, as a
-        catalog keeps table handles; :meth:`refresh` re-lists the files)."""
-        key = (id(spark._jsparkSession), sf_dir)
-        if key not in _OPEN:
-            _OPEN[key] = cls(spark, sf_dir)
-        return _OPEN[key]
-
-    def refresh(self) -> None:
-        self._opened.clear()
-
     def __call__(self, name: str, required=()) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = read_table(self.spark, self.sf_dir, name)

@@ -9,25 +9,25 @@ from martlight.functions.service import DEMO_FAMILY, DEMO_LABELS, ServiceFamily
 
 
 def test_family_case_rules(spark):
-    fam = ServiceFamily(ci_prefixes=("ASSIST",), prefixes=("AI_",), exact=("WORKSPACE_INTELLIGENCE",))
-    rows = [("ASSIST_AGENTS",), ("assist_x",), ("AI_FUNCTIONS",), ("ai_x",), ("WORKSPACE_INTELLIGENCE",),
-            ("workspace_intelligence",), ("WAREHOUSE",), (None,)]
+    fam = ServiceFamily(ci_prefixes=("web.",), prefixes=("shop.",), exact=("account",))
+    rows = [("web.view",), ("Web.x",), ("web.click",), ("Shop.x",), ("account",),
+            ("ACCOUNT",), ("batch.job",), (None,)]
     df = spark.createDataFrame(rows, "t string")
     got = {r["t"]: r["m"] for r in df.select("t", fam.contains("t").alias("m")).collect()}
-    assert got == {"ASSIST_AGENTS": True, "assist_x": True, "AI_FUNCTIONS": True, "ai_x": False,
-                   "WORKSPACE_INTELLIGENCE": True, "workspace_intelligence": False,
-                   "WAREHOUSE": False, None: None}
+    assert got == {"web.view": True, "Web.x": True, "web.click": True, "Shop.x": False,
+                   "account": True, "ACCOUNT": False,
+                   "batch.job": False, None: None}
 
 
 def test_family_filter_drops_null(spark):
-    df = spark.createDataFrame([("AI_X",), (None,)], "t string")
+    df = spark.createDataFrame([("shop.x",), (None,)], "t string")
     assert df.filter(DEMO_FAMILY.contains("t")).count() == 1
 
 
 def test_labels_pass_through(spark):
-    df = spark.createDataFrame([("AI_FUNCTIONS",), ("NEW_TYPE",), (None,)], "t string")
+    df = spark.createDataFrame([("web.click",), ("NEW_TYPE",), (None,)], "t string")
     got = [r[0] for r in df.select(DEMO_LABELS.label("t")).collect()]
-    assert got == ["AI Functions", "NEW_TYPE", None]
+    assert got == ["Page clicks", "NEW_TYPE", None]
 
 
 def test_number_formats_round_half_up(spark):

@@ -2,10 +2,11 @@
 import pytest
 
 import __spark_entry__ as E
+from martlight import catalog
 from tests.oracle_check import _types, digest, duck
 from tests.conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ import os
 from decimal import Decimal
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -38,12 +39,12 @@ def test_top_n_matches_brute_force(spark, values, n):
 
 @SETTINGS
 @given(keys=st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=0, max_size=60),
-       desc=st.booleans(), buckets=st.integers(1, 9))
-def test_global_row_number_is_sorted_enumeration(spark, keys, desc, buckets):
+       desc=st.booleans(), partitions=st.integers(1, 9))
+def test_global_row_number_is_sorted_enumeration(spark, keys, desc, partitions):
     rows = [(a, f"t{i:03d}") for i, a in enumerate(keys)]
     df = spark.createDataFrame(rows, "a int, t string")
     got = {r["t"]: r["rn"] for r in
-           global_row_number(df, ["a", "t"], [desc, False], "rn", buckets=buckets).collect()}
+           global_row_number(df, ["a", "t"], [desc, False], "rn", partitions=partitions).collect()}
     # NULL keys rank first in both directions
     order = sorted(rows, key=lambda r: (r[0] is not None,
                                         (-(r[0] or 0) if desc else (r[0] or 0)), r[1]))
@@ -129,8 +130,8 @@ def test_metric_layer_filters_match_pandas(spark, facts, region, stage):
     assert got2 == sum(1 for p, s, _ in facts if reg.get(p) == region or s == stage)
 
 
-TYPES = ["AI_FUNCTIONS", "ASSIST_AGENTS", "assist_x", "ai_lower", "WAREHOUSE", "AI_NEW",
-         "WORKSPACE_INTELLIGENCE"]
+TYPES = ["web.click", "web.view", "Web.x", "Shop.lower", "batch.job", "shop.new",
+         "account"]
 
 
 @SETTINGS
@@ -143,6 +144,7 @@ TYPES = ["AI_FUNCTIONS", "ASSIST_AGENTS", "assist_x", "ai_lower", "WAREHOUSE", "
 def test_billed_report_matches_python(spark, rows, sub_n):
     import datetime as dt
 
+
     from martlight.functions.service import DEMO_FAMILY, DEMO_LABELS
     from martlight.operators.settings import ReportSettings
     from martlight.plans import usage as U
@@ -169,8 +171,8 @@ def test_billed_report_matches_python(spark, rows, sub_n):
     m0, w0 = rd.replace(day=1), rd - dt.timedelta(days=6)
 
     def fam(t):  # the demo family, written out
-        assert DEMO_FAMILY.ci_prefixes == ("ASSIST",) and DEMO_FAMILY.prefixes == ("AI_",)
-        return t.lower().startswith("assist") or t.startswith("AI_") or t == "WORKSPACE_INTELLIGENCE"
+        assert DEMO_FAMILY.ci_prefixes == ("web.",) and DEMO_FAMILY.prefixes == ("shop.",)
+        return t.lower().startswith("web.") or t.startswith("shop.") or t == "account"
 
     fr = [(t, nm, ts.date(), c) for t, nm, ts, c in recs if fam(t)]
 
@@ -243,11 +245,11 @@ def test_detail_report_matches_python(spark, fn_rows, ag_rows, n):
         "user_id long, user_name string")
     users = spark.createDataFrame([(1, "u1"), (1, "u1b"), (2, "u2"), (3, "u3"), (4, "u4")],
                                   "user_id long, name string")
-    logs = [U.UsageLog(fn, "AI_FUNCTIONS", "start_time", "credits", "query_id",
+    logs = [U.UsageLog(fn, "web.click", "start_time", "credits", "query_id",
                        function_name=F.col("function_name"),
                        model_name=F.nullif(F.col("model_name"), F.lit(""))),
-            U.UsageLog(ag, "ASSIST_AGENTS", "start_time", "token_credits", "request_id",
-                       function_name=F.lit("ASSIST_AGENT"),
+            U.UsageLog(ag, "web.view", "start_time", "token_credits", "request_id",
+                       function_name=F.lit("view"),
                        agent_name=F.coalesce(F.col("agent_name"), F.lit("(unknown)")),
                        user_name=F.col("user_name"))]
     ledger = spark.createDataFrame([], "service_type string, name string, start_time timestamp_ntz, "
@@ -257,9 +259,9 @@ def test_detail_report_matches_python(spark, fn_rows, ag_rows, n):
                       ReportSettings(top_n=n))
     rd, m0 = dt.date(2026, 6, 10), dt.date(2026, 6, 1)
     dim = {1: "u1b", 2: "u2", 3: "u3", 4: "u4"}
-    unified = [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "AI_FUNCTIONS", f, m or None, None,
+    unified = [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "web.click", f, m or None, None,
                 c, dim.get(u, "(unknown)")) for h, f, m, c, q, u in fn_rows]
-    unified += [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "ASSIST_AGENTS", "ASSIST_AGENT", None,
+    unified += [(f"q{q}", (base + dt.timedelta(hours=h)).date(), "web.view", "view", None,
                  a or "(unknown)", c, raw if raw is not None else dim.get(u, "(unknown)"))
                 for h, a, c, q, u, raw in ag_rows]
     mtd = [x for x in unified if m0 <= x[1] <= rd]
@@ -376,16 +378,20 @@ def test_data_tests_match_python(spark, child, parent):
 
 @SETTINGS
 @given(vals=st.lists(st.one_of(st.none(), st.sampled_from(
-    ["12", " 7 ", "12.5", "1e3", "1_000", "+3", "-2", "abc", "", "3.00005", "0", "2.5e1", ".5", "9999999"])),
-    min_size=4, max_size=4))
+    ["12", " 7 ", "12.5", "+3", "-2", "abc", "", "3.00005", "0", ".5", "9999999"])), min_size=4, max_size=4))
 def test_settings_python_and_spark_reads_agree(spark, vals):
     from martlight.operators import settings as S
-    keys = ["AI_CREDIT_PRICE_USD", "AI_BUDGET_CREDITS", "TOP_N", "AI_SUBTYPE_TOP_N"]
+    keys = ["price_per_credit", "monthly_budget", "drill_rows", "subtype_rows"]
     kv = dict(zip(keys, vals))
     cfg = spark.createDataFrame([(k, v, "") for k, v in kv.items()], "key string, value string, description string")
-    spark_row = S.typed_settings(S.settings_object(cfg)).first()
-    py = S.ReportSettings.from_pairs(kv)
-    assert str(spark_row["ai_credit_price_usd"]) == py.credit_price
-    assert spark_row["ai_budget_credits"] == py.budget
-    assert spark_row["top_n"] == py.top_n
-    assert spark_row["ai_subtype_top_n"] == py.subtype_top_n
+    typed = S.typed_settings(S.settings_object(cfg))
+    try:
+        py = S.ReportSettings.from_pairs(kv)
+    except S.SettingsError:
+        with pytest.raises(Exception, match="setting"):
+            typed.collect()
+        return
+    row = typed.first()
+    assert row["price_per_credit"] == float(py.credit_price)
+    assert row["monthly_budget"] == py.budget
+    assert (row["drill_rows"], row["subtype_rows"]) == (py.top_n, py.subtype_top_n)

@@ -35,18 +35,18 @@ def test_conform_fails_loudly_on_bad_cast(spark):
 
 def test_settings_errors(spark):
     cfg = S.merge_insert_only(S.empty_config(spark), S.seed_frame(spark))
-    cfg = S.update_values(cfg, spark.createDataFrame([("TOP_N", "ten"), ("BUDGET_WARN_PCT", "85")],
+    cfg = S.update_values(cfg, spark.createDataFrame([("drill_rows", "ten"), ("budget_warn_percent", "85")],
                                                      "key string, value string"))
     errs = [(r["key"], r["value"]) for r in S.settings_errors(S.settings_object(cfg)).collect()]
-    assert errs == [("TOP_N", "ten")]
+    assert errs == [("drill_rows", "ten")]
 
 
 def test_sql_functions(spark):
     register_sql_functions(spark)
-    r = spark.sql("""select is_service_family('assist_x') a, is_service_family('ai_x') b,
-                            service_label('AI_FUNCTIONS') c, service_label('NEW') d,
+    r = spark.sql("""select is_service_family('Web.x') a, is_service_family('Shop.x') b,
+                            service_label('web.click') c, service_label('NEW') d,
                             fmt_credits(1234.56789) e, fmt_usd(2.665) f, fmt_credits2(null) g""").first()
-    assert tuple(r) == (True, False, "AI Functions", "NEW", "1,234.5679", "$2.67", "0.00")
+    assert tuple(r) == (True, False, "Page clicks", "NEW", "1,234.5679", "$2.67", "0.00")
 
 
 def test_register_views(spark):

@@ -66,16 +66,16 @@ def test_late_rows_within_delay_count_and_after_settlement_are_dropped(spark):
         assert q.exception() is None
 
     T = dt.datetime
-    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 10), Decimal(1)),
-          ("AI_FUNCTIONS", "a", T(2026, 6, 2, 10), Decimal(2))])
+    land([("web.click", "a", T(2026, 6, 1, 10), Decimal(1)),
+          ("web.click", "a", T(2026, 6, 2, 10), Decimal(2))])
     run()
     # late for 06-01 but within the 1-day delay (watermark is 06-01 10:00)
-    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 23), Decimal(10)),
-          ("AI_FUNCTIONS", "a", T(2026, 6, 5, 10), Decimal(5))])
+    land([("web.click", "a", T(2026, 6, 1, 23), Decimal(10)),
+          ("web.click", "a", T(2026, 6, 5, 10), Decimal(5))])
     run()
     # 06-01 is now settled (watermark 06-04 10:00); a further 06-01 row is too late
-    land([("AI_FUNCTIONS", "a", T(2026, 6, 1, 12), Decimal(100)),
-          ("AI_FUNCTIONS", "a", T(2026, 6, 9, 10), Decimal(9))])
+    land([("web.click", "a", T(2026, 6, 1, 12), Decimal(100)),
+          ("web.click", "a", T(2026, 6, 9, 10), Decimal(9))])
     run()
     got = {r["day"]: r["credits"] for r in spark.read.parquet(out).collect()}
     assert got[dt.date(2026, 6, 1)] == Decimal(11)       # 1 + late 10, not the 100

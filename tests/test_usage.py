@@ -15,14 +15,14 @@ AS_OF = T(2026, 6, 7, 0, 0)
 @pytest.fixture(scope="module")
 def report_inputs(spark):
     ledger = spark.createDataFrame([
-        ("AI_FUNCTIONS", "app", T(2026, 6, 6, 10), D("1.5")),
-        ("ASSIST_AGENTS", "", T(2026, 6, 2), D("2.0")),
-        ("ASSIST_AGENTS", None, T(2026, 6, 3), D("1.0")),
-        ("assist_lower", "x", T(2026, 6, 3, 5), D("0.5")),
-        ("ai_lower", "y", T(2026, 6, 3), D("100")),
-        ("AI_SERVICES", "z", T(2026, 6, 4), D("-0.25")),
-        ("AI_FUNCTIONS", "app", T(2026, 5, 31, 23, 59), D("4.0")),
-        ("AI_FUNCTIONS", "app", T(2026, 6, 7, 1), D("9.0")),
+        ("web.click", "app", T(2026, 6, 6, 10), D("1.5")),
+        ("web.view", "", T(2026, 6, 2), D("2.0")),
+        ("web.view", None, T(2026, 6, 3), D("1.0")),
+        ("WEB.other", "x", T(2026, 6, 3, 5), D("0.5")),
+        ("Shop.lower", "y", T(2026, 6, 3), D("100")),
+        ("shop.purchase", "z", T(2026, 6, 4), D("-0.25")),
+        ("web.click", "app", T(2026, 5, 31, 23, 59), D("4.0")),
+        ("web.click", "app", T(2026, 6, 7, 1), D("9.0")),
     ], "service_type string, name string, start_time timestamp_ntz, credits_used decimal(28,9)")
     days = spark.createDataFrame([(dt.date(2026, 5, 30) + dt.timedelta(days=i),) for i in range(9)],
                                  "usage_date date")
@@ -39,11 +39,11 @@ def report_inputs(spark):
        "user_id long, user_name string")
     users = spark.createDataFrame([(1, "alice"), (1, "alice_old"), (2, "bob")], "user_id long, name string")
     logs = [
-        U.UsageLog(fn, "AI_FUNCTIONS", "start_time", "credits", "query_id",
+        U.UsageLog(fn, "web.click", "start_time", "credits", "query_id",
                    function_name=F.col("function_name"),
                    model_name=F.nullif(F.col("model_name"), F.lit(""))),
-        U.UsageLog(ag, "ASSIST_AGENTS", "start_time", "token_credits", "request_id",
-                   function_name=F.lit("ASSIST_AGENT"),
+        U.UsageLog(ag, "web.view", "start_time", "token_credits", "request_id",
+                   function_name=F.lit("view"),
                    agent_name=F.coalesce(F.col("agent_name"), F.lit("(unknown)")),
                    user_name=F.col("user_name")),
     ]
@@ -72,7 +72,7 @@ def test_window_and_totals(spark, report_inputs):
 def test_by_type_drops_nonpositive_and_reconcile_reports_it(spark, report_inputs):
     r = _report(spark, report_inputs)
     got = {x["service_type"]: x["credits"] for x in r.by_type().collect()}
-    assert got == {"AI_FUNCTIONS": D("1.5"), "ASSIST_AGENTS": D("3"), "assist_lower": D("0.5")}
+    assert got == {"web.click": D("1.5"), "web.view": D("3"), "WEB.other": D("0.5")}
     rec = {x["section"]: x["diff"] for x in r.reconcile().collect()}
     assert rec["usage_by_type"] == D("0.25")
     assert rec["usage_by_type_subtype"] == 0
@@ -82,8 +82,8 @@ def test_by_type_drops_nonpositive_and_reconcile_reports_it(spark, report_inputs
 def test_subtypes_guard_and_trend(spark, report_inputs):
     r = _report(spark, report_inputs)
     sub = {(x["type_label"], x["subtype"]): x["credits"] for x in r.by_type_subtype().collect()}
-    assert sub[("Assist Agents", "—")] == D("3")
-    assert r.new_types().first()["new_types"] == "assist_lower"
+    assert sub[("Page views", "—")] == D("3")
+    assert r.new_types().first()["new_types"] == "WEB.other"
     trend = {x["day"]: x["credits"] for x in r.trend().collect()}
     assert trend == {dt.date(2026, 5, 31): D(4), dt.date(2026, 6, 2): D(2), dt.date(2026, 6, 3): D("1.5"),
                      dt.date(2026, 6, 4): D("-0.25"), dt.date(2026, 6, 6): D("1.5")}
@@ -95,10 +95,10 @@ def test_drilldowns(spark, report_inputs):
     assert users == {(1, "alice_old"): D(4), (2, "bob"): D(2), (999999, "Others"): D("1.5")}
     models = {(x["name"], x["kind"]): x["credits"] for x in
               _report(spark, report_inputs, top_n=10).by_model().collect()}
-    assert models == {("AI_FUNCTIONS", "Service"): D(1), ("m1", "Model"): D("2.5"),
+    assert models == {("web.click", "Service"): D(1), ("m1", "Model"): D("2.5"),
                       ("(unknown)", "Agent"): D(1), ("A", "Agent"): D(3)}
     fns = {x["function_name"]: x["credits"] for x in _report(spark, report_inputs, top_n=10).by_function().collect()}
-    assert fns == {"F1": D(3), "F2": D("0.5"), "ASSIST_AGENT": D(4)}
+    assert fns == {"F1": D(3), "F2": D("0.5"), "view": D(4)}
     unified = {(x["usage_id"], x["user_name"]) for x in
                U.unified_usage(report_inputs.logs, report_inputs.users).collect()}
     assert ("r1", "") in unified and ("q2", "(unknown)") in unified and ("r2", "alice_old") in unified
@@ -142,9 +142,9 @@ def test_empty_ledger(spark, report_inputs):
 def test_report_html_escapes_and_lists(spark, report_inputs):
     r = _report(spark, report_inputs)
     row = report.report_html(r).first()
-    assert row["subject"] == "AI Usage - Sat 2026-06-06 - 1.50 credits ($4.50)"
+    assert row["subject"] == "Usage - Sat 2026-06-06 - 1.50 credits ($4.50)"
     body = row["body"]
-    assert "New service type detected:</b> assist_lower" in body
+    assert "New service type detected:</b> WEB.other" in body
     assert "[WARN]" in body and "95.0%" in body
     assert body.count('class="others"') == 3        # function, model and user drill-downs
     assert "(1 day behind)" in body
@@ -157,14 +157,39 @@ def test_build_report_parts(spark, report_inputs):
     assert {"usage_by_user", "reconcile_totals", "budget_status"} <= set(parts)
 
 
-def test_detail_currency_falls_back_to_full_history(spark):
-    raw = spark.createDataFrame([(T(2026, 1, 3, 12),), (T(2026, 6, 7, 1),)], "usage_time timestamp_ntz")
+def test_detail_currency_looks_through_the_whole_history(spark):
+    raw = spark.createDataFrame([(T(2025, 1, 3, 12),), (T(2026, 6, 7, 1),)], "usage_time timestamp_ntz")
     w = U.ReportWindow(dt.date(2026, 6, 6), dt.date(2026, 6, 1), dt.date(2026, 5, 31))
-    c = U.settled_detail_currency(raw, w, lookback_days=30).first()
-    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 1, 3), 154)
-    recent = spark.createDataFrame([(T(2026, 6, 2),), (T(2026, 1, 3),)], "usage_time timestamp_ntz")
-    c = U.settled_detail_currency(recent, w, lookback_days=30).first()
-    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2026, 6, 2), 4)
+    c = U.detail_currency(raw, w).first()
+    assert (c["detail_max_day"], c["detail_lag"]) == (dt.date(2025, 1, 3), 519)
+
+
+@pytest.mark.parametrize("price,credits,usd", [
+    ("3.0000", "0.001666666", "0.00"), ("3", "1.668333332", "5.00"), ("3.0000", "1.668333334", "5.01"),
+    ("0.005", "1", "0.01"), ("0.004999999", "1", "0.00"), ("2.00005", "0.099995000", "0.20"),
+    ("1000000", "0.000000005", "0.01"), ("1000000", "0.000000004", "0.00"), ("-3", "0.001666667", "-0.01"),
+    ("123456789.123456", "1000000.000000001", "123456789123456.12"), ("1E+3", "0.000005", "0.01")])
+def test_money_is_rounded_once(spark, price, credits, usd):
+    df = spark.createDataFrame([(D(credits),)], "c decimal(38,9)")
+    got = df.select(U._usd("c", price).alias("usd")).first()["usd"]
+    assert got == D(usd) == (D(price) * D(credits)).quantize(D("0.01"), "ROUND_HALF_UP")
+
+
+def test_new_files_are_seen(spark):
+    import shutil
+    import tempfile
+
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    sf = tempfile.mkdtemp(prefix="martlight-grow-")
+    for t in ("customer", "orders", "lineitem", "events", "nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{sf}/{t}.parquet")
+    before = E.queries()["stg_customers"](spark, sf).count()
+    profile = E.queries()["usage_profile"](spark, sf).first()["n_rows"]
+    for t in ("customer", "events"):
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", f"{sf}/{t}.parquet/more.parquet")
+    assert E.queries()["stg_customers"](spark, sf).count() == 2 * before
+    assert E.queries()["usage_profile"](spark, sf).first()["n_rows"] == 2 * profile
 
 
 def test_empty_detail_logs(spark, report_inputs):
@@ -181,7 +206,7 @@ def test_empty_detail_logs(spark, report_inputs):
     assert r.by_user().count() == 0
     body = report.report_html(r).first()["body"]
     assert body.count("No activity.") == 3          # function, model and user sections
-    assert "<td>AI Functions</td>" in body           # billed sections still render
+    assert "<td>Page clicks</td>" in body           # billed sections still render
 
 
 def test_as_of_defaults_to_now(report_inputs):
