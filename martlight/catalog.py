@@ -47,17 +47,17 @@ def _fct_roundtrip(spark, sf_dir):
 
 
 register("dq_unique", msql.checks_sql(["unique"]))(
-    lambda s, d: mart_checks.run_mart_checks(s, d, ["unique"]))
+    lambda s, d: mart_checks.run_mart_checks(s, d, ["unique"], extra=True))
 register("dq_not_null", msql.checks_sql(["not_null"]))(
-    lambda s, d: mart_checks.run_mart_checks(s, d, ["not_null"]))
+    lambda s, d: mart_checks.run_mart_checks(s, d, ["not_null"], extra=True))
 register("dq_relationships", msql.checks_sql(["relationships"]))(
-    lambda s, d: mart_checks.run_mart_checks(s, d, ["relationships"]))
+    lambda s, d: mart_checks.run_mart_checks(s, d, ["relationships"], extra=True))
 
 
 @register("dq_summary", msql.summary_sql())
 def _dq_summary(spark, sf_dir):
     from martlight.operators.quality import summarize
-    return summarize(mart_checks.run_mart_checks(spark, sf_dir))
+    return summarize(mart_checks.run_mart_checks(spark, sf_dir, extra=True))
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:

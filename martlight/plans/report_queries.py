@@ -15,10 +15,10 @@ def _subject(spark, sf_dir):
 
 @register("report_sections", Q.REPORT_SECTIONS)
 def _sections(spark, sf_dir):
-    return report.report_sections(demo_report(spark, sf_dir))
+    return report.report_sections(demo_report(spark, sf_dir, write_cubes=True))
 
 
 @register("report_html", Q.REPORT_HTML)
 def _html(spark, sf_dir):
     """The assembled report, one row (subject, body)."""
-    return report.report_html(demo_report(spark, sf_dir))
+    return report.report_html(demo_report(spark, sf_dir, write_cubes=True))

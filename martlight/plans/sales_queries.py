@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlight.catalog import register
@@ -49,14 +49,10 @@ def _mrr_trend(spark, sf_dir):
     """MRR by month and product over the last six months of data."""
     m = sales_model(spark, sf_dir)
     g = m.query(["total_mrr"], ["revenue_month", "rev_product"])
-    # The month filter is on a grouping dimension, so it can be applied to the
-    # aggregated rows: one pass over the revenue rows.  The aggregate has
-    # (months x products) rows — bounded by the calendar, not the data — so
-    # the unpartitioned max() window below runs over a bounded input.
-    last = F.max("revenue_month").over(Window.partitionBy())
-    return (g.withColumn("__last", last)
-            .filter(F.col("revenue_month") > F.add_months(F.col("__last"), -6))
-            .drop("__last"))
+    # The month filter is on a grouping dimension, so it applies to the aggregated rows;
+    # the newest month is one value, taken from the same aggregate.
+    since = g.agg(F.add_months(F.max("revenue_month"), -6)).scalar()
+    return g.filter(F.col("revenue_month") > since)
 
 
 @register("sem_won_by_region_industry", Q.SEM_WON_BY_REGION_INDUSTRY)

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from martlight.functions.dates import ts_lit
 from martlight.functions.service import ServiceFamily, ServiceLabels
-from martlight.operators.frames import one_row
 from martlight.operators.settings import ReportSettings
 from martlight.operators.topn import top_n_with_others
+from martlight.session import written
 
 CREDITS = "decimal(38,9)"
 USD = "decimal(38,2)"
@@ -337,18 +337,25 @@ def mtd_by_service(raw: DataFrame, as_of: dt.datetime) -> DataFrame:
 # --- reconciliation ------------------------------------------------------------------
 def reconcile(sections: dict[str, DataFrame], billed: DataFrame, detail: DataFrame) -> DataFrame:
     """(section, listed_sum, total, diff): billed sections foot to the billed
-    month-to-date, drill-downs to the detail month-to-date."""
-    totals = [billed.select(F.col("mtd_credits").alias("billed")),
-              detail.select(F.col("credits").alias("detail"))]
-    parts = []
-    for name, df in sections.items():
-        basis = "billed" if name in ("usage_by_type", "usage_by_type_subtype") else "detail"
-        s = df.agg(F.coalesce(F.sum("credits"), F.lit(0).cast(CREDITS)).cast(CREDITS).alias("listed_sum"))
-        parts.append(one_row(s, *totals).select(
-            F.lit(name).alias("section"), "listed_sum",
-            F.col(basis).cast(CREDITS).alias("total"),
-            (F.col("listed_sum") - F.col(basis)).cast(CREDITS).alias("diff")))
-    return reduce(DataFrame.unionByName, parts)
+    month-to-date, drill-downs to the detail month-to-date.  One aggregate over all
+    sections' rows and both totals."""
+    def tagged(name: str, df: DataFrame, column: str) -> DataFrame:
+        return df.select(F.lit(name).alias("section"), F.col(column).cast(CREDITS).alias("credits"))
+
+    parts = [tagged(name, df, "credits") for name, df in sections.items()]
+    parts += [tagged("billed", billed, "mtd_credits"), tagged("detail", detail, "credits")]
+    rows = reduce(DataFrame.unionByName, parts)
+
+    def total(name: str) -> Column:
+        s = F.sum(F.when(F.col("section") == name, F.col("credits")))
+        return F.coalesce(s, F.lit(0).cast(CREDITS)).cast(CREDITS)
+
+    one = rows.agg(*[total(n).alias(n) for n in [*sections, "billed", "detail"]])
+    lines = [F.struct(F.lit(n).alias("section"), F.col(n).alias("listed_sum"),
+                      F.col("billed" if n in ("usage_by_type", "usage_by_type_subtype") else "detail")
+                      .alias("total")) for n in sections]
+    return (one.select(F.explode(F.array(*lines)).alias("r")).select("r.*")
+            .withColumn("diff", (F.col("listed_sum") - F.col("total")).cast(CREDITS)))
 
 
 # --- one report's inputs ---------------------------------------------------------------
@@ -380,40 +387,48 @@ def _memo(fn):
     return wrapper
 
 
+class IncompleteRollup(ValueError):
+    """A maintained cube that lacks days of the reporting window."""
+
+
 class UsageReport:
     """All sections of one report, sharing the window and the two cubes.
 
-    ``persist=True`` caches the cubes (a few thousand rows) while the
-    sections are rendered; a lost cached block is recomputed from lineage.
+    ``write_cubes=True`` computes the ledger cube, the detail cube and the detail totals
+    once, into the shared folder (``spark.checkpoint.dir``); every section then reads these
+    few rows, and a lost executor costs no scan.  Without it every section is a lazy plan
+    over the inputs, which is best for a single section.
     """
 
     def __init__(self, spark: SparkSession, inputs: UsageInputs,
-                 settings: ReportSettings, persist: bool = False,
+                 settings: ReportSettings, write_cubes: bool = False,
                  rollup: DataFrame | None = None):
-        """``rollup``: an already maintained (day, service_type, name,
-        credits) table — e.g. the streaming rollup's sink — used instead of
-        aggregating raw ledger rows; only the window's days are read."""
+        """``rollup``: a maintained (day, service_type, name, credits) table, e.g. what
+        :func:`martlight.streaming.ledger_rollup.read_cube` reads, used instead of the raw
+        ledger.  Days of the window that it lacks raise :class:`IncompleteRollup`."""
         self.spark = spark
         self.inp = inputs
         self.s = settings
-        self.window = reporting_window(inputs.ledger_days, inputs.as_of)
+        self.window = w = reporting_window(inputs.ledger_days, inputs.as_of)
         self.raw = unify_raw(inputs.logs)
         if rollup is not None:
-            w = self.window
-            self.cube = (rollup.filter(_in("day", w.lo, w.report_day)
-                                       & settings.family.contains("service_type"))
+            mine = rollup.filter(_in("day", w.lo, w.report_day))
+            lacking = (inputs.ledger_days.filter(_in("usage_date", w.lo, w.report_day))
+                       .select(F.col("usage_date").alias("day")).distinct()
+                       .join(mine.select("day").distinct(), "day", "left_anti"))
+            days = sorted(r["day"].isoformat() for r in lacking.collect())   # of one window
+            if days:
+                raise IncompleteRollup(f"the rollup lacks {', '.join(days)}")
+            self.cube = (mine.filter(settings.family.contains("service_type"))
                          .groupBy("day", "service_type", "name")
                          .agg(F.sum("credits").cast(CREDITS).alias("credits")))
         else:
-            self.cube = ledger_cube(inputs.ledger, settings.family, self.window)
-        self.dcube = detail_cube(self.raw, inputs.users, self.window)
-        if persist:
-            self.cube = self.cube.persist()
-            self.dcube = self.dcube.persist()
-
-    def unpersist(self):
-        self.cube.unpersist()
-        self.dcube.unpersist()
+            self.cube = ledger_cube(inputs.ledger, settings.family, w)
+        self.dcube = detail_cube(self.raw, inputs.users, w)
+        if write_cubes:
+            self.cube = written(self.cube, "ledger-cube")
+            self.dcube = written(self.dcube, "detail-cube")
+            self._parts = {"detail": written(self.detail(), "detail-totals")}
 
     @property
     def price(self):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.catalog import register
@@ -26,9 +26,9 @@ def demo_inputs(spark: SparkSession, sf_dir: str) -> U.UsageInputs:
 
 
 def demo_report(spark: SparkSession, sf_dir: str, settings: ReportSettings | None = None,
-                persist: bool = False) -> U.UsageReport:
+                write_cubes: bool = False) -> U.UsageReport:
     return U.UsageReport(spark, demo_inputs(spark, sf_dir),
-                         settings or ReportSettings.defaults(), persist=persist)
+                         settings or ReportSettings.defaults(), write_cubes=write_cubes)
 
 
 def _raw(spark, sf_dir) -> DataFrame:
@@ -163,7 +163,7 @@ def _mtd(spark, sf_dir):
 
 @register("reconcile_totals", Q.RECONCILE_TOTALS)
 def _reconcile(spark, sf_dir):
-    return demo_report(spark, sf_dir).reconcile()
+    return demo_report(spark, sf_dir, write_cubes=True).reconcile()
 
 
 @register("format_numbers", Q.FORMAT_NUMBERS)
@@ -174,9 +174,8 @@ def _formats(spark, sf_dir):
     g = (r.cube.filter(U._in("day", r.window.m_start, r.window.report_day))
          .groupBy("service_type").agg(F.sum("credits").cast(U.CREDITS).alias("credits")))
     # NULL share when the month's total is zero (ANSI division would fail)
-    share = F.try_divide(F.col("credits").cast("double") * F.lit(100.0),
-                         F.sum(F.col("credits").cast("double")).over(Window.partitionBy()))
-    # the window runs over one row per service type (bounded by the family)
+    total = g.agg(F.sum(F.col("credits").cast("double"))).scalar()
+    share = F.try_divide(F.col("credits").cast("double") * F.lit(100.0), total)
     return g.select("service_type", "credits",
                     fmt.fmt_credits("credits").alias("credits_4dp"),
                     fmt.fmt_credits2("credits").alias("credits_2dp"),

@@ -19,9 +19,13 @@ REQUIRED_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the plans depend on to an existing session."""
+    """Apply the runtime settings the plans depend on to an existing session.
+
+    This changes the caller's session, for good: results depend on ANSI mode and UTC.
+    Settings that already hold are left alone."""
     for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -62,6 +66,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
+def written(df, name: str):
+    """``df`` computed once into the shared folder and read back: later plans (and a lost
+    executor) start from the files."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below :func:`shared_dir` for one job's output."""
     return shared_dir(spark, f"{name}-{os.getpid()}-{os.urandom(4).hex()}")

@@ -1,16 +1,14 @@
 """Incremental ledger cube with Structured Streaming.
 
-The batch report aggregates the ledger to ``(day, service_type, name) →
-credits`` for its window.  At scale the same cube can be maintained
-incrementally: ledger rows stream in, a watermark on the usage time bounds the
-aggregation state, and in ``append`` mode a day's rows are emitted exactly
-once — when the watermark passes the end of that day, i.e. when the day is
-*settled*.  The output is appended to a parquet table partitioned by day, so a
-report reads only the partitions of its window (partition pruning) instead of
-rescanning raw ledger rows.
-
-State: one aggregation buffer per open (day, type, name) group, dropped once
-the watermark passes the day; it does not grow with history.
+The batch report aggregates the ledger to ``(day, service_type, name) -> credits`` for its
+window.  At scale the same cube can be kept up to date as ledger files arrive: every
+micro-batch is aggregated by itself and its partial sums are written as one folder of the
+cube table (``batch=<id>/day=<day>``).  Readers add the partial sums of a day.
+
+Nothing waits for a watermark and no state is held: a row counts as soon as its batch is
+done, however late it is, and belongs to the day it names.  A batch that runs again after a
+failure overwrites its own folder, so each row counts once.  All service types are kept
+(the report applies its family), so a day's presence in the table means its rows were seen.
 """
 
 from __future__ import annotations
@@ -20,43 +18,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from martlight.functions.service import ServiceFamily
 from martlight.session import shared_dir
 
 CREDITS = "decimal(38,9)"
+CUBE = "day date, service_type string, name string, credits decimal(38,9)"
 
 
-def ledger_rollup(ledger: DataFrame, family: ServiceFamily, delay: str = "2 days") -> DataFrame:
-    """Streaming (or batch) ledger → daily cube rows (day, service_type, name,
-    credits).  ``delay`` is how late a row may arrive and still count."""
-    ts = F.col("start_time").cast("timestamp")
-    return (ledger.filter(family.contains("service_type"))
-            .withColumn("event_time", ts)
-            .withWatermark("event_time", delay)
-            .groupBy(F.window("event_time", "1 day").alias("w"), "service_type", "name")
-            .agg(F.sum("credits_used").cast(CREDITS).alias("credits"))
-            .select(F.to_date(F.col("w.start")).alias("day"), "service_type", "name", "credits"))
+def ledger_rollup(ledger: DataFrame) -> DataFrame:
+    """Ledger rows to daily cube rows (day, service_type, name, credits)."""
+    return (ledger.groupBy(F.to_date("start_time").alias("day"), "service_type", "name")
+            .agg(F.sum("credits_used").cast(CREDITS).alias("credits")))
 
 
 def start_rollup(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
-                 family: ServiceFamily, delay: str = "2 days", checkpoint: str | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None
-                 ) -> StreamingQuery:
-    """Stream parquet ledger files from ``source_dir`` into the day-partitioned
-    cube table at ``out_dir``.  The checkpoint defaults to a folder below the
-    cluster's ``spark.checkpoint.dir``."""
+                 checkpoint: str | None = None, available_now: bool = True,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Stream parquet ledger files from ``source_dir`` into the cube table at ``out_dir``.
+
+    The checkpoint defaults to a folder below the cluster's ``spark.checkpoint.dir``; one
+    checkpoint belongs to one ``out_dir``."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = ledger_rollup(reader.parquet(source_dir), family, delay)
-    w = (rows.writeStream.outputMode("append").format("parquet")
-         .option("path", out_dir).partitionBy("day")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        (ledger_rollup(batch).write.mode("overwrite").partitionBy("day")
+         .parquet(f"{out_dir}/batch={batch_id}"))
+
+    w = (reader.parquet(source_dir).writeStream.foreachBatch(add)
          .option("checkpointLocation", checkpoint or shared_dir(spark, "ledger_rollup_ckpt")))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def read_cube(spark: SparkSession, out_dir: str, lo, hi) -> DataFrame:
-    """Cube rows of days ``lo..hi`` (only those partitions are read)."""
-    return (spark.read.parquet(out_dir)
-            .filter(F.col("day").between(F.lit(lo), F.lit(hi))))
+def read_cube(spark: SparkSession, out_dir: str, lo=None, hi=None) -> DataFrame:
+    """The cube (day, service_type, name, credits), of days ``lo..hi`` if given: only
+    those partitions are read."""
+    rows = spark.read.schema(CUBE + ", batch bigint").parquet(out_dir)
+    if lo is not None:
+        rows = rows.filter(F.col("day") >= F.lit(lo))
+    if hi is not None:
+        rows = rows.filter(F.col("day") <= F.lit(hi))
+    return (rows.groupBy("day", "service_type", "name")
+            .agg(F.sum("credits").cast(CREDITS).alias("credits")))

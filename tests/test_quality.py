@@ -28,13 +28,50 @@ def test_run_checks_counts(spark):
 
 def test_build_then_test_on_written_marts(spark):
     import tempfile
-    from martlight.plans.mart_checks import build_and_test
+
+    from martlight.plans.mart_checks import DECLARED, build_and_test
+    from tests.conftest import SF_SMALL
+    out = tempfile.mkdtemp(prefix="martlight-build-")
+    res = build_and_test(spark, SF_SMALL, out)
+    assert sorted(r.check_name for r in res) == sorted(c.name for c in DECLARED)
+    assert {r.status for r in res} == {"pass"}
+    assert spark.read.parquet(f"{out}/dim_customers").count() > 0
+
+
+def test_failing_test_stops_dependents(spark):
+    import os
+    import tempfile
+
+    from martlight.operators.quality import Check
+    from martlight.plans.mart_checks import DECLARED, build_and_test
+    from tests.conftest import SF_SMALL
+    out = tempfile.mkdtemp(prefix="martlight-build-")
+    res = {r.check_name: r for r in build_and_test(
+        spark, SF_SMALL, out, [*DECLARED, Check("unique", "stg_orders", "customer_key")])}
+    assert res["unique_stg_orders_customer_key"].status == "fail"
+    assert {r.status for r in res.values() if r.model in ("fct_orders", "dim_customers")} == {"skipped"}
+    assert res["not_null_stg_orders_order_key"].status == "pass"
+    assert not os.path.exists(f"{out}/fct_orders") and not os.path.exists(f"{out}/dim_customers")
+
+
+def test_extra_checks_are_meant_to_fail(spark):
+    from martlight.plans.mart_checks import EXTRA, run_mart_checks
+    from tests.conftest import SF_SMALL
+    res = {r["check_name"]: r["failures"] for r in run_mart_checks(spark, SF_SMALL, extra=True).collect()}
+    assert len(res) == 19 and res["not_null_stg_customers_phone"] == 150
+    assert [k for k, v in res.items() if v and k not in {c.name for c in EXTRA}] == []
+
+
+def test_build_command_exit_codes(spark, monkeypatch, capsys):
+    import tempfile
+
+    from martlight.__main__ import main
+    from martlight.operators.quality import Check
+    from martlight.plans import mart_checks
     from tests.conftest import SF_SMALL
-    res = {r["check_name"]: r["failures"] for r in
-           build_and_test(spark, SF_SMALL, tempfile.mkdtemp(prefix="martlight-build-")).collect()}
-    assert len(res) == 19
-    declared_fail = [k for k, v in res.items() if v and not (
-        k.startswith("unique_stg_lineitem") or k.startswith("not_null_stg_customers_phone")
-        or k.startswith("relationships_stg_orders_order_key"))]
-    assert declared_fail == []
-    assert res["not_null_stg_customers_phone"] == 150
+    args = ["build", "--sf-dir", SF_SMALL, "--out", tempfile.mkdtemp(prefix="martlight-build-")]
+    assert main(args) == 0
+    monkeypatch.setattr(mart_checks, "DECLARED", [Check("unique", "stg_lineitem", "order_key")] + mart_checks.DECLARED)
+    assert main(args) == 1
+    text = capsys.readouterr().out
+    assert "fail" in text and "skipped" in text and text.count("\n") >= 33

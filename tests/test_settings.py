@@ -67,3 +67,33 @@ def test_stored_table_seed_update_and_reseed(spark):
         with pytest.raises(S.SettingsError):
             store.update(bad)
     assert store.settings() == other and store.table().count() == len(S.SEED)
+
+
+def test_report_command_reads_stored_settings_and_given_tables(spark, capsys):
+    import json
+
+    from martlight.__main__ import main
+    from martlight.plans.usage_queries import demo_inputs
+    from martlight.sources.bindings import DETAIL_LOGS
+    from tests.conftest import SF_SMALL
+    base = tempfile.mkdtemp(prefix="martlight-cli-")
+    inp = demo_inputs(spark, SF_SMALL)
+    spec = {"as_of": inp.as_of.isoformat(), "logs": []}
+    for k in ("ledger", "ledger_days", "users"):
+        spec[k] = f"{base}/{k}"
+        getattr(inp, k).write.parquet(spec[k])
+    for m, log in zip(DETAIL_LOGS, inp.logs):
+        log.df.write.parquet(f"{base}/{m.table}")
+        spec["logs"].append({"path": f"{base}/{m.table}", "service": m.service, "time": m.time,
+                             "credits": m.credits, "usage_id": m.usage_id, "function": m.function,
+                             "model": m.model, "agent": m.agent, "user": m.user})
+    with open(f"{base}/inputs.json", "w") as f:
+        json.dump(spec, f)
+    assert main(["settings", "--store", f"{base}/set", "--set", "subject_prefix=Ours", "--set", "drill_rows=2"]) == 0
+    assert "drill_rows = 2" in capsys.readouterr().out
+    assert main(["report", "--inputs", f"{base}/inputs.json", "--store", f"{base}/set", "--out", f"{base}/a"]) == 0
+    assert main(["report", "--sf-dir", SF_SMALL, "--store", f"{base}/set", "--out", f"{base}/b"]) == 0
+    a, b = (spark.read.json(f"{base}/{x}").first() for x in "ab")
+    assert a["subject"].startswith("Ours - ") and a == b
+    with pytest.raises(S.SettingsError):
+        main(["settings", "--store", f"{base}/set", "--set", "drill_rows=many"])

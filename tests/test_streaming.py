@@ -1,83 +1,66 @@
+import datetime as dt
 import os
 import tempfile
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from martlight.functions.service import DEMO_FAMILY
-from martlight.sources.bindings import Bound
+from martlight.operators.settings import ReportSettings
+from martlight.plans.usage import IncompleteRollup, UsageReport
+from martlight.plans.usage_queries import demo_inputs
 from martlight.streaming.ledger_rollup import ledger_rollup, read_cube, start_rollup
 from tests.conftest import SF_SMALL
 
+PARTS = ("billed", "by_type", "by_type_subtype", "trend", "new_types")
 
-def test_streamed_cube_equals_batch_for_settled_days(spark):
-    base = tempfile.mkdtemp(prefix="martlight-stream-")
-    src = os.path.join(base, "ledger")
-    ledger = Bound(spark, SF_SMALL).ledger
-    # land the ledger as several files, one per week, as a feed would
-    (ledger.withColumn("wk", F.weekofyear("start_time")).repartition("wk").drop("wk")
-     .write.parquet(src))
-    out = os.path.join(base, "cube")
-    q = start_rollup(spark, src, ledger.schema, out, DEMO_FAMILY, delay="1 day",
-                     checkpoint=os.path.join(base, "ckpt"), max_files_per_trigger=1)
+
+def same(x, y):
+    return x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def stream(spark, src, schema, out, ckpt, **kw):
+    q = start_rollup(spark, src, schema, out, checkpoint=ckpt, **kw)
     q.awaitTermination(300)
     assert q.exception() is None
-    streamed = spark.read.parquet(out)
-    days = [r["day"] for r in streamed.select("day").distinct().collect()]
-    assert days, "no settled day emitted"
-    batch = ledger_rollup(ledger, DEMO_FAMILY).filter(F.col("day").isin(days))
-    cols = ["day", "service_type", "name", "credits"]
-    assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
-    assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
-    # the newest day is still open (inside the watermark delay)
-    mx = ledger.agg(F.max(F.to_date("start_time"))).first()[0]
-    assert max(days) < mx
-    part = read_cube(spark, out, min(days), min(days))
-    assert part.select("day").distinct().count() == 1
 
 
-def test_report_from_rollup_equals_report_from_ledger(spark):
-    from martlight.operators.settings import ReportSettings
-    from martlight.plans.usage_queries import demo_inputs
-    from martlight.plans.usage import UsageReport
+def test_streamed_cube_and_its_report_equal_the_ledgers(spark):
+    base = tempfile.mkdtemp(prefix="martlight-stream-")
+    src, out, ckpt = (os.path.join(base, x) for x in ("ledger", "cube", "ckpt"))
     inp = demo_inputs(spark, SF_SMALL)
+    # land the ledger as several files, one per week, as a feed would
+    (inp.ledger.withColumn("wk", F.weekofyear("start_time")).repartition("wk").drop("wk")
+     .write.parquet(src))
+    stream(spark, src, inp.ledger.schema, out, ckpt, max_files_per_trigger=1)
+    cube = read_cube(spark, out)
+    assert same(cube, ledger_rollup(inp.ledger))
     s = ReportSettings.defaults()
-    cube = ledger_rollup(inp.ledger, DEMO_FAMILY)          # batch form of the rollup
-    a = UsageReport(spark, inp, s)
-    b = UsageReport(spark, inp, s, rollup=cube)
-    for part in ("billed", "by_type", "by_type_subtype", "trend", "new_types"):
-        x, y = getattr(a, part)(), getattr(b, part)()
-        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, part
+    a, b = UsageReport(spark, inp, s), UsageReport(spark, inp, s, rollup=cube)
+    for part in PARTS:
+        assert same(getattr(a, part)(), getattr(b, part)()), part
+    day = a.window.report_day
+    assert read_cube(spark, out, day, day).select("day").distinct().count() == 1
+    with pytest.raises(IncompleteRollup, match=day.isoformat()):
+        UsageReport(spark, inp, s, rollup=cube.where(F.col("day") < F.lit(day)))
 
 
-def test_late_rows_within_delay_count_and_after_settlement_are_dropped(spark):
-    import datetime as dt
-    from decimal import Decimal
+def test_late_rows_count_for_their_day_and_reruns_count_once(spark):
     base = tempfile.mkdtemp(prefix="martlight-late-")
     src, out, ckpt = (os.path.join(base, x) for x in ("src", "cube", "ckpt"))
     schema = "service_type string, name string, start_time timestamp_ntz, credits_used decimal(28,9)"
+    T = dt.datetime
 
     def land(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream(spark, src, spark.read.parquet(src).schema, out, ckpt)
 
-    def run():
-        ledger_schema = spark.read.parquet(src).schema
-        q = start_rollup(spark, src, ledger_schema, out, DEMO_FAMILY, delay="1 day", checkpoint=ckpt)
-        q.awaitTermination(300)
-        assert q.exception() is None
-
-    T = dt.datetime
-    land([("web.click", "a", T(2026, 6, 1, 10), Decimal(1)),
-          ("web.click", "a", T(2026, 6, 2, 10), Decimal(2))])
-    run()
-    # late for 06-01 but within the 1-day delay (watermark is 06-01 10:00)
-    land([("web.click", "a", T(2026, 6, 1, 23), Decimal(10)),
-          ("web.click", "a", T(2026, 6, 5, 10), Decimal(5))])
-    run()
-    # 06-01 is now settled (watermark 06-04 10:00); a further 06-01 row is too late
-    land([("web.click", "a", T(2026, 6, 1, 12), Decimal(100)),
-          ("web.click", "a", T(2026, 6, 9, 10), Decimal(9))])
-    run()
-    got = {r["day"]: r["credits"] for r in spark.read.parquet(out).collect()}
-    assert got[dt.date(2026, 6, 1)] == Decimal(11)       # 1 + late 10, not the 100
-    assert got[dt.date(2026, 6, 2)] == Decimal(2)
-    assert dt.date(2026, 6, 9) not in got                # still open
+    land([("web.click", "a", T(2026, 6, 1, 10), Decimal(1)), ("web.click", "a", T(2026, 6, 2, 10), Decimal(2))])
+    land([("web.click", "a", T(2026, 6, 9, 23), Decimal(10)), ("batch.job", None, T(2026, 6, 5, 10), Decimal(5))])
+    land([("web.click", "a", T(2026, 6, 1, 12), Decimal(100))])          # eight days late
+    got = {(r["day"].day, r["service_type"]): r["credits"] for r in read_cube(spark, out).collect()}
+    assert got == {(1, "web.click"): 101, (2, "web.click"): 2, (9, "web.click"): 10, (5, "batch.job"): 5}
+    # a batch that runs again overwrites its folder
+    one = spark.read.parquet(src).where("credits_used = 100")
+    ledger_rollup(one).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch=2")
+    assert sum(r["credits"] for r in read_cube(spark, out).collect()) == 118
