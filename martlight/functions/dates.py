@@ -10,17 +10,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def utc_day(ts) -> Column:
-    """Calendar day of a timestamp.  ``to_date`` (not ``date_trunc``) keeps
-    ``day BETWEEN a AND b`` rewritable into a pushed timestamp range."""
-    return F.to_date(_c(ts))
-
-
-def month_start(d) -> Column:
-    """First day of the month, still a DATE."""
-    return F.trunc(_c(d).cast("date"), "MM")
-
-
 def months_between_starts(a, b) -> Column:
     """Number of month boundaries from ``a`` to ``b`` (calendar months, not
     30-day units): 2025-01-31 → 2025-02-01 is 1."""
@@ -28,11 +17,6 @@ def months_between_starts(a, b) -> Column:
     return (F.year(b) - F.year(a)) * 12 + (F.month(b) - F.month(a))
 
 
-def add_months_date(d, n) -> Column:
-    """``d`` plus ``n`` months, as a DATE."""
-    return F.add_months(_c(d).cast("date"), n)
-
-
 def ts_lit(value) -> Column:
     """A wall-clock timestamp literal (``TIMESTAMP_NTZ``) built from ISO text.
 

@@ -67,19 +67,3 @@ def html_escape(x) -> Column:
     v = F.replace(v, F.lit("&"), F.lit("&amp;"))
     v = F.replace(v, F.lit("<"), F.lit("&lt;"))
     return F.replace(v, F.lit(">"), F.lit("&gt;"))
-
-
-# Python-side twins, for the handful of driver-held scalars of a report
-# (window dates, totals already reduced to one value).
-def py_fixed(v, places: int) -> str:
-    from decimal import ROUND_HALF_UP, Decimal
-    d = Decimal(str(v if v is not None else 0))
-    q = d.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
-    return f"{q:,.{places}f}"
-
-
-def py_plain(v, places: int) -> str:
-    from decimal import ROUND_HALF_UP, Decimal
-    d = Decimal(str(v if v is not None else 0))
-    q = d.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
-    return f"{q:.{places}f}"

@@ -24,6 +24,24 @@ from martlight.plans.usage import UsageReport
 
 NO_ROWS = "<p><i>No activity.</i></p>"
 
+# The report's sentences (also read by the oracle, which lays them out by itself).
+TEXT = {
+    "title": "<h2>Usage</h2><p>Credits by day, type and user. Days are UTC days.</p>",
+    "unreviewed": '<div class="guard"><b>Not yet reviewed:</b> ',
+    "unreviewed_end": " &ndash; included in every sum; add to known_types once reviewed.</div>",
+    "legend": "<p>Two dates appear in this report.</p>",
+    "legend_ledger": " The ledger is final up to this day. Totals and types come from it.",
+    "legend_detail": " Request logs reach this day. They arrive after the ledger, so the "
+                     "drill-downs may add up to less than was billed.",
+    "band_billed": '<div class="band">Billed credits</div>',
+    "band_detail": '<div class="band">Request logs</div>',
+    "band_trend": '<div class="band">Week</div>',
+    "note_type": "<p>Types with credits above zero this month.</p>",
+    "note_subtype": "<p>A subtype is the name credits were metered under. Rows listed: ",
+    "note_model": "<p>The model of a click, the agent or campaign of a view or sign-up, "
+                  "otherwise the service.</p>",
+}
+
 
 def _td(x: Column, right: bool = False) -> Column:
     return F.concat(F.lit('<td align="right">' if right else "<td>"), x, F.lit("</td>"))
@@ -124,10 +142,7 @@ def report_html(r: UsageReport) -> DataFrame:
                             _or_dash(fmt.fmt_day("detail_max_day")),
                             F.coalesce(F.col("lag_text"), F.lit("")), F.lit("</span>"))
     guard = F.when(F.coalesce(F.col("new_types"), F.lit("")) == "", F.lit("")).otherwise(
-        F.concat(F.lit('<div class="guard"><b>New service type detected:</b> '),
-                 fmt.html_escape("new_types"),
-                 F.lit(" &mdash; already counted in the totals; add it to the labels and the "
-                       "known-type list.</div>")))
+        F.concat(F.lit(TEXT["unreviewed"]), fmt.html_escape("new_types"), F.lit(TEXT["unreviewed_end"])))
     if r.s.budget is not None and r.s.budget > 0:
         pct = F.col("mtd_credits").cast("double") * F.lit(100.0) / F.lit(float(r.s.budget))
         status = (F.when(pct >= 100, "[OVER BUDGET]")
@@ -141,12 +156,12 @@ def report_html(r: UsageReport) -> DataFrame:
         budget = F.lit("")
     n_sub = r.s.subtype_top_n
     body = F.concat(
-        F.lit("<html><body><h2>Usage</h2><p>Daily summary &middot; all dates UTC</p>"),
+        F.lit("<html><body>" + TEXT["title"]),
         guard,
-        F.lit("<div class=\"legend\"><div>"), settled,
-        F.lit(" billed totals, by type and subtype: metering ledger (complete).</div><div>"),
+        F.lit('<div class="legend">' + TEXT["legend"] + "<div>"), settled,
+        F.lit(TEXT["legend_ledger"] + "</div><div>"),
         detail_badge,
-        F.lit(" drill-downs by function, model and user: detail logs (settle later).</div></div>"),
+        F.lit(TEXT["legend_detail"] + "</div></div>" + TEXT["band_billed"]),
         F.lit("<h3>Latest settled day and month to date "), settled, F.lit("</h3>"),
         F.lit("<table><tr><th>Window</th><th>Credits</th><th>USD</th></tr><tr><td>Latest settled day ("),
         day_text, F.lit(")</td>"),
@@ -155,27 +170,27 @@ def report_html(r: UsageReport) -> DataFrame:
         _td(fmt.fmt_credits2("mtd_credits"), True), _td(fmt.fmt_usd("mtd_usd"), True),
         F.lit("</tr></table>"),
         budget,
-        F.lit("<h3>By type "), settled, F.lit("</h3>"),
+        F.lit("<h3>By type "), settled, F.lit("</h3>" + TEXT["note_type"]),
         _table(["Service type", "Credits", "USD"], F.col("h_usage_by_type"),
                _total_row(1, "mtd_credits", "mtd_usd")),
         F.lit("<h3>By type and subtype "), settled,
-        F.lit(f"</h3><p>Top {n_sub} + Others.</p>"),
+        F.lit(f"</h3>{TEXT['note_subtype']}{n_sub}.</p>"),
         _table(["Type", "Subtype", "Credits", "USD"], F.col("h_usage_by_type_subtype"),
                _total_row(2, "mtd_credits", "mtd_usd")),
-        F.lit("<h3>Detail drill-downs "), detail_badge, F.lit("</h3><p>Detail total <b>"),
-        fmt.fmt_credits2("d_credits"), F.lit(" cr</b> of "), fmt.fmt_credits2("mtd_credits"),
-        F.lit(" cr billed month to date.</p><h4>By function</h4>"),
+        F.lit(TEXT["band_detail"] + "<h3>Month to date "), detail_badge, F.lit("</h3><p>Logged: <b>"),
+        fmt.fmt_credits2("d_credits"), F.lit("</b> credits; billed: "), fmt.fmt_credits2("mtd_credits"),
+        F.lit(".</p><h4>By function</h4>"),
         _table(["Function", "Credits", "USD"], F.col("h_usage_by_function"),
                _total_row(1, "d_credits", "d_usd", "Total (detail)")),
-        F.lit("<h4>By model / agent</h4>"),
+        F.lit("<h4>By model or agent</h4>" + TEXT["note_model"]),
         _table(["Name", "Kind", "Credits", "USD"], F.col("h_usage_by_model"),
                _total_row(2, "d_credits", "d_usd", "Total (detail)")),
         F.lit("<h4>By user</h4>"),
         _table(["User", "Credits", "USD"], F.col("h_usage_by_user"),
                _total_row(1, "d_credits", "d_usd", "Total (detail)")),
-        F.lit("<h3>Last 7 days "), settled, F.lit("</h3>"),
+        F.lit(TEXT["band_trend"] + "<h3>Last 7 days "), settled, F.lit("</h3>"),
         _table(["Day (UTC)", "Credits", "USD"], F.col("h_daily_trend"), None),
-        F.lit(f"<p class=\"footer\">$ at ${fmt.py_fixed(r.price, 2)}/credit &middot; dates UTC.</p>"),
+        F.lit(f'<p class="footer">One credit: ${r.price}.</p>'),
         F.lit("</body></html>"))
     return one.select("subject", body.alias("body"))
 

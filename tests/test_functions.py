@@ -60,24 +60,6 @@ def test_month_boundaries(spark):
     assert [r[0] for r in df.select(months_between_starts("a", "b")).collect()] == [1, 17]
 
 
-def test_python_twins():
-    assert fmt.py_fixed(Decimal("2.665"), 2) == "2.67"
-    assert fmt.py_fixed(1234.5, 4) == "1,234.5000"
-    assert fmt.py_plain(59.86, 1) == "59.9"
-
-
-def test_uniform_int_bounds_and_layout_independence(spark):
-    from martlight.functions.draws import uniform_int
-    df = spark.range(0, 2000).withColumnRenamed("id", "k")
-    a = df.select("k", uniform_int(5, 9, "k", salt="x").alias("d"))
-    b = df.repartition(7).select("k", uniform_int(5, 9, "k", salt="x").alias("d"))
-    rows = a.collect()
-    assert {r["d"] for r in rows} == {5, 6, 7, 8, 9}
-    assert a.exceptAll(b).count() == 0
-    c = df.select("k", uniform_int(5, 9, "k", salt="y").alias("d"))
-    assert a.exceptAll(c).count() > 0          # another salt is another draw
-
-
 def test_portable_draw_matches_its_sql(spark):
     import duckdb
     from martlight.operators.datagen import portable_draw, portable_draw_sql

@@ -144,10 +144,13 @@ def test_report_html_escapes_and_lists(spark, report_inputs):
     row = report.report_html(r).first()
     assert row["subject"] == "Usage - Sat 2026-06-06 - 1.50 credits ($4.50)"
     body = row["body"]
-    assert "New service type detected:</b> WEB.other" in body
+    assert "Not yet reviewed:</b> WEB.other" in body
     assert "[WARN]" in body and "95.0%" in body
     assert body.count('class="others"') == 3        # function, model and user drill-downs
     assert "(1 day behind)" in body
+    assert [body.index(report.TEXT[k]) for k in ("band_billed", "band_detail", "band_trend")] == sorted(
+        body.index(report.TEXT[k]) for k in ("band_billed", "band_detail", "band_trend"))
+    assert all(report.TEXT[k] in body for k in ("legend_ledger", "legend_detail", "note_type", "note_model"))
 
 
 def test_build_report_parts(spark, report_inputs):
