@@ -287,33 +287,44 @@ def detail_totals(raw: DataFrame, w: ReportWindow, price) -> DataFrame:
     return t.select("credits", _usd("credits", price).alias("usd"), "requests")
 
 
-def _drill(g: DataFrame, labels: list[str], n: int, others: dict, price) -> DataFrame:
-    t = top_n_with_others(g, labels, "credits", n, others)
-    return t.withColumn("usd", _usd("credits", price))
+def model_kind() -> Column:
+    return (F.when(F.col("model_name").isNotNull(), "Model")
+            .when(F.col("agent_name").isNotNull(), "Agent").otherwise("Service"))
 
 
-def usage_by_function(dcube: DataFrame, n: int, price) -> DataFrame:
-    g = (dcube.groupBy(F.coalesce("function_name", F.lit("(none)")).alias("function_name"))
-         .agg(F.sum("credits").cast(CREDITS).alias("credits")))
-    return _drill(g, ["function_name"], n, {"function_name": "Others"}, price)
+def detail_groups(dcube: DataFrame) -> DataFrame:
+    """(cut, label, kind, credits): the detail cube by function, by model (else agent, else
+    service, with its kind) and by user, in one aggregate over it."""
+    def cut(name: str, label: Column, kind: Column) -> Column:
+        return F.struct(F.lit(name).alias("cut"), label.alias("label"), kind.alias("kind"))
 
+    cuts = F.array(
+        cut("function", F.coalesce("function_name", F.lit("(none)")), F.lit("")),
+        cut("model", F.coalesce("model_name", "agent_name", "service"), model_kind()),
+        cut("user", F.col("user_name"), F.lit("")))
+    return (dcube.select(F.explode(cuts).alias("g"), "credits")
+            .groupBy("g.cut", "g.label", "g.kind").agg(F.sum("credits").cast(CREDITS).alias("credits")))
 
-def model_kind() -> Column:
-    return (F.when(F.col("model_name").isNotNull(), "Model")
-            .when(F.col("agent_name").isNotNull(), "Agent").otherwise("Service"))
+
+def _drill(groups: DataFrame, cut: str, labels: dict[str, str], n: int, others: dict, price) -> DataFrame:
+    """Top ``n`` + Others of one cut; ``labels``: output name by group column."""
+    g = groups.filter(F.col("cut") == cut).select(
+        *[F.col(c).alias(name) for c, name in labels.items()], "credits")
+    t = top_n_with_others(g, list(labels.values()), "credits", n, others)
+    return t.withColumn("usd", _usd("credits", price))
 
 
-def usage_by_model(dcube: DataFrame, n: int, price) -> DataFrame:
+def usage_by_function(groups: DataFrame, n: int, price) -> DataFrame:
+    return _drill(groups, "function", {"label": "function_name"}, n, {"function_name": "Others"}, price)
+
+
+def usage_by_model(groups: DataFrame, n: int, price) -> DataFrame:
     """By model, else agent, else service name, tagged with its kind."""
-    g = (dcube.groupBy(F.coalesce("model_name", "agent_name", "service").alias("name"),
-                       model_kind().alias("kind"))
-         .agg(F.sum("credits").cast(CREDITS).alias("credits")))
-    return _drill(g, ["name", "kind"], n, {"name": "Others", "kind": ""}, price)
+    return _drill(groups, "model", {"label": "name", "kind": "kind"}, n, {"name": "Others", "kind": ""}, price)
 
 
-def usage_by_user(dcube: DataFrame, n: int, price) -> DataFrame:
-    g = dcube.groupBy("user_name").agg(F.sum("credits").cast(CREDITS).alias("credits"))
-    return _drill(g, ["user_name"], n, {"user_name": "Others"}, price)
+def usage_by_user(groups: DataFrame, n: int, price) -> DataFrame:
+    return _drill(groups, "user", {"label": "user_name"}, n, {"user_name": "Others"}, price)
 
 
 # --- verify queries ---------------------------------------------------------------
@@ -394,8 +405,8 @@ class IncompleteRollup(ValueError):
 class UsageReport:
     """All sections of one report, sharing the window and the two cubes.
 
-    ``write_cubes=True`` computes the ledger cube, the detail cube and the detail totals
-    once, into the shared folder (``spark.checkpoint.dir``); every section then reads these
+    ``write_cubes=True`` computes the ledger cube, the drill-down groups (from the detail
+    cube) and the detail totals once, into the shared folder (``spark.checkpoint.dir``); every section then reads these
     few rows, and a lost executor costs no scan.  Without it every section is a lazy plan
     over the inputs, which is best for a single section.
     """
@@ -425,9 +436,10 @@ class UsageReport:
         else:
             self.cube = ledger_cube(inputs.ledger, settings.family, w)
         self.dcube = detail_cube(self.raw, inputs.users, w)
+        self.groups = detail_groups(self.dcube)
         if write_cubes:
             self.cube = written(self.cube, "ledger-cube")
-            self.dcube = written(self.dcube, "detail-cube")
+            self.groups = written(self.groups, "detail-groups")
             self._parts = {"detail": written(self.detail(), "detail-totals")}
 
     @property
@@ -470,15 +482,15 @@ class UsageReport:
 
     @_memo
     def by_function(self):
-        return usage_by_function(self.dcube, self.s.top_n, self.price)
+        return usage_by_function(self.groups, self.s.top_n, self.price)
 
     @_memo
     def by_model(self):
-        return usage_by_model(self.dcube, self.s.top_n, self.price)
+        return usage_by_model(self.groups, self.s.top_n, self.price)
 
     @_memo
     def by_user(self):
-        return usage_by_user(self.dcube, self.s.top_n, self.price)
+        return usage_by_user(self.groups, self.s.top_n, self.price)
 
     @_memo
     def reconcile(self):
