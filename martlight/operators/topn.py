@@ -12,7 +12,7 @@ one task.  Instead
 * ``top``  = ``orderBy(...).limit(N)`` → TakeOrderedAndProject: each task keeps
   its own N best, the driver-side merge sees at most N × tasks rows;
 * Others = (sum over all groups) − (sum over the top N) for exact types
-  (decimal, integral): two one-row aggregates.  For floating values, where
+  (decimal, integral): one aggregate over the N rows and a one-row total.  For floating values, where
   subtraction is not exact, the groups are left-anti-joined with the N top
   labels (a build side of at most N rows, so broadcasting it is bounded by N,
   never by the data) and summed.
@@ -29,8 +29,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
-from martlight.operators.frames import one_row
-
 SENTINEL_RANK = 999999
 
 
@@ -63,20 +61,25 @@ def top_n_with_others(
     vtype = groups.schema[value].dataType
     label_cols = [F.lit(others[c]).cast(groups.schema[c].dataType).alias(c) for c in labels]
     if isinstance(vtype, (DecimalType, IntegralType)):
-        # exact arithmetic: Others = all groups − the top N (two one-row
-        # aggregates; no second pass over the groups)
+        # exact arithmetic: Others = all groups − the top N.  The N ranked rows and the
+        # one-row total meet in one aggregate, so the groups are ranked once.
         wide = (DecimalType(min(vtype.precision, 37), vtype.scale)
                 if isinstance(vtype, DecimalType) else vtype)
         v = F.col(value).cast(wide)
-        tot = g.agg(F.sum(v).alias("__s"), F.count(v).alias("__c"), F.count(F.lit(1)).alias("__n"))
-        tt = top.agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"),
-                     F.count(F.lit(1)).alias("__tn"))
-        rest_sum = F.when(F.col("__c") > F.col("__tc"),
-                          F.coalesce(F.col("__s").cast(wide), F.lit(0).cast(wide))
-                          - F.coalesce(F.col("__ts").cast(wide), F.lit(0).cast(wide)))
-        folded = (one_row(tot, tt).filter(F.col("__n") > F.col("__tn"))
-                  .select(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols,
-                          rest_sum.cast(vtype).alias(value)))
+        total = g.agg(F.sum(v).cast(wide).alias("__s"), F.count(v).alias("__c"),
+                      F.count(F.lit(1)).alias("__n"))
+        row = F.struct(rank_col, *labels, value)
+        one = (ranked.select(row.alias("__r")).unionByName(total, allowMissingColumns=True)
+               .agg(F.collect_list("__r").alias("__top"),            # at most N rows
+                    F.max("__s").alias("__s"), F.max("__c").alias("__c"), F.max("__n").alias("__n")))
+        zero = F.lit(0).cast(wide)
+        listed = F.aggregate("__top", zero, lambda acc, x: (
+            acc + F.coalesce(x[value].cast(wide), zero)).cast(wide))
+        some = F.size(F.filter("__top", lambda x: x[value].isNotNull()))
+        rest = F.when(F.col("__c") > some, F.coalesce(F.col("__s"), zero) - listed).cast(vtype)
+        fold = F.struct(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols, rest.alias(value))
+        both = F.when(F.col("__n") > F.size("__top"), F.concat("__top", F.array(fold))).otherwise(F.col("__top"))
+        return one.select(F.explode(both).alias("__r")).select("__r.*")
     else:
         # floating values: sum the remaining groups themselves
         keys = top.select(*[F.col(c).alias(f"__k_{c}") for c in labels])
