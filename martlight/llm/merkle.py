@@ -1,7 +1,8 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and pieces.
 
 Sections end at blank lines, paragraphs at line feeds; a paragraph is cut into
-pieces of ``PIECE`` code points.  A leaf is the SHA-256 of its piece, an inner node
+pieces of ``PIECE`` code points; other line ends (\\r, U+0085, U+2028, U+2029) are
+code points like any other.  A leaf is the SHA-256 of its piece, an inner node
 the SHA-256 of its children's digests, so equal roots mean equal texts and a walk
 down differing branches locates an edit.  The fingerprint is the tree itself, with
 short digests below the root::
@@ -32,7 +33,7 @@ def _tree(text: Column) -> Column:
     """Leaf digests by section, paragraph and piece: array<array<array<string>>>."""
     def leaves(paragraph: Column) -> Column:
         cut = F.when(paragraph == "", F.array(F.lit(""))).otherwise(
-            F.regexp_extract_all(paragraph, F.lit(f".{{1,{PIECE}}}"), F.lit(0)))
+            F.regexp_extract_all(paragraph, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
         return F.transform(cut, lambda piece: F.sha2(piece, 256))
 
     return F.transform(F.split(text, "\n\n+", -1),

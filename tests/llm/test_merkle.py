@@ -90,3 +90,17 @@ def test_layout_counts_and_edits_are_located(spark):
 def test_fingerprint_on_random_texts(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r[0] for r in df.select(merkle.fingerprint(F.col("text"))).collect()] == list(map(plain_fingerprint, texts))
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab\n\r\x85\u2028\u2029 é", max_size=120), min_size=1, max_size=12))
+def test_fingerprint_on_texts_with_other_line_ends(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(merkle.fingerprint(F.col("text"))).collect()] == list(map(plain_fingerprint, texts))
+
+
+def test_texts_that_differ_in_line_ends_have_different_roots(spark):
+    texts = ["ab", "a\rb", "a\r\rb", "ab\r", "a\x85b", "a\u2028b", "a\u2029b", "a\nb", "a\r\nb"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    roots = [r[0] for r in df.select(merkle.root(merkle.fingerprint(F.col("text")))).collect()]
+    assert len(set(roots)) == len(texts)
