@@ -2,18 +2,20 @@
 
 Every tree hashes a vector to a long string: ``DEPTH`` symbols, each the nearest of the
 2*dim signed axes after a random rotation (a cross-polytope hash).  A tree is the sorted
-array of its strings.  The rows with the longest common prefix with a query stand around
-the query's place in that array, so a descent is a look at its neighbourhood: up to
-``WINDOW`` rows to either side.
+array of its strings, so the rows that share a prefix with a query are one run of it.
 
 The trees ascend together: the common level of a query is the deepest prefix length at
-which all its trees hold ``CANDIDATES`` rows or more in sum (else length 0).  Candidates
-at or below that level are ranked by exact cosine in double precision.
+which its runs in all trees hold ``CANDIDATES`` rows or more in sum (else length 0, where
+one tree holds every row).  Every row of these runs is a candidate, however long the runs
+are; candidates are ranked by exact cosine in double precision.
 
 Spark sorts: (tree, string, id) is range partitioned and written, which fixes a global
-rank; ranks are cut to buckets of ``BUCKET`` rows, each with the rows up to ``WINDOW`` from
-its ends, so every group is bounded whatever the vectors are.  Equal vectors are one
-entry with its smallest ids (at most ``k + 1``: more can never be returned).
+rank; the same tasks note the runs that hold a query.  Ranks are cut to buckets of
+``BUCKET`` rows or less, and a query is sent to every bucket that its run touches, so the
+rows a task holds are bounded whatever the vectors are.  The work is the rows in the runs:
+linear for spread vectors, but m rows of one hash string cost m times their queries, as
+nothing but the exact scan tells them apart.  Equal vectors are one entry with its
+smallest ids (at most ``k + 1``: more can never be returned).
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take
 no part, as query or candidate; a null id takes no part; vectors of another length are
@@ -33,9 +35,10 @@ from martlight.llm.common import require_columns, written
 
 TREES = 48
 DEPTH = 6                 # symbols of a hash string
-WINDOW = 1_024            # rows to either side that a query looks at, per tree
+WINDOW = 1_024            # rows of a run that are scored at a time: bounds memory, not what is visited
 CANDIDATES = 8_192        # sum over the trees at which the ascent ends
-BUCKET = 4_096            # rows of a bucket, without its margins
+BUCKET = 4_096            # most rows of a bucket
+LEAST_BUCKET = 256        # rows of a bucket of a small table
 SEED = 5
 _HEAD = 6                 # bytes before the symbols: vector length and tree
 
@@ -82,89 +85,160 @@ def _hash_task(trees: int, depth: int):
     return run
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the partition and the row's place in it."""
-    from pyspark import TaskContext
-    part, at = TaskContext.get().partitionId(), 0
-    for b in batches:
-        n = b.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))],
-            ["key", "vid", "is_query", "part", "at"])
-        at += n
+def _number(depth: int):
+    """Adds the partition and the row's place in it.  Rows without ``vid`` are added for the
+    runs of equal prefixes: prefix, first place and length ``n`` of those that hold a query or
+    may go on in another partition."""
+    names = ["key", "vid", "is_query", "part", "at", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, at = TaskContext.get().partitionId(), 0
+        held: dict[int, list] = {}          # level: prefix, first place, rows, queries, at the start
+
+        def runs(found: list) -> pa.RecordBatch:
+            m = len(found)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.bool_()),
+                 pa.array([part] * m, pa.int32()), pa.array([int(f[1]) for f in found], pa.int64()),
+                 pa.array([int(f[2]) for f in found], pa.int64())], names)
+
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)),
+                 pa.nulls(n, pa.int64())], names)
+            raw = np.frombuffer(b"".join(b.column("key").to_pylist()), np.uint8).reshape(n, -1)
+            alike = np.cumprod(raw[1:] == raw[:-1], axis=1).sum(1)      # leading bytes as in the row before
+            asked = np.concatenate([[0], np.cumsum(b.column("is_query").to_numpy(zero_copy_only=False))])
+            found: list = []
+            for lv in range(depth + 1):
+                w = _HEAD + 2 * lv
+                cuts = np.concatenate([[0], np.flatnonzero(alike < w) + 1, [n]])
+                o = held.get(lv)
+                if o and o[0] != raw[0, :w].tobytes():
+                    if o[3] or o[4]:
+                        found.append(o)
+                    o = None
+                o = o or [raw[0, :w].tobytes(), at, 0, 0, at == 0]
+                o[2] += cuts[1]
+                o[3] += asked[cuts[1]]
+                if len(cuts) > 2:
+                    if o[3] or o[4]:
+                        found.append(o)
+                    for i in np.flatnonzero(asked[cuts[2:-1]] > asked[cuts[1:-2]]) + 1:
+                        found.append((raw[cuts[i], :w].tobytes(), at + cuts[i], cuts[i + 1] - cuts[i]))
+                    o = [raw[cuts[-2], :w].tobytes(), at + cuts[-2], n - cuts[-2], asked[n] - asked[cuts[-2]], False]
+                held[lv] = o
+            if found:
+                yield runs(found)
+            at += n
+        if held:
+            yield runs(list(held.values()))
+    return run
 
 
-def index(vectors: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """key, vid, is_query, rank: the sorted arrays of all trees, one after another, as a
-    written table.  ``vectors``: vid, vector, is_query."""
+def index(vectors: DataFrame, trees: int = TREES, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
+    """The sorted arrays of all trees, one after another (key, vid, is_query, rank), and the
+    runs of equal prefixes that hold a query (prefix, lo, n: first rank and length), from
+    written tables.  ``vectors``: vid, vector, is_query."""
     spark = vectors.sparkSession
     rows = written(vectors.mapInArrow(_hash_task(trees, depth), "key binary, vid long, is_query boolean"),
                    "ann-hashes")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = written(rows.repartitionByRange(n, "key", "vid").sortWithinPartitions("key", "vid")
-                     .mapInArrow(_number, "key binary, vid long, is_query boolean, part int, at long"),
-                     "ann-sorted")
-    counts = ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n"))      # one row per partition
+    both = written(rows.repartitionByRange(n, "key", "vid").sortWithinPartitions("key", "vid")
+                   .mapInArrow(_number(depth),
+                               "key binary, vid long, is_query boolean, part int, at long, n long"), "ann-sorted")
+    sorted_rows = both.where("vid is not null")
+    counts = sorted_rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))     # one row per partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return ranked.join(starts, "part").select("key", "vid", "is_query", (F.col("start") + F.col("at")).alias("rank"))
+    starts = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    rank = (F.col("start") + F.col("at")).alias("rank")
+    runs = written(both.where("vid is null").join(starts, "part").select("key", rank, "n")
+                   .groupBy(F.col("key").alias("prefix")).agg(F.min("rank").alias("lo"), F.sum("n").alias("n")),
+                   "ann-runs")
+    return sorted_rows.join(starts, "part").select("key", "vid", "is_query", rank), runs
 
 
 def _search_task(k: int, window: int):
-    """Per query, tree and prefix length: the number of rows looked at and the nearest k+1."""
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
-    names = ["qid", "level", "n", "vids", "scores"]
+    """The nearest k+1 of the bucket's rows for each query sent to it, among the rows from
+    place ``a`` to ``z``.  A bucket's rows come first, by place, then its queries."""
+    most = max(1, (1 << 18) // window)        # queries scored at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches):
-            t = t.sort_by("rank")
-            asked = t.column("is_query").to_numpy() & t.column("home").to_numpy()
-            if not asked.any():
-                continue
-            vid, key = t.column("vid").to_numpy(), t.column("key").to_pylist()
-            tree = np.array([int.from_bytes(x[:_HEAD], "big") for x in key])
-            text = np.frombuffer(b"".join(x[_HEAD:] for x in key), dtype=">u2").reshape(len(key), -1)
-            cols: list[list] = [[], [], [], [], []]
-            for at, x in _by_length(t.column("vector").combine_chunks()):
-                norm = np.sqrt((x * x).sum(1))
-                v, tr, tx = vid[at], tree[at], text[at]
-                for q in np.flatnonzero(asked[at]):
-                    lo, hi = max(0, q - window), min(len(at), q + window + 1)
-                    here = np.flatnonzero(tr[lo:hi] == tr[q]) + lo
-                    here = here[here != q]
-                    level = np.cumprod(tx[here] == tx[q], axis=1).sum(1)
-                    # summed row by row: the same pair gets the same score in every tree
-                    score = (x[here] * x[q]).sum(1) / (norm[here] * norm[q])
-                    for lv in np.unique(level):
-                        on = np.flatnonzero(level == lv)
-                        top = on
-                        if len(on) > 4 * k:           # all that may tie with the (k+1)-th
-                            top = on[score[on] >= np.partition(score[on], -k - 1)[-k - 1]]
-                        top = top[np.lexsort((v[here[top]], -score[top]))[:k + 1]]
-                        for c, y in zip(cols, (int(v[q]), int(lv), len(on), v[here[top]].tolist(),
-                                               score[top].tolist())):
-                            c.append(y)
-            if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)], names)
+        for rows, asked in _groups(batches):
+            vid, flat, offset = rows
+            a, z = asked.column("a").to_numpy(), asked.column("z").to_numpy()
+            qid = asked.column("vid").to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(a) != 0) | (np.diff(z) != 0)) + 1).tolist(), len(a)]
+            for i, j in zip(cuts, cuts[1:]):
+                lo, hi = int(a[i]), int(z[i])
+                x = flat[offset[lo]:offset[hi]].reshape(hi - lo, -1)
+                by_id = np.argsort(vid[lo:hi])
+                for first in range(i, j, most):
+                    ids = qid[first:min(j, first + most)]
+                    q = asked.column("vector").slice(first, len(ids)).flatten().to_numpy().reshape(len(ids), -1)
+                    own = by_id[np.minimum(np.searchsorted(vid[lo:hi], ids, sorter=by_id), hi - lo - 1)]
+                    own[vid[lo:hi][own] != ids] = -1
+                    at, near, score = _top(x, vid[lo:hi], q, own, k, window)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[at]), pa.array(vid[lo:hi][near]), pa.array(score)], ["qid", "vid", "score"])
     return run
 
 
+def _top(x: np.ndarray, vid: np.ndarray, q: np.ndarray, own: np.ndarray, k: int, window: int):
+    """Query, row and cosine of the nearest k+1 rows of ``x`` to each query but ``own``, ties
+    to the smaller ``vid``."""
+    norm, qnorm = np.sqrt((x * x).sum(1)), np.sqrt((q * q).sum(1))
+    ats, nears, scores = [], [], []
+    step = max(1, (1 << 22) // x.shape[1])
+    for lo in range(0, len(x), window):
+        part = x[lo:lo + window]
+        about = (q @ part.T) / (qnorm[:, None] * norm[lo:lo + window])
+        mine = np.flatnonzero((own >= lo) & (own < lo + len(part)))
+        about[mine, own[mine] - lo] = -np.inf
+        least = np.full(len(q), -np.inf)
+        if len(part) > k + 1:           # all that may tie with the (k+1)-th
+            least = np.partition(about, -k - 1, axis=1)[:, -k - 1] - 1e-9
+        at, near = np.nonzero((about >= least[:, None]) & (about > -np.inf))
+        for i in range(0, len(at), step):
+            f, g = at[i:i + step], near[i:i + step] + lo
+            # summed row by row: the same pair gets the same score in every tree
+            ats.append(f)
+            nears.append(g)
+            scores.append((x[g] * q[f]).sum(1) / (norm[g] * qnorm[f]))
+    if not ats:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    at, near, score = np.concatenate(ats), np.concatenate(nears), np.concatenate(scores)
+    order = np.lexsort((vid[near], -score, at))
+    at, near, score = at[order], near[order], score[order]
+    nth = np.arange(len(at)) - np.searchsorted(at, at)
+    return at[nth <= k], near[nth <= k], score[nth <= k]
+
+
 def _groups(batches: Iterator[pa.RecordBatch]):
-    """Rows of one bucket at a time; buckets are sorted within the task."""
-    held: list = []
-    now = None
+    """A bucket's rows (ids, components, offsets) with each batch of its queries."""
+    now, held, rows = None, [], None
     for b in batches:
-        buckets = np.asarray(b.column("bucket"))
-        cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(buckets)]
-        for a, z in zip(cuts, cuts[1:]):
-            if now is not None and z > a and buckets[a] != now:
-                yield pa.Table.from_batches(held)
-                held = []
-            if z > a:
-                now = buckets[a]
-                held.append(b.slice(a, z - a))
-    if held:
-        yield pa.Table.from_batches(held)
+        bucket, query = b.column("bucket").to_numpy(), b.column("query").to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero((np.diff(bucket) != 0) | (np.diff(query.astype(np.int8)) != 0)) + 1).tolist(),
+                len(bucket)]
+        for i, j in zip(cuts, cuts[1:]):
+            if j == i:
+                continue
+            if bucket[i] != now:
+                now, held, rows = bucket[i], [], None
+            if not query[i]:
+                held.append(b.slice(i, j - i))
+                continue
+            if rows is None:
+                t = pa.Table.from_batches(held)
+                vectors = t.column("vector").combine_chunks()
+                rows = (t.column("vid").to_numpy(), vectors.flatten().to_numpy(),
+                        np.concatenate([[0], np.cumsum(vectors.value_lengths().to_numpy())]))
+            yield rows, b.slice(i, j - i)
 
 
 def valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -193,26 +267,33 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5,
                .groupBy("h", "vector").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")))
     entry = written(members.join(asks, ["h", "vector"])
                     .select(F.element_at("ids", 1).alias("vid"), "h", "vector", "ids", "is_query"), "ann-entries")
-    ranked = index(entry.select("vid", "vector", "is_query"), trees)
-    at, edge = F.col("rank") % bucket, F.lit(min(window, bucket))
-    own = F.floor(F.col("rank") / bucket).cast("long")
-    # a row belongs to its bucket and, near an end, to the next one's margin
-    dealt = ranked.withColumn("o", F.explode(F.array_compact(F.array(
-        F.lit(0), F.when(at < edge, F.lit(-1)), F.when(at >= bucket - edge, F.lit(1))))))
-    dealt = (dealt.select((own + F.col("o")).alias("bucket"), (F.col("o") == 0).alias("home"), "rank", "key",
-                          "vid", "is_query").join(entry.select("vid", "vector"), "vid"))
-    found = written(dealt.repartition("bucket").sortWithinPartitions("bucket")
-                    .mapInArrow(_search_task(k, window),
-                                "qid long, level int, n long, vids array<long>, scores array<double>"), "ann-found")
+    ranked, runs = index(entry.select("vid", "vector", "is_query"), trees)
+    # a query's runs in every tree, by level; all trees hold the same rows at level 0
+    levels = F.when(F.substring("key", 5, 2) == F.lit(bytes(2)), F.sequence(F.lit(0), F.lit(DEPTH))).otherwise(
+        F.sequence(F.lit(1), F.lit(DEPTH)))
+    places = written(ranked.where("is_query").select(F.col("vid").alias("qid"), "key", F.explode(levels).alias("level"))
+                     .withColumn("prefix", F.expr(f"substring(key, 1, {_HEAD} + 2 * level)"))
+                     .join(runs, "prefix").select("qid", "level", "lo", "n"), "ann-places")
     # synchronous ascent: the deepest level at which the trees hold enough rows
-    levels = found.groupBy("qid", "level").agg(F.sum("n").alias("n"))
-    deeper = Window.partitionBy("qid").orderBy(F.col("level").desc())
-    stop = (levels.withColumn("seen", F.sum("n").over(deeper))
+    stop = (places.groupBy("qid", "level").agg(F.sum(F.col("n") - 1).alias("seen"))
             .groupBy("qid").agg(F.coalesce(F.max(F.when(F.col("seen") >= candidates, F.col("level"))),
-                                           F.min("level")).alias("stop")))
-    best = (found.join(stop, "qid").where("level >= stop")
-            .select("qid", F.explode(F.arrays_zip("vids", "scores")).alias("x"))
-            .groupBy("qid", F.col("x.vids").alias("vid")).agg(F.max("x.scores").alias("score")))
+                                           F.lit(0)).alias("stop")))
+    # every bucket that a run of the stop level touches
+    size = max(1, min(bucket, max(LEAST_BUCKET, entry.count() // 32)))
+    visits = written(places.join(stop, "qid").where("level = stop")
+                     .select("qid", "lo", "n", F.expr(f"explode(sequence(lo div {size}L, (lo + n - 1) div {size}L))")
+                             .alias("bucket"))
+                     .select("bucket", F.col("qid").alias("vid"),
+                             F.expr(f"greatest(lo - bucket * {size}L, 0L)").alias("a"),
+                             F.expr(f"least(lo + n - bucket * {size}L, {size}L)").alias("z")), "ann-visits")
+    dealt = (ranked.select(F.expr(f"rank div {size}L").alias("bucket"), F.lit(False).alias("query"),
+                           F.expr(f"rank % {size}L").alias("a"), F.lit(0).cast("long").alias("z"), "vid")
+             .union(visits.select("bucket", F.lit(True), "a", "z", "vid"))
+             .join(entry.select("vid", "vector"), "vid")
+             .select("bucket", "query", "a", "z", "vid", "vector"))
+    found = written(dealt.repartition("bucket").sortWithinPartitions("bucket", "query", "a", "z")
+                    .mapInArrow(_search_task(k, window), "qid long, vid long, score double"), "ann-found")
+    best = found.groupBy("qid", "vid").agg(F.max("score").alias("score"))
     order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vid")
     best = best.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1).drop("i")
     # the query's own vector stands for its copies; then every entry's smallest ids

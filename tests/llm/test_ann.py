@@ -83,3 +83,36 @@ def test_empty_table(spark):
 def test_rotations_are_orthogonal_and_fixed():
     r = ann.rotation(16, 3, 1)
     assert np.allclose(r @ r.T, np.eye(16)) and (r == ann.rotation(16, 3, 1)).all()
+
+
+def dense(n, group, noise, dim=16, seed=3):
+    """``n`` random vectors of which the first ``group`` stand around one centre."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x[:group] = rng.normal(size=dim) + noise * rng.normal(size=(group, dim))
+    return x
+
+
+def recall(got, x, every, k=5):
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    hit = 0
+    for q, g in got.items():
+        s = u @ u[q]
+        s[q] = -2
+        hit += len({i for _, i in g} & set(np.argsort(-s)[:k].tolist()))
+    assert set(got) == set(range(0, len(x), every))
+    return hit / (k * len(got))
+
+
+def test_a_dense_group_is_visited_whole(spark):
+    x = dense(6000, 2000, 0.001)
+    got = search(spark, [(i, v) for i, v in enumerate(x.tolist())], lambda i: i % 100 == 0, trees=8, window=64,
+                 candidates=256, bucket=128)
+    assert recall({q: g for q, g in got.items() if q < 2000}, x[:2000], 100) >= 0.99
+
+
+def test_results_do_not_depend_on_buckets_and_windows(spark):
+    x = dense(1500, 500, 0.02)
+    data = [(i, v) for i, v in enumerate(x.tolist())]
+    a = search(spark, data, trees=6, candidates=64, bucket=64, window=8)
+    assert a == search(spark, data, trees=6, candidates=64)
