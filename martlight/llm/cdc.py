@@ -3,24 +3,26 @@
 A gear rolling hash over the last ``WINDOW`` bytes cuts every text where the hash
 falls below a threshold, so cuts move with the content: text inserted before a
 passage shifts its chunks but does not change them.  Chunks are compared by digest
-over the whole corpus.  A chunk repeats if a document with a smaller ``doc_id`` has
+over the whole corpus.  A chunk repeats if an earlier row (smaller ``doc_id``) has
 the same digest; runs of consecutive repeated chunks that hold ``MIN_WORDS`` whole
-words or more are cut out of the later document, at word ends.  The document with
+words or more are cut out of the later row, at word ends.  The row with
 the smallest ``doc_id`` keeps the passage, so each text stays somewhere.
 
 The minimum per digest combines in the map tasks; the join back is between two
 written tables, whose large partitions adaptive execution splits, so a chunk held
-by a third of the corpus is no single task.  What is grouped is the spans of one
-document, bounded by its own text.
+by a third of the corpus is no single task.  Every row is written with a number of
+its own, by which chunks and spans are kept.  What is grouped is the spans of one
+row, bounded by its own text.
 
-Defined results: a null text stays null and an empty one empty; rows that repeat a
-``doc_id`` are one document (a repeat within one document is left); a null
-``doc_id`` counts as the last document; other columns are carried along.
+Defined results: a null text stays null and an empty one empty; a repeat within one row
+is left; rows that share a ``doc_id`` come in the order of their numbers, each a text of
+its own; rows with a null ``doc_id`` come last, likewise; other columns are carried along.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ MAX_CHUNK = 96            # bytes
 MIN_WORDS = 20            # whole words of a run of repeated chunks that is cut out
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
-_NO_ID = (1 << 63) - 1    # stands for a null doc_id: the last document
+_STEP = 10 ** 19          # order of rows: doc_id * _STEP + row number, as decimal(38, 0)
 _SPACE = frozenset(b" \t\n\v\f\r")
 
 
@@ -76,43 +78,50 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     for b in batches:
         hashes: list[int] = []
-        docs, at, size = [], [], []
-        for doc, text in zip(b.column("doc").to_pylist(), b.column("text").to_pylist()):
+        ids, rows, at, size = [], [], [], []
+        for doc, row, text in zip(*(b.column(c).to_pylist() for c in ("doc_id", "row", "text"))):
             raw = text.encode()
             ends = chunk_ends(raw)
             starts = [0, *ends[:-1]] if ends else []
             hashes += [digest(raw[i:j]) for i, j in zip(starts, ends)]
-            docs += [doc] * len(ends)
+            ids += [doc] * len(ends)
+            rows += [row] * len(ends)
             at += starts
             size += [j - i for i, j in zip(starts, ends)]
             if len(hashes) > 200_000:
-                yield _chunk_batch(hashes, docs, at, size)
-                hashes, docs, at, size = [], [], [], []
+                yield _chunk_batch(hashes, ids, rows, at, size)
+                hashes, ids, rows, at, size = [], [], [], [], []
         if hashes:
-            yield _chunk_batch(hashes, docs, at, size)
+            yield _chunk_batch(hashes, ids, rows, at, size)
 
 
-def _chunk_batch(hashes, docs, at, size) -> pa.RecordBatch:
+def _chunk_batch(hashes, ids, rows, at, size) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)), pa.array(docs, pa.int64()),
-         pa.array(at, pa.int32()), pa.array(size, pa.int32())], ["digest", "doc", "at", "size"])
+        [pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64()),
+         pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(size, pa.int32())],
+        ["digest", "doc_id", "row", "at", "size"])
 
 
-def _doc(c: str = "doc_id"):
-    return F.coalesce(F.col(c).cast("long"), F.lit(_NO_ID))
+def _order():
+    """One number that orders the rows by (doc_id nulls last, row)."""
+    step = F.lit(Decimal(_STEP))
+    return F.coalesce(F.col("doc_id").cast("decimal(19,0)") * step + F.col("row"),
+                      F.lit(Decimal(1 << 63)) * step + F.col("row")).cast("decimal(38,0)")
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """digest, doc, at, size (bytes) of every chunk of every text."""
-    return (docs.select(_doc().alias("doc"), text_or_empty().alias("text"))
-            .mapInArrow(_chunks, "digest long, doc long, at int, size int"))
+def chunks(rows: DataFrame) -> DataFrame:
+    """digest, doc_id, row, at, size (bytes) of every chunk of every text."""
+    return (rows.select(F.col("doc_id").cast("long").alias("doc_id"), "row", text_or_empty().alias("text"))
+            .mapInArrow(_chunks, "digest long, doc_id long, row long, at int, size int"))
 
 
 def repeated_chunks(found: DataFrame) -> DataFrame:
-    """doc, at, size of the chunks that a document with a smaller id holds too."""
-    first = written(found.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-                    .where("first < last").select("digest", "first"), "cdc-first")
-    return found.join(first, "digest").where("doc <> first").select("doc", "at", "size")
+    """row, at, size of the chunks that an earlier row holds too."""
+    held = (found.groupBy("digest").agg(F.min(_order()).alias("first"), F.max(_order()).alias("last"))
+            .where("first < last"))
+    first = written(held.select("digest", F.pmod("first", F.lit(Decimal(_STEP))).cast("long").alias("first")),
+                    "cdc-first")
+    return found.join(first, "digest").where("row <> first").select("row", "at", "size")
 
 
 def cut_runs(raw: bytes, spans: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
@@ -143,10 +152,12 @@ def _cut(docs: DataFrame, min_words: int) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import ArrayType, LongType, StructType
     cols = docs.columns
-    found = written(chunks(docs), "cdc-chunks")
-    spans = written(repeated_chunks(found).groupBy("doc")
+    keyed = written(docs.select(*numbered(docs, cols), F.monotonically_increasing_id().alias("row")), "cdc-rows")
+    named = {c.lower(): f"in_{i}" for i, c in enumerate(cols)}
+    found = written(chunks(keyed.select(F.col(named["doc_id"]).alias("doc_id"), "row",
+                                        F.col(named["text"]).alias("text"))), "cdc-chunks")
+    spans = written(repeated_chunks(found).groupBy("row")
                     .agg(F.collect_set(F.struct("at", "size")).alias("spans")), "cdc-spans")
-    keyed = docs.select(*numbered(docs, cols), _doc().alias("doc"))
     span = StructType().add("start", LongType()).add("end", LongType())
     out = (StructType(list(keyed.schema.fields[:-1]))
            .add("removed", ArrayType(span, False)).add("n_removed", LongType()))
@@ -176,7 +187,7 @@ def _cut(docs: DataFrame, min_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*data, pa.array(removed, arrow.types[-2]), pa.array(n_removed, pa.int64())], schema=arrow)
 
-    return (keyed.join(spans, "doc", "left")
+    return (keyed.join(spans, "row", "left")
             .select(*[f"in_{i}" for i in range(len(cols))], "spans").mapInArrow(run, out))
 
 

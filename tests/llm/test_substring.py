@@ -115,3 +115,26 @@ def test_awkward_rows(spark):
 
 def test_empty_table(spark):
     assert cdc.without_repeats(empty(spark)).collect() == []
+
+
+def test_rows_without_id_or_with_one_id_are_cut_each_by_itself(spark):
+    rng = random.Random(5)
+    a, b, c, d = (words(rng, 120) for _ in range(4))
+    data = [(1, a), (None, a), (None, b), (None, c), (None, c), (7, d), (7, words(rng, 60) + " " + a)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    texts = sorted(r["text"] for r in cdc.without_repeats(df).where("doc_id is null").collect())
+    assert b in texts and texts.count(c) == 1            # clean rows stay, copies among null ids go
+    assert sum(len(t) > 0.5 * len(a) for t in texts) == 2
+    seven = [r["text"] for r in cdc.without_repeats(df).where("doc_id = 7").collect()]
+    assert d in seven and any(data[6][1][:300] in t and len(t) < 0.6 * len(data[6][1]) for t in seven)
+    kept = [r["text"] for r in cdc.deduplicate(df).where("doc_id is null").collect()]
+    assert b in kept and c in kept
+
+
+def test_largest_and_smallest_ids_keep_their_order(spark):
+    text = words(random.Random(6), 150)
+    ids = [2**63 - 1, None, -2**63, -5]
+    df = spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string")
+    assert [r["doc_id"] for r in cdc.without_repeats(df).collect() if not r["n_removed"]] == [-2**63]
+    df = df.where("doc_id is null or doc_id > 0")
+    assert [r["doc_id"] for r in cdc.without_repeats(df).collect() if not r["n_removed"]] == [2**63 - 1]
