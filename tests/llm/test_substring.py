@@ -138,3 +138,54 @@ def test_largest_and_smallest_ids_keep_their_order(spark):
     assert [r["doc_id"] for r in cdc.without_repeats(df).collect() if not r["n_removed"]] == [-2**63]
     df = df.where("doc_id is null or doc_id > 0")
     assert [r["doc_id"] for r in cdc.without_repeats(df).collect() if not r["n_removed"]] == [2**63 - 1]
+
+
+def unheld(df, out, n=cdc.MIN_WORDS):
+    """Windows of ``n`` words inside one cut that no earlier row holds (ids are unique)."""
+    texts, first, lost = {r["doc_id"]: r["text"] for r in df.collect()}, {}, 0
+    removed = {r["doc_id"]: r["removed"] for r in out.collect()}
+    for d in sorted(texts):
+        for s in removed[d]:
+            w = texts[d][s["start"]:s["end"]].split()
+            lost += sum(first.get(tuple(w[i:i + n]), d) == d for i in range(len(w) - n + 1))
+        w = texts[d].split()
+        for i in range(len(w) - n + 1):
+            first.setdefault(tuple(w[i:i + n]), d)
+    return lost
+
+
+def test_passages_joined_from_different_rows_stay(spark):
+    rng = random.Random(8)
+    data, parts = [], []
+    for i in range(14):                                  # whole chunks of 12 words or less from each
+        raw = words(rng, 80).encode()
+        data.append((i, raw.decode()))
+        ends = cdc.chunk_ends(raw)
+        to = max(e for e in ends if len(raw[ends[1]:e].split()) <= 12)
+        parts.append(raw[ends[1]:to].decode())
+    data.append((100, "".join(parts)))                   # no 20 words of it stand elsewhere
+    assert len("".join(parts).split()) >= 2 * cdc.MIN_WORDS
+    long = [words(rng, 60), words(rng, 60)]
+    data += [(101, f"{words(rng, 9)} {long[0]} {words(rng, 9)}"), (102, f"{words(rng, 9)} {long[1]} {words(rng, 9)}"),
+             (103, " ".join(long)), (104, " ".join(long))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    out = cdc.without_repeats(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    texts = dict(data)
+    assert got[100]["text"] == texts[100]
+    assert unheld(df, out) == 0
+    assert got[103]["n_removed"] > 0.6 * len(texts[103]) and got[104]["n_removed"] > 0.9 * len(texts[104])
+
+
+def test_groups_do_not_depend_on_what_stands_before():
+    rng = random.Random(9)
+    a = words(rng, 400).encode()
+    x, y = cdc.groups(a, 20), cdc.groups(words(rng, 70).encode() + b" " + a, 20)
+    assert len(set(x[0].tolist())) == len(x[0]) and len(set(x[0].tolist()) & set(y[0].tolist())) >= len(x[0]) - 4
+    assert all(len(a[i:i + n].split()) >= 20 for i, n in zip(x[1].tolist(), x[2].tolist()))
+
+
+def test_every_cut_of_the_query_stands_in_an_earlier_document(spark):
+    df = spark.createDataFrame([(d, t or "") for d, t in documents()], "doc_id long, text string")
+    out = queries.op8_substring_dedup(spark, SF)
+    assert out.where("n_removed > 0").count() and unheld(df, out) == 0
