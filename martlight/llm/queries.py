@@ -91,6 +91,29 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic word runs of all documents, every tenth of which repeats a stretch to its end."""
+    from martlight.llm import periodic
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", "text")
+    return periodic.digests(periodic.with_runs(docs, periodic.repeat_tail))
+
+
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens that hold every source's share."""
+    from martlight.llm import mixture
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    return mixture.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=2)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some with a letter left out, with their near words' forms."""
+    from martlight.llm import spelling
+    ship(spark)
+    return spelling.variants(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), spelling.drop_letter)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_rules": op2_url_rules,
@@ -102,6 +125,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_mixture_packing": op12_mixture_packing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQLS: dict[str, str] = {
