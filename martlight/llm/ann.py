@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.common import require_columns, written
+from martlight.llm.common import lean, require_columns, written
 
 TREES = 48
 DEPTH = 6                 # symbols of a hash string
@@ -145,11 +145,11 @@ def index(vectors: DataFrame, trees: int = TREES, depth: int = DEPTH) -> tuple[D
     runs of equal prefixes that hold a query (prefix, lo, n: first rank and length), from
     written tables.  ``vectors``: vid, vector, is_query."""
     spark = vectors.sparkSession
-    rows = written(vectors.mapInArrow(_hash_task(trees, depth), "key binary, vid long, is_query boolean"),
+    rows = written(vectors.mapInArrow(lean(_hash_task(trees, depth)), "key binary, vid long, is_query boolean"),
                    "ann-hashes")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = written(rows.repartitionByRange(n, "key", "vid").sortWithinPartitions("key", "vid")
-                   .mapInArrow(_number(depth),
+                   .mapInArrow(lean(_number(depth)),
                                "key binary, vid long, is_query boolean, part int, at long, n long"), "ann-sorted")
     sorted_rows = both.where("vid is not null")
     counts = sorted_rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))     # one row per partition
@@ -292,7 +292,7 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5,
              .join(entry.select("vid", "vector"), "vid")
              .select("bucket", "query", "a", "z", "vid", "vector"))
     found = written(dealt.repartition("bucket").sortWithinPartitions("bucket", "query", "a", "z")
-                    .mapInArrow(_search_task(k, window), "qid long, vid long, score double"), "ann-found")
+                    .mapInArrow(lean(_search_task(k, window)), "qid long, vid long, score double"), "ann-found")
     best = found.groupBy("qid", "vid").agg(F.max("score").alias("score"))
     order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "vid")
     best = best.withColumn("i", F.row_number().over(order)).where(F.col("i") <= k + 1).drop("i")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.common import numbered, renamed, require_columns, text_or_empty, written
+from martlight.llm.common import lean, numbered, renamed, require_columns, text_or_empty, written
 
 WINDOW = 16               # bytes a cut depends on
 MIN_CHUNK = 12            # bytes
@@ -143,7 +143,7 @@ def _order():
 def chunk_groups(rows: DataFrame, min_words: int) -> DataFrame:
     """digest, doc_id, row, at and reach (bytes * 256 + bytes of the first chunk) of every group."""
     return (rows.select(F.col("doc_id").cast("long").alias("doc_id"), "row", text_or_empty().alias("text"))
-            .mapInArrow(_group_task(min_words), "digest long, doc_id long, row long, at int, reach long"))
+            .mapInArrow(lean(_group_task(min_words)), "digest long, doc_id long, row long, at int, reach long"))
 
 
 def _first_holders(found: DataFrame, key: str, name: str) -> DataFrame:
@@ -243,7 +243,7 @@ def _cut(docs: DataFrame, min_words: int) -> DataFrame:
                 [*data, pa.array(removed, arrow.types[-2]), pa.array(n_removed, pa.int64())], schema=arrow)
 
     return (keyed.join(spans, "row", "left")
-            .select(*[f"in_{i}" for i in range(len(cols))], "spans").mapInArrow(run, out))
+            .select(*[f"in_{i}" for i in range(len(cols))], "spans").mapInArrow(lean(run), out))
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

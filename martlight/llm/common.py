@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martlight.session import fresh_dir, shared_dir
 from martlight.sources.tables import read_table, require_columns
 
-__all__ = ["pick", "numbered", "renamed", "ship", "written", "shared_dir", "fresh_dir", "read_table", "text_or_empty",
+__all__ = ["pick", "numbered", "renamed", "ship", "lean", "HELD", "written", "shared_dir", "fresh_dir", "read_table", "text_or_empty",
            "ASCII_UPPER", "ASCII_LOWER", "lower_ascii", "WORD_RE"]
 
 # The contracts lower-case A-Z only and split words at ASCII white space.
@@ -61,16 +61,58 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
 
 
+# --- memory of Python workers --------------------------------------------------------
+
+ARROW_BYTES = 4 << 20     # of a batch that a task is handed: whole texts may be long
+
+# what tasks keep for the next task of the same Python worker, by operator
+HELD: dict[str, dict] = {}
+
+
+def begin_task(keeps: str | None) -> None:
+    """Drop what other operators' tasks left in this worker."""
+    for name in [n for n in HELD if n != keeps]:
+        del HELD[name]
+
+
+def end_task() -> None:
+    """Hand freed memory back to the system: workers live on, and idle ones count too."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass                                  # another C library: it trims by itself or not at all
+
+
+def lean(task, keeps: str | None = None):
+    """``task`` (over Arrow batches) with nothing left in its worker at the end but
+    ``HELD[keeps]``."""
+    def run(batches):
+        begin_task(keeps)
+        try:
+            yield from task(batches)
+        finally:
+            end_task()
+    return run
+
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, once per application.
+    """Make this package importable in Python workers, once per application, and have Arrow
+    batches bounded by bytes, not only by rows.
 
     The driver packs its own copy and Spark's file server hands it out, as
     ``--py-files`` would; a job started with ``--py-files`` loses nothing.
     """
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if sc.applicationId in _SHIPPED:
         return
     import os

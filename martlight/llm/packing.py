@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import pick, text_or_empty, written
+from martlight.llm.common import lean, pick, text_or_empty, written
 from martlight.llm.tokens import crc_u32, open_tokenizer
 
 CAPACITY = 1024
@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
 
     return (pick(docs, ["doc_id", "text"], "docs")
             .select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .mapInArrow(run, ddl))
+            .mapInArrow(lean(run, "tokens"), ddl))
 
 
 # --- the genetic algorithm on one block -------------------------------------------
@@ -239,7 +239,7 @@ def pack_blocks(items: DataFrame, capacity: int, name: str) -> DataFrame:
                      F.lit(None).cast("array<array<int>>").alias("elite")))
     for epoch in range(EPOCHS):
         done = written(state.repartition("block", "island")
-                       .mapInArrow(_island_task(capacity, epoch), _STATE), f"pack-{name}-{epoch}")
+                       .mapInArrow(lean(_island_task(capacity, epoch)), _STATE), f"pack-{name}-{epoch}")
         if epoch + 1 < EPOCHS:
             sent = done.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"),
                                F.col("bins").alias("migrant"))
@@ -264,7 +264,7 @@ def pack_blocks(items: DataFrame, capacity: int, name: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
     return chosen.select("block", "uids", "lengths", "bins", "n_bins").mapInArrow(
-        lay_out, "uid long, block long, bin int, length int, fill int, offset int")
+        lean(lay_out), "uid long, block long, bin int, length int, fill int, offset int")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,

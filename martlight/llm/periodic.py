@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import numbered, renamed, require_columns, text_or_empty
+from martlight.llm.common import lean, numbered, renamed, require_columns, text_or_empty
 
 EXPONENT = 4              # least length of a run, in periods
 MIN_LENGTH = 6            # and in words
@@ -255,7 +255,7 @@ def with_runs(docs: DataFrame, words_of: Callable[[int | None, str], list[bytes]
             if texts:
                 yield done(b, at, texts)
 
-    return inner.mapInArrow(run, out).select(*renamed(cols), "runs", "collapsed")
+    return inner.mapInArrow(lean(run), out).select(*renamed(cols), "runs", "collapsed")
 
 
 def digests(found: DataFrame) -> DataFrame:

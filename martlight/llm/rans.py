@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.common import fresh_dir, pick, text_or_empty, written
+from martlight.llm.common import fresh_dir, lean, pick, text_or_empty, written
 from martlight.llm.tokens import crc_u32, open_tokenizer
 
 LANES = 512               # interleaved states per block
@@ -271,9 +271,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
     from tokenizers import Tokenizer
     width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
-    ids = written(ordered.mapInArrow(_tokenize(tokenizer, kind, end_id, ids_schema), _IDS),
+    ids = written(ordered.mapInArrow(lean(_tokenize(tokenizer, kind, end_id, ids_schema), "tokens"), _IDS),
                   "rans-ids")
-    counts = (ids.where("counts is not null").select("counts").mapInArrow(_histogram, "token long, n long")
+    counts = (ids.where("counts is not null").select("counts").mapInArrow(lean(_histogram), "token long, n long")
               .groupBy("token").agg(F.sum("n").alias("n")))
     # one row per token of the vocabulary: at most 2**PROB_BITS, checked when scaled
     freq = counts.orderBy("token").limit((1 << PROB_BITS) + 1).toPandas()
@@ -282,7 +282,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
     (spark.createDataFrame([(int(a), int(b)) for a, b in zip(tokens, scaled)], "token long, freq long")
      .coalesce(1).write.mode("overwrite").parquet(f"{path}/table"))
     shared = spark.sparkContext.broadcast(Table(tokens, scaled))
-    (ids.where("counts is null").mapInArrow(_blocks(shared, width, block_schema), _BLOCK)
+    (ids.where("counts is null").mapInArrow(lean(_blocks(shared, width, block_schema)), _BLOCK)
      .write.mode("overwrite").option("compression", "none").parquet(f"{path}/blocks"))
     totals = ids.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -329,7 +329,7 @@ def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, ty) for c, ty in zip(cols, schema.types)], schema=schema)
 
-    docs = spark.read.parquet(f"{path}/blocks").mapInArrow(run, ddl)
+    docs = spark.read.parquet(f"{path}/blocks").mapInArrow(lean(run), ddl)
     parts = spark.read.parquet(f"{path}/parts")      # one row per part: a small side by size
     cols = ["doc_id", (F.col("start") + F.col("local_start")).alias("start"),
             "n_tokens", "ids_crc32"] + (["ids"] if with_ids else [])

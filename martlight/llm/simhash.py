@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import numbered, renamed, require_columns, text_or_empty, written
+from martlight.llm.common import lean, numbered, renamed, require_columns, text_or_empty, written
 from martlight.llm.components import components
 
 SHINGLE = 4
@@ -73,7 +73,7 @@ def with_fingerprints(docs: DataFrame, keep: list[str], k: int = SHINGLE) -> Dat
                     for c, t in zip(b.columns[:-1], arrow.types)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(fp.view(np.int64))], schema=arrow)
 
-    return inner.mapInArrow(run, out)
+    return inner.mapInArrow(lean(run), out)
 
 
 # --- links ----------------------------------------------------------------------
@@ -211,7 +211,7 @@ def links(fps: DataFrame, tau: int = TAU, segments: int = SEGMENTS, block: int =
                      F.when(F.col("b") == F.col("o"), 2).when(F.col("b") < F.col("o"), 0)
                      .otherwise(1).alias("side"), "fp"))
     return (dealt.repartition("bucket", "pair").sortWithinPartitions("bucket", "pair")
-            .mapInArrow(_link_task(tau, segments), "u long, v long"))
+            .mapInArrow(lean(_link_task(tau, segments)), "u long, v long"))
 
 
 def component_of(rows: DataFrame, tau: int = TAU, segments: int = SEGMENTS) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import pick, text_or_empty, written
+from martlight.llm.common import lean, pick, text_or_empty, written
 
 MIN_LETTERS = 7
 MIN_COUNT = 2
@@ -128,9 +128,9 @@ def vocabulary(docs: DataFrame, edit_of=as_written) -> DataFrame:
     """word, n, key (the packed vector) of every word that counts, from a written table."""
     rows = pick(docs, ["doc_id", "text"], "docs").where("text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    counts = (rows.mapInArrow(_count_task(edit_of), "word string, n long")
+    counts = (rows.mapInArrow(lean(_count_task(edit_of)), "word string, n long")
               .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT))
-    return written(counts.mapInArrow(_vector_task, "word string, n long, key long"), "spelling-words")
+    return written(counts.mapInArrow(lean(_vector_task), "word string, n long, key long"), "spelling-words")
 
 
 # --- the top of the trie ------------------------------------------------------------
@@ -325,7 +325,7 @@ def near_pairs(words: DataFrame, node_words: int = NODE_WORDS) -> DataFrame:
     """a, n_a, b, n_b: every pair of words one edit apart, once."""
     spot = ["level", "node", "block"]
     return (dealt(words, node_words).repartition(*spot).sortWithinPartitions(*spot, "query")
-            .mapInArrow(_search_task, "a string, n_a long, b string, n_b long"))
+            .mapInArrow(lean(_search_task), "a string, n_a long, b string, n_b long"))
 
 
 # --- forms and roots --------------------------------------------------------------------

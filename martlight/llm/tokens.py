@@ -24,7 +24,10 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 1_000_000        # distinct pieces kept per Python worker (about 200 MB)
+from martlight.llm.common import HELD
+
+CACHE_BYTES = 40 << 20         # of each of a tokenizer's two tables of pieces, about
+_ENTRY = 150                   # bytes of a table's entry beside the piece and its ids
 
 # The split patterns of the two tokenizer files, written for texts
 # of printable ASCII, line feed and precomposed Latin-1 letters only.
@@ -63,7 +66,6 @@ def _cut(text: str, kind: str) -> list[str]:
 # any other text
 _PIECES = {"words": re.compile(r"[^ \n]+"), "gpt": re.compile(r"[ \n]*[^ \n]+|[ \n]+")}
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_OPEN: dict = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -79,7 +81,7 @@ class _Merged(dict):
 
     def __init__(self, tok, pack):
         super().__init__()
-        self.run, self.pack = tok.model.tokenize, pack
+        self.run, self.pack, self.size = tok.model.tokenize, pack, 0
         self.letters = "".join(v for _, v in sorted(_byte_letters().items()))
 
     def __missing__(self, piece: str) -> bytes:
@@ -88,6 +90,7 @@ class _Merged(dict):
         else:
             word = piece.encode().decode("latin-1").translate(self.letters)
         ids = self[piece] = self.pack([t.id for t in self.run(word)])
+        self.size += _ENTRY + len(piece) + len(ids)
         return ids
 
 
@@ -104,6 +107,7 @@ class CachedTokenizer:
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.plain = _Merged(self.tok, self._pack)
         self.other: dict[str, bytes] = {}        # by piece of any other text
+        self.other_size = 0
 
     def _pack(self, ids) -> bytes:
         return array(self.code, ids).tobytes()
@@ -114,9 +118,12 @@ class CachedTokenizer:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (no end id)."""
-        for c in (self.plain, self.other):
-            if len(c) > CACHE_WORDS:
-                c.clear()
+        if self.plain.size > CACHE_BYTES:
+            self.plain.clear()
+            self.plain.size = 0
+        if self.other_size > CACHE_BYTES:
+            self.other.clear()
+            self.other_size = 0
         self.plain[""] = b""
         out: list[bytes | None] = [None] * len(texts)
         cut: list[tuple[int, list[str]]] = []
@@ -135,7 +142,9 @@ class CachedTokenizer:
                 cut.append((i, p))
                 new.update(set(p).difference(self.other))
         if new:
-            self.other.update(zip(new, self._encode(list(new))))
+            found = self._encode(list(new))
+            self.other.update(zip(new, found))
+            self.other_size += sum(map(len, new)) + sum(map(len, found)) + _ENTRY * len(new)
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]) if whole else ()):
             out[i] = ids
         for i, p in cut:
@@ -160,10 +169,10 @@ def open_tokenizer(path: str, kind: str) -> CachedTokenizer:
     """One tokenizer per Python worker and file."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    key = (path, kind)
-    if key not in _OPEN:
-        _OPEN[key] = CachedTokenizer(path, kind)
-    return _OPEN[key]
+    kept = HELD.setdefault("tokens", {})
+    if (path, kind) not in kept:
+        kept[path, kind] = CachedTokenizer(path, kind)
+    return kept[path, kind]
 
 
 def crc_u32(ids: np.ndarray) -> int:

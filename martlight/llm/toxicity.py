@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import numbered, pick, renamed, require_columns, text_or_empty, written
+from martlight.llm.common import lean, numbered, pick, renamed, require_columns, text_or_empty, written
 
 # --- the grammar ----------------------------------------------------------------
 
@@ -363,13 +363,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
         return Model()
     prior = size[1] / (size[0] + size[1])
     rows = rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
-    stems = (rows.mapInArrow(_count_stems, "stem string, toxic int, n long")
+    stems = (rows.mapInArrow(lean(_count_stems), "stem string, toxic int, n long")
              .groupBy("stem").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                   F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
              .where("a >= 4 and b <= a"))
     # bounded by the sample: candidate stems and their words come from max_train_docs texts
     shared = spark.sparkContext.broadcast({r["stem"] for r in stems.select("stem").toLocalIterator()})
-    seen = (rows.mapInArrow(_evidence(shared), "item string, toxic int, sketch long")
+    seen = (rows.mapInArrow(lean(_evidence(shared)), "item string, toxic int, sketch long")
             .distinct().groupBy("item")
             .agg(F.sum(1 - F.col("toxic")).alias("b"), F.sum("toxic").alias("a")))
     counts = {r["item"]: (r["b"], r["a"]) for r in seen.toLocalIterator()}
@@ -382,7 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DOCS
             x = [round(model.weigh(t), 3) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column("toxic")], ["x", "toxic"])
 
-    got = (rows.mapInArrow(weigh, "x double, toxic int").groupBy("x", "toxic").count()
+    got = (rows.mapInArrow(lean(weigh), "x double, toxic int").groupBy("x", "toxic").count()
            .orderBy("x", "toxic").collect())              # at most max_train_docs rows
     model.bias, model.scale = fit_score(*(np.array([r[c] for r in got], dtype=float)
                                           for c in ("x", "toxic", "count")))
@@ -409,7 +409,7 @@ def _scored(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
                 [*cols, pa.array(s, pa.float64()), pa.array([int(v >= threshold) for v in s], pa.int32())],
                 schema=arrow)
 
-    return inner.mapInArrow(run, out)
+    return inner.mapInArrow(lean(run), out)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
