@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.common import pick, text_or_empty, written
+from martlight.llm.common import lean, pick, text_or_empty, written
 from martlight.llm.tokens import crc_u32, open_tokenizer
 
 CAPACITY = 4096
@@ -81,7 +81,7 @@ def queued(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame
 
     return written(pick(docs, ["doc_id", "text", "source"], "docs")
                    .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                           text_or_empty().alias("text")).mapInArrow(run, ddl), "mixture-ids")
+                           text_or_empty().alias("text")).mapInArrow(lean(run, "tokens"), ddl), "mixture-ids")
 
 
 def _served(weights: list[tuple[float, float]], time: Column) -> Column:
@@ -121,40 +121,44 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
             raise ValueError("every source needs a target weight above zero")
         # one row per entry of ``targets``
         fixed = [(r["weight"], float(r["total"])) for r in known.select("weight", "total").collect()]
-    known = known.select(F.col("source").alias("name"), "total", "weight")
-    placed = written(
-        rows.drop("ids").join(starts.withColumnsRenamed({"source": "name", "part": "p"}),
-                              F.col("source").eqNullSafe(F.col("name")) & (F.col("part") == F.col("p"))).drop("name", "p")
-        .join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-        .select("part", "seq", "source", "n", (F.col("start") + F.col("q")).alias("q"), "total", "weight"),
-        "mixture-places")
+    # one row per task and source: where its tokens begin in the source's queue
+    begins = written(
+        starts.select(F.col("source").alias("name"), F.col("part").alias("p"), "start")
+        .join(known.select(F.col("source").alias("s"), "weight"), F.col("name").eqNullSafe(F.col("s")))
+        .select("name", "p", "start", "weight"), "mixture-begins")
 
     # chunks: place c in the document; virtual time by a phase of the source's own
     phase = F.shiftrightunsigned(F.xxhash64("source", F.lit(7)), 11) / float(1 << 53)
-    size = F.least(F.lit(CHUNK).cast("long"), F.col("n") - F.col("c")).alias("size")
-    time = (F.col("q") + F.col("c") + phase * F.col("size")) / F.col("weight")
-    share = _served(fixed, F.col("time")) / float(max(1, total))
+    size = F.least(F.lit(CHUNK).cast("long"), F.col("n") - F.col("c"))
+    share = _served(fixed, (F.col("at") + phase * F.col("size")) / F.col("weight")) / float(max(1, total))
     which = F.least(F.floor(share * segments), F.lit(segments - 1)).cast("long")
-    chunks = (placed.withColumn("c", F.explode(F.expr(f"sequence(0L, n - 1, {CHUNK}L)")))
-              .withColumn("size", size).withColumn("time", time).withColumn("segment", which)
-              .select("part", "seq", "source", "weight", "c", "size", (F.col("q") + F.col("c")).alias("at"), "segment"))
-    chunks = written(chunks, "mixture-chunks")
+
+    def chunks(cols: list[str]) -> DataFrame:
+        """The chunks of all documents with the columns ``cols`` of these."""
+        return (rows.select(*{"part", "source", "n", "q", *cols})
+                .join(begins, F.col("source").eqNullSafe(F.col("name")) & (F.col("part") == F.col("p")))
+                .withColumn("c", F.explode(F.expr(f"sequence(0L, n - 1, {CHUNK}L)")))
+                .withColumn("size", size).withColumn("at", F.col("start") + F.col("q") + F.col("c"))
+                .withColumn("segment", which))
 
     # the tokens before each segment, summed group by group
-    sums = written(chunks.groupBy("segment").agg(F.sum("size").alias("tokens"))
+    sums = written(chunks([]).groupBy("segment").agg(F.sum("size").alias("tokens"))
                    .withColumn("g", F.expr(f"segment div {GROUP}")), "mixture-segments")
     groups = sums.groupBy("g").agg(F.sum("tokens").alias("all"))      # one row per GROUP segments
     groups = groups.select(F.col("g"), (F.sum("all").over(Window.orderBy("g")) - F.col("all")).alias("base"))
     inside = F.sum("tokens").over(Window.partitionBy("g").orderBy("segment")) - F.col("tokens")
-    first = sums.withColumn("inside", inside).join(groups, "g").select("segment", (F.col("base") + F.col("inside")).alias("first"))
+    first = (sums.withColumn("inside", inside).join(groups, "g")
+             .select("segment", (F.col("base") + F.col("inside")).alias("first")))
 
+    # the ids are shuffled once, by segment; a segment's own row, with its first place, leads it
     ids = F.expr("substring(ids, cast(c * width + 1 as int), cast(size * width as int))")
-    dealt = (chunks.join(rows.select("part", "seq", "doc_id", F.col("n").alias("doc_tokens"), "width", "ids"), ["part", "seq"])
-             .join(first, "segment")
-             .select("segment", "first", "source", "weight", "part", "seq", "doc_id", "doc_tokens", "c", "size", "at",
-                     "width", ids.alias("ids")))
-    return (dealt.repartition("segment").sortWithinPartitions("segment", "source", "at")
-            .mapInArrow(_segment_task(capacity, total, segments, fixed),
+    dealt = (chunks(["seq", "doc_id", "width", "ids"])
+             .select("segment", F.lit(None).cast("long").alias("first"), "source", "weight", "part", "seq", "doc_id",
+                     F.col("n").alias("doc_tokens"), "c", "size", "at", "width", ids.alias("ids"))
+             .unionByName(first, allowMissingColumns=True))
+    return (dealt.repartition("segment")
+            .sortWithinPartitions("segment", F.col("first").asc_nulls_last(), "source", "at")
+            .mapInArrow(lean(_segment_task(capacity, total, segments, fixed)),
                         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                         "offset long, source string"))
 
@@ -199,15 +203,16 @@ def _segment_task(capacity: int, total: int, segments: int, fixed: list[tuple[fl
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
 
     def sent(t: pa.Table) -> pa.RecordBatch:
-        """The pieces of one segment."""
-        col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in
-               ("segment", "first", "weight", "part", "seq", "doc_tokens", "c", "size", "at", "width")}
+        """The pieces of one segment, whose first row has its place in the stream."""
+        place = t.column("first")[0].as_py()
+        t = t.slice(1)
+        col = {c: t.column(c).to_numpy() for c in
+               ("segment", "weight", "part", "seq", "doc_tokens", "c", "size", "at", "width")}
         doc, sources, raw = (t.column(c).to_pylist() for c in ("doc_id", "source", "ids"))
         number: dict = {}
         source = np.array([number.setdefault(s, len(number)) for s in sources])
         begun = float(_time_of(fixed, np.array([col["segment"][0] * (total / segments)]))[0])
         order = _order(source, col["weight"], col["at"] + col["size"], begun)
-        place = int(col["first"][0])
         dtype = np.dtype(f"<u{int(col['width'][0])}")
         pieces: list[list] = []
         key = None                              # the piece that may go on: row, next id, sequence
