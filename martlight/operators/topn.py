@@ -91,3 +91,34 @@ def top_n_with_others(
                   .filter(F.col("__n") > 0)
                   .select(F.lit(sentinel).cast("bigint").alias(rank_col), *label_cols, value))
     return ranked.unionByName(folded)
+
+
+def top_n_within(groups: DataFrame, by: list[str], labels: list[str], value: str, n: int,
+                 others: dict[str, str], rank_col: str = "sort_rn",
+                 sentinel: int = SENTINEL_RANK) -> DataFrame:
+    """Top ``n`` + Others inside every group of ``by``; ``groups`` has one row per ``by`` and
+    ``labels``, with an exact (decimal or integral) ``value``.
+
+    The rank filter is pushed below the shuffle (``WindowGroupLimit``), so a task sends at
+    most ``n`` rows of a group however many labels it has; Others is the group's total, a
+    partially aggregated sum, less the rows listed."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    vtype = groups.schema[value].dataType
+    if not isinstance(vtype, (DecimalType, IntegralType)):
+        raise TypeError(f"{value} must be exact, not {vtype.simpleString()}")
+    wide = (DecimalType(min(vtype.precision, 37), vtype.scale) if isinstance(vtype, DecimalType) else vtype)
+    g = groups.select(*by, *labels, value)
+    order = [F.col(value).desc_nulls_first()] + [F.col(c).asc_nulls_first() for c in labels]
+    top = (g.withColumn(rank_col, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+           .where(F.col(rank_col) <= n).select(*by, F.col(rank_col).cast("bigint").alias(rank_col), *labels, value))
+    v = F.col(value).cast(wide)
+    total = g.groupBy(*by).agg(F.sum(v).cast(wide).alias("__s"), F.count(v).alias("__c"), F.count(F.lit(1)).alias("__n"))
+    listed = top.groupBy(*by).agg(F.sum(v).cast(wide).alias("__ls"), F.count(v).alias("__lc"), F.count(F.lit(1)).alias("__ln"))
+    zero = F.lit(0).cast(wide)
+    rest = F.when(F.col("__c") > F.col("__lc"), F.coalesce("__s", zero) - F.coalesce("__ls", zero)).cast(vtype)
+    same = reduce(lambda a, b: a & b, [total[c].eqNullSafe(listed[c]) for c in by])
+    folded = (total.join(listed, same).where("__n > __ln")
+              .select(*[total[c] for c in by], F.lit(sentinel).cast("bigint").alias(rank_col),
+                      *[F.lit(others[c]).cast(groups.schema[c].dataType).alias(c) for c in labels], rest.alias(value)))
+    return top.unionByName(folded)

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from martlight.operators.quality import Check, run_checks
-from martlight.plans.marts import Marts, dim_customers, materialize
+from martlight.operators.versions import VersionedTable
+from martlight.plans.marts import Marts, dim_customers
 from martlight.session import written
 
 DECLARED = [
@@ -77,7 +78,8 @@ def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str,
     """Build the models in dependency order and test each before anything is built on it.
 
     A model is skipped, with its tests, if a model it depends on failed a test or was
-    skipped; a test that compares with a skipped model is skipped too."""
+    skipped; a test that compares with a skipped model is skipped too.  Tables are published as
+    versions: a build that dies leaves the last one readable."""
     m = Marts(spark, sf_dir)
     models: dict[str, DataFrame] = {}
     bad: set[str] = set()
@@ -85,9 +87,9 @@ def build_and_test(spark: SparkSession, sf_dir: str, out_dir: str,
     build = {
         "stg_customers": lambda: m.stg_customers, "stg_orders": lambda: m.stg_orders,
         "stg_lineitem": lambda: m.stg_lineitem,
-        "fct_orders": lambda: materialize(m.fct_orders, f"{out_dir}/fct_orders"),
-        "dim_customers": lambda: materialize(
-            dim_customers(models["stg_customers"], models["fct_orders"]), f"{out_dir}/dim_customers"),
+        "fct_orders": lambda: VersionedTable(spark, f"{out_dir}/fct_orders").rebuild(m.fct_orders),
+        "dim_customers": lambda: VersionedTable(spark, f"{out_dir}/dim_customers").rebuild(
+            dim_customers(models["stg_customers"], models["fct_orders"])),
     }
     waiting = list(DECLARED if checks is None else checks)
     for name, make in build.items():

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlight.operators.versions import VersionedTable
 from martlight.sources.tables import Sources, col_or_null
 
 MONEY = "decimal(12,2)"
@@ -174,9 +175,10 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def build_marts(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataFrame]:
-    """``run``: staging stays lazy (views), marts are written (tables) in
-    dependency order; ``dim_customers`` reads the written fact."""
+    """``run``: staging stays lazy (views), marts are tables in versions, rebuilt in dependency
+    order; ``dim_customers`` reads the written fact.  A build that dies leaves the published
+    versions readable (``VersionedTable(spark, path).read()``)."""
     m = Marts(spark, sf_dir)
-    fct = materialize(m.fct_orders, f"{out_dir}/fct_orders")
-    dim = materialize(dim_customers(m.stg_customers, fct), f"{out_dir}/dim_customers")
+    fct = VersionedTable(spark, f"{out_dir}/fct_orders").rebuild(m.fct_orders)
+    dim = VersionedTable(spark, f"{out_dir}/dim_customers").rebuild(dim_customers(m.stg_customers, fct))
     return {"fct_orders": fct, "dim_customers": dim}

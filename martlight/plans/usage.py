@@ -26,13 +26,14 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlight.functions.dates import ts_lit
 from martlight.functions.service import ServiceFamily, ServiceLabels
 from martlight.operators.settings import ReportSettings
-from martlight.operators.topn import top_n_with_others
+from martlight.operators.asof import as_of_join
+from martlight.operators.topn import top_n_with_others, top_n_within
 from martlight.session import written
 
 CREDITS = "decimal(38,9)"
@@ -328,6 +329,61 @@ def usage_by_user(groups: DataFrame, n: int, price) -> DataFrame:
     return _drill(groups, "user", {"label": "user_name"}, n, {"user_name": "Others"}, price)
 
 
+def usage_by_user_function(dcube: DataFrame, n: int, price) -> DataFrame:
+    """Every user's own sub-table: top ``n`` functions + Others, month to date."""
+    g = (dcube.groupBy("user_name", F.coalesce("function_name", F.lit("(none)")).alias("function_name"))
+         .agg(F.sum("credits").cast(CREDITS).alias("credits")))
+    t = top_n_within(g, ["user_name"], ["function_name"], "credits", n, {"function_name": "Others"})
+    return t.withColumn("usd", _usd("credits", price))
+
+
+# --- over days, rates and cost centres -----------------------------------------------
+def daily_delta(cube: DataFrame, w: ReportWindow) -> DataFrame:
+    """(day, service_type, credits, previous, delta) for every type and every day from its first
+    in the cube to the report day; days without rows count as zero, a first day has no
+    previous one.  The calendar is a sequence per type, so it grows with types and days only."""
+    sums = cube.groupBy("service_type", "day").agg(F.sum("credits").cast(CREDITS).alias("credits"))
+    last = F.lit(w.report_day).cast("date")
+    calendar = (sums.groupBy("service_type").agg(F.min("day").alias("first"))
+                .select("service_type", F.explode(F.sequence("first", last)).alias("day")))
+    dense = (calendar.join(sums.withColumnsRenamed({"service_type": "s", "day": "d"}),
+                           F.col("service_type").eqNullSafe(F.col("s")) & (F.col("day") == F.col("d")), "left")
+             .select("day", "service_type", F.coalesce("credits", F.lit(0)).cast(CREDITS).alias("credits")))
+    previous = F.lag("credits").over(Window.partitionBy("service_type").orderBy("day"))
+    return (dense.withColumn("previous", previous)
+            .withColumn("delta", (F.col("credits") - F.col("previous")).cast(CREDITS)))
+
+
+def billed_at_rates(ledger: DataFrame, rates: DataFrame, width_days: float = 1.0) -> DataFrame:
+    """(service_type, price, n_rows, credits, usd): every ledger row at the rate of its type that
+    was in force at its time (``rates``: service_type, valid_from, price).  Rows before a
+    type's first rate have no price and no money.  Money is exact, rounded once per price."""
+    priced = as_of_join(ledger.select("service_type", "start_time", "credits_used"), rates, ["service_type"],
+                        "start_time", "valid_from", ["price"], width_days)
+    g = priced.groupBy("service_type", "price").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("credits_used").cast(CREDITS).alias("credits"))
+    money = (F.col("credits").cast("decimal(28,9)") * F.col("price").cast("decimal(9,4)")).cast(USD)
+    return g.select("service_type", "price", "n_rows", "credits", money.alias("usd"))
+
+
+NO_CENTRE = "(none)"
+
+
+def cost_centres(cube: DataFrame, centres: DataFrame, w: ReportWindow, price) -> DataFrame:
+    """(level, division, centre, credits, usd): month-to-date credits by cost centre, with totals by
+    division (level 1) and of all (level 3), from one rollup.  ``centres``: name, valid_from,
+    centre, division; a name counts for the centre it belonged to on the day."""
+    mtd = (cube.filter(_in("day", w.m_start, w.report_day))
+           .groupBy("day", "name").agg(F.sum("credits").cast(CREDITS).alias("credits")))
+    placed = as_of_join(mtd, centres, ["name"], "day", "valid_from", ["division", "centre"], 31)
+    named = placed.select(*[F.coalesce(c, F.lit(NO_CENTRE)).alias(c) for c in ("division", "centre")], "credits")
+    g = named.rollup("division", "centre").agg(F.grouping_id().cast("int").alias("level"),
+                                               F.sum("credits").cast(CREDITS).alias("credits"))
+    credits = F.coalesce("credits", F.lit(0)).cast(CREDITS)
+    return (g.withColumn("credits", credits)
+            .select("level", "division", "centre", "credits", _usd("credits", price).alias("usd")))
+
+
 # --- verify queries ---------------------------------------------------------------
 def usage_profile(raw: DataFrame) -> DataFrame:
     """All-time row count, credits (2 dp), first and last request."""
@@ -421,30 +477,51 @@ class UsageReport:
         self.spark = spark
         self.inp = inputs
         self.s = settings
-        self.window = w = reporting_window(inputs.ledger_days, inputs.as_of)
-        self.raw = unify_raw(inputs.logs)
+        self.window = reporting_window(inputs.ledger_days, inputs.as_of)
+        self.rollup = rollup
         if rollup is not None:
-            mine = rollup.filter(_in("day", w.lo, w.report_day))
-            lacking = (inputs.ledger_days.filter(_in("usage_date", w.lo, w.report_day))
-                       .select(F.col("usage_date").alias("day")).distinct()
-                       .join(mine.select("day").distinct(), "day", "left_anti"))
-            days = sorted(r["day"].isoformat() for r in lacking.collect())   # of one window
-            if days:
-                raise IncompleteRollup(f"the rollup lacks {', '.join(days)}")
-            self.cube = (mine.filter(settings.family.contains("service_type"))
-                         .groupBy("day", "service_type", "name")
-                         .agg(F.sum("credits").cast(CREDITS).alias("credits")))
-        else:
-            self.cube = ledger_cube(inputs.ledger, settings.family, w)
-        self.dcube = detail_cube(self.raw, inputs.users, w)
-        self.groups = detail_groups(self.dcube)
+            self._check(rollup)
         if write_cubes:
             # three independent jobs, submitted side by side
             with ThreadPoolExecutor(3) as pool:
-                self.cube, self.groups, totals = pool.map(
-                    written, (self.cube, self.groups, self.detail()),
-                    ("ledger-cube", "detail-groups", "detail-totals"))
-            self._parts = {"detail": totals}
+                cube, groups, totals = pool.map(written, (self.cube, self.groups, self.detail()),
+                                                ("ledger-cube", "detail-groups", "detail-totals"))
+            self._parts |= {"cube": cube, "groups": groups, "detail": totals}
+
+    def _check(self, rollup: DataFrame) -> None:
+        w = self.window
+        mine = rollup.filter(_in("day", w.lo, w.report_day))
+        lacking = (self.inp.ledger_days.filter(_in("usage_date", w.lo, w.report_day))
+                   .select(F.col("usage_date").alias("day")).distinct()
+                   .join(mine.select("day").distinct(), "day", "left_anti"))
+        days = sorted(r["day"].isoformat() for r in lacking.collect())   # of one window
+        if days:
+            raise IncompleteRollup(f"the rollup lacks {', '.join(days)}")
+
+    # parts are planned when a section first needs them
+    @property
+    @_memo
+    def raw(self):
+        return unify_raw(self.inp.logs)
+
+    @property
+    @_memo
+    def cube(self):
+        w = self.window
+        if self.rollup is None:
+            return ledger_cube(self.inp.ledger, self.s.family, w)
+        return (self.rollup.filter(_in("day", w.lo, w.report_day) & self.s.family.contains("service_type"))
+                .groupBy("day", "service_type", "name").agg(F.sum("credits").cast(CREDITS).alias("credits")))
+
+    @property
+    @_memo
+    def dcube(self):
+        return detail_cube(self.raw, self.inp.users, self.window)
+
+    @property
+    @_memo
+    def groups(self):
+        return detail_groups(self.dcube)
 
     @property
     def price(self):

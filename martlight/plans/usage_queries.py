@@ -141,6 +141,30 @@ def _by_user(spark, sf_dir):
     return demo_report(spark, sf_dir).by_user()
 
 
+@register("usage_by_user_function", Q.USAGE_BY_USER_FUNCTION)
+def _by_user_fn(spark, sf_dir):
+    r = demo_report(spark, sf_dir)
+    return U.usage_by_user_function(r.dcube, Q.USER_TOP_N, r.price)
+
+
+@register("daily_delta", Q.DAILY_DELTA)
+def _delta(spark, sf_dir):
+    r = demo_report(spark, sf_dir)
+    return U.daily_delta(r.cube, r.window)
+
+
+@register("billed_at_rates", Q.BILLED_AT_RATES)
+def _rates(spark, sf_dir):
+    b = B.Bound(spark, sf_dir)
+    return U.billed_at_rates(b.ledger, b.rates)
+
+
+@register("cost_centres", Q.COST_CENTRES)
+def _centres(spark, sf_dir):
+    r = demo_report(spark, sf_dir)
+    return U.cost_centres(r.cube, B.Bound(spark, sf_dir).centres, r.window, r.price)
+
+
 @register("usage_rank", Q.USAGE_RANK)
 def _rank(spark, sf_dir):
     """Every user ranked by month-to-date detail credits (no limit)."""

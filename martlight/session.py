@@ -59,8 +59,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="martlight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = tempfile.mkdtemp(prefix="martlight-ckpt-")      # kept by the context, as set next
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)             # DataFrame.checkpoint() writes here
     return "/".join([base.rstrip("/"), *parts]) if parts else base

@@ -442,6 +442,40 @@ SUPPORT_TICKETS_SQL = f"""(select event_id as ticket_id, user_id as customer_id,
 from {_EVENTS_K_SQL})"""
 
 
+# --- dated rates and cost centres ----------------------------------------------------
+def rates(src: Sources) -> DataFrame:
+    """(service_type, valid_from, price): in every even month a type has events, a new rate from its
+    first event of the month on."""
+    month = F.month("ts")
+    return (_typed_events(src).where(month % 2 == 0)
+            .groupBy("service_type", F.trunc("ts", "MM").alias("m")).agg(F.min("ts").alias("valid_from"))
+            .select("service_type", "valid_from",
+                    (F.lit(2) + F.month("m") * F.lit(0.125).cast("decimal(4,3)")).cast("decimal(9,4)").alias("price")))
+
+
+RATES_SQL = f"""(select service_type, valid_from, cast(2 + month(m) * cast(0.125 as decimal(4,3)) as decimal(9,4)) as price
+from (select service_type, cast(date_trunc('month', ts) as date) as m, min(ts) as valid_from
+      from {_TYPED_EVENTS_SQL} where month(ts) % 2 = 0 group by 1, 2))"""
+
+
+def centres(src: Sources) -> DataFrame:
+    """(name, valid_from, centre, division): the cost centre of the ledger names app_n but for n % 7 = 3,
+    anew from the tenth of each month that has events."""
+    k = F.col("k") % 20
+    m = F.trunc("ts", "MM")
+    c = (k + F.month("m")) % 4
+    return (_typed_events(src).where((k != 0) & (F.col("k") != 99) & (k % 7 != 3))
+            .groupBy(k.alias("n"), m.alias("m")).agg(F.max("k").alias("k"))
+            .select(F.concat(F.lit("app_"), _s(F.col("n"))).alias("name"), F.date_add("m", 9).alias("valid_from"),
+                    F.concat(F.lit("cc_"), _s(c)).alias("centre"), F.concat(F.lit("div_"), _s(c % 2)).alias("division")))
+
+
+CENTRES_SQL = f"""(select 'app_' || cast(n as varchar) as name, cast(m + 9 as date) as valid_from,
+  'cc_' || cast((n + month(m)) % 4 as varchar) as centre, 'div_' || cast((n + month(m)) % 4 % 2 as varchar) as division
+from (select distinct k % 20 as n, cast(date_trunc('month', ts) as date) as m from {_EVENTS_K_SQL}
+      where k % 20 <> 0 and k <> 99 and k % 20 % 7 <> 3))"""
+
+
 class Bound:
     """All logical tables of one testdata directory: lazy DataFrames, each built once
     for this object, from files listed when it is first used."""
@@ -470,6 +504,7 @@ _TABLES = {
     "log_signups": log_signups, "users": users,
     "saas_customers": saas_customers, "deals": deals,
     "monthly_revenue": monthly_revenue, "support_tickets": support_tickets,
+    "rates": rates, "centres": centres,
 }
 
 SQL = {
@@ -479,6 +514,7 @@ SQL = {
     "log_signups": LOG_SIGNUPS_SQL, "users": USERS_SQL,
     "saas_customers": SAAS_CUSTOMERS_SQL, "deals": DEALS_SQL,
     "monthly_revenue": MONTHLY_REVENUE_SQL, "support_tickets": SUPPORT_TICKETS_SQL,
+    "rates": RATES_SQL, "centres": CENTRES_SQL,
 }
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -23,9 +22,5 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # tests may set their own checkpoint folder, only when none is configured
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="martlight-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    # where no folder is configured, the library makes its own (martlight.session.shared_dir)
     yield s

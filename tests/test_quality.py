@@ -1,3 +1,4 @@
+from martlight.operators.versions import VersionedTable
 from martlight.operators.quality import (Check, not_null_failures, relationship_failures,
                                          run_checks, summarize, unique_failures)
 
@@ -35,7 +36,7 @@ def test_build_then_test_on_written_marts(spark):
     res = build_and_test(spark, SF_SMALL, out)
     assert sorted(r.check_name for r in res) == sorted(c.name for c in DECLARED)
     assert {r.status for r in res} == {"pass"}
-    assert spark.read.parquet(f"{out}/dim_customers").count() > 0
+    assert VersionedTable(spark, f"{out}/dim_customers").read().count() > 0
 
 
 def test_failing_test_stops_dependents(spark):
