@@ -19,7 +19,8 @@ smallest ids (at most ``k + 1``: more can never be returned).
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take
 no part, as query or candidate; a null id takes no part; vectors of another length are
-never compared; rows with equal id and vector count once; extra columns are ignored.
+never compared; rows with equal id and vector count once; an id with several vectors is as many
+rows, each a query and a candidate of its own (also of the others); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlight.llm.common import lean, require_columns, written
+from martlight.operators.ranking import global_row_number
 
 TREES = 48
 DEPTH = 6                 # symbols of a hash string
@@ -265,8 +267,10 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5,
     asks = rows.groupBy("h", "vector").agg(F.max("asks").alias("is_query"))
     members = (few.where(F.col("i") <= k + 1)
                .groupBy("h", "vector").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids")))
-    entry = written(members.join(asks, ["h", "vector"])
-                    .select(F.element_at("ids", 1).alias("vid"), "h", "vector", "ids", "is_query"), "ann-entries")
+    # an entry's number goes by its smallest id, so ties of entries are ties of ids
+    entry = written(global_row_number(
+        members.join(asks, ["h", "vector"]).select(F.element_at("ids", 1).alias("least"), "h", "vector", "ids", "is_query"),
+        ["least", "h"], name="vid").select("vid", "h", "vector", "ids", "is_query"), "ann-entries")
     ranked, runs = index(entry.select("vid", "vector", "is_query"), trees)
     # a query's runs in every tree, by level; all trees hold the same rows at level 0
     levels = F.when(F.substring("key", 5, 2) == F.lit(bytes(2)), F.sequence(F.lit(0), F.lit(DEPTH))).otherwise(
@@ -301,15 +305,16 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5,
     named = (best.union(own_copies).join(entry.select("vid", "ids", "vector"), "vid")
              .withColumn("score", F.when(F.col("qid") == F.col("vid"), _self_cosine(F.col("vector")))
                          .otherwise(F.col("score")))
-             .select("qid", "score", F.explode("ids").alias("vec_id"))
+             .select("qid", "score", "vid", F.explode("ids").alias("vec_id"))
              .withColumn("i", F.row_number().over(
-                 Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id")))
+                 Window.partitionBy("qid").orderBy(F.col("score").desc(), "vec_id", "vid")))
              .where(F.col("i") <= k + 1)
-             .groupBy("qid").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
+             .groupBy("qid").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "vid")))
                                  .alias("near")))
     listed = written(entry.where("is_query").select("h", "vector", F.col("vid").alias("qid"))
-                     .join(named, "qid").select("h", "vector", "near"), "ann-lists")
-    others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+                     .join(named, "qid").select("h", "vector", "qid", "near"), "ann-lists")
+    # all but the query's own row
+    others = F.slice(F.filter("near", lambda x: (x["vec_id"] != F.col("query_id")) | (x["vid"] != F.col("qid"))), 1, k)
     return (rows.where("asks").select(F.col("id").alias("query_id"), "h", "vector")
             .join(listed, ["h", "vector"])
             .select("query_id", F.posexplode(others).alias("p", "x"))

@@ -116,3 +116,24 @@ def test_results_do_not_depend_on_buckets_and_windows(spark):
     data = [(i, v) for i, v in enumerate(x.tolist())]
     a = search(spark, data, trees=6, candidates=64, bucket=64, window=8)
     assert a == search(spark, data, trees=6, candidates=64)
+
+
+@pytest.mark.parametrize("other", [None, 0, 7])
+def test_an_id_with_several_vectors_is_several_rows(spark, other):
+    """A second vector under no id, under a query's and under a candidate's: rows, ranks and ties
+    against brute force over rows."""
+    rng = np.random.default_rng(8)
+    table = [(i, rng.normal(size=6).tolist()) for i in range(60)]
+    table += [(i, (2 * np.array(v)).tolist()) for i, v in table[30:33]]           # parallel: equal scores
+    if other is not None:
+        table.append((other, rng.normal(size=6).tolist()))
+    got = ann.nearest(spark.createDataFrame(table, "vec_id long, embedding array<double>"), "vec_id", "embedding",
+                      lambda i: i % 50 == 0).collect()
+    want = []
+    for a, (i, v) in enumerate(table):
+        if i % 50 == 0:
+            v = np.array(v)
+            near = sorted((-round(float(v @ np.array(x) / np.linalg.norm(v) / np.linalg.norm(x)), 12), j)
+                          for b, (j, x) in enumerate(table) if b != a)[:5]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(near)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 12)) for r in got) == sorted(want)
