@@ -88,23 +88,38 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def hits(docs: DataFrame) -> DataFrame:
-    """One row per text position that a template 2-gram hits, and one for position 0 of
-    every text: row, doc_id, n, at, the template's columns and ``near``, the words that a
+    """One row per text position that a template 2-gram hits, and one for a text without
+    hits: row, doc_id, n, at, the template's columns and ``near``, the words that a
     span on the hit's diagonal may take."""
+    spark = docs.sparkSession
+    rows = template_grams()                                 # a fixed table
+    known = templates(spark)
+    indexed = [r["gram"] for r in known.select("gram").distinct().collect()]
+    reach = max(r[4] for r in rows) + SLACK                 # words before a hit that a span may take
+    width = reach + max(r[3] for r in rows) + 2 * SLACK
+
+    def found_in(w: Column) -> Column:
+        def gram(i: Column) -> Column:
+            return F.xxhash64(F.element_at(w, i), F.element_at(w, i + 1))
+        # places are filtered within the array; a hit carries the words around it, not the text
+        places = F.when(F.size(w) > 1, F.filter(F.sequence(F.lit(1), F.size(w) - 1), lambda i: gram(i).isin(*indexed)))
+        return F.struct(F.size(w).alias("n"), F.transform(places, lambda i: F.struct(
+            (i - 1).alias("at"), gram(i).alias("gram"),
+            F.slice(w, F.greatest(i - reach, F.lit(1)), F.lit(width)).alias("around"))).alias("hits"))
+
+    # a one-element array binds the words once for their uses
     texts = (pick(docs, ["doc_id", "text"], "docs")
              .select(F.monotonically_increasing_id().alias("row"), "doc_id",
-                     words(text_or_empty()).alias("w")))
-    grams = F.when(F.size("w") > 1, F.transform(
-        F.sequence(F.lit(1), F.size("w") - 1),
-        lambda i: F.xxhash64(F.element_at("w", i), F.element_at("w", i + 1))))
-    rolled = texts.select("row", "doc_id", F.size("w").alias("n"), "w",
-                          F.posexplode_outer(grams).alias("at", "gram"))
-    start = F.greatest(F.col("at") - F.col("t_at") - SLACK, F.lit(0)) + 1
-    return (rolled.join(F.broadcast(templates(docs.sparkSession)), "gram", "left")
-            .where("template is not null or at = 0 or at is null")
+                     F.element_at(F.transform(F.array(words(text_or_empty())), found_in), 1).alias("found"))
+             .select("row", "doc_id", F.col("found.n").alias("n"), F.explode_outer("found.hits").alias("hit"))
+             .select("row", "doc_id", "n", "hit.at", "hit.gram", "hit.around"))
+    # word ``at - t_at - SLACK`` (0 at least) in the words around the hit, which begin at ``begin``
+    begin = F.greatest(F.col("at") + 1 - reach, F.lit(1)) - 1
+    start = F.greatest(F.col("at") - F.col("t_at") - SLACK, F.lit(0)) - begin + 1
+    return (texts.join(F.broadcast(known), "gram", "left")
             .select("row", "doc_id", "n", "at", "template", "label", "base", "t_words", "t_at",
                     F.when(F.col("template").isNotNull(),
-                           F.slice("w", start, F.col("t_words") + 2 * SLACK)).alias("near")))
+                           F.slice("around", start, F.col("t_words") + 2 * SLACK)).alias("near")))
 
 
 def spans(found: DataFrame) -> DataFrame:
