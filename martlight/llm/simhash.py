@@ -215,14 +215,15 @@ def links(fps: DataFrame, tau: int = TAU, segments: int = SEGMENTS, block: int =
 
 
 def component_of(rows: DataFrame, tau: int = TAU, segments: int = SEGMENTS) -> DataFrame:
-    """(fp, component_id) of every distinct ``fp`` of ``rows`` (columns doc_id, fp)."""
+    """(fp, component_id, root) of every distinct ``fp`` of ``rows`` (columns doc_id, fp); ``root``
+    is a fingerprint that stands for the component, whatever its ids."""
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     roots = written(components(links(nodes.select("fp"), tau, segments))
                     .withColumnRenamed("node", "fp"), "simhash-roots")
     rooted = written(nodes.join(roots, "fp", "left")
                      .select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
     ids = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-ids")
-    return rooted.join(ids, "root").select("fp", "component_id")
+    return rooted.join(ids, "root").select("fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, tau: int = TAU) -> DataFrame:
@@ -246,8 +247,8 @@ def deduplicate(docs: DataFrame, k: int = SHINGLE, tau: int = TAU) -> DataFrame:
     found = written(component_of(ids, tau), "simhash-components")
     least = ids.groupBy("fp").agg(F.min("doc_id").alias("least"))
     best = (found.join(least, "fp").where("least <=> component_id")
-            .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("lone"))
-            .agg(F.min("fp").alias("fp")).select(F.col("component_id").alias("keep_id"), "fp"))
+            .groupBy("root").agg(F.min("fp").alias("fp"), F.min("component_id").alias("component_id"))
+            .select(F.col("component_id").alias("keep_id"), "fp"))
     best = written(best, "simhash-kept")
     at = rows.alias("r").join(best.alias("b"), (F.col("r.fp") == F.col("b.fp"))
                               & F.col(f"r.{key}").eqNullSafe(F.col("b.keep_id")), "left_semi")

@@ -150,3 +150,15 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     hub = [(1000, 1000 + i) for i in range(1, 300)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain + hub, "u long, v long")).collect()}
     assert set(got.values()) == {0, 1000} and len(got) == 201 + 300
+
+
+def test_linked_rows_without_ids_leave_one(spark):
+    """Two texts a bit apart under null ids are one group, as they are under ids."""
+    base = [f"w{i}" for i in range(400)]
+    near = [*base[:-1], "other"]
+    texts = [" ".join(base), " ".join(near), " ".join(base)]
+    a, b = (simhash.fingerprint(t) for t in texts[:2])
+    assert 0 < (a ^ b).bit_count() <= 4
+    for ids in ((1, 2, 3), (None, None, None), (None, 2, None)):
+        df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        assert simhash.deduplicate(df).count() == 1
