@@ -193,15 +193,16 @@ class Model:
         finder, arcs, lengths = self._machine()
         text = text.lower()
         found: list[tuple[int, int, str, float]] = []
-        upto = -1
+        upto, lo, seen = -1, 0, 0
         for end, n in finder.iter(text):
             at = end - n + 1
             if at < upto or (at and text[at - 1].isalpha()):
                 continue
-            lo = 0
-            for m in _CLAUSE_END.finditer(text, max(0, at - 2000), at):
+            # the clause begins behind the last end before it: every stretch is looked at once
+            lo, seen = max(lo, upto), max(seen, upto, 0)
+            for m in _CLAUSE_END.finditer(text, seen, at):
                 lo = m.end()
-            lo = lo or max(0, at - 2000)
+            seen = at
             stop = _CLAUSE_END.search(text, at)
             upto = stop.start() if stop else len(text)
             state = 0

@@ -111,3 +111,12 @@ def test_empty_tables(spark):
     assert tox.score(empty(spark), MODEL).collect() == []
     assert tox.fit(empty(spark), labels(spark, [])) == tox.Model()
     assert tox.reject(empty(spark), labels(spark, [(1, 1), (2, 0)])).collect() == []
+
+
+def test_a_long_clause_is_read_from_its_start():
+    """A reporting verb thousands of words back marks the event; a clause end between does not."""
+    m = tox.Model(stems={"idiot": 2.0})
+    filler = "word " * 5000
+    assert [e[2] for e in m.events("he said " + filler + "an idiot and " + filler + "idiot")] == ["Ir", "Ir"]
+    assert [e[2] for e in m.events("he said. " + filler + "idiot")] == ["I"]
+    assert [e[2] for e in m.events(filler + "idiot. she said idiot. idiot")] == ["I", "Iyr", "I"]
