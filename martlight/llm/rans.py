@@ -265,10 +265,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, kind: str = "
     ids_schema, block_schema = _arrow(_IDS, spark), _arrow(_BLOCK, spark)
     rows = (pick(docs, ["doc_id", "text"], "docs")
             .select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")))
-    # ranges of ascending doc_id; the files written next fix them
+    # ranges of ascending doc_id, and of text where many rows share an id or have none; the
+    # files written next fix them
     ordered = (rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                       F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+                                       F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"))
     from tokenizers import Tokenizer
     width = 2 if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else 4
     ids = written(ordered.mapInArrow(lean(_tokenize(tokenizer, kind, end_id, ids_schema), "tokens"), _IDS),
