@@ -26,7 +26,7 @@ import numpy as np
 
 from martlight.llm.common import HELD
 
-CACHE_BYTES = 40 << 20         # of each of a tokenizer's two tables of pieces, about
+CACHE_BYTES = 64 << 20         # of a table of pieces, about; a full table of plain pieces is kept as the older one
 _ENTRY = 150                   # bytes of a table's entry beside the piece and its ids
 
 # The split patterns of the two tokenizer files, written for texts
@@ -77,21 +77,35 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Merged(dict):
-    """Ids by piece of a plain text; a new piece goes to the merge model at once."""
+    """Ids by piece of a plain text; a new piece goes to the merge model at once.  ``older`` is
+    the table before: what is used again moves on from there."""
 
     def __init__(self, tok, pack):
         super().__init__()
-        self.run, self.pack, self.size = tok.model.tokenize, pack, 0
+        self.run, self.pack, self.size, self.older = tok.model.tokenize, pack, 0, {}
         self.letters = "".join(v for _, v in sorted(_byte_letters().items()))
 
+    def renew(self) -> None:
+        """Begin a new table if this one is full."""
+        if self.size > CACHE_BYTES:
+            self.older = dict(self)
+            self.clear()
+            self.size = 0
+
     def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._merge(piece)
+        self[piece] = ids
+        self.size += _ENTRY + len(piece) + len(ids)
+        return ids
+
+    def _merge(self, piece: str) -> bytes:
         if piece.isalpha() and piece.isascii():
             word = piece                       # stands for itself byte by byte
         else:
             word = piece.encode().decode("latin-1").translate(self.letters)
-        ids = self[piece] = self.pack([t.id for t in self.run(word)])
-        self.size += _ENTRY + len(piece) + len(ids)
-        return ids
+        return self.pack([t.id for t in self.run(word)])
 
 
 class CachedTokenizer:
@@ -118,9 +132,7 @@ class CachedTokenizer:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (no end id)."""
-        if self.plain.size > CACHE_BYTES:
-            self.plain.clear()
-            self.plain.size = 0
+        self.plain.renew()
         if self.other_size > CACHE_BYTES:
             self.other.clear()
             self.other_size = 0
