@@ -125,8 +125,15 @@ def monthly_revenue(customers: DataFrame, start: dt.date, months: int) -> DataFr
                        "license_count", "expansion_usd", "churn_flag")
 
 
-def append_monthly_revenue(customers: DataFrame, start: dt.date, months: int, path: str) -> None:
-    """INSERT INTO monthly_revenue SELECT …: generate and append rows to the
-    table at ``path``, conformed to its declared schema."""
+def append_monthly_revenue(customers: DataFrame, start: dt.date, months: int, path: str,
+                           batch: str | None = None) -> DataFrame:
+    """INSERT INTO monthly_revenue SELECT …: generate rows and append them, conformed to the
+    declared schema, to the versioned table at ``path``; its rows come back.
+
+    ``batch`` is the run's identity, by default the months it covers: a repeated run changes
+    nothing.  ``revenue_id`` goes on where the table's last batch ended."""
+    from martlight.operators.versions import VersionedTable
     from martlight.sources import schemas, sinks
-    sinks.append(monthly_revenue(customers, start, months), path, schemas.MONTHLY_REVENUE)
+    rows = sinks.conform(monthly_revenue(customers, start, months), schemas.MONTHLY_REVENUE)
+    return VersionedTable(customers.sparkSession, path).append(
+        rows, batch or f"{start.isoformat()}+{months}", number="revenue_id")

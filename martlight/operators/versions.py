@@ -72,6 +72,10 @@ def publish_file(spark: SparkSession, path: str, text: str) -> None:
         raise Conflict(path)
 
 
+def _columns(schema: StructType) -> list:
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
 class VersionedTable:
     """The table below ``path``."""
 
@@ -140,6 +144,37 @@ class VersionedTable:
         v = self.publish(base, parts, schema, facts or {})
         return self.read(v.number)
 
+    def append(self, df: DataFrame, batch: str, number: str | None = None, attempts: int = 5) -> DataFrame:
+        """A new version with the rows of ``df`` as a part of its own, named by ``batch``, read back.
+
+        A batch counts once: where the table has a part of that name, nothing is written.
+        ``number`` names a column of ``df`` that is dense from 1; it goes on from the rows the
+        table has numbered so far, which the version's fact ``last_<number>`` holds.  Of two
+        writers that append at once one publishes first; the other takes its numbers anew
+        and tries again, at most ``attempts`` times, then :class:`Conflict` is raised."""
+        for attempt in range(attempts):
+            base = self.version()
+            if batch in base.parts:
+                return self.read(base.number)
+            if base.schema is not None and _columns(StructType.fromJson(json.loads(base.schema))) != _columns(df.schema):
+                raise ValueError(f"batch {batch!r} has other columns than {self.path}")
+            facts = dict(base.facts)
+            last = facts.get(f"last_{number}", 0)
+            rows = df if number is None else df.withColumn(number, F.col(number) + F.lit(last).cast("bigint"))
+            folder = f"{base.number + 1:012d}-{os.urandom(6).hex()}"
+            rows.write.parquet(f"{self.path}/data/{folder}")
+            if number is not None:
+                done = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{folder}")
+                facts[f"last_{number}"] = last + done.count()
+            try:
+                v = self.publish(base, {**base.parts, batch: folder}, df.schema, facts)
+            except Conflict:
+                if attempt + 1 == attempts:
+                    raise
+                continue
+            return self.read(v.number)
+        raise ValueError("attempts must be positive")
+
     def written_parts(self, folder: str, part: str) -> set[str]:
         """The keys of the parts that a write has made."""
         rows = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")

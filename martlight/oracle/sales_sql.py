@@ -84,6 +84,10 @@ SEM_TICKETS_BY_PRIORITY = _with(f"""select priority as ticket_priority, count(ti
        {avg_dec('resolution_hours', 10)} as avg_resolution_hours, cast(avg(csat_score) as double) as avg_csat
 from support_tickets group by priority""", ("support_tickets",))
 
+SEM_TICKETS_BY_SUBJECT = _with(f"""select subject as ticket_subject, priority as ticket_priority,
+       count(ticket_id) as total_tickets, {avg_dec('resolution_hours', 10)} as avg_resolution_hours
+from support_tickets group by 1, 2""", ("support_tickets",))
+
 SEM_LOWEST_HEALTH = _with("""select company_name, health_score as health from customers
 order by health_score asc, company_name asc limit 5""", ("customers",))
 

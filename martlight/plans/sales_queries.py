@@ -83,6 +83,12 @@ def _tickets_status(spark, sf_dir):
         where="ticket_priority <> 'Low'")
 
 
+@register("sem_tickets_by_subject", Q.SEM_TICKETS_BY_SUBJECT)
+def _tickets_subject(spark, sf_dir):
+    return sales_model(spark, sf_dir).query(
+        ["total_tickets", "avg_resolution_hours"], ["ticket_subject", "ticket_priority"])
+
+
 @register("sem_expansion_by_tier", Q.SEM_EXPANSION_BY_TIER)
 def _exp_tier(spark, sf_dir):
     return sales_model(spark, sf_dir).query(["total_expansion", "total_mrr"], ["arr_tier"])

@@ -54,9 +54,19 @@ def test_generator_invariants(spark):
 def test_append_generated_rows(spark):
     import os
     import tempfile
-    from martlight.sources import schemas, sinks
+
+    from martlight.operators.versions import VersionedTable
+    from martlight.sources import schemas
     path = os.path.join(tempfile.mkdtemp(prefix="martlight-gen-"), "mr")
-    sinks.create_table(spark, schemas.MONTHLY_REVENUE, path)
-    datagen.append_monthly_revenue(_customers(spark), dt.date(2025, 1, 1), 3, path)
-    t = spark.read.parquet(path)
-    assert t.schema == schemas.MONTHLY_REVENUE and t.count() > 0
+    first = datagen.append_monthly_revenue(_customers(spark), dt.date(2025, 1, 1), 3, path)
+    n = first.count()
+    assert first.schema == schemas.MONTHLY_REVENUE and n > 0
+    second = datagen.append_monthly_revenue(_customers(spark), dt.date(2025, 4, 1), 2, path)
+    ids = [r["revenue_id"] for r in second.orderBy("month", "customer_id").collect()]
+    assert ids == list(range(1, len(ids) + 1)) and len(ids) > n
+    # a repeated batch changes nothing, the first one either
+    for start, months in ((dt.date(2025, 4, 1), 2), (dt.date(2025, 1, 1), 3)):
+        again = datagen.append_monthly_revenue(_customers(spark), start, months, path)
+        assert again.exceptAll(second).count() == 0 and again.count() == len(ids)
+    t = VersionedTable(spark, path)
+    assert t.version().number == 2 and t.version().facts == {"last_revenue_id": len(ids)}

@@ -76,3 +76,52 @@ def test_build_command_exit_codes(spark, monkeypatch, capsys):
     assert main(args) == 1
     text = capsys.readouterr().out
     assert "fail" in text and "skipped" in text and text.count("\n") >= 33
+
+
+def test_each_model_is_read_once_and_one_shuffle_counts_all(spark):
+    from martlight.plans.mart_checks import DECLARED
+    from martlight.plans.marts import Marts
+    from tests.conftest import SF_SMALL
+    m = Marts(spark, SF_SMALL)
+    staged = {"stg_customers": m.stg_customers, "stg_orders": m.stg_orders, "stg_lineitem": m.stg_lineitem}
+    checks = [c for c in DECLARED if {c.model, c.to_model or c.model} <= set(staged)]
+    plan = run_checks(staged, checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_key_types_empty_models_and_odd_values(spark):
+    child = spark.createDataFrame([(1, 0.0, b"a", 7), (2, -0.0, b"b", None), (3, float("nan"), None, 8)],
+                                  "k int, x double, b binary, s short")
+    parent = spark.createDataFrame([(1, 1), (1, 1), (9, 2), (None, 2)], "k long, m int")
+    empty = parent.limit(0)
+    got = {c["check_name"]: c["failures"] for c in run_checks(
+        {"c": child, "p": parent, "e": empty}, [
+            Check("relationships", "c", "k", "p", "k"), Check("relationships", "p", "k", "c", "k"),
+            Check("relationships", "p", "k", "e", "k"), Check("relationships", "e", "m", "p", "m"),
+            Check("unique", "p", "k"), Check("unique", "p", ("k", "m")), Check("unique", "e", "k"),
+            Check("unique", "c", "x"), Check("unique", "c", "b"), Check("not_null", "c", "b"),
+            Check("not_null", "c", "s"), Check("not_null", "e", "m"), Check("not_null", "p", "k")]).collect()}
+    assert got == {
+        "relationships_c_k__p_k": 2, "relationships_p_k__c_k": 1, "relationships_p_k__e_k": 3,
+        "relationships_e_m__p_m": 0, "unique_p_k": 1, "unique_p_k_m": 1, "unique_e_k": 0,
+        "unique_c_x": 1, "unique_c_b": 0, "not_null_c_b": 1, "not_null_c_s": 1, "not_null_e_m": 0,
+        "not_null_p_k": 1}
+
+
+def test_counts_equal_the_failing_rows(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(3000).select((F.col("id") % 700).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("fk"),
+                                  F.when(F.col("id") % 11 > 0, F.concat(F.lit("n"), F.col("id") % 90)).alias("name"))
+    parent = spark.createDataFrame([(0,), (2,), (4,)], "pk int")
+    names = spark.createDataFrame([(f"n{i}",) for i in range(0, 90, 2)], "name string")
+    got = {c["check_name"]: c["failures"] for c in run_checks(
+        {"d": df, "p": parent, "n": names}, [
+            Check("unique", "d", "k"), Check("unique", "d", ("k", "fk")), Check("not_null", "d", "fk"),
+            Check("relationships", "d", "fk", "p", "pk"), Check("relationships", "d", "name", "n", "name")]).collect()}
+    assert got == {
+        "unique_d_k": unique_failures(df, "k").count(), "unique_d_k_fk": unique_failures(df, ["k", "fk"]).count(),
+        "not_null_d_fk": not_null_failures(df, "fk").count(),
+        "relationships_d_fk__p_pk": relationship_failures(df, "fk", parent, "pk").count(),
+        "relationships_d_name__n_name": relationship_failures(
+            df.withColumnRenamed("name", "cname"), "cname", names, "name").count()}

@@ -125,3 +125,29 @@ def test_touched_parts_are_pushed_ranges(spark):
     assert ranges([5, 1, 2, 3, 9]) == [(1, 3), (5, 5), (9, 9)]
     plan = only_parts(Marts(spark, SF_SMALL).stg_orders, {2}, 500)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderkey,1000)" in plan and "LessThanOrEqual(o_orderkey,1499)" in plan
+
+
+def test_append_goes_on_after_a_conflict_and_refuses_other_columns(spark, monkeypatch):
+    path = fresh()
+    t = VersionedTable(spark, path)
+
+    def batch(lo, n):
+        return spark.range(1, n + 1).select(F.col("id").alias("rn"), (F.col("id") + lo).alias("x"))
+
+    t.append(batch(100, 3), "a", number="rn")
+    publish, beaten = VersionedTable.publish, []
+
+    def late(self, *args):
+        if not beaten:                           # another writer publishes first
+            beaten.append(1)
+            VersionedTable(spark, path).append(batch(200, 2), "b", number="rn")
+        return publish(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "publish", late)
+    got = t.append(batch(300, 4), "c", number="rn")
+    assert sorted((r["rn"], r["x"]) for r in got.collect()) == [
+        (1, 101), (2, 102), (3, 103), (4, 201), (5, 202), (6, 301), (7, 302), (8, 303), (9, 304)]
+    assert t.version().number == 3 and t.version().facts == {"last_rn": 9}
+    assert t.append(batch(0, 0), "d", number="rn").count() == 9       # an empty batch
+    with pytest.raises(ValueError, match="other columns"):
+        t.append(spark.range(1), "e")
