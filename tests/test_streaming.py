@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martlight.operators.settings import ReportSettings
 from martlight.plans.usage import IncompleteRollup, UsageReport
 from martlight.plans.usage_queries import demo_inputs
-from martlight.streaming.ledger_rollup import ledger_rollup, read_cube, start_rollup
+from martlight.streaming.ledger_rollup import incomplete_days, ledger_rollup, read_cube, start_rollup
 from tests.conftest import SF_SMALL
 
 PARTS = ("billed", "by_type", "by_type_subtype", "trend", "new_types")
@@ -64,3 +64,27 @@ def test_late_rows_count_for_their_day_and_reruns_count_once(spark):
     one = spark.read.parquet(src).where("credits_used = 100")
     ledger_rollup(one).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch=2")
     assert sum(r["credits"] for r in read_cube(spark, out).collect()) == 118
+
+
+def test_days_with_files_still_to_come_are_known(spark):
+    base = tempfile.mkdtemp(prefix="martlight-days-")
+    src, out, ckpt = (os.path.join(base, x) for x in ("src", "cube", "ckpt"))
+    schema = "service_type string, name string, start_time timestamp_ntz, credits_used decimal(28,9)"
+    T = dt.datetime
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        return spark.read.parquet(src).schema
+
+    def waiting(**kw):
+        return sorted((r["day"].day, r["rows"], r["files"]) for r in incomplete_days(spark, src, s, out, **kw).collect())
+
+    s = land([("web.click", "a", T(2026, 6, 1, 10), Decimal(1)), ("web.click", "a", T(2026, 6, 2, 10), Decimal(2))])
+    assert waiting() == [(1, 1, 1), (2, 1, 1)]                   # before the first batch
+    stream(spark, src, s, out, ckpt)
+    assert waiting() == []
+    # the second file of a day that the cube already holds
+    land([("web.click", "b", T(2026, 6, 2, 23), Decimal(4)), ("web.click", "b", T(2026, 6, 2, 22), Decimal(4))])
+    assert waiting() == [(2, 2, 1)] and waiting(hi=dt.date(2026, 6, 1)) == []
+    stream(spark, src, s, out, ckpt)
+    assert waiting() == [] and sum(r["credits"] for r in read_cube(spark, out).collect()) == 11
