@@ -22,6 +22,7 @@ Query compilation (all DataFrame operations, no SQL text generation):
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -36,9 +37,10 @@ class SemanticError(ValueError):
 
 @dataclass(frozen=True)
 class Entity:
-    """A table with a primary key."""
+    """A table with a primary key.  ``table`` may be a function that returns the table: it is
+    called when a query first reads the entity."""
     name: str
-    table: DataFrame
+    table: DataFrame | Callable[[], DataFrame]
     primary_key: str
 
 
@@ -122,6 +124,7 @@ class SemanticModel:
     def __init__(self, entities: list[Entity], relationships: list[Relationship],
                  fields: list[Field], metrics: list[Metric]):
         self.entities = {e.name: e for e in entities}
+        self._frames: dict[str, DataFrame] = {}
         self.relationships = list(relationships)
         self.fields = self._by_name(fields, "field")
         self.metrics = self._by_name(metrics, "metric")
@@ -183,8 +186,11 @@ class SemanticModel:
         """The entity's table with every declared field under its logical name
         (physical columns stay available; unused ones are pruned by Catalyst)."""
         e = self._entity(entity)
-        exprs = {f.name: F.expr(f.expr) for f in self.fields.values() if f.entity == entity}
-        return e.table.withColumns(exprs)
+        if entity not in self._frames:
+            table = e.table if isinstance(e.table, DataFrame) else e.table()
+            exprs = {f.name: F.expr(f.expr) for f in self.fields.values() if f.entity == entity}
+            self._frames[entity] = table.withColumns(exprs)
+        return self._frames[entity]
 
     # -- predicates ---------------------------------------------------------
     def _predicate(self, text: str) -> tuple[list[Field], dict[str, str]]:

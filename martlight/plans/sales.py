@@ -12,11 +12,12 @@ from martlight.sources.bindings import Bound
 def sales_model(spark: SparkSession, sf_dir: str, tables: dict | None = None) -> SemanticModel:
     """``tables`` may supply the four DataFrames (customers, deals,
     monthly_revenue, support_tickets); by default they are the bindings of
-    ``sf_dir``."""
+    ``sf_dir``, each opened when a query first reads it."""
     if tables is None:
         b = Bound(spark, sf_dir)
-        tables = {"customers": b.saas_customers, "deals": b.deals,
-                  "monthly_revenue": b.monthly_revenue, "support_tickets": b.support_tickets}
+        tables = {"customers": lambda: b.saas_customers, "deals": lambda: b.deals,
+                  "monthly_revenue": lambda: b.monthly_revenue,
+                  "support_tickets": lambda: b.support_tickets}
     entities = [
         Entity("customers", tables["customers"], "customer_id"),
         Entity("deals", tables["deals"], "deal_id"),

@@ -3,7 +3,7 @@ from decimal import Decimal as D
 
 import pytest
 
-from martlight.operators.semantic import SemanticError
+from martlight.operators.semantic import Entity, Metric, Relationship, SemanticError, SemanticModel, dim
 from martlight.plans.sales import sales_model
 
 
@@ -146,3 +146,23 @@ def test_averages_equal_sparks_with_and_without_a_parent(spark, ddl, values):
     assert m.query(["mean"], ["name"]).schema["mean"].dataType == want.schema["mean"].dataType
     assert m.query(["mean"]).first()["mean"] == want.first()["mean"]
     assert m.query(["mean"], ["name"]).first()["mean"] == want.first()["mean"]
+
+
+def test_a_query_opens_only_the_entities_it_reads(spark):
+    opened = []
+
+    def table(name, ddl):
+        def read():
+            opened.append(name)
+            return spark.createDataFrame([], ddl)
+        return read
+    m = SemanticModel(
+        [Entity("p", table("p", "pid int, colour string"), "pid"), Entity("f", table("f", "fid int, pid int"), "fid"),
+         Entity("g", table("g", "gid int, pid int"), "gid")],
+        [Relationship("f", "pid", "p"), Relationship("g", "pid", "p")],
+        [dim("p", "tone", "colour")],
+        [Metric.of("f", "facts", "COUNT(fid)"), Metric.of("g", "others", "COUNT(gid)")])
+    m.query(["facts"])
+    assert opened == ["f"]
+    m.query(["facts"], ["tone"])
+    assert opened == ["f", "p"]
