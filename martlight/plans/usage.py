@@ -431,7 +431,8 @@ def reconcile(sections: dict[str, DataFrame], billed: DataFrame, detail: DataFra
 class UsageInputs:
     """Ledger, daily ledger, detail logs, user dimension and the run time
     (UTC wall clock; defaults to now, so the report covers the latest
-    settled day before today)."""
+    settled day before today).  A report reads each of them when a section first needs it,
+    so an object that opens its tables on first use serves as well."""
     ledger: DataFrame
     ledger_days: DataFrame
     logs: list[UsageLog]

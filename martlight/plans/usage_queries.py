@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +22,35 @@ def demo_logs(b: B.Bound) -> list[U.UsageLog]:
             for m in B.DETAIL_LOGS]
 
 
-def demo_inputs(spark: SparkSession, sf_dir: str) -> U.UsageInputs:
-    b = B.Bound(spark, sf_dir)
-    return U.UsageInputs(ledger=b.ledger, ledger_days=b.ledger_days, logs=demo_logs(b),
-                         users=b.users, as_of=b.as_of)
+class BoundInputs:
+    """The inputs of a report over the bound testdata, each opened when it is first read."""
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._bound = B.Bound(spark, sf_dir)
+
+    @property
+    def ledger(self) -> DataFrame:
+        return self._bound.ledger
+
+    @property
+    def ledger_days(self) -> DataFrame:
+        return self._bound.ledger_days
+
+    @property
+    def users(self) -> DataFrame:
+        return self._bound.users
+
+    @cached_property
+    def logs(self) -> list[U.UsageLog]:
+        return demo_logs(self._bound)
+
+    @cached_property
+    def as_of(self) -> dt.datetime:
+        """The start of the day after the newest event; without events, now."""
+        return self._bound.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def demo_inputs(spark: SparkSession, sf_dir: str) -> BoundInputs:
+    return BoundInputs(spark, sf_dir)
 
 
 def demo_report(spark: SparkSession, sf_dir: str, settings: ReportSettings | None = None,

@@ -72,8 +72,8 @@ _TYPED_EVENTS_SQL = f"(select *, {_SERVICE_TYPE_SQL} as service_type from {_EVEN
 
 
 def _typed_events(src: Sources) -> DataFrame:
-    ev = src.events
-    return ev.withColumn("k", _k()).withColumn("service_type", _service_type(F.col("k")))
+    return src.derived("typed_events", lambda s: s.events.withColumn("k", _k())
+                       .withColumn("service_type", _service_type(F.col("k"))))
 
 
 # --- metering ledger ------------------------------------------------------------
@@ -119,9 +119,8 @@ _EVENT_OF = {"web.click": "click", "web.view": "view", "shop.purchase": "purchas
 
 
 def _detail(src: Sources, service_type: str) -> DataFrame:
-    ev = src.events.filter(F.col("event_type") == _EVENT_OF[service_type])
-    ev = ev.withColumn("k", _k()).withColumn("service_type", _service_type(F.col("k")))
-    return ev.filter(F.col("service_type") == service_type)
+    return _typed_events(src).filter((F.col("event_type") == _EVENT_OF[service_type])
+                                     & (F.col("service_type") == service_type))
 
 
 def _detail_sql(service_type: str) -> str:

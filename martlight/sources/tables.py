@@ -67,6 +67,13 @@ class Sources:
         require_columns(df, required, name)
         return df
 
+    def derived(self, name: str, make) -> DataFrame:
+        """``make(self)``, planned once per accessor."""
+        key = f"{name}()"
+        if key not in self._opened:
+            self._opened[key] = make(self)
+        return self._opened[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
