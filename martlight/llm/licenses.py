@@ -1,6 +1,6 @@
 """License scan by diagonal voting.
 
-Templates are word sequences of license phrases and notices.  Every rolling word
+Templates are word sequences of license phrases, notices, body passages and SPDX headers.  Every rolling word
 2-gram of every text is joined, by hash, to the templates' 2-grams; each hit votes
 for the diagonal (text position minus template position).  Votes are counted per
 text, template and diagonal; neighbouring diagonals (a word inserted or dropped)
@@ -54,6 +54,45 @@ NOTICES = [
     ("spdx license identifier", "spdx"),
 ]
 
+# Passages of license bodies, and the names licenses go by.  Texts that differ in one word
+# (a program, a library) are held up to that word, so no miss can blur them.
+PASSAGES = [
+    ("the above copyright notice and this permission notice shall be included in all copies", "mit"),
+    ("to deal in the software without restriction including without limitation the rights", "mit"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license", "apache"),
+    ("each contributor hereby grants to you a perpetual worldwide non exclusive no charge", "apache"),
+    ("you may obtain a copy of the license at http www apache org", "apache"),
+    ("redistributions of source code must retain the above copyright notice", "bsd"),
+    ("redistributions in binary form must reproduce the above copyright notice", "bsd"),
+    ("nor the names of its contributors may be used to endorse or promote products", "bsd"),
+    ("bsd 2 clause license", "bsd"),
+    ("bsd 3 clause license", "bsd"),
+    ("this program is free software you can", "gpl"),
+    ("this library is free software you can", "lgpl"),
+    ("interacting with it remotely through a computer network", "agpl"),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl"),
+    ("eclipse public license v", "epl"),
+    ("the accompanying materials are made available under the terms of the eclipse public license", "epl"),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("cc0 1 0 universal", "cc0"),
+    ("boost software license version 1 0", "boost"),
+    ("the origin of this software must not be misrepresented", "zlib"),
+]
+
+# SPDX identifiers by the words that follow the header.
+SPDX_IDS = [
+    ("mit", "mit"), ("apache 2 0", "apache"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd"), ("isc", "isc"),
+    ("gpl 2 0", "gpl"), ("gpl 3 0", "gpl"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"), ("agpl 3 0", "agpl"),
+    ("mpl 2 0", "mpl"), ("epl 2 0", "epl"), ("unlicense", "unlicense"), ("cc0 1 0", "cc0"), ("bsl 1 0", "boost"),
+    ("zlib", "zlib"),
+]
+
+
+def notices() -> list[tuple[str, str]]:
+    """(words, label) of all the method adds."""
+    return [*NOTICES, *PASSAGES, *((f"spdx license identifier {i}", label) for i, label in SPDX_IDS)]
+
 # 2-grams of these words alone are no sign of a license and are not indexed.
 COMMON = ["a", "and", "any", "by", "in", "is", "of", "or", "the", "to", "under", "use", "with"]
 
@@ -65,7 +104,7 @@ def words(text: Column) -> Column:
 def template_grams() -> list[tuple]:
     """(template, label, base, words, position, word, next word) of every indexed 2-gram."""
     rows = []
-    for base, table in ((True, BASE_PHRASES), (False, NOTICES)):
+    for base, table in ((True, BASE_PHRASES), (False, notices())):
         for phrase, label in table:
             w = phrase.split()
             rows += [(phrase, label, base, len(w), i, w[i], w[i + 1]) for i in range(len(w) - 1)

@@ -55,7 +55,7 @@ def test_empty_table(spark):
 
 
 def test_every_template_finds_itself(spark):
-    phrases = [(p, label) for p, label in lic.BASE_PHRASES + lic.NOTICES]
+    phrases = [(p, label) for p, label in lic.BASE_PHRASES + lic.notices()]
     r = scan(spark, [p for p, _ in phrases])
     for i, (p, label) in enumerate(phrases):
         assert label in r[i]["labels"].split(","), p
@@ -67,3 +67,25 @@ def test_long_texts_cost_their_length(spark):
     row = lic.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert (row["n_words"], row["n_base"], row["first_word"], row["base_labels"]) == (510_000, 10_000, 0, "mit")
     assert row["last_word"] == 499_950 + 9_999
+
+
+MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.
+The above copyright notice and this permission notice shall be included in all copies or portions of the Software."""
+BSD_BODY = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice.
+2. Redistributions in binary form must reproduce the above copyright notice in the documentation.
+Neither the name of the author nor the names of its contributors may be used to endorse or promote products."""
+
+
+def test_bodies_with_a_few_words_changed(spark):
+    changed = [MIT_BODY, MIT_BODY.replace("hereby ", "").replace("obtaining", "getting").replace("shall", "must"),
+               BSD_BODY, BSD_BODY.replace("source code", "the source code").replace("must reproduce", "shall reproduce"),
+               "Copies of the notice are in the box; you may sell the rights in any form.",
+               "// SPDX-License-Identifier: Apache-2.0", "# SPDX-License-Identifier: GPL-3.0-or-later",
+               "This library is free software; you can share it.", "This program is free software: you can share it.",
+               "This is free and unencumbered software released into the public domain."]
+    r = scan(spark, [f"Some words before. {t} Some words after." for t in changed])
+    assert [r[i]["labels"] for i in range(len(changed))] == [
+        "mit", "mit", "bsd", "bsd", "", "apache,spdx", "gpl,spdx", "lgpl", "gpl", "unlicense"]
