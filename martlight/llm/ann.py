@@ -5,9 +5,11 @@ Every tree hashes a vector to a long string: ``DEPTH`` symbols, each the nearest
 array of its strings, so the rows that share a prefix with a query are one run of it.
 
 The trees ascend together: the common level of a query is the deepest prefix length at
-which its runs in all trees hold ``CANDIDATES`` rows or more in sum (else length 0, where
-one tree holds every row).  Every row of these runs is a candidate, however long the runs
-are; candidates are ranked by exact cosine in double precision.
+which its runs in all trees hold enough rows in sum: the entries over ``SHARE``, at least
+``LEAST_CANDIDATES`` (else length 0, where one tree holds every row).  Every row of these runs
+is a candidate, however long the runs are; candidates are ranked by exact cosine in double
+precision.  The number grows with the table because spread vectors need it: a fixed one loses
+recall as rows are added.  ``candidates`` sets another.
 
 Spark sorts: (tree, string, id) is range partitioned and written, which fixes a global
 rank; the same tasks note the runs that hold a query.  Ranks are cut to buckets of
@@ -38,7 +40,8 @@ from martlight.operators.ranking import global_row_number
 TREES = 48
 DEPTH = 6                 # symbols of a hash string
 WINDOW = 1_024            # rows of a run that are scored at a time: bounds memory, not what is visited
-CANDIDATES = 8_192        # sum over the trees at which the ascent ends
+SHARE = 4                 # the ascent ends where the trees' runs hold a row in so many, in sum ...
+LEAST_CANDIDATES = 512    # ... or this many, if that is more
 BUCKET = 4_096            # most rows of a bucket
 LEAST_BUCKET = 256        # rows of a bucket of a small table
 SEED = 5
@@ -255,7 +258,7 @@ def valid(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5, trees: int = TREES,
-            window: int = WINDOW, candidates: int = CANDIDATES, bucket: int = BUCKET) -> DataFrame:
+            window: int = WINDOW, candidates: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """query_id, rank, vec_id, score: for every row for which ``is_query`` (a column of ``id``)
     holds, its k nearest others, nearest first, ties to the smaller id."""
     rows = written(valid(rows, id_col, vector_col).distinct()
@@ -279,11 +282,14 @@ def nearest(rows: DataFrame, id_col: str, vector_col: str, is_query, k: int = 5,
                      .withColumn("prefix", F.expr(f"substring(key, 1, {_HEAD} + 2 * level)"))
                      .join(runs, "prefix").select("qid", "level", "lo", "n"), "ann-places")
     # synchronous ascent: the deepest level at which the trees hold enough rows
+    n = entry.count()
+    if candidates is None:
+        candidates = max(LEAST_CANDIDATES, n // SHARE)
     stop = (places.groupBy("qid", "level").agg(F.sum(F.col("n") - 1).alias("seen"))
             .groupBy("qid").agg(F.coalesce(F.max(F.when(F.col("seen") >= candidates, F.col("level"))),
                                            F.lit(0)).alias("stop")))
     # every bucket that a run of the stop level touches
-    size = max(1, min(bucket, max(LEAST_BUCKET, entry.count() // 32)))
+    size = max(1, min(bucket, max(LEAST_BUCKET, n // 32)))
     visits = written(places.join(stop, "qid").where("level = stop")
                      .select("qid", "lo", "n", F.expr(f"explode(sequence(lo div {size}L, (lo + n - 1) div {size}L))")
                              .alias("bucket"))
