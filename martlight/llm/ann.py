@@ -15,8 +15,8 @@ Spark sorts: (tree, string, id) is range partitioned and written, which fixes a
 rank; the same tasks note the runs that hold a query.  Ranks are cut to buckets of
 ``BUCKET`` rows or less, and a query is sent to every bucket that its run touches, so the
 rows a task holds are bounded whatever the vectors are.  The work is the rows in the runs:
-linear for spread vectors, but m rows of one hash string cost m times their queries, as
-nothing but the exact scan tells them apart.  Equal vectors are one entry with its
+for spread vectors a share of the table per query, and m rows of one hash string cost m
+times their queries, as nothing but the exact scan tells them apart.  Equal vectors are one entry with its
 smallest ids (at most ``k + 1``: more can never be returned).
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take
