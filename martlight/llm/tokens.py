@@ -5,9 +5,10 @@ places no token can span, and every distinct piece is encoded once per Python
 worker.  The ids are those of encoding the whole text (tests compare them).
 
 A plain text (printable ASCII, line feed, precomposed Latin-1 letters, no special
-token's string) is cut by the tokenizer's own split pattern, and the pieces go
-straight to its merge model.  Any other text is cut more coarsely, and its pieces
-go through the whole tokenizer:
+token's string) is cut by the tokenizer's own split pattern.  The plain texts of a
+batch are cut and their pieces numbered in Arrow; each distinct one is looked up once
+a batch, and a new one goes straight to the merge model.  Any other text is cut more
+coarsely, and its pieces go through the whole tokenizer:
 
 * ``"words"`` (white space dropped, word ends marked): at space and line feed.
   Neither joins a token, and neither composes with a following mark under NFC.
@@ -23,6 +24,8 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from martlight.llm.common import HELD
 
@@ -38,29 +41,31 @@ _PLAIN_PIECES = {
     "gpt": re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[^ \\n0-9{_LETTER}]+"
                       r"|[ \n]+(?![^ \n])|[ \n]+"),
 }
-# A plain text without these is cut by replacing single marks, without a pattern:
-# marks side by side or quotes; for "gpt" also digits and white space in other places.
-_HARD = {
-    "words": re.compile(f"'|[^ \\n0-9{_LETTER}]{{2}}"),
-    "gpt": re.compile(f"['0-9]|[^ \\n{_LETTER}]{{2}}|[ \\n][ \\n]| [^{_LETTER}]"),
-}
-_MARKS = [chr(c) for c in range(33, 127) if not chr(c).isalpha() and chr(c) != "'"]
+_MARKS = [chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
+_DIGITS = "0123456789"
+_SPACE_RUNS = ("  ", " \n", "\n ", "\n\n")
+
 
+def _parted(text: str, kind: str) -> str:
+    """A plain text, which holds no tab, with tabs between its pieces; for "words" white space
+    parts them too.  Some pieces are empty.
 
-def _cut(text: str, kind: str) -> list[str]:
-    """Pieces of a plain text; for "gpt" some are empty."""
-    if _HARD[kind].search(text):
-        return _PLAIN_PIECES[kind].findall(text)
-    if kind == "words":
+    Single marks are parted by replacing them.  The split pattern cuts texts with marks side
+    by side or quotes; for "gpt" also with digits and white space in other places."""
+    if "'" not in text:
+        out = text
         for c in _MARKS:
-            if c in text:
-                text = text.replace(c, f" {c} ")
-        return text.split()
-    text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
-    for c in _MARKS:
-        if c in text:
-            text = text.replace(c, f"\0{c}\0")
-    return text.split("\0")
+            if c in out:
+                out = out.replace(c, f"\t{c}\t")
+        if "\t\t" not in out:
+            if kind == "words":
+                for c in _DIGITS:
+                    if c in out:
+                        out = out.replace(c, f"\t{c}\t")
+                return out
+            if not (" \t" in out or any(c in out for c in _DIGITS) or any(r in out for r in _SPACE_RUNS)):
+                return out.replace(" ", "\t ").replace("\n", "\t\n\t")
+    return "\t".join(_PLAIN_PIECES[kind].findall(text))
 
 
 # any other text
@@ -130,29 +135,51 @@ class CachedTokenizer:
         return [self._pack(e.ids)
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain_ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each plain text."""
+        self.plain.renew()
+        self.plain[""] = b""
+        parted = pa.array([_parted(t, self.kind) for t in texts], pa.large_string())
+        pieces = (pc.ascii_split_whitespace(parted) if self.kind == "words"
+                  else pc.split_pattern(parted, "\t"))
+        coded = pieces.values.dictionary_encode()
+        found = list(map(self.plain.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        code = coded.indices.to_numpy()
+        # ids of the distinct pieces side by side, then each piece's taken from there
+        ids = np.frombuffer(b"".join(found), dtype=self.dtype)
+        n = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        at, count = np.cumsum(n) - n, n[code]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        take = np.repeat(at[code] - ends[:-1], count)
+        take += np.arange(ends[-1])
+        raw = ids[take].tobytes()
+        cuts = (ends[pieces.offsets.to_numpy()] * self.width).tolist()
+        return [raw[a:z] for a, z in zip(cuts, cuts[1:])]
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (no end id)."""
-        self.plain.renew()
         if self.other_size > CACHE_BYTES:
             self.other.clear()
             self.other_size = 0
-        self.plain[""] = b""
         out: list[bytes | None] = [None] * len(texts)
         cut: list[tuple[int, list[str]]] = []
+        plain: list[int] = []
         whole: list[int] = []
         new: set[str] = set()
         words = self.kind == "words"
         find = _PIECES[self.kind].findall
-        ids_of = self.plain.__getitem__
         for i, t in enumerate(texts):
             if _PLAIN.fullmatch(t) and not any(s in t for s in self.special):
-                out[i] = b"".join(map(ids_of, _cut(t.lower() if words else t, self.kind)))
+                plain.append(i)
             elif not words and _OTHER_SPACE.search(t):
                 whole.append(i)
             else:
                 p = find(t)
                 cut.append((i, p))
                 new.update(set(p).difference(self.other))
+        if plain:
+            for i, ids in zip(plain, self._plain_ids([texts[i].lower() if words else texts[i] for i in plain])):
+                out[i] = ids
         if new:
             found = self._encode(list(new))
             self.other.update(zip(new, found))
@@ -163,7 +190,7 @@ class CachedTokenizer:
             out[i] = b"".join(map(self.other.__getitem__, p))
         return out
 
-    def batches(self, texts: list[str], chars: int = 1_000_000):
+    def batches(self, texts: list[str], chars: int = 4_000_000):
         """:meth:`batch` over runs of at most ``chars`` characters (or one text)."""
         run: list[str] = []
         size = 0
